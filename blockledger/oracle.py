@@ -187,24 +187,24 @@ SELECT o.slot, md5('o' || o.o_orderkey) AS signature,
        t.num_required_signatures, t.num_readonly_signed_accounts, t.num_readonly_unsigned_accounts,
        t.recent_blockhash, t.success, t.error, t.fee,
        CASE WHEN has_meta AND o_orderstatus <> 'P'
-            THEN to_json([CAST(floor(o_totalprice) AS BIGINT), o_custkey]) END AS pre_balances,
+            THEN CAST(to_json([CAST(floor(o_totalprice) AS BIGINT), o_custkey]) AS VARCHAR) END AS pre_balances,
        CASE WHEN has_meta AND o_orderstatus <> 'P'
-            THEN to_json([CAST(0 AS BIGINT), o_custkey]) END AS post_balances,
+            THEN CAST(to_json([CAST(0 AS BIGINT), o_custkey]) AS VARCHAR) END AS post_balances,
        CASE WHEN has_meta THEN coalesce(tj.j, 'null') END AS pre_token_balances,
        CASE WHEN has_meta THEN coalesce(tj.j, 'null') END AS post_token_balances,
-       CASE WHEN has_meta THEN to_json([o_orderpriority, o_orderstatus]) END AS log_messages,
+       CASE WHEN has_meta THEN CAST(to_json([o_orderpriority, o_orderstatus]) AS VARCHAR) END AS log_messages,
        CASE WHEN has_meta THEN coalesce(rj.j, 'null') END AS rewards,
        t.compute_units_consumed
 FROM o JOIN tx_t t ON t.signature = md5('o' || o.o_orderkey)
 LEFT JOIN (
-  SELECT signature, to_json(list({'account_index': account_index, 'mint': mint, 'amount': amount,
+  SELECT signature, CAST(to_json(list({'account_index': account_index, 'mint': mint, 'amount': amount,
          'decimals': decimals, 'ui_amount': ui_amount, 'ui_amount_string': ui_amount_string,
-         'owner': owner, 'program_id': program_id} ORDER BY position)) AS j
+         'owner': owner, 'program_id': program_id} ORDER BY position)) AS VARCHAR) AS j
   FROM tok_t GROUP BY signature) tj ON tj.signature = t.signature
 LEFT JOIN (
-  SELECT signature, to_json(list({'slot': slot, 'pubkey': pubkey, 'lamports': lamports,
+  SELECT signature, CAST(to_json(list({'slot': slot, 'pubkey': pubkey, 'lamports': lamports,
          'post_balance': post_balance, 'reward_type': coalesce(reward_type, 'None'),
-         'commission': commission} ORDER BY position)) AS j
+         'commission': commission} ORDER BY position)) AS VARCHAR) AS j
   FROM txr_t GROUP BY signature) rj ON rj.signature = t.signature"""
 
 
