@@ -18,24 +18,38 @@ def blocks(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(f.name) for f in S.BLOCKS.fields])
 
 
-def _txs(raw: DataFrame) -> DataFrame:
-    """One row per transaction: (slot, tx)."""
-    return raw.select("slot", F.explode("transactions").alias("tx"))
+def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
+    """One row per transaction with only the named nested fields: (slot, name...).
+
+    Each ``name=path`` extracts ``transactions.<path>`` as an array over the
+    block's transactions; the arrays are zipped and exploded.  Parquet then
+    reads just those leaves (nested schema pruning does not pass through an
+    ``explode`` of the whole transaction struct).
+    """
+    t = F.col("transactions")
+    cols = []
+    for name, path in paths.items():
+        c = t
+        for part in path.split("."):
+            c = c[part]
+        cols.append(c.alias(name))
+    return (raw.select("slot", F.explode(F.arrays_zip(*cols)).alias("t"))
+            .select("slot", *[F.col(f"t.{n}").alias(n) for n in paths]))
 
 
 def transactions(raw: DataFrame) -> DataFrame:
     """P2 (with P3-P10): one row per transaction, 16 columns."""
-    tx = F.col("tx")
-    msg = tx["transaction"]["message"]
-    meta = tx["meta"]
-    header = msg["header"]
-    return _txs(raw).select(
+    meta = F.col("meta")
+    header = F.col("header")
+    txs = tx_rows(raw, signatures="transaction.signatures", header="transaction.message.header",
+                  recent_blockhash="transaction.message.recent_blockhash", meta="meta")
+    return txs.select(
         F.col("slot"),
-        X.first_or_null(tx["transaction"]["signatures"]).alias("signature"),
+        X.first_or_null("signatures").alias("signature"),
         header["num_required_signatures"].alias("num_required_signatures"),
         header["num_readonly_signed_accounts"].alias("num_readonly_signed_accounts"),
         header["num_readonly_unsigned_accounts"].alias("num_readonly_unsigned_accounts"),
-        msg["recent_blockhash"].alias("recent_blockhash"),
+        F.col("recent_blockhash"),
         X.success_of(meta).alias("success"),
         X.error_of(meta).alias("error"),
         meta["fee"].alias("fee"),
@@ -50,18 +64,22 @@ def transactions(raw: DataFrame) -> DataFrame:
 
 
 def tx_status(raw: DataFrame) -> DataFrame:
-    """P5: success / error per transaction."""
-    return transactions(raw).select("slot", "signature", "success", "error")
+    """P5: success / error per transaction (reads signatures and meta.err only)."""
+    txs = tx_rows(raw, signatures="transaction.signatures", meta="meta")
+    return txs.select("slot", X.first_or_null("signatures").alias("signature"),
+                      X.success_of(F.col("meta")).alias("success"),
+                      X.error_of(F.col("meta")).alias("error"))
 
 
 def token_balances(raw: DataFrame) -> DataFrame:
     """P8 long form: one row per token balance, ``side`` pre/post, 0-based position."""
-    t = transactions(raw)
+    txs = tx_rows(raw, signatures="transaction.signatures",
+                  pre="meta.pre_token_balances", post="meta.post_token_balances")
     sides = []
     for side in ("pre", "post"):
-        sides.append(t.select(
-            "slot", "signature", F.lit(side).alias("side"),
-            F.posexplode(f"{side}_token_balances").alias("position", "b"))
+        sides.append(txs.select(
+            "slot", X.first_or_null("signatures").alias("signature"), F.lit(side).alias("side"),
+            F.posexplode(X.normalise_token_balances(side)).alias("position", "b"))
             .select("slot", "signature", "side", F.col("position").cast("long").alias("position"),
                     "b.*"))
     return sides[0].unionByName(sides[1])
@@ -69,14 +87,15 @@ def token_balances(raw: DataFrame) -> DataFrame:
 
 def tx_rewards(raw: DataFrame) -> DataFrame:
     """P10 long form: rewards inside a transaction's meta, tagged with slot."""
-    return (transactions(raw)
-            .select("signature", F.posexplode("rewards").alias("position", "r"))
+    txs = tx_rows(raw, signatures="transaction.signatures", rewards="meta.rewards")
+    return (txs.select(X.first_or_null("signatures").alias("signature"),
+                       F.posexplode(X.tag_rewards("rewards", F.col("slot"))).alias("position", "r"))
             .select(F.col("r.slot").alias("slot"), "signature",
                     F.col("position").cast("long").alias("position"),
                     "r.pubkey", "r.lamports", "r.post_balance", "r.reward_type", "r.commission"))
 
 
-def _instruction_cols(keys, signature, index, ins, is_inner: bool, parent):
+def _instruction_cols(keys, signature, index, ins, is_inner, parent):
     return [
         F.col("slot"),
         signature.alias("tx_signature"),
@@ -85,73 +104,63 @@ def _instruction_cols(keys, signature, index, ins, is_inner: bool, parent):
         X.key_at(keys, ins["program_id_index"]).alias("program_id"),
         X.resolve_accounts(keys, ins["accounts"]).alias("accounts"),
         ins["data"].alias("data"),
-        F.lit(is_inner).alias("is_inner"),
+        (is_inner if not isinstance(is_inner, bool) else F.lit(is_inner)).alias("is_inner"),
         parent.cast("long").alias("parent_index"),
     ]
 
 
+def _ins_rows(raw: DataFrame, top: bool = True, inner: bool = True) -> DataFrame:
+    paths = {"signatures": "transaction.signatures", "keys": "transaction.message.account_keys"}
+    if top:
+        paths["top"] = "transaction.message.instructions"
+    if inner:
+        paths["inner"] = "meta.inner_instructions"
+    return tx_rows(raw, **paths).withColumn("sig", X.first_or_null("signatures"))
+
+
 def instructions_top(raw: DataFrame) -> DataFrame:
     """Top-level instructions, 0-based position, not inner, no parent."""
-    txs = _txs(raw).select(
-        "slot",
-        X.first_or_null("tx.transaction.signatures").alias("sig"),
-        F.col("tx.transaction.message.account_keys").alias("keys"),
-        F.posexplode("tx.transaction.message.instructions").alias("idx", "ins"))
-    return txs.select(*_instruction_cols(F.col("keys"), F.col("sig"), F.col("idx"),
-                                         F.col("ins"), False, F.lit(None)))
+    rows = _ins_rows(raw, inner=False).select(
+        "slot", "sig", "keys", F.posexplode("top").alias("idx", "ins"))
+    return rows.select(*_instruction_cols(F.col("keys"), F.col("sig"), F.col("idx"),
+                                          F.col("ins"), False, F.lit(None)))
 
 
 def instructions_inner(raw: DataFrame) -> DataFrame:
     """Inner instructions; group ``index`` -> parent_index, position inside the group."""
-    groups = _txs(raw).select(
-        "slot",
-        X.first_or_null("tx.transaction.signatures").alias("sig"),
-        F.col("tx.transaction.message.account_keys").alias("keys"),
-        F.explode("tx.meta.inner_instructions").alias("g"))
+    groups = _ins_rows(raw, top=False).select("slot", "sig", "keys", F.explode("inner").alias("g"))
     rows = groups.select("slot", "sig", "keys", F.col("g.index").alias("parent"),
                          F.posexplode("g.instructions").alias("idx", "ins"))
     return rows.select(*_instruction_cols(F.col("keys"), F.col("sig"), F.col("idx"),
                                           F.col("ins"), True, F.col("parent")))
 
 
+INS_T = "struct<program_id_index:bigint,accounts:array<bigint>,data:string>"
+ENTRY_T = f"array<struct<idx:int,parent:bigint,inner:boolean,ins:{INS_T}>>"
+
+
 def instructions(raw: DataFrame, one_pass: bool = True) -> DataFrame:
     """Top-level and inner instructions as one table.
 
     ``one_pass`` builds, per transaction, one array of (position, parent,
-    inner flag, instruction) and ``inline``s it: a single scan of the block
+    inner flag, instruction) and explodes it: a single scan of the block
     rows.  Otherwise two ``posexplode`` plans are unioned (two scans).
     """
     if not one_pass:
         return instructions_top(raw).unionByName(instructions_inner(raw))
-    ins_t = "struct<program_id_index:bigint,accounts:array<bigint>,data:string>"
-    entry_t = f"array<struct<idx:int,parent:bigint,inner:boolean,ins:{ins_t}>>"
-    tx = F.col("tx")
-    top = F.transform(tx["transaction"]["message"]["instructions"], lambda ins, i: F.struct(
+    top = F.transform("top", lambda ins, i: F.struct(
         i.alias("idx"), F.lit(None).cast("long").alias("parent"),
         F.lit(False).alias("inner"), ins.alias("ins")))
-    inner = F.flatten(F.transform(tx["meta"]["inner_instructions"], lambda g: F.transform(
+    inner = F.flatten(F.transform("inner", lambda g: F.transform(
         g["instructions"], lambda ins, i: F.struct(
             i.alias("idx"), g["index"].alias("parent"),
             F.lit(True).alias("inner"), ins.alias("ins")))))
-    every = F.concat(F.coalesce(top, F.array().cast(entry_t)),
-                     F.coalesce(inner, F.array().cast(entry_t)))
-    rows = _txs(raw).select(
-        "slot",
-        X.first_or_null(tx["transaction"]["signatures"]).alias("sig"),
-        tx["transaction"]["message"]["account_keys"].alias("keys"),
-        F.explode(every).alias("e"))
+    every = F.concat(F.coalesce(top, F.array().cast(ENTRY_T)),
+                     F.coalesce(inner, F.array().cast(ENTRY_T)))
+    rows = _ins_rows(raw).select("slot", "sig", "keys", F.explode(every).alias("e"))
     e = F.col("e")
-    keys = F.col("keys")
-    return rows.select(
-        F.col("slot"),
-        F.col("sig").alias("tx_signature"),
-        e["idx"].cast("long").alias("instruction_index"),
-        e["ins"]["program_id_index"].alias("program_id_index"),
-        X.key_at(keys, e["ins"]["program_id_index"]).alias("program_id"),
-        X.resolve_accounts(keys, e["ins"]["accounts"]).alias("accounts"),
-        e["ins"]["data"].alias("data"),
-        e["inner"].alias("is_inner"),
-        e["parent"].alias("parent_index"))
+    return rows.select(*_instruction_cols(F.col("keys"), F.col("sig"), e["idx"], e["ins"],
+                                          e["inner"], e["parent"]))
 
 
 def program_ids(raw: DataFrame) -> DataFrame:

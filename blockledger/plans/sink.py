@@ -9,6 +9,7 @@ batch or a resumed run never stores a slot twice.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -74,6 +75,50 @@ def slot_bounds(raw: DataFrame):
     return (r["lo"], r["hi"])
 
 
+@contextmanager
+def _unsorted_partitioned_write(spark: SparkSession, writers: int = 64):
+    """Write partitioned output without a sort.
+
+    Rows arrive slot-ordered from the landed files, so each task meets its
+    buckets one after another; concurrent writers keep that order in the
+    files (tight slot min/max) and skip the sort a partitioned write plans.
+    Past ``writers`` open files a task falls back to sorting.
+    """
+    keys = {"spark.sql.maxConcurrentOutputFileWriters": str(writers),
+            "spark.sql.optimizer.plannedWrite.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def _insert(df: DataFrame, store: LedgerStore, table: str, target: DataFrame) -> None:
+    out = df.withColumn(S.partition_column(), slot_bucket("slot", store.bucket_size))
+    with _unsorted_partitioned_write(df.sparkSession):
+        out.select(*target.columns).write.insertInto(store.fqn(table))
+
+
+def stored_slots(target: DataFrame, store: LedgerStore, lo: int, hi: int) -> DataFrame | None:
+    """Distinct slots a stored table holds in [lo, hi]; None when it holds none.
+
+    The bucket predicate prunes partitions; a limit-1 probe decides whether
+    there is anything to skip at all (a first load needs no anti-join).
+    """
+    b = store.bucket_size
+    in_range = (target.where(F.col(S.partition_column()).between(lo // b, hi // b))
+                .where(F.col("slot").between(lo, hi)).select("slot"))
+    if in_range.isEmpty():
+        return None
+    return in_range.distinct()
+
+
 def append_table(df: DataFrame, store: LedgerStore, table: str,
                  slot_range: tuple | None = None, dedupe: bool = True) -> str:
     """K2: append one table's rows, skipping slots the table already holds.
@@ -85,20 +130,14 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
         return name
     spark = df.sparkSession
     target = read_table(spark, store, table)
-    out = df.withColumn(S.partition_column(), slot_bucket("slot", store.bucket_size))
     if dedupe:
         lo, hi = slot_range if slot_range is not None else slot_bounds(df)
         if lo is None:
             return name
-        b = store.bucket_size
-        stored = (target
-                  .where(F.col(S.partition_column()).between(lo // b, hi // b))
-                  .where(F.col("slot").between(lo, hi))
-                  .select("slot").distinct())
-        out = out.join(stored, "slot", "left_anti")
-    (out.select(*target.columns)
-     .sortWithinPartitions(S.partition_column(), "slot")
-     .write.insertInto(name))
+        have = stored_slots(target, store, lo, hi)
+        if have is not None:
+            df = df.join(have, "slot", "left_anti")
+    _insert(df, store, table, target)
     return name
 
 
@@ -119,12 +158,14 @@ def dedupe_slots(raw: DataFrame) -> DataFrame:
 
 
 def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
-              persist: bool = True) -> list[str]:
+              persist: bool = False) -> list[str]:
     """K3: write every enabled table for the slots in ``raw``, in table order.
 
-    The block rows are persisted once for the fan-out to the tables; each
-    table's plan is a narrow flatten of that one scan.  One small aggregate
-    gives the batch's slot range and whether it holds a slot twice.
+    Each table's plan is a narrow flatten of the block rows.  Over landed
+    Parquet every table reads only its own nested leaves, so nothing is
+    persisted; pass ``persist=True`` for sources that must be parsed whole
+    (JSON), so the fan-out to four tables parses them once.  One small
+    aggregate gives the batch's slot range and whether it holds a slot twice.
     """
     spark = raw.sparkSession
     ensure_tables(spark, store)
@@ -139,9 +180,19 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         if dedupe and st["n"] != st["d"]:
             raw = raw.dropDuplicates(["slot"]).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
-        bounds = (st["lo"], st["hi"])
-        return [append_table(df, store, t, slot_range=bounds, dedupe=dedupe)
-                for t, df in P.flatten(raw, store.tables).items()]
+        written = []
+        for t in store.tables:
+            target = read_table(spark, store, t)
+            src = raw
+            if dedupe:
+                # Skip stored slots on the block rows, before any explode:
+                # one row per slot is far cheaper to anti-join than its rows.
+                have = stored_slots(target, store, st["lo"], st["hi"])
+                if have is not None:
+                    src = raw.join(have, "slot", "left_anti")
+            _insert(P.BUILDERS[t](src), store, t, target)
+            written.append(store.fqn(t))
+        return written
     finally:
         for h in held:
             h.unpersist()
