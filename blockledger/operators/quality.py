@@ -20,6 +20,10 @@ def read_permissive(spark: SparkSession, path: str, fmt: str = "json",
     Returns ``(good, corrupt)``.  A line that does not parse, or a value out of
     range for its type (e.g. an integer above 2^63-1), lands in ``corrupt``
     with its text; every other block is kept whole.
+
+    The JSON reader parses only the fields a query reads, so a bad value in a
+    field that is never read is not flagged.  ``convert_landed`` reads every
+    field once and is the way to split a landing exactly.
     """
     with_corrupt = T.StructType(schema.fields + [T.StructField(S.CORRUPT_COLUMN, T.StringType())])
     df = (spark.read.schema(with_corrupt)
@@ -91,3 +95,21 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     enforced by ``split_rejected`` rather than by failing the whole batch.
     """
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TABLES[table].fields])
+
+
+def convert_landed(spark: SparkSession, path: str, out: str, fmt: str = "json") -> tuple[str, str]:
+    """E1 as a job: landed JSON -> Parquet of good blocks and of rejected lines.
+
+    One pass writes every parsed field plus the corrupt-record text, split
+    into ``_ok=true`` / ``_ok=false`` folders; since everything is written,
+    every field is parsed and corruption anywhere in a block is caught.  Rows
+    are range-partitioned and sorted by slot so later scans prune by slot.
+    Returns (good blocks path, rejected path).
+    """
+    with_corrupt = T.StructType(S.RAW_BLOCK.fields + [T.StructField(S.CORRUPT_COLUMN, T.StringType())])
+    df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN).format(fmt).load(path))
+    (df.withColumn("_ok", F.col(S.CORRUPT_COLUMN).isNull())
+     .repartitionByRange("slot").sortWithinPartitions("slot")
+     .write.mode("overwrite").partitionBy("_ok").parquet(out))
+    return f"{out}/_ok=true", f"{out}/_ok=false"

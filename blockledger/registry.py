@@ -74,21 +74,6 @@ def _ins_flat(ins: DataFrame) -> DataFrame:
     return ins.withColumn("accounts", joined_text("accounts"))
 
 
-def _flat(table: str, df: DataFrame) -> DataFrame:
-    if table == "transactions":
-        return _tx_flat(df)
-    if table == "instructions":
-        return _ins_flat(df)
-    return df
-
-
-def _per_table(tables: dict[str, DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [
-        df.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).cast("long").alias("row_count"),
-               F.min("slot").alias("min_slot"), F.max("slot").alias("max_slot"))
-        for t, df in tables.items()])
-
-
 # ---------------------------------------------------------------- sources
 
 def q_raw_blocks(spark, sf):
@@ -246,8 +231,10 @@ def q_non_empty(spark, sf):
 
 
 def q_permissive_read(spark, sf):
-    good, _corrupt = Q.read_permissive(spark, ledger.land_json(spark, sf), "json")
-    return P.blocks(good)
+    """Landed JSON split whole into good blocks and rejected lines."""
+    good, _rejected = Q.convert_landed(spark, ledger.land_json(spark, sf),
+                                       fresh_path(spark, "converted"))
+    return P.blocks(spark.read.schema(S.RAW_BLOCK).parquet(good))
 
 
 def q_rejected_rows(spark, sf):

@@ -1,0 +1,48 @@
+"""Plan checks: no Python in flatten plans, top-k, nested pruning, pushdown."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from blockledger.operators import flatten as P
+from blockledger.sources import ledger
+
+
+def plan(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_flatten_plans_have_no_python(spark):
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    for name, df in P.flatten(raw).items():
+        p = plan(df)
+        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert "Exchange" not in p, f"{name} should not shuffle"
+
+
+def test_first_blocks_is_top_k(spark):
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    p = plan(P.blocks(raw).orderBy("slot").limit(10))
+    assert "TakeOrderedAndProject" in p
+
+
+def test_instructions_read_only_needed_leaves(spark):
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    schema = [ln for ln in plan(P.instructions(raw)).splitlines() if ln.startswith("ReadSchema")][0]
+    assert "inner_instructions" in schema and "account_keys" in schema
+    for unused in ("pre_token_balances", "log_messages", "pre_balances", "recent_blockhash"):
+        assert unused not in schema, unused
+    rw = [ln for ln in plan(P.rewards(raw)).splitlines() if ln.startswith("ReadSchema")][0]
+    assert "transactions" not in rw
+
+
+def test_slot_filter_pushed_to_parquet(spark):
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    p = plan(P.blocks(raw.where(F.col("slot").between(5, 9))))
+    assert "PushedFilters: [IsNotNull(slot), GreaterThanOrEqual(slot,5), LessThanOrEqual(slot,9)]" in p
