@@ -9,6 +9,7 @@ batch or a resumed run never stores a slot twice.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
@@ -101,12 +102,15 @@ def _unsorted_partitioned_write(spark: SparkSession, writers: int = 64):
 
 def _insert(df: DataFrame, store: LedgerStore, table: str, target: DataFrame) -> None:
     out = df.withColumn(S.partition_column(), slot_bucket("slot", store.bucket_size))
-    with _unsorted_partitioned_write(df.sparkSession):
-        out.select(*target.columns).write.insertInto(store.fqn(table))
+    out.select(*target.columns).write.insertInto(store.fqn(table))
+
+
+# Stored slots of partial buckets are broadcast up to this many (8 bytes each).
+BROADCAST_SLOTS = 4_000_000
 
 
 def stored_slots(target: DataFrame, store: LedgerStore, lo: int, hi: int) -> DataFrame | None:
-    """Distinct slots a stored table holds in [lo, hi]; None when it holds none.
+    """Slots a stored table holds in [lo, hi]; None when it holds none.
 
     The bucket predicate prunes partitions; a limit-1 probe decides whether
     there is anything to skip at all (a first load needs no anti-join).
@@ -116,7 +120,39 @@ def stored_slots(target: DataFrame, store: LedgerStore, lo: int, hi: int) -> Dat
                 .where(F.col("slot").between(lo, hi)).select("slot"))
     if in_range.isEmpty():
         return None
-    return in_range.distinct()
+    return in_range
+
+
+def skip_stored(df: DataFrame, target: DataFrame, store: LedgerStore, lo: int, hi: int) -> DataFrame:
+    """Rows of ``df`` whose slot the table does not hold yet.
+
+    Only slot numbers move: the duplicate slots are found by joining the
+    batch's distinct slots with the stored ones (two long columns), and
+    summarised per bucket -- at most span / bucket_size rows reach the driver.
+    A bucket whose every batch slot is stored is dropped by a bucket filter;
+    only partial buckets need a slot-level anti-join, whose slot set is
+    counted first and broadcast only under ``BROADCAST_SLOTS``.  The wide
+    rows of ``df`` are never shuffled for this unless that set is larger.
+    """
+    have = stored_slots(target, store, lo, hi)
+    if have is None:
+        return df
+    size = store.bucket_size
+    bk = slot_bucket("slot", size)
+    mine = df.select("slot").distinct()
+    dup = mine.join(have.distinct(), "slot", "left_semi")
+    status = (mine.withColumn("bk", bk).groupBy("bk").agg(F.count(F.lit(1)).alias("n_batch"))
+              .join(dup.withColumn("bk", bk).groupBy("bk").agg(F.count(F.lit(1)).alias("n_dup")), "bk")
+              .collect())
+    full = [r["bk"] for r in status if r["n_dup"] == r["n_batch"]]
+    partial = [r["bk"] for r in status if r["n_dup"] < r["n_batch"]]
+    out = df.where(~bk.isin(full)) if full else df
+    if partial:
+        n_partial = sum(r["n_dup"] for r in status if r["n_dup"] < r["n_batch"])
+        skip = dup.where(bk.isin(partial))
+        out = out.join(F.broadcast(skip) if n_partial <= BROADCAST_SLOTS else skip,
+                       "slot", "left_anti")
+    return out
 
 
 def append_table(df: DataFrame, store: LedgerStore, table: str,
@@ -134,10 +170,9 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
         lo, hi = slot_range if slot_range is not None else slot_bounds(df)
         if lo is None:
             return name
-        have = stored_slots(target, store, lo, hi)
-        if have is not None:
-            df = df.join(have, "slot", "left_anti")
-    _insert(df, store, table, target)
+        df = skip_stored(df, target, store, lo, hi)
+    with _unsorted_partitioned_write(spark):
+        _insert(df, store, table, target)
     return name
 
 
@@ -157,15 +192,31 @@ def dedupe_slots(raw: DataFrame) -> DataFrame:
     return raw if st["n"] == st["d"] else raw.dropDuplicates(["slot"])
 
 
+def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
+                 dedupe: bool) -> str:
+    spark = raw.sparkSession
+    target = read_table(spark, store, table)
+    # Skip stored slots on the block rows, before any explode: one row per
+    # slot is far cheaper to filter than the rows it expands to.
+    src = skip_stored(raw, target, store, lo, hi) if dedupe else raw
+    _insert(P.BUILDERS[table](src), store, table, target)
+    return store.fqn(table)
+
+
 def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
-              persist: bool = False) -> list[str]:
-    """K3: write every enabled table for the slots in ``raw``, in table order.
+              persist: bool = False, parallel: bool = True) -> list[str]:
+    """K3: write every enabled table for the slots in ``raw``.
 
     Each table's plan is a narrow flatten of the block rows.  Over landed
     Parquet every table reads only its own nested leaves, so nothing is
     persisted; pass ``persist=True`` for sources that must be parsed whole
     (JSON), so the fan-out to four tables parses them once.  One small
     aggregate gives the batch's slot range and whether it holds a slot twice.
+
+    The tables are independent jobs; with ``parallel`` they are submitted
+    together from driver threads so their stages share the executors (resume
+    stays correct in any completion order: last processed is the minimum
+    over tables).  Without it they are written in table order.
     """
     spark = raw.sparkSession
     ensure_tables(spark, store)
@@ -180,19 +231,12 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         if dedupe and st["n"] != st["d"]:
             raw = raw.dropDuplicates(["slot"]).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
-        written = []
-        for t in store.tables:
-            target = read_table(spark, store, t)
-            src = raw
-            if dedupe:
-                # Skip stored slots on the block rows, before any explode:
-                # one row per slot is far cheaper to anti-join than its rows.
-                have = stored_slots(target, store, st["lo"], st["hi"])
-                if have is not None:
-                    src = raw.join(have, "slot", "left_anti")
-            _insert(P.BUILDERS[t](src), store, t, target)
-            written.append(store.fqn(t))
-        return written
+        args = [(raw, store, t, st["lo"], st["hi"], dedupe) for t in store.tables]
+        with _unsorted_partitioned_write(spark):
+            if parallel and len(args) > 1:
+                with ThreadPoolExecutor(max_workers=len(args)) as pool:
+                    return list(pool.map(lambda a: _write_table(*a), args))
+            return [_write_table(*a) for a in args]
     finally:
         for h in held:
             h.unpersist()

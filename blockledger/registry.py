@@ -38,7 +38,10 @@ DEV_TABLES = ("blocks", "transactions")
 PROGRESS_TABLES = ("blocks", "transactions", "rewards")
 # A configured integer start slot for the start-position query.
 CONFIGURED_START = 100
-STREAM_FILES = 4
+# Stream input: slot-ranged landed files, taken a few per trigger so each
+# micro-batch has several tasks.
+STREAM_FILES = 16
+FILES_PER_TRIGGER = 4
 
 
 def raw_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,7 +297,7 @@ def q_continuous_ingest(spark, sf):
     landing = ledger.land_json(spark, sf, files=STREAM_FILES)
     store = _store(spark)
     q = ST.continuous_ingest(spark, landing, store, fresh_path(spark, "stream-ckpt"),
-                             available_now=True, max_files_per_trigger=1)
+                             available_now=True, max_files_per_trigger=FILES_PER_TRIGGER)
     q.awaitTermination()
     return M.stored_counts(spark, store)
 
@@ -317,7 +320,7 @@ def q_batch_metrics(spark, sf):
     landing = ledger.land_json(spark, sf, files=STREAM_FILES)
     store = _store(spark)
     q = ST.continuous_ingest(spark, landing, store, fresh_path(spark, "stream-ckpt"),
-                             available_now=True, max_files_per_trigger=1)
+                             available_now=True, max_files_per_trigger=FILES_PER_TRIGGER)
     q.awaitTermination()
     return ST.batch_metrics(spark, store)
 

@@ -171,7 +171,10 @@ def nest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
           .withColumn("items", F.coalesce(F.col("items"), F.array().cast(items_type)))
           .select("slot", F.struct(F.col("o_orderkey").alias("k"),
                                    _transaction(o).alias("tx")).alias("ktx")))
-    blocks = (tx.groupBy("slot")
+    # Range-partition the per-order rows by slot: the slot aggregation reuses
+    # that partitioning, so block rows come out slot-ranged with no second
+    # shuffle of the nested rows before the sorted landing.
+    blocks = (tx.repartitionByRange("slot").groupBy("slot")
               .agg(F.array_sort(F.collect_list("ktx")).alias("ktx"))
               .select("slot", F.transform("ktx", lambda x: x["tx"]).alias("transactions")))
 
@@ -212,7 +215,7 @@ def land_parquet(spark: SparkSession, sf_dir: str, path: str | None = None) -> s
         return _LANDED[key]
     out = path or fresh_path(spark, "landed-parquet")
     (nest_ledger(spark, sf_dir)
-     .repartitionByRange("slot").sortWithinPartitions("slot")
+     .sortWithinPartitions("slot")
      .write.mode("overwrite").parquet(out))
     if path is None:
         _LANDED[key] = out

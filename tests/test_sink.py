@@ -94,3 +94,19 @@ def test_bucket_predicate_prunes_partitions(spark, read_json):
     plan = buf.getvalue()
     assert "PartitionFilters: [isnotnull(slot_bucket" in plan
     assert sorted(r.slot for r in df.collect()) == list(range(10, 21))
+
+
+def test_skip_stored_moves_only_slot_numbers(spark, read_json):
+    raw = read_json([block(s) for s in range(0, 20)])
+    store = _store(spark, ["blocks"], bucket=4)
+    K.write_all(raw.where("slot < 10"), store)   # buckets 0-1 whole, bucket 2 half stored
+    target = K.read_table(spark, store, "blocks")
+    out = K.skip_stored(raw, target, store, 0, 19)
+    assert sorted(r.slot for r in out.collect()) == list(range(10, 20))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    plan = buf.getvalue()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # nothing stored in range: the rows pass through untouched
+    assert K.skip_stored(raw, target, store, 12, 19) is raw
