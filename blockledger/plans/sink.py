@@ -182,14 +182,24 @@ def _batch_stats(raw: DataFrame):
                    F.min("slot").alias("lo"), F.max("slot").alias("hi")).first()
 
 
-def dedupe_slots(raw: DataFrame) -> DataFrame:
+def dedupe_slots(raw: DataFrame, stats=None) -> DataFrame:
     """Keep one block row per slot.
 
-    A cheap check (count vs distinct slots, on the slot column only) decides;
-    the full-row shuffle happens only when a batch really holds a slot twice.
+    One aggregate on the slot column (count vs distinct) decides; when a slot
+    does occur twice, only the rows of such slots are shuffled to drop the
+    extra copies -- the other block rows stay where they are.  The duplicate
+    slot list is broadcast when its counted bound is small.
     """
-    st = _batch_stats(raw)
-    return raw if st["n"] == st["d"] else raw.dropDuplicates(["slot"])
+    st = stats or _batch_stats(raw)
+    extra = st["n"] - st["d"]
+    if extra == 0:
+        return raw
+    twice = (raw.groupBy("slot").agg(F.count(F.lit(1)).alias("c"))
+             .where(F.col("c") > 1).select("slot"))
+    twice = F.broadcast(twice) if extra <= BROADCAST_SLOTS else twice
+    once = raw.join(twice, "slot", "left_anti")
+    kept = raw.join(twice, "slot", "left_semi").dropDuplicates(["slot"])
+    return once.unionByName(kept)
 
 
 def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
@@ -229,7 +239,7 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         if st["lo"] is None:
             return []
         if dedupe and st["n"] != st["d"]:
-            raw = raw.dropDuplicates(["slot"]).persist(StorageLevel.MEMORY_AND_DISK)
+            raw = dedupe_slots(raw, st).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
         args = [(raw, store, t, st["lo"], st["hi"], dedupe) for t in store.tables]
         with _unsorted_partitioned_write(spark):

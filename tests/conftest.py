@@ -101,5 +101,6 @@ def read_json(spark, tmp_dir):
     from blockledger.sources.landed import read_blocks
 
     def _read(blocks):
-        return read_blocks(spark, write_lines(f"{tmp_dir}/landed", blocks), fmt="json")
+        path = f"{tmp_dir}/landed-{uuid.uuid4().hex[:6]}"
+        return read_blocks(spark, write_lines(path, blocks), fmt="json")
     return _read

@@ -110,3 +110,12 @@ def test_skip_stored_moves_only_slot_numbers(spark, read_json):
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     # nothing stored in range: the rows pass through untouched
     assert K.skip_stored(raw, target, store, 12, 19) is raw
+
+
+def test_dedupe_slots_keeps_one_row_per_slot(read_json):
+    blocks = [block(s) for s in range(6)]
+    raw = read_json(blocks + [blocks[2], blocks[2], blocks[5]])
+    out = K.dedupe_slots(raw)
+    assert sorted(r.slot for r in out.select("slot").collect()) == list(range(6))
+    once = read_json(blocks)
+    assert K.dedupe_slots(once) is once
