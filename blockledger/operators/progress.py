@@ -23,19 +23,25 @@ def chain_tip(raw: DataFrame) -> DataFrame:
     return raw.agg(F.max("slot").alias("tip_slot"))
 
 
+def combine_maxima(spark: SparkSession, maxima: dict[str, DataFrame | None]) -> DataFrame:
+    """Min over tables of their one-row ``max_slot`` frames; NULL if any is NULL/missing."""
+    null = spark.range(1).select(F.lit(None).cast("long").alias("last_processed_slot"))
+    if not maxima or any(df is None for df in maxima.values()):
+        return null
+    n = len(maxima)
+    return (reduce(DataFrame.unionByName, [df.select(F.col("max_slot").alias("m"))
+                                           for df in maxima.values()])
+            .agg(F.when(F.count("m") == n, F.min("m")).alias("last_processed_slot")))
+
+
 def last_processed_slot(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:
     """A2: min over the enabled tables of max(slot).
 
     NULL when no table is enabled, or any enabled table is missing (None) or
     empty.  One plan: the per-table maxima are unioned and reduced once.
     """
-    null = spark.range(1).select(F.lit(None).cast("long").alias("last_processed_slot"))
-    if not tables or any(df is None for df in tables.values()):
-        return null
-    maxima = [df.agg(F.max("slot").alias("m")) for df in tables.values()]
-    n = len(maxima)
-    return (reduce(DataFrame.unionByName, maxima)
-            .agg(F.when(F.count("m") == n, F.min("m")).alias("last_processed_slot")))
+    return combine_maxima(spark, {t: None if df is None else max_slot(df)
+                                  for t, df in tables.items()})
 
 
 def parse_start(value) -> object:

@@ -17,9 +17,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.errors import AnalysisException
+
 from .. import schemas as S
 from ..functions.expressions import slot_bucket
 from ..operators import flatten as P
+from ..operators import progress as G
 
 # Slots per partition of the stored tables.  Production blocks arrive at
 # ~2.5 slots/s, so 100k slots is about half a day of ledger per partition.
@@ -252,5 +255,36 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
             h.unpersist()
 
 
+def stored_max_slot(spark: SparkSession, store: LedgerStore, table: str) -> DataFrame:
+    """A1 on a stored table, reading only its highest slot bucket.
+
+    ``slot_bucket`` rises with ``slot``, so the maximum lies in the top bucket;
+    the bucket list comes from the catalog's partition listing (no data read),
+    then one pruned partition is scanned.  Catalogs without a partition
+    listing fall back to a scan of the ``slot`` column.
+    """
+    df = read_table(spark, store, table)
+    part = S.partition_column()
+    try:
+        top = (spark.sql(f"SHOW PARTITIONS {store.fqn(table)}")
+               .select(F.max(F.regexp_extract("partition", rf"{part}=(-?\d+)", 1)
+                             .cast("long"))).first()[0])
+    except AnalysisException:
+        return G.max_slot(df)
+    if top is None:
+        return spark.range(1).select(F.lit(None).cast("long").alias("max_slot"))
+    top_max = G.max_slot(df.where(F.col(part) == top))
+    if top_max.first()[0] is None:        # listed but empty partition: scan it all
+        return G.max_slot(df)
+    return top_max
+
+
+def stored_last_processed(spark: SparkSession, store: LedgerStore) -> DataFrame:
+    """A2 over the stored tables: min of per-table maxima; NULL if one is missing/empty."""
+    maxima = {t: (stored_max_slot(spark, store, t) if spark.catalog.tableExists(store.fqn(t))
+                  else None) for t in store.tables}
+    return G.combine_maxima(spark, maxima)
+
+
 def stored_tables(spark: SparkSession, store: LedgerStore) -> dict[str, DataFrame]:
     return {t: read_table(spark, store, t).drop(S.partition_column()) for t in store.tables}

@@ -259,7 +259,7 @@ def q_max_slot(spark, sf):
 def q_last_processed_slot(spark, sf):
     store = _store(spark, PROGRESS_TABLES)
     K.write_all(raw_of(spark, sf), store)
-    return G.last_processed_slot(spark, K.stored_tables(spark, store))
+    return K.stored_last_processed(spark, store)
 
 
 def q_order_by_slot(spark, sf):

@@ -119,3 +119,17 @@ def test_dedupe_slots_keeps_one_row_per_slot(read_json):
     assert sorted(r.slot for r in out.select("slot").collect()) == list(range(6))
     once = read_json(blocks)
     assert K.dedupe_slots(once) is once
+
+
+def test_stored_max_slot_reads_top_bucket(spark, read_json):
+    raw = read_json([block(s) for s in (1, 2, 9, 17, 18)])
+    store = _store(spark, ["blocks", "rewards"], bucket=4)
+    K.write_all(raw, store)
+    assert K.stored_max_slot(spark, store, "blocks").first()[0] == 18
+    assert K.stored_last_processed(spark, store).first()[0] == 18
+    K.write_all(read_json([block(30, rewards=None)]), store)
+    assert K.stored_max_slot(spark, store, "blocks").first()[0] == 30
+    assert K.stored_last_processed(spark, store).first()[0] == 18    # rewards lag
+    empty = _store(spark, ["blocks"], bucket=4)
+    K.ensure_tables(spark, empty)
+    assert K.stored_last_processed(spark, empty).first()[0] is None
