@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,6 +51,22 @@ def split_rejected(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     return df.where(ok), df.where(~ok).withColumn(REJECT_REASON, _reason(req))
 
 
+def may_reject(table: str) -> Column:
+    """Predicate on block rows: true when the block can yield a rejected row.
+
+    Checked on the block rows with pruned nested reads (first signatures
+    only), so the rejects of a batch are found without a second pass over
+    its exploded rows.  It may over-select; ``split_rejected`` is exact.
+    """
+    slot_null = F.col("slot").isNull()
+    if table == "blocks":
+        return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in S.required_columns(table)])
+    if table in ("transactions", "instructions"):
+        sigs = F.col("transactions")["transaction"]["signatures"]
+        return slot_null | F.exists(sigs, lambda s: F.get(s, F.lit(0)).isNull())
+    return slot_null
+
+
 def reject_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Per table: accepted and rejected row counts, one aggregate per table."""
     parts = []

@@ -23,6 +23,7 @@ from .. import schemas as S
 from ..functions.expressions import slot_bucket
 from ..operators import flatten as P
 from ..operators import progress as G
+from ..operators import quality as Q
 
 # Slots per partition of the stored tables.  Production blocks arrive at
 # ~2.5 slots/s, so 100k slots is about half a day of ledger per partition.
@@ -149,7 +150,7 @@ def skip_stored(df: DataFrame, target: DataFrame, store: LedgerStore, lo: int, h
               .collect())
     full = [r["bk"] for r in status if r["n_dup"] == r["n_batch"]]
     partial = [r["bk"] for r in status if r["n_dup"] < r["n_batch"]]
-    out = df.where(~bk.isin(full)) if full else df
+    out = df.where(bk.isNull() | ~bk.isin(full)) if full else df
     if partial:
         n_partial = sum(r["n_dup"] for r in status if r["n_dup"] < r["n_batch"])
         skip = dup.where(bk.isin(partial))
@@ -205,6 +206,23 @@ def dedupe_slots(raw: DataFrame, stats=None) -> DataFrame:
     return once.unionByName(kept)
 
 
+def rejects_name(store: LedgerStore, table: str) -> str:
+    return store.fqn(f"{table}_rejected")
+
+
+def _write_rejects(src: DataFrame, store: LedgerStore, table: str) -> None:
+    """E2 in the sink: rows breaking NOT NULL go to ``<table>_rejected``."""
+    flagged = src.where(Q.may_reject(table))
+    if flagged.isEmpty():
+        return
+    _, bad = Q.split_rejected(P.BUILDERS[table](flagged), table)
+    spark = src.sparkSession
+    name = rejects_name(store, table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(S.TABLES[table])}, "
+              f"{Q.REJECT_REASON} string) USING {store.fmt}")
+    bad.select(*[f.name for f in S.TABLES[table].fields], Q.REJECT_REASON).write.insertInto(name)
+
+
 def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
                  dedupe: bool) -> str:
     spark = raw.sparkSession
@@ -212,7 +230,9 @@ def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: in
     # Skip stored slots on the block rows, before any explode: one row per
     # slot is far cheaper to filter than the rows it expands to.
     src = skip_stored(raw, target, store, lo, hi) if dedupe else raw
-    _insert(P.BUILDERS[table](src), store, table, target)
+    accepted, _ = Q.split_rejected(P.BUILDERS[table](src), table)
+    _insert(accepted, store, table, target)
+    _write_rejects(src, store, table)
     return store.fqn(table)
 
 

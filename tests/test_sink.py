@@ -133,3 +133,17 @@ def test_stored_max_slot_reads_top_bucket(spark, read_json):
     empty = _store(spark, ["blocks"], bucket=4)
     K.ensure_tables(spark, empty)
     assert K.stored_last_processed(spark, empty).first()[0] is None
+
+
+def test_sink_routes_not_null_violations(spark, read_json):
+    raw = read_json([block(1, [tx("ok"), tx("x", signatures=[])]), block(2, block_height=None),
+                     block(3, [tx("fine")])])
+    store = _store(spark)
+    K.write_all(raw, store)
+    c = _counts(spark, store)
+    assert c["blocks"] == 2 and c["transactions"] == 2 and c["instructions"] == 4
+    rb = spark.table(K.rejects_name(store, "blocks")).collect()
+    assert [(r.slot, r.reject_reason) for r in rb] == [(2, "block_height is null")]
+    assert spark.table(K.rejects_name(store, "transactions")).count() == 1
+    assert spark.table(K.rejects_name(store, "instructions")).count() == 2
+    assert not spark.catalog.tableExists(K.rejects_name(store, "rewards"))
