@@ -56,6 +56,17 @@ def parse_start(value) -> object:
                      f"'genesis', 'latest' or 'last_processed'")
 
 
+def parse_end(value, tip: int | None):
+    """End setting: a non-negative int, None (no end) or 'latest' (tip snapshot)."""
+    if value is None:
+        return None
+    if isinstance(value, str) and value.lower() == "latest":
+        return tip
+    if isinstance(value, int) and not isinstance(value, bool) and value >= 0:
+        return value
+    raise ValueError(f"invalid end setting {value!r}: a non-negative integer, 'latest' or None")
+
+
 def start_position(mode, tip: DataFrame, last_processed: DataFrame) -> DataFrame:
     """M1: one-row frame with ``start_slot`` for a start setting.
 

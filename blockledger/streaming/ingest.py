@@ -63,12 +63,17 @@ def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
                       checkpoint: str, fmt: str = "json", available_now: bool = False,
                       processing_time: str = "1 second",
                       max_files_per_trigger: int | None = None,
-                      record_metrics: bool = True) -> StreamingQuery:
-    """M3: follow the landing folder; ``available_now`` drains it and stops."""
+                      record_metrics: bool = True, start_slot: int | None = None,
+                      end_slot: int | None = None) -> StreamingQuery:
+    """M3: follow the landing folder; ``available_now`` drains it and stops.
+
+    ``start_slot`` / ``end_slot`` bound the slots taken (inclusive).
+    """
     K.ensure_tables(spark, store)
     if record_metrics:
         ensure_metrics_table(spark, store)
     src = stream_blocks(spark, landing, fmt, max_files_per_trigger)
+    src = src.where(G.slot_range_filter(start_slot, end_slot, None))
     w = (src.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics))
          .option("checkpointLocation", checkpoint))
