@@ -308,3 +308,37 @@ def stored_last_processed(spark: SparkSession, store: LedgerStore) -> DataFrame:
 
 def stored_tables(spark: SparkSession, store: LedgerStore) -> dict[str, DataFrame]:
     return {t: read_table(spark, store, t).drop(S.partition_column()) for t in store.tables}
+
+
+def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
+                    first_bucket: int, last_bucket: int) -> int:
+    """Rewrite the files of buckets [first, last] of a table, slot-sorted.
+
+    Streams and small batches leave several files per bucket.  The buckets'
+    rows are range-partitioned by (slot, bucket) -- so a large bucket is split
+    across tasks rather than landing in one -- written to a staging folder
+    under the shared folder, then put back with a dynamic partition overwrite
+    that replaces only those buckets.  Returns the number of files before.
+    """
+    from ..session import fresh_path
+    part = S.partition_column()
+    target = read_table(spark, store, table)
+    sel = target.where(F.col(part).between(first_bucket, last_bucket))
+    n_before = len(sel.inputFiles())
+    if n_before == 0:
+        return 0
+    stage = fresh_path(spark, f"compact-{table}")
+    (sel.repartitionByRange(part, "slot").sortWithinPartitions(part, "slot")
+     .write.mode("overwrite").partitionBy(part).parquet(stage))
+    staged = spark.read.parquet(stage).select(*target.columns)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        staged.write.insertInto(store.fqn(table), overwrite=True)
+    finally:
+        if old is None:
+            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+        else:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    spark.catalog.refreshTable(store.fqn(table))
+    return n_before

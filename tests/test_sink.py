@@ -147,3 +147,17 @@ def test_sink_routes_not_null_violations(spark, read_json):
     assert spark.table(K.rejects_name(store, "transactions")).count() == 1
     assert spark.table(K.rejects_name(store, "instructions")).count() == 2
     assert not spark.catalog.tableExists(K.rejects_name(store, "rewards"))
+
+
+def test_compact_buckets_keeps_rows_and_cuts_files(spark, read_json):
+    store = _store(spark, ["blocks", "transactions"], bucket=8)
+    for lo in range(0, 24, 3):                       # eight small appends
+        K.write_all(read_json([block(s, [tx(f"s{s}")]) for s in range(lo, lo + 3)]), store)
+    before = K.read_table(spark, store, "transactions")
+    rows_before = sorted(map(tuple, before.drop("slot_bucket").collect()))
+    files_before = len(before.where("slot_bucket between 0 and 1").inputFiles())
+    assert K.compact_buckets(spark, store, "transactions", 0, 1) == files_before
+    after = K.read_table(spark, store, "transactions")
+    assert sorted(map(tuple, after.drop("slot_bucket").collect())) == rows_before
+    assert len(after.where("slot_bucket between 0 and 1").inputFiles()) < files_before
+    assert after.where("slot_bucket = 2").count() == 8   # other buckets untouched
