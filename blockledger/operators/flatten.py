@@ -72,17 +72,21 @@ def tx_status(raw: DataFrame) -> DataFrame:
 
 
 def token_balances(raw: DataFrame) -> DataFrame:
-    """P8 long form: one row per token balance, ``side`` pre/post, 0-based position."""
+    """P8 long form: one row per token balance, ``side`` pre/post, 0-based position.
+
+    One scan: each transaction yields its two sides, each side its balances.
+    """
     txs = tx_rows(raw, signatures="transaction.signatures",
                   pre="meta.pre_token_balances", post="meta.post_token_balances")
-    sides = []
-    for side in ("pre", "post"):
-        sides.append(txs.select(
-            "slot", X.first_or_null("signatures").alias("signature"), F.lit(side).alias("side"),
-            F.posexplode(X.normalise_token_balances(side)).alias("position", "b"))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"),
+                               X.normalise_token_balances(side).alias("list"))
+                      for side in ("pre", "post")])
+    per_side = txs.select("slot", X.first_or_null("signatures").alias("signature"),
+                          F.explode(sides).alias("s"))
+    return (per_side.select("slot", "signature", F.col("s.side").alias("side"),
+                            F.posexplode("s.list").alias("position", "b"))
             .select("slot", "signature", "side", F.col("position").cast("long").alias("position"),
                     "b.*"))
-    return sides[0].unionByName(sides[1])
 
 
 def tx_rewards(raw: DataFrame) -> DataFrame:
