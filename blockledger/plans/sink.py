@@ -104,9 +104,9 @@ def _unsorted_partitioned_write(spark: SparkSession, writers: int = 64):
                 spark.conf.set(k, v)
 
 
-def _insert(df: DataFrame, store: LedgerStore, table: str, target: DataFrame) -> None:
+def _insert(df: DataFrame, store: LedgerStore, name: str, target: DataFrame) -> None:
     out = df.withColumn(S.partition_column(), slot_bucket("slot", store.bucket_size))
-    out.select(*target.columns).write.insertInto(store.fqn(table))
+    out.select(*target.columns).write.insertInto(name)
 
 
 # Stored slots of partial buckets are broadcast up to this many (8 bytes each).
@@ -176,7 +176,7 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
             return name
         df = skip_stored(df, target, store, lo, hi)
     with _unsorted_partitioned_write(spark):
-        _insert(df, store, table, target)
+        _insert(df, store, name, target)
     return name
 
 
@@ -210,17 +210,29 @@ def rejects_name(store: LedgerStore, table: str) -> str:
     return store.fqn(f"{table}_rejected")
 
 
-def _write_rejects(src: DataFrame, store: LedgerStore, table: str) -> None:
-    """E2 in the sink: rows breaking NOT NULL go to ``<table>_rejected``."""
+def _write_rejects(src: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
+                   dedupe: bool) -> None:
+    """E2 in the sink: rows breaking NOT NULL go to ``<table>_rejected``.
+
+    Blocks that can yield such rows are found by a pruned predicate on the
+    block rows; the rejects table is slot-bucketed like the table and skips
+    slots it already holds, so a replay does not repeat its rows.
+    """
     flagged = src.where(Q.may_reject(table))
     if flagged.isEmpty():
         return
-    _, bad = Q.split_rejected(P.BUILDERS[table](flagged), table)
     spark = src.sparkSession
     name = rejects_name(store, table)
+    part = S.partition_column()
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(S.TABLES[table])}, "
-              f"{Q.REJECT_REASON} string) USING {store.fmt}")
-    bad.select(*[f.name for f in S.TABLES[table].fields], Q.REJECT_REASON).write.insertInto(name)
+              f"{Q.REJECT_REASON} string, {part} bigint) USING {store.fmt} "
+              f"PARTITIONED BY ({part})")
+    spark.catalog.refreshTable(name)
+    target = spark.table(name)
+    if dedupe:
+        flagged = skip_stored(flagged, target, store, lo, hi)
+    _, bad = Q.split_rejected(P.BUILDERS[table](flagged), table)
+    _insert(bad, store, name, target)
 
 
 def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
@@ -231,8 +243,8 @@ def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: in
     # slot is far cheaper to filter than the rows it expands to.
     src = skip_stored(raw, target, store, lo, hi) if dedupe else raw
     accepted, _ = Q.split_rejected(P.BUILDERS[table](src), table)
-    _insert(accepted, store, table, target)
-    _write_rejects(src, store, table)
+    _insert(accepted, store, store.fqn(table), target)
+    _write_rejects(src, store, table, lo, hi, dedupe)
     return store.fqn(table)
 
 

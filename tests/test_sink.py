@@ -147,6 +147,9 @@ def test_sink_routes_not_null_violations(spark, read_json):
     assert spark.table(K.rejects_name(store, "transactions")).count() == 1
     assert spark.table(K.rejects_name(store, "instructions")).count() == 2
     assert not spark.catalog.tableExists(K.rejects_name(store, "rewards"))
+    K.write_all(raw, store)                       # replay: rejects are not repeated
+    assert spark.table(K.rejects_name(store, "instructions")).count() == 2
+    assert spark.table(K.rejects_name(store, "blocks")).count() == 1
 
 
 def test_compact_buckets_keeps_rows_and_cuts_files(spark, read_json):
