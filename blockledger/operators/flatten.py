@@ -187,6 +187,39 @@ def rewards(raw: DataFrame) -> DataFrame:
         *[F.col(f.name) for f in S.REWARDS.fields])
 
 
+# A block row with more transactions than this is split into chunks of this
+# many transactions, spread over tasks, before its rows are built.
+HOT_BLOCK_TXS = 20_000
+
+
+def n_transactions(raw: DataFrame):
+    """Transactions per block row, reading only the first-signature leaf."""
+    sigs = F.col("transactions")["transaction"]["signatures"]
+    return F.coalesce(F.when(sigs.isNotNull(), F.size(sigs)), F.lit(0))
+
+
+def spread_hot_blocks(raw: DataFrame, chunk: int = HOT_BLOCK_TXS) -> DataFrame:
+    """(slot, transactions) with every block above ``chunk`` transactions cut
+    into slices of ``chunk``, and those slices hash-spread over tasks.
+
+    A block is one row, so without this its whole explode and write would run
+    in one task.  Only the hot rows move; the others stay where they are.
+    Transaction-level tables do not depend on a transaction's place in the
+    block, so building them from the slices gives the same rows.
+    """
+    n = n_transactions(raw)
+    cold = raw.where(n <= chunk).select("slot", "transactions")
+    hot = (raw.where(n > chunk)
+           .select("slot", "transactions",
+                   F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int")))
+                   .alias("part"))
+           .select("slot", "part", F.slice("transactions", F.col("part") * chunk + 1, chunk)
+                   .alias("transactions"))
+           .repartition("slot", "part")
+           .drop("part"))
+    return cold.unionByName(hot)
+
+
 BUILDERS = {
     "blocks": blocks,
     "transactions": transactions,

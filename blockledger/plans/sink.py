@@ -181,9 +181,13 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
 
 
 def _batch_stats(raw: DataFrame):
-    """(rows, distinct slots, min slot, max slot): one aggregate on the slot column."""
+    """(rows, distinct slots, min slot, max slot, most transactions in a block).
+
+    One aggregate over the slot column and the first-signature leaf.
+    """
     return raw.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("slot").alias("d"),
-                   F.min("slot").alias("lo"), F.max("slot").alias("hi")).first()
+                   F.min("slot").alias("lo"), F.max("slot").alias("hi"),
+                   F.max(P.n_transactions(raw)).alias("max_txs")).first()
 
 
 def dedupe_slots(raw: DataFrame, stats=None) -> DataFrame:
@@ -236,20 +240,24 @@ def _write_rejects(src: DataFrame, store: LedgerStore, table: str, lo: int, hi:
 
 
 def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
-                 dedupe: bool) -> str:
+                 dedupe: bool, hot: bool = False, hot_chunk: int = P.HOT_BLOCK_TXS) -> str:
     spark = raw.sparkSession
     target = read_table(spark, store, table)
     # Skip stored slots on the block rows, before any explode: one row per
     # slot is far cheaper to filter than the rows it expands to.
     src = skip_stored(raw, target, store, lo, hi) if dedupe else raw
-    accepted, _ = Q.split_rejected(P.BUILDERS[table](src), table)
+    rows_src = src
+    if hot and table in ("transactions", "instructions"):
+        rows_src = P.spread_hot_blocks(src, hot_chunk)
+    accepted, _ = Q.split_rejected(P.BUILDERS[table](rows_src), table)
     _insert(accepted, store, store.fqn(table), target)
     _write_rejects(src, store, table, lo, hi, dedupe)
     return store.fqn(table)
 
 
 def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
-              persist: bool = False, parallel: bool = True) -> list[str]:
+              persist: bool = False, parallel: bool = True,
+              hot_chunk: int = P.HOT_BLOCK_TXS) -> list[str]:
     """K3: write every enabled table for the slots in ``raw``.
 
     Each table's plan is a narrow flatten of the block rows.  Over landed
@@ -262,6 +270,10 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
     together from driver threads so their stages share the executors (resume
     stays correct in any completion order: last processed is the minimum
     over tables).  Without it they are written in table order.
+
+    When the batch stats show a block with more than ``hot_chunk``
+    transactions, the transaction-level tables are built from that block's
+    slices spread over tasks (``flatten.spread_hot_blocks``).
     """
     spark = raw.sparkSession
     ensure_tables(spark, store)
@@ -276,7 +288,8 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         if dedupe and st["n"] != st["d"]:
             raw = dedupe_slots(raw, st).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
-        args = [(raw, store, t, st["lo"], st["hi"], dedupe) for t in store.tables]
+        hot = (st["max_txs"] or 0) > hot_chunk     # a block too big for one task
+        args = [(raw, store, t, st["lo"], st["hi"], dedupe, hot, hot_chunk) for t in store.tables]
         with _unsorted_partitioned_write(spark):
             if parallel and len(args) > 1:
                 with ThreadPoolExecutor(max_workers=len(args)) as pool:

@@ -46,3 +46,14 @@ def test_slot_filter_pushed_to_parquet(spark):
     raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
     p = plan(P.blocks(raw.where(F.col("slot").between(5, 9))))
     assert "PushedFilters: [IsNotNull(slot), GreaterThanOrEqual(slot,5), LessThanOrEqual(slot,9)]" in p
+
+
+def test_batch_stats_read_only_slot_and_signatures(spark):
+    from blockledger.plans import sink as K
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    df = raw.agg(F.count(F.lit(1)), F.count_distinct("slot"), F.max(P.n_transactions(raw)))
+    schema = [ln for ln in plan(df).splitlines() if ln.startswith("ReadSchema")][0]
+    assert "signatures" in schema
+    for unused in ("meta", "account_keys", "instructions", "rewards"):
+        assert unused not in schema, unused
+    assert K._batch_stats(raw)["max_txs"] == 16

@@ -164,3 +164,19 @@ def test_compact_buckets_keeps_rows_and_cuts_files(spark, read_json):
     assert sorted(map(tuple, after.drop("slot_bucket").collect())) == rows_before
     assert len(after.where("slot_bucket between 0 and 1").inputFiles()) < files_before
     assert after.where("slot_bucket = 2").count() == 8   # other buckets untouched
+
+
+def test_hot_block_is_spread_and_rows_unchanged(spark, read_json):
+    hot = block(5, [tx(f"h{i}") for i in range(23)])
+    raw = read_json([block(1, [tx("a")]), hot, block(9, [tx("b"), tx("c")])])
+    spread = P.spread_hot_blocks(raw, chunk=5)
+    assert spread.where("slot = 5").count() == 5            # 23 txs -> 5 slices
+    for name in ("transactions", "instructions"):
+        whole = P.BUILDERS[name](raw)
+        parts = P.BUILDERS[name](spread)
+        assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
+    a, b = _store(spark), _store(spark)
+    K.write_all(raw, a, hot_chunk=5)
+    K.write_all(raw, b)
+    assert _counts(spark, a) == _counts(spark, b)
+    assert _counts(spark, a)["transactions"] == 26
