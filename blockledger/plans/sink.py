@@ -181,13 +181,16 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
 
 
 def _batch_stats(raw: DataFrame):
-    """(rows, distinct slots, min slot, max slot, most transactions in a block).
+    """(rows, distinct slots, min slot, max slot, most transactions in a block,
+    and per table the block rows that may hold rejected rows).
 
-    One aggregate over the slot column and the first-signature leaf.
+    One aggregate over the block columns and the first-signature leaf.
     """
     return raw.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("slot").alias("d"),
                    F.min("slot").alias("lo"), F.max("slot").alias("hi"),
-                   F.max(P.n_transactions(raw)).alias("max_txs")).first()
+                   F.max(P.n_transactions(raw)).alias("max_txs"),
+                   *[F.count_if(Q.may_reject(t)).alias(f"rej_{t}") for t in S.TABLE_NAMES]
+                   ).first()
 
 
 def dedupe_slots(raw: DataFrame, stats=None) -> DataFrame:
@@ -240,7 +243,8 @@ def _write_rejects(src: DataFrame, store: LedgerStore, table: str, lo: int, hi:
 
 
 def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
-                 dedupe: bool, hot: bool = False, hot_chunk: int = P.HOT_BLOCK_TXS) -> str:
+                 dedupe: bool, hot: bool = False, hot_chunk: int = P.HOT_BLOCK_TXS,
+                 may_reject: bool = True) -> str:
     spark = raw.sparkSession
     target = read_table(spark, store, table)
     # Skip stored slots on the block rows, before any explode: one row per
@@ -251,7 +255,8 @@ def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: in
         rows_src = P.spread_hot_blocks(src, hot_chunk)
     accepted, _ = Q.split_rejected(P.BUILDERS[table](rows_src), table)
     _insert(accepted, store, store.fqn(table), target)
-    _write_rejects(src, store, table, lo, hi, dedupe)
+    if may_reject:
+        _write_rejects(src, store, table, lo, hi, dedupe)
     return store.fqn(table)
 
 
@@ -289,7 +294,8 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
             raw = dedupe_slots(raw, st).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
         hot = (st["max_txs"] or 0) > hot_chunk     # a block too big for one task
-        args = [(raw, store, t, st["lo"], st["hi"], dedupe, hot, hot_chunk) for t in store.tables]
+        args = [(raw, store, t, st["lo"], st["hi"], dedupe, hot, hot_chunk, st[f"rej_{t}"] > 0)
+                for t in store.tables]
         with _unsorted_partitioned_write(spark):
             if parallel and len(args) > 1:
                 with ThreadPoolExecutor(max_workers=len(args)) as pool:
