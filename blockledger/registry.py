@@ -32,7 +32,7 @@ from .streaming import ingest as ST
 
 # Slots per stored partition for the registered queries (sf0.01: 4 buckets).
 QUERY_BUCKET_SLOTS = 250
-# The reference's development profile writes these two tables only.
+# A development profile that writes these two tables only.
 DEV_TABLES = ("blocks", "transactions")
 # Tables whose maxima the last-processed query combines (rewards lag).
 PROGRESS_TABLES = ("blocks", "transactions", "rewards")

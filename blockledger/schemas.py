@@ -160,7 +160,7 @@ TABLES: dict[str, T.StructType] = {
 
 TABLE_NAMES = tuple(TABLES)
 
-# Columns of the reference's string schema that hold JSON text.
+# Columns of the all-string table schema that hold JSON text.
 JSON_COLUMNS = {
     "transactions": ("pre_balances", "post_balances", "pre_token_balances",
                      "post_token_balances", "log_messages", "rewards"),
