@@ -32,7 +32,11 @@ DEFAULT_BUCKET_SIZE = 100_000
 
 @dataclass
 class LedgerStore:
-    """Where and how the four tables are stored."""
+    """Where and how the four tables are stored.
+
+    ``options`` become table properties at create time (e.g. an Iceberg
+    table's ``write.format.default``); they are never applied on append.
+    """
     namespace: str
     tables: tuple = S.TABLE_NAMES
     fmt: str = "parquet"
@@ -52,6 +56,13 @@ def _ddl(schema) -> str:
     return ", ".join(cols)
 
 
+def _properties(store: LedgerStore) -> str:
+    if not store.options:
+        return ""
+    kv = ", ".join(f"'{k}' = '{v}'" for k, v in store.options.items())
+    return f" TBLPROPERTIES ({kv})"
+
+
 def ensure_tables(spark: SparkSession, store: LedgerStore) -> list[str]:
     """K1: create each enabled table if missing, partitioned by slot bucket."""
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS "
@@ -62,7 +73,7 @@ def ensure_tables(spark: SparkSession, store: LedgerStore) -> list[str]:
         name = store.fqn(t)
         if not spark.catalog.tableExists(name):
             spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(S.TABLES[t])}, {part} bigint) "
-                      f"USING {store.fmt} PARTITIONED BY ({part})")
+                      f"USING {store.fmt} PARTITIONED BY ({part}){_properties(store)}")
         names.append(name)
     return names
 

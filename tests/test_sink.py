@@ -180,3 +180,15 @@ def test_hot_block_is_spread_and_rows_unchanged(spark, read_json):
     K.write_all(raw, b)
     assert _counts(spark, a) == _counts(spark, b)
     assert _counts(spark, a)["transactions"] == 26
+
+
+def test_catalog_name_and_table_properties(spark, read_json):
+    ns = fresh_namespace(spark, "cat")
+    store = K.LedgerStore(namespace=ns, catalog="spark_catalog", tables=("blocks",),
+                          bucket_size=4, options={"ledger.owner": "tests"})
+    K.write_all(read_json([block(s) for s in range(3)]), store)
+    assert store.fqn("blocks") == f"spark_catalog.{ns}.blocks"
+    assert spark.table(store.fqn("blocks")).count() == 3
+    props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {store.fqn('blocks')}").collect()}
+    assert props.get("ledger.owner") == "tests"
+    assert K.stored_last_processed(spark, store).first()[0] == 2
