@@ -353,22 +353,22 @@ def stored_tables(spark: SparkSession, store: LedgerStore) -> dict[str, DataFram
 
 
 def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
-                    first_bucket: int, last_bucket: int) -> int:
+                    first_bucket: int, last_bucket: int) -> bool:
     """Rewrite the files of buckets [first, last] of a table, slot-sorted.
 
     Streams and small batches leave several files per bucket.  The buckets'
     rows are range-partitioned by (slot, bucket) -- so a large bucket is split
     across tasks rather than landing in one -- written to a staging folder
     under the shared folder, then put back with a dynamic partition overwrite
-    that replaces only those buckets.  Returns the number of files before.
+    that replaces only those buckets.  Returns whether there was anything to
+    rewrite.
     """
     from ..session import fresh_path
     part = S.partition_column()
     target = read_table(spark, store, table)
     sel = target.where(F.col(part).between(first_bucket, last_bucket))
-    n_before = len(sel.inputFiles())
-    if n_before == 0:
-        return 0
+    if sel.isEmpty():
+        return False
     stage = fresh_path(spark, f"compact-{table}")
     (sel.repartitionByRange(part, "slot").sortWithinPartitions(part, "slot")
      .write.mode("overwrite").partitionBy(part).parquet(stage))
@@ -383,4 +383,4 @@ def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
         else:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     spark.catalog.refreshTable(store.fqn(table))
-    return n_before
+    return True

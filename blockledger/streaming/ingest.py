@@ -20,6 +20,8 @@ from ..plans import sink as K
 from ..sources.landed import stream_blocks
 
 METRICS_TABLE = "_batch_metrics"
+# Files per micro-batch unless told otherwise: bounds what one batch persists.
+DEFAULT_FILES_PER_TRIGGER = 1000
 METRICS_DDL = ("batch_id bigint, table_name string, input_rows bigint, "
                "min_slot bigint, max_slot bigint, duration_ms bigint")
 
@@ -67,12 +69,14 @@ def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
                       end_slot: int | None = None) -> StreamingQuery:
     """M3: follow the landing folder; ``available_now`` drains it and stops.
 
-    ``start_slot`` / ``end_slot`` bound the slots taken (inclusive).
+    ``start_slot`` / ``end_slot`` bound the slots taken (inclusive).  Each
+    micro-batch takes at most ``max_files_per_trigger`` files (default
+    ``DEFAULT_FILES_PER_TRIGGER``), so a backlog is drained in bounded batches.
     """
     K.ensure_tables(spark, store)
     if record_metrics:
         ensure_metrics_table(spark, store)
-    src = stream_blocks(spark, landing, fmt, max_files_per_trigger)
+    src = stream_blocks(spark, landing, fmt, max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER)
     src = src.where(G.slot_range_filter(start_slot, end_slot, None))
     w = (src.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics))
