@@ -42,3 +42,19 @@ def test_stream_in_two_steps_and_replay(spark, tmp_dir):
     m = ST.batch_metrics(spark, store)
     assert set(m.columns) >= {"batch_id", "table_name", "input_rows", "duration_ms"}
     assert m.where("table_name = 'blocks'").count() >= 3
+
+
+def test_continuous_trigger_follows_new_files(spark, tmp_dir):
+    landing = f"{tmp_dir}/follow"
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "f"), bucket_size=4)
+    write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(0, 3)])
+    q = ST.continuous_ingest(spark, landing, store, f"{tmp_dir}/follow-ckpt",
+                             processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(3, 6)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert _counts(spark, store)["transactions"] == 6
+    assert len(ST.progress_rows(q)) >= 2
