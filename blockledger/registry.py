@@ -139,12 +139,12 @@ def q_ensure_tables(spark, sf):
     K.ensure_tables(spark, store)
     K.ensure_tables(spark, store)          # idempotent: second call is a no-op
     K.write_all(raw_of(spark, sf), store)
+    tables = {t: K.read_table(spark, store, t) for t in store.tables}
     return reduce(DataFrame.unionByName, [
-        K.read_table(spark, store, t).agg(
-            F.lit(t).alias("table_name"),
-            F.lit(len(S.TABLES[t].fields) + 1).cast("long").alias("column_count"),
-            F.count(F.lit(1)).cast("long").alias("row_count"))
-        for t in store.tables])
+        df.agg(F.lit(t).alias("table_name"),
+               F.lit(len(df.columns)).cast("long").alias("column_count"),   # as created
+               F.count(F.lit(1)).cast("long").alias("row_count"))
+        for t, df in tables.items()])
 
 
 def q_append_table(spark, sf):
