@@ -317,7 +317,7 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
             h.unpersist()
 
 
-def stored_max_slot(spark: SparkSession, store: LedgerStore, table: str) -> DataFrame:
+def stored_max_value(spark: SparkSession, store: LedgerStore, table: str) -> int | None:
     """A1 on a stored table, reading only its highest slot bucket.
 
     ``slot_bucket`` rises with ``slot``, so the maximum lies in the top bucket;
@@ -332,20 +332,32 @@ def stored_max_slot(spark: SparkSession, store: LedgerStore, table: str) -> Data
                .select(F.max(F.regexp_extract("partition", rf"{part}=(-?\d+)", 1)
                              .cast("long"))).first()[0])
     except AnalysisException:
-        return G.max_slot(df)
+        return G.max_slot(df).first()[0]
     if top is None:
-        return spark.range(1).select(F.lit(None).cast("long").alias("max_slot"))
-    top_max = G.max_slot(df.where(F.col(part) == top))
-    if top_max.first()[0] is None:        # listed but empty partition: scan it all
-        return G.max_slot(df)
-    return top_max
+        return None
+    value = G.max_slot(df.where(F.col(part) == top)).first()[0]
+    if value is None:                       # listed but empty partition: scan it all
+        value = G.max_slot(df).first()[0]
+    return value
+
+
+def stored_max_slot(spark: SparkSession, store: LedgerStore, table: str) -> DataFrame:
+    """A1 on a stored table as a one-row ``max_slot`` frame."""
+    return spark.createDataFrame([(stored_max_value(spark, store, table),)], "max_slot bigint")
 
 
 def stored_last_processed(spark: SparkSession, store: LedgerStore) -> DataFrame:
-    """A2 over the stored tables: min of per-table maxima; NULL if one is missing/empty."""
-    maxima = {t: (stored_max_slot(spark, store, t) if spark.catalog.tableExists(store.fqn(t))
-                  else None) for t in store.tables}
-    return G.combine_maxima(spark, maxima)
+    """A2 over the stored tables: min of per-table maxima; NULL if one is missing/empty.
+
+    The per-table maxima (one pruned partition each) are computed concurrently.
+    """
+    def one(t):
+        name = store.fqn(t)
+        return stored_max_value(spark, store, t) if spark.catalog.tableExists(name) else None
+    with ThreadPoolExecutor(max_workers=max(1, len(store.tables))) as pool:
+        maxima = list(pool.map(one, store.tables))
+    value = None if (not maxima or any(m is None for m in maxima)) else min(maxima)
+    return spark.createDataFrame([(value,)], "last_processed_slot bigint")
 
 
 def stored_tables(spark: SparkSession, store: LedgerStore) -> dict[str, DataFrame]:
