@@ -134,26 +134,34 @@ def n_elements(arr: Column) -> Column:
     return F.coalesce(F.when(arr.isNotNull(), F.size(arr)), F.lit(0))
 
 
+def _sum_sizes(arrays: Column) -> Column:
+    """Sum of element counts of an array of arrays (missing arrays count 0)."""
+    return F.aggregate(F.transform(arrays, lambda a: n_elements(a).cast("long")),
+                       F.lit(0).cast("long"), lambda acc, x: acc + x)
+
+
 def expected_rows(raw: DataFrame) -> DataFrame:
     """Per slot, the rows each table should hold, from the block rows alone.
 
     Columns: slot, blocks, transactions, instructions, rewards (no explode).
+    Counts come from field paths (``transactions.transaction.signatures``,
+    ``...message.instructions``, ``meta.inner_instructions``), so a Parquet
+    landing reads only those nested fields, not whole transactions.
     """
-    txs = F.col("transactions")
-    ins = F.aggregate(
-        F.coalesce(txs, F.array().cast(S.RAW_BLOCK["transactions"].dataType.simpleString())),
-        F.lit(0).cast("long"),
-        lambda acc, t: acc + n_elements(t["transaction"]["message"]["instructions"])
-        + F.aggregate(F.coalesce(t["meta"]["inner_instructions"],
-                                 F.array().cast(S.TX["meta"].dataType["inner_instructions"]
-                                                .dataType.simpleString())),
-                      F.lit(0).cast("long"),
-                      lambda a2, g: a2 + n_elements(g["instructions"])))
+    t = F.col("transactions")
+    sigs = t["transaction"]["signatures"]
+    top = t["transaction"]["message"]["instructions"]
+    groups = t["meta"]["inner_instructions"]
+    inner = F.aggregate(F.transform(groups, lambda gs: _sum_sizes(
+        F.coalesce(gs, F.array().cast(S.TX["meta"].dataType["inner_instructions"]
+                                      .dataType.simpleString()))["instructions"])),
+        F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x, F.lit(0).cast("long")))
     return raw.select(
         "slot",
         F.lit(1).cast("long").alias("blocks"),
-        n_elements(txs).cast("long").alias("transactions"),
-        ins.alias("instructions"),
+        n_elements(sigs).cast("long").alias("transactions"),
+        (F.coalesce(_sum_sizes(top), F.lit(0).cast("long"))
+         + F.coalesce(inner, F.lit(0).cast("long"))).alias("instructions"),
         n_elements(F.col("rewards")).cast("long").alias("rewards"))
 
 
