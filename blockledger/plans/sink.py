@@ -360,10 +360,6 @@ def stored_last_processed(spark: SparkSession, store: LedgerStore) -> DataFrame:
     return spark.createDataFrame([(value,)], "last_processed_slot bigint")
 
 
-def stored_tables(spark: SparkSession, store: LedgerStore) -> dict[str, DataFrame]:
-    return {t: read_table(spark, store, t).drop(S.partition_column()) for t in store.tables}
-
-
 def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
                     first_bucket: int, last_bucket: int) -> bool:
     """Rewrite the files of buckets [first, last] of a table, slot-sorted.

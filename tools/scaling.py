@@ -7,11 +7,9 @@ transactions and instructions (noop sink) and a full four-table write.
 
 from __future__ import annotations
 
-import json
 import os
 import subprocess
 import sys
-import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
