@@ -81,9 +81,15 @@ def _items_per_order(lineitem: DataFrame) -> DataFrame:
             .agg(F.array_sort(F.collect_list(item)).alias("items")))
 
 
-def _transaction(o: DataFrame) -> Column:
+def _parts(items: Column) -> Column:
+    """Sorted distinct parts of an order (its full account-key list)."""
+    return F.array_sort(F.array_distinct(F.transform(items, lambda i: i["part"])))
+
+
+def _transaction() -> Column:
+    """The nested transaction of one order (needs columns ``items``, ``parts``)."""
     items = F.col("items")
-    parts = F.array_sort(F.array_distinct(F.transform(items, lambda i: i["part"])))
+    parts = F.col("parts")      # a column, so lambdas below do not rebuild it
 
     def pos(i):
         return (F.array_position(parts, i["part"]) - 1).cast("long")
@@ -169,8 +175,9 @@ def nest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     items_type = items.schema["items"].dataType.simpleString()
     tx = (o.join(items, o["o_orderkey"] == items["l_orderkey"], "left")
           .withColumn("items", F.coalesce(F.col("items"), F.array().cast(items_type)))
+          .withColumn("parts", _parts(F.col("items")))
           .select("slot", F.struct(F.col("o_orderkey").alias("k"),
-                                   _transaction(o).alias("tx")).alias("ktx")))
+                                   _transaction().alias("tx")).alias("ktx")))
     # Range-partition the per-order rows by slot: the slot aggregation reuses
     # that partitioning, so block rows come out slot-ranged with no second
     # shuffle of the nested rows before the sorted landing.
