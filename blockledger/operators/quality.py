@@ -113,14 +113,19 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in S.TABLES[table].fields])
 
 
-def convert_landed(spark: SparkSession, path: str, out: str, fmt: str = "json") -> tuple[str, str]:
-    """E1 as a job: landed JSON -> Parquet of good blocks and of rejected lines.
+def convert_landed(spark: SparkSession, path: str, out: str, fmt: str = "json",
+                   keep_partial: bool = True) -> tuple[DataFrame, DataFrame]:
+    """E1 as a job: landed JSON -> Parquet, returning (good blocks, rejected lines).
 
     One pass writes every parsed field plus the corrupt-record text, split
     into ``_ok=true`` / ``_ok=false`` folders; since everything is written,
     every field is parsed and corruption anywhere in a block is caught.  Rows
     are range-partitioned and sorted by slot so later scans prune by slot.
-    Returns (good blocks path, rejected path).
+
+    A line flagged corrupt always appears in the rejected lines (the log).
+    With ``keep_partial`` a flagged block that still parsed a slot is kept
+    too, with only its unreadable values NULL -- the bad item is dropped and
+    the rest of the block kept.  Without it the whole block is set aside.
     """
     with_corrupt = T.StructType(S.RAW_BLOCK.fields + [T.StructField(S.CORRUPT_COLUMN, T.StringType())])
     df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
@@ -128,4 +133,9 @@ def convert_landed(spark: SparkSession, path: str, out: str, fmt: str = "json")
     (df.withColumn("_ok", F.col(S.CORRUPT_COLUMN).isNull())
      .repartitionByRange("slot").sortWithinPartitions("slot")
      .write.mode("overwrite").partitionBy("_ok").parquet(out))
-    return f"{out}/_ok=true", f"{out}/_ok=false"
+    written = spark.read.parquet(out)
+    cols = [f.name for f in S.RAW_BLOCK.fields]
+    good_rows = F.col("_ok") | (F.lit(keep_partial) & F.col("slot").isNotNull())
+    good = written.where(good_rows).select(*cols)
+    rejected = written.where(~F.col("_ok")).select("slot", F.col(S.CORRUPT_COLUMN).alias("record"))
+    return good, rejected

@@ -15,11 +15,26 @@ def test_corrupt_records_h18(spark, tmp_dir):
     path = write_lines(f"{tmp_dir}/landed", [good, "{not json", big, block(32)])
     ok, bad = Q.read_permissive(spark, path)
     assert sorted(r.slot for r in ok.collect()) == [30, 32]      # whole rows read
-    good_path, bad_path = Q.convert_landed(spark, path, f"{tmp_dir}/converted")
-    good_df = spark.read.parquet(good_path).drop("_corrupt_record")
+    good_df, bad_df = Q.convert_landed(spark, path, f"{tmp_dir}/converted", keep_partial=False)
     assert sorted(r.slot for r in good_df.select("slot").collect()) == [30, 32]
-    assert spark.read.parquet(bad_path).count() == 2
+    assert bad_df.count() == 2
     assert P.transactions(good_df).count() == 1
+    # default: the block with one unreadable value is kept, that value NULL
+    kept, logged = Q.convert_landed(spark, path, f"{tmp_dir}/converted2")
+    rows = {r.slot: r for r in kept.collect()}
+    assert sorted(rows) == [30, 31, 32] and rows[31].block_height is None
+    assert logged.count() == 2
+
+
+def test_bad_item_dropped_rest_of_block_kept(spark, tmp_dir):
+    line = json.dumps(block(7, [tx("good"), tx("bad"), tx("good2")]))
+    i = line.index('"fee": 5000', line.index('"bad"'))
+    line = line[:i] + '"fee": "abc"' + line[i + len('"fee": 5000'):]
+    path = write_lines(f"{tmp_dir}/landed-bad-item", [line])
+    kept, logged = Q.convert_landed(spark, path, f"{tmp_dir}/conv-bad-item")
+    fees = {r.signature: r.fee for r in P.transactions(kept).collect()}
+    assert fees["good"] == 5000 and fees["good2"] == 5000 and fees["bad"] is None
+    assert logged.count() == 1
 
 
 def test_rejects_h3_h4(read_json):
