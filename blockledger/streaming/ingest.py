@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import schemas as S
 from ..operators import progress as G
 from ..plans import sink as K
 from ..sources.landed import stream_blocks
 
 METRICS_TABLE = "_batch_metrics"
+LANDING_REJECTS = "_landing_rejected"
 # Files per micro-batch unless told otherwise: bounds what one batch persists.
 DEFAULT_FILES_PER_TRIGGER = 1000
 METRICS_DDL = ("batch_id bigint, table_name string, input_rows bigint, "
@@ -40,11 +42,24 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
                   record_metrics: bool = True) -> None:
     """One micro-batch: write all enabled tables, then record its metrics."""
     t0 = time.time()
-    raw = batch.where(F.col("slot").isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = batch.sparkSession
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    raw = batch.where(F.col("slot").isNotNull())
+    if S.CORRUPT_COLUMN in batch.columns:
+        # E1 in the stream: flagged lines are logged; a block that still
+        # parsed a slot is kept with only its unreadable values NULL.
+        flagged = batch.where(F.col(S.CORRUPT_COLUMN).isNotNull())
+        if not flagged.select("slot").isEmpty():
+            name = store.fqn(LANDING_REJECTS)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id bigint, slot bigint, "
+                      f"record string) USING {store.fmt}")
+            (flagged.select(F.lit(batch_id).cast("long").alias("batch_id"), "slot",
+                            F.col(S.CORRUPT_COLUMN).alias("record"))
+             .write.insertInto(name))
+        raw = raw.drop(S.CORRUPT_COLUMN)
     try:
         K.write_all(raw, store, persist=False)
         if record_metrics:
-            spark = batch.sparkSession
             exp = G.expected_rows(raw)
             sums = [F.sum(t).cast("long").alias(t) for t in store.tables]
             stats = exp.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"), *sums)
@@ -58,7 +73,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
                      .alias("input_rows"), "min_slot", "max_slot", "duration_ms")
              .write.insertInto(ensure_metrics_table(spark, store)))
     finally:
-        raw.unpersist()
+        batch.unpersist()
 
 
 def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,

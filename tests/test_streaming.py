@@ -58,3 +58,13 @@ def test_continuous_trigger_follows_new_files(spark, tmp_dir):
         q.stop()
     assert _counts(spark, store)["transactions"] == 6
     assert len(ST.progress_rows(q)) >= 2
+
+
+def test_stream_logs_unreadable_lines(spark, tmp_dir):
+    landing = f"{tmp_dir}/bad-lines"
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "bl"), bucket_size=4)
+    write_lines(landing, [block(1, [tx("a")]), "{broken", block(2, [tx("b")])])
+    _drain(spark, landing, store, f"{tmp_dir}/bad-ckpt")
+    assert _counts(spark, store)["transactions"] == 2
+    rej = spark.table(store.fqn(ST.LANDING_REJECTS)).collect()
+    assert [r.record for r in rej] == ["{broken"]
