@@ -155,10 +155,11 @@ def instructions(raw: DataFrame, one_pass: bool = True) -> DataFrame:
     top = F.transform("top", lambda ins, i: F.struct(
         i.alias("idx"), F.lit(None).cast("long").alias("parent"),
         F.lit(False).alias("inner"), ins.alias("ins")))
-    inner = F.flatten(F.transform("inner", lambda g: F.transform(
+    # Each group's list is coalesced first: ``flatten`` is NULL if any part is.
+    inner = F.flatten(F.transform("inner", lambda g: F.coalesce(F.transform(
         g["instructions"], lambda ins, i: F.struct(
             i.alias("idx"), g["index"].alias("parent"),
-            F.lit(True).alias("inner"), ins.alias("ins")))))
+            F.lit(True).alias("inner"), ins.alias("ins"))), F.array().cast(ENTRY_T))))
     every = F.concat(F.coalesce(top, F.array().cast(ENTRY_T)),
                      F.coalesce(inner, F.array().cast(ENTRY_T)))
     rows = _ins_rows(raw).select("slot", "sig", "keys", F.explode(every).alias("e"))

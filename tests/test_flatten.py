@@ -128,3 +128,13 @@ def test_flatten_properties_on_ledger(spark):
     whole = P.instructions(raw)
     parts = P.instructions(a).unionByName(P.instructions(b))
     assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
+
+
+def test_inner_group_without_instructions_keeps_other_groups(read_json):
+    meta = {"err": None, "fee": 1, "inner_instructions": [
+        {"index": 0, "instructions": None},
+        {"index": 2, "instructions": [ins(1, [0])]}]}
+    raw = read_json([block(21, [tx("s", meta=meta)])])
+    for one_pass in (True, False):
+        inner = P.instructions(raw, one_pass=one_pass).where("is_inner").collect()
+        assert [(r.parent_index, r.instruction_index, r.program_id) for r in inner] == [(2, 0, "k1")]

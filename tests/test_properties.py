@@ -1,0 +1,80 @@
+"""Property test: Spark flatten vs a brute-force Python model on random blocks."""
+
+from __future__ import annotations
+
+import uuid
+
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
+
+from blockledger.operators import flatten as P
+from blockledger.sources.landed import read_blocks
+from conftest import write_lines
+
+idx = st.integers(min_value=0, max_value=5)
+ins = st.fixed_dictionaries({
+    "program_id_index": idx,
+    "accounts": st.one_of(st.none(), st.lists(idx, max_size=3)),
+    "data": st.sampled_from(["a", "b", ""])})
+group = st.fixed_dictionaries({"index": idx, "instructions": st.one_of(st.none(), st.lists(ins, max_size=3))})
+meta = st.one_of(st.none(), st.fixed_dictionaries({
+    "err": st.one_of(st.none(), st.just("E")),
+    "fee": st.integers(0, 9),
+    "inner_instructions": st.one_of(st.none(), st.lists(group, max_size=2))}))
+txn = st.fixed_dictionaries({
+    "signatures": st.one_of(st.none(), st.lists(st.sampled_from(["s1", "s2", "s3"]), max_size=2)),
+    "keys": st.one_of(st.none(), st.lists(st.sampled_from(["k0", "k1", "k2", "k3"]), max_size=4)),
+    "instructions": st.one_of(st.none(), st.lists(ins, max_size=3)),
+    "meta": meta})
+blocks = st.lists(st.lists(txn, max_size=3), min_size=1, max_size=4)
+
+
+def to_block(slot, txs):
+    return {"slot": slot, "parent_slot": slot - 1, "block_height": slot, "blockhash": "h",
+            "previous_blockhash": "p", "rewards": None,
+            "transactions": [{"transaction": {"signatures": t["signatures"], "message": {
+                "account_keys": t["keys"], "instructions": t["instructions"]}},
+                "meta": t["meta"]} for t in txs]}
+
+
+def model(slot, t, ins_, i, inner, parent):
+    keys = t["keys"]
+    sig = t["signatures"][0] if t["signatures"] else None
+    pid = ins_["program_id_index"]
+    prog = keys[pid] if keys is not None and pid < len(keys) else None
+    acc = ins_["accounts"]
+    if acc is None:
+        accounts = None
+    else:
+        accounts = tuple(keys[a] for a in acc if keys is not None and a < len(keys))
+    return (slot, sig, i, pid, prog, accounts, ins_["data"], inner, parent)
+
+
+def expected(bl):
+    rows = []
+    for slot, txs in enumerate(bl):
+        for t in txs:
+            for i, x in enumerate(t["instructions"] or []):
+                rows.append(model(slot, t, x, i, False, None))
+            for g in ((t["meta"] or {}).get("inner_instructions") or []):
+                for i, x in enumerate(g["instructions"] or []):
+                    rows.append(model(slot, t, x, i, True, g["index"]))
+    return sorted(rows, key=repr)
+
+
+@settings(max_examples=10, deadline=None, derandomize=True, database=None,
+          phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
+@given(bl=blocks)
+def test_instructions_match_model(spark, tmp_dir, bl):
+    path = write_lines(f"{tmp_dir}/prop-{uuid.uuid4().hex[:6]}",
+                       [to_block(s, txs) for s, txs in enumerate(bl)])
+    raw = read_blocks(spark, path, fmt="json")
+    got = sorted(((r.slot, r.tx_signature, r.instruction_index, r.program_id_index, r.program_id,
+                   None if r.accounts is None else tuple(r.accounts), r.data, r.is_inner,
+                   r.parent_index) for r in P.instructions(raw).collect()), key=repr)
+    assert got == expected(bl)
+    two = sorted(((r.slot, r.tx_signature, r.instruction_index, r.program_id_index, r.program_id,
+                   None if r.accounts is None else tuple(r.accounts), r.data, r.is_inner,
+                   r.parent_index) for r in P.instructions(raw, one_pass=False).collect()), key=repr)
+    assert two == got
+    assert P.transactions(raw).count() == sum(len(t) for t in bl)
