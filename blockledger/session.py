@@ -7,7 +7,6 @@ Only when the session has none (local tests) do we set one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -69,16 +68,3 @@ def fresh_namespace(spark: SparkSession, prefix: str = "ledger") -> str:
     loc = fresh_path(spark, ns)
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{loc}'")
     return ns
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def strip_file_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(strip_file_scheme(path), exist_ok=True)
