@@ -78,3 +78,26 @@ def test_instructions_match_model(spark, tmp_dir, bl):
                    r.parent_index) for r in P.instructions(raw, one_pass=False).collect()), key=repr)
     assert two == got
     assert P.transactions(raw).count() == sum(len(t) for t in bl)
+
+
+batches = st.lists(st.sets(st.integers(min_value=0, max_value=40), min_size=1, max_size=15),
+                   min_size=1, max_size=4)
+
+
+@settings(max_examples=5, deadline=None, derandomize=True, database=None,
+          phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
+@given(bs=batches)
+def test_overlapping_batches_store_each_slot_once(spark, tmp_dir, bs):
+    from blockledger.plans import sink as K
+    from blockledger.session import fresh_namespace
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "pb"), tables=("blocks", "transactions"),
+                          bucket_size=8)
+    for b in bs + bs[:1]:                       # the first batch is replayed at the end
+        path = write_lines(f"{tmp_dir}/pb-{uuid.uuid4().hex[:6]}",
+                           [to_block(s, [{"signatures": [f"s{s}"], "keys": [], "instructions": [],
+                                          "meta": None}]) for s in sorted(b)])
+        K.write_all(read_blocks(spark, path, fmt="json"), store)
+    want = sorted(set().union(*bs))
+    for t in store.tables:
+        got = sorted(r.slot for r in K.read_table(spark, store, t).select("slot").collect())
+        assert got == want, t
