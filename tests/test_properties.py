@@ -101,3 +101,47 @@ def test_overlapping_batches_store_each_slot_once(spark, tmp_dir, bs):
     for t in store.tables:
         got = sorted(r.slot for r in K.read_table(spark, store, t).select("slot").collect())
         assert got == want, t
+
+
+tx_meta = st.one_of(st.none(), st.fixed_dictionaries({
+    "err": st.one_of(st.none(), st.sampled_from(["E", ""])),
+    "fee": st.one_of(st.none(), st.integers(0, 9)),
+    "pre_balances": st.one_of(st.none(), st.lists(st.integers(0, 9), max_size=3)),
+    "log_messages": st.one_of(st.none(), st.lists(st.sampled_from(["a", "b"]), max_size=2)),
+    "compute_units_consumed": st.one_of(st.none(), st.integers(0, 9))}))
+tx_rows_ = st.lists(st.fixed_dictionaries({
+    "signatures": st.one_of(st.none(), st.lists(st.sampled_from(["s1", "s2"]), max_size=2)),
+    "header": st.one_of(st.none(), st.fixed_dictionaries({
+        "num_required_signatures": st.integers(0, 3), "num_readonly_signed_accounts": st.integers(0, 3),
+        "num_readonly_unsigned_accounts": st.integers(0, 3)})),
+    "meta": tx_meta}), min_size=1, max_size=5)
+
+
+def tx_model(slot, t):
+    m, h = t["meta"], t["header"]
+    return (slot, t["signatures"][0] if t["signatures"] else None,
+            h["num_required_signatures"] if h else None,
+            None if m is None else m["err"] is None,
+            m["err"] if m and m["err"] else None,
+            m["fee"] if m else None,
+            tuple(m["pre_balances"]) if m and m["pre_balances"] else None,
+            None if m is None or m["log_messages"] is None else tuple(m["log_messages"]),
+            m["compute_units_consumed"] if m else None)
+
+
+@settings(max_examples=8, deadline=None, derandomize=True, database=None,
+          phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
+@given(txs=tx_rows_)
+def test_transactions_match_model(spark, tmp_dir, txs):
+    line = {"slot": 3, "parent_slot": 2, "block_height": 3, "blockhash": "h",
+            "previous_blockhash": "p", "rewards": None,
+            "transactions": [{"transaction": {"signatures": t["signatures"],
+                                              "message": {"header": t["header"]}},
+                              "meta": t["meta"]} for t in txs]}
+    path = write_lines(f"{tmp_dir}/pt-{uuid.uuid4().hex[:6]}", [line])
+    raw = read_blocks(spark, path, fmt="json")
+    got = sorted(((r.slot, r.signature, r.num_required_signatures, r.success, r.error, r.fee,
+                   None if r.pre_balances is None else tuple(r.pre_balances),
+                   None if r.log_messages is None else tuple(r.log_messages),
+                   r.compute_units_consumed) for r in P.transactions(raw).collect()), key=repr)
+    assert got == sorted((tx_model(3, t) for t in txs), key=repr)
