@@ -92,7 +92,7 @@ def slot_bounds(raw: DataFrame):
 
 
 @contextmanager
-def _unsorted_partitioned_write(spark: SparkSession, writers: int = 64):
+def _unsorted_partitioned_write(spark: SparkSession, writers: int = 16):
     """Write partitioned output without a sort.
 
     Rows arrive slot-ordered from the landed files, so each task meets its
