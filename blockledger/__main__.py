@@ -42,6 +42,8 @@ def parse_args(argv):
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--trigger", default="1 second")
     p.add_argument("--available-now", action="store_true")
+    p.add_argument("--hold-tip", action="store_true",
+                   help="stream: keep the newest slot until a newer one lands")
     return p.parse_args(argv)
 
 
@@ -64,7 +66,8 @@ def main(argv=None) -> dict:
         ckpt = a.checkpoint or fresh_path(spark, "stream-checkpoint")
         q = ST.continuous_ingest(spark, a.source, store, ckpt, fmt=a.format,
                                  available_now=a.available_now, processing_time=a.trigger,
-                                 start_slot=start_slot, end_slot=end_slot)
+                                 start_slot=start_slot, end_slot=end_slot,
+                                 hold_tip=a.hold_tip)
         q.awaitTermination()
         out = {"start_slot": start_slot, "end_slot": end_slot, "checkpoint": ckpt,
                "batches": len(q.recentProgress)}

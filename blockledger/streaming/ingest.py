@@ -22,6 +22,7 @@ from ..sources.landed import stream_blocks
 
 METRICS_TABLE = "_batch_metrics"
 LANDING_REJECTS = "_landing_rejected"
+PENDING_TABLE = "_pending_tip"
 # Files per micro-batch unless told otherwise: bounds what one batch persists.
 DEFAULT_FILES_PER_TRIGGER = 1000
 METRICS_DDL = ("batch_id bigint, table_name string, input_rows bigint, "
@@ -38,26 +39,61 @@ def ensure_metrics_table(spark: SparkSession, store: K.LedgerStore) -> str:
     return name
 
 
+def _hold_tip(raw: DataFrame, store: K.LedgerStore) -> DataFrame:
+    """One-slot lag: the newest block waits until a newer slot has landed.
+
+    The held block rows live in a small pending table; each batch takes them
+    back, writes every slot below the new maximum, and keeps the maximum's
+    rows pending.  The pending rows are staged in the shared folder before
+    the table is replaced, so it is never overwritten while being read; a
+    replayed batch gives the same result (writes are idempotent per slot).
+    """
+    from ..session import fresh_path
+    spark = raw.sparkSession
+    name = store.fqn(PENDING_TABLE)
+    cols = [f.name for f in S.RAW_BLOCK.fields]
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({K._ddl(S.RAW_BLOCK)}) USING {store.fmt}")
+    spark.catalog.refreshTable(name)
+    both = raw.select(*cols).unionByName(spark.table(name).select(*cols))
+    tip = both.agg(F.max("slot")).first()[0]
+    if tip is None:
+        return raw.limit(0)
+    stage = fresh_path(spark, "pending-tip")
+    both.where(F.col("slot") == tip).write.parquet(stage)
+    ready = both.where(F.col("slot") < tip)
+    ready_stage = fresh_path(spark, "ready")
+    ready.write.parquet(ready_stage)       # cut from the pending table before replacing it
+    spark.read.parquet(stage).select(*cols).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
+    return spark.read.schema(S.RAW_BLOCK).parquet(ready_stage)
+
+
 def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
-                  record_metrics: bool = True) -> None:
-    """One micro-batch: write all enabled tables, then record its metrics."""
+                  record_metrics: bool = True, hold_tip: bool = False) -> None:
+    """One micro-batch: write all enabled tables, then record its metrics.
+
+    ``hold_tip`` keeps the newest slot back until a newer one lands (the
+    batch loop's ``slot < tip`` rule, applied to a stream).
+    """
     t0 = time.time()
     spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    raw = batch.where(F.col("slot").isNotNull())
-    if S.CORRUPT_COLUMN in batch.columns:
-        # E1 in the stream: flagged lines are logged; a block that still
-        # parsed a slot is kept with only its unreadable values NULL.
-        flagged = batch.where(F.col(S.CORRUPT_COLUMN).isNotNull())
-        if not flagged.select("slot").isEmpty():
-            name = store.fqn(LANDING_REJECTS)
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id bigint, slot bigint, "
-                      f"record string) USING {store.fmt}")
-            (flagged.select(F.lit(batch_id).cast("long").alias("batch_id"), "slot",
-                            F.col(S.CORRUPT_COLUMN).alias("record"))
-             .write.insertInto(name))
-        raw = raw.drop(S.CORRUPT_COLUMN)
     try:
+        raw = batch.where(F.col("slot").isNotNull())
+        if S.CORRUPT_COLUMN in batch.columns:
+            # E1 in the stream: flagged lines are logged; a block that still
+            # parsed a slot is kept with only its unreadable values NULL.
+            flagged = batch.where(F.col(S.CORRUPT_COLUMN).isNotNull())
+            if not flagged.select("slot").isEmpty():
+                name = store.fqn(LANDING_REJECTS)
+                spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id bigint, slot bigint, "
+                          f"record string) USING {store.fmt}")
+                (flagged.select(F.lit(batch_id).cast("long").alias("batch_id"), "slot",
+                                F.col(S.CORRUPT_COLUMN).alias("record"))
+                 .write.insertInto(name))
+            raw = raw.drop(S.CORRUPT_COLUMN)
+        if hold_tip:
+            raw = _hold_tip(raw, store)
         K.write_all(raw, store, persist=False)
         if record_metrics:
             exp = G.expected_rows(raw)
@@ -81,7 +117,7 @@ def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
                       processing_time: str = "1 second",
                       max_files_per_trigger: int | None = None,
                       record_metrics: bool = True, start_slot: int | None = None,
-                      end_slot: int | None = None) -> StreamingQuery:
+                      end_slot: int | None = None, hold_tip: bool = False) -> StreamingQuery:
     """M3: follow the landing folder; ``available_now`` drains it and stops.
 
     ``start_slot`` / ``end_slot`` bound the slots taken (inclusive).  Each
@@ -94,7 +130,7 @@ def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
     src = stream_blocks(spark, landing, fmt, max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER)
     src = src.where(G.slot_range_filter(start_slot, end_slot, None))
     w = (src.writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics, hold_tip))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

@@ -68,3 +68,27 @@ def test_stream_logs_unreadable_lines(spark, tmp_dir):
     assert _counts(spark, store)["transactions"] == 2
     rej = spark.table(store.fqn(ST.LANDING_REJECTS)).collect()
     assert [r.record for r in rej] == ["{broken"]
+
+
+def test_hold_tip_keeps_newest_slot_until_a_newer_lands(spark, tmp_dir):
+    landing = f"{tmp_dir}/tip"
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "tip"), bucket_size=4)
+
+    def slots():
+        t = K.read_table(spark, store, "blocks")
+        return sorted(r.slot for r in t.select("slot").collect())
+
+    def drain(ckpt):
+        q = ST.continuous_ingest(spark, landing, store, f"{tmp_dir}/{ckpt}",
+                                 available_now=True, hold_tip=True)
+        q.awaitTermination()
+
+    write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(0, 5)])
+    drain("tip-ckpt")
+    assert slots() == [0, 1, 2, 3]                       # slot 4 is the tip: held
+    write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(5, 8)])
+    drain("tip-ckpt")
+    assert slots() == list(range(0, 7))                  # 4 released, 7 held
+    drain("tip-ckpt-lost")                               # replay everything
+    assert slots() == list(range(0, 7))
+    assert _counts(spark, store)["transactions"] == 7
