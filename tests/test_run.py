@@ -44,3 +44,11 @@ def test_command_line_batch_and_stream(spark, tmp_dir):
     assert out["start_slot"] == 4
     spark.catalog.refreshTable(f"{ns}.blocks")
     assert spark.table(f"{ns}.blocks").count() == 8
+
+
+def test_command_line_rejects_bad_settings(tmp_dir):
+    with pytest.raises(SystemExit):
+        main(["--source", tmp_dir, "--namespace", "x", "--tables", "blocks,votes"])
+    with pytest.raises(ValueError):
+        main(["--source", tmp_dir, "--namespace", "x", "--start", "tomorrow"])
+    assert G.parse_end(None, 9) is None and G.parse_end("LATEST", 9) == 9 and G.parse_end(4, 9) == 4
