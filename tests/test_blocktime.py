@@ -60,3 +60,13 @@ def test_block_date_is_utc(spark):
     f = R.fill_block_time(df)
     d = {r.slot: str(r.block_date) for r in R.with_block_date(df, f).collect()}
     assert d == {1: "1970-01-01", 2: "1970-01-02"}
+
+
+def test_fill_without_broadcast_and_with_grown_buckets(spark, monkeypatch):
+    pairs = [(s, None if s % 3 else 1000 + 2 * s) for s in range(0, 90)]
+    pairs[0] = (0, None)
+    df = spark.createDataFrame(pairs, "slot bigint, block_time bigint")
+    monkeypatch.setattr(R, "BROADCAST_BUCKETS", 0)      # summary joined without broadcast
+    monkeypatch.setattr(R, "MAX_FILL_BUCKETS", 4)       # bucket size grows to keep <= 4 buckets
+    got = {r.slot: r.block_time_filled for r in R.fill_block_time(df, bucket_slots=5).collect()}
+    assert got == brute_fill(pairs)
