@@ -35,3 +35,22 @@ def words_of(text: Column) -> Column:
 def training_row(doc_id: Column) -> Column:
     """True where crc32 of the id as text leaves 0 or 2 after division by 3; a null id counts as ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 != 1
+
+
+def lower_ascii(text: Column) -> Column:
+    """A-Z lower-cased, every other character kept."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    # lower() is faster, and the same where all characters are ASCII.
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, upper, upper.lower()))
+
+
+def from_nth(a: Column, i: int) -> Column:
+    """The array without its first ``i`` elements; it must have as many."""
+    return F.slice(a, i + 1, F.greatest(F.size(a) - i, F.lit(0)))
+
+
+def pairwise(a: Column, step: int, f) -> Column:
+    """f(a[i], a[i + step]) for every i that has both."""
+    n = F.greatest(F.size(a) - step, F.lit(0))
+    return F.zip_with(F.slice(a, 1, n), F.slice(a, step + 1, n), f)

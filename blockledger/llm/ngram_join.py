@@ -31,7 +31,6 @@ there is none).  Other columns are ignored.  Sets are named by a 64-bit hash.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,6 +94,7 @@ class Cuts:
 
     def __init__(self, per_cent: int):
         self.p = per_cent
+        self.known: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
 
     def most_diff(self, a, b):
         """Largest symmetric difference of linked sets of sizes a and b."""
@@ -114,14 +114,15 @@ class Cuts:
         """Classes of the larger set of any pair that this size can be in."""
         return list(range(self.class_of(n), self.class_of(n * 100 // self.p) + 1))
 
-    @functools.lru_cache(256)  # noqa: B019
     def cut(self, c: int) -> tuple[np.ndarray, np.ndarray, int]:
         """Lower ends of the fragments, a salt for each, and the empty ones allowed for."""
-        d = int(self.most_diff(self.top(c), self.top(c)))
-        spare = 1 + d // 64
-        k = d + 1 + spare
-        ends = np.array([(q << 64) // k for q in range(k)], np.uint64)
-        return ends, mix(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 40)), spare
+        if c not in self.known:
+            d = int(self.most_diff(self.top(c), self.top(c)))
+            spare = 1 + d // 64
+            k = d + 1 + spare
+            ends = np.array([(q << 64) // k for q in range(k)], np.uint64)
+            self.known[c] = ends, mix(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 40)), spare
+        return self.known[c]
 
     def signatures(self, h: np.ndarray) -> np.ndarray:
         out = []
@@ -364,17 +365,16 @@ def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size:
     ids = members.select("h").unionByName(members.select(F.col("lead").alias("h"))).distinct()
     sets = saved(prof.filter("sketch is not null").select("h", "n", "tk", "sketch")
                  .join(ids, "h", "left_semi").dropDuplicates(["h"]), "join-sets")
-    edges, roots = None, None
+    edges = roots = None
     for step in ("star", "forest", "all"):
         pairs = saved(star_pairs(members, sets, per_cent) if step == "star" else
                       rest_pairs(members, sets, roots, per_cent, step == "forest"), f"join-{step}")
-        if pairs.isEmpty():
-            if step == "star":
-                roots = pairs.select(F.col("u").alias("h"), F.col("u").alias("root"))
-                edges = pairs.select("u", "v")
-                continue
-            break
-        found = saved(links(docs, pairs, sets, per_cent, size), f"join-links-{step}").select("u", "v")
+        if not pairs.isEmpty():
+            found = saved(links(docs, pairs, sets, per_cent, size), f"join-links-{step}").select("u", "v")
+        elif edges is None:
+            found = pairs.select("u", "v")
+        else:
+            break  # no likely pair crosses components any more
         edges = found if edges is None else edges.unionByName(found)
         roots = components(edges).select(F.col("node").alias("h"), "root")
     rows = prof.select("doc_id", "n", "h")
@@ -395,5 +395,5 @@ def one_of_each(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE)
     """
     found = near_duplicate_components(docs, per_cent, size)
     kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi").dropDuplicates(["doc_id"])
+    chosen = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
     return chosen.unionByName(docs.filter(docs["doc_id"].isNull()))
