@@ -36,16 +36,19 @@ SYMBOLS = "#*$%&|<>"
 
 # ------------------------------------------------------------------- signals
 
+def _both(x: Column, y: Column) -> Column:
+    return F.xxhash64(x, y)
+
+
 def signals(docs: DataFrame) -> DataFrame:
     """(doc_id, text, n_words, word_chars, n_symbols, n_dup_lines, n_lines, n_repeat_words)."""
     df = docs.select(F.col("doc_id").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     df = df.withColumn("w", words_of(F.col("text")))
     df = df.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     df = df.withColumn("h", F.transform("w", lambda x: F.xxhash64(x)))
-    for step in (1, 2):
-        df = df.withColumn("h4" if step == 2 else "h2", pairwise(F.col("h2" if step == 2 else "h"), step, F.xxhash64))
+    df = df.withColumn("h2", pairwise(F.col("h"), 1, _both)).withColumn("h4", pairwise(F.col("h2"), 2, _both))
     df = df.withColumn("h5", F.zip_with(F.slice("h4", 1, F.greatest(F.size("h") - 4, F.lit(0))),
-                                        F.slice("h", 5, F.greatest(F.size("h") - 4, F.lit(0))), F.xxhash64))
+                                        F.slice("h", 5, F.greatest(F.size("h") - 4, F.lit(0))), _both))
     df = df.withColumn("some", F.size(F.array_distinct("h5")) < F.size("h5"))
     # (hash, position), sorted: equal windows stand next to each other.
     df = df.withColumn("z", F.when(F.col("some"), F.sort_array(F.transform(
