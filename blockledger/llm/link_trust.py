@@ -4,7 +4,7 @@ Rules are host suffixes with a path prefix; the longest rule that fits decides.
 Where none fits, the host's standing in the link graph does: trust spreads from
 the hosts of allowed pages along host edges, distrust from the hosts of blocked
 pages against them, both as personalised PageRank.  A host is blocked when its
-distrust exceeds ``RATIO`` times its trust.
+distrust exceeds ``RATIO`` times its trust and is above the mean share of a host.
 
 Host edges: hyperlinks between hosts, counted, and a link each way between a
 host and its parent domain (down to two labels) where both are in the graph, as
@@ -133,7 +133,9 @@ def standing(ruled: DataFrame, rounds: int = ROUNDS, ratio: float = RATIO) -> Da
     both = (trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust"))
             .unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
             .groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
-    return both.withColumn("method", F.when(F.col("distrust") > ratio * F.col("trust"), "block").otherwise("allow"))
+    hosts = ruled.select("host").unionByName(edges.select(F.col("src").alias("host"))).distinct().count()
+    bad = (F.col("distrust") > ratio * F.col("trust")) & (F.col("distrust") * hosts > 1)
+    return both.withColumn("method", F.when(bad, "block").otherwise("allow"))
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]] | DataFrame | None = None, rounds: int = ROUNDS,
