@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
     Cuts the lineage at a place every executor can read, and gives later joins
@@ -23,7 +23,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, f"llm/{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,12 +45,12 @@ def lower_ascii(text: Column) -> Column:
         F.translate(text, upper, upper.lower()))
 
 
-def from_nth(a: Column, i: int) -> Column:
-    """The array without its first ``i`` elements; it must have as many."""
-    return F.slice(a, i + 1, F.greatest(F.size(a) - i, F.lit(0)))
-
-
 def pairwise(a: Column, step: int, f) -> Column:
     """f(a[i], a[i + step]) for every i that has both."""
     n = F.greatest(F.size(a) - step, F.lit(0))
     return F.zip_with(F.slice(a, 1, n), F.slice(a, step + 1, n), f)
+
+
+def let(x: Column, f) -> Column:
+    """f(x) with ``x`` computed once, however often ``f`` uses it."""
+    return F.transform(F.array(x), f)[0]

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blockledger.llm.common import from_nth, lower_ascii, pairwise, saved
+from blockledger.llm.common import let, lower_ascii, pairwise, saved
 
 WINDOW = 13
 K = 8
@@ -42,29 +42,32 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
-def hashed(df: DataFrame) -> DataFrame:
-    """Adds ``a``, the hashes of the words of ``text``."""
-    return df.withColumn("a", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)))
+def hashes(text: Column) -> Column:
+    """The hash of each word."""
+    return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
 def _both(x: Column, y: Column) -> Column:
     return F.xxhash64(x, y)
 
 
-def kgrams(df: DataFrame) -> DataFrame:
-    """Replaces ``a`` of at least K hashes by ``g``, the K-gram hash at each word."""
-    df = df.withColumn("g", F.col("a"))
-    for step in (1, 2, 4):  # K = 8: pairs of pairs of pairs
-        df = df.withColumn("g", pairwise(F.col("g"), step, _both))
-    return df
+def _least(x: Column, y: Column) -> Column:
+    return F.least(x, y)
 
 
-def minima(df: DataFrame) -> DataFrame:
-    """Adds ``f``, the distinct smallest hashes of W neighbouring k-grams of ``g``."""
-    df = df.withColumn("f", F.col("g"))
-    for step in (1, 2, 2):  # W = 6: 2, then 4, then 4 and 4 that overlap by 2
-        df = df.withColumn("f", pairwise(F.col("f"), step, F.least))
-    return df.withColumn("f", F.array_distinct("f"))
+def kgrams(a: Column) -> Column:
+    """The K-gram hash at each of at least K word hashes (K = 8: pairs of pairs of pairs)."""
+    return let(pairwise(a, 1, _both), lambda g: let(pairwise(g, 2, _both), lambda h: pairwise(h, 4, _both)))
+
+
+def minima(g: Column) -> Column:
+    """The smallest of each W neighbouring k-grams (W = 6: of 2, of 4, then two of 4 that overlap)."""
+    return let(pairwise(g, 1, _least), lambda m: let(pairwise(m, 2, _least), lambda n: pairwise(n, 2, _least)))
+
+
+def fingerprints(text: Column) -> Column:
+    """Distinct fingerprints; null for a text of fewer than WINDOW words."""
+    return let(hashes(text), lambda a: F.when(F.size(a) >= WINDOW, F.array_distinct(let(kgrams(a), minima))))
 
 
 def window_hash(a: Column, at: Column, n) -> Column:
@@ -73,8 +76,8 @@ def window_hash(a: Column, at: Column, n) -> Column:
 
 def item_windows(items: DataFrame) -> DataFrame:
     """(item, n, wh) of each window of n words."""
-    a = hashed(items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
-                            F.col("text").alias("text"))).filter(F.size("a") > 0)
+    a = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
+                     hashes(F.col("text")).alias("a")).filter(F.size("a") > 0)
     n = F.least(F.size("a"), F.lit(WINDOW))
     at = a.select("item", "a", n.alias("n"), F.explode(F.sequence(F.lit(1), F.size("a") - n + 1)).alias("i"))
     return at.select("item", "n", window_hash(F.col("a"), F.col("i"), F.col("n")).alias("wh")).distinct()
@@ -82,40 +85,42 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(key, start, n, item): windows of items in the texts; ``key`` is the text's md5."""
-    slim = items.select("item_id", "text")
-    windows = saved(item_windows(slim), "winnow-windows")
-    prints = hashed(slim).filter(F.size("a") >= WINDOW)
-    prints = saved(minima(kgrams(prints)).select(F.explode("f").alias("fp")).distinct(), "winnow-prints")
-    text = docs.select(F.col("text").alias("text"))
-
-    shortest = windows.filter(F.col("n") < WINDOW).agg(F.min("n")).first()[0]
-    found = minima(kgrams(hashed(text).filter(F.size("a") >= WINDOW).withColumn("tk", F.xxhash64("text"))))
-    found = found.select("tk", F.explode("f").alias("fp")).join(prints, "fp", "left_semi").select("tk")
-    if shortest:
+    windows = saved(item_windows(items), "winnow-windows")
+    prints = saved(items.select(F.explode_outer(fingerprints(F.col("text"))).alias("fp")).filter("fp is not null").distinct(),
+                   "winnow-prints")
+    text = docs.select(F.col("text").alias("text"), F.xxhash64("text").alias("tk"))
+
+    # explode_outer: a plain explode would compute its argument a second time, in a filter.
+    found = text.select("tk", F.explode_outer(fingerprints(F.col("text"))).alias("fp"))
+    found = found.join(prints, "fp", "left_semi").select("tk")
+    sizes = [r.n for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]  # at most 12
+    if sizes:
         # Short items: the first words of each, as many as the shortest has.
-        own = hashed(slim).filter(F.size("a").between(1, WINDOW - 1))
-        own = saved(own.select(window_hash(F.col("a"), F.lit(1), F.lit(shortest)).alias("fp")).distinct(), "winnow-short")
-        grams = (hashed(text).filter(F.size("a") >= shortest).withColumn("tk", F.xxhash64("text"))
-                 .select("tk", "a", F.explode(F.sequence(F.lit(1), F.size("a") - shortest + 1)).alias("i"))
-                 .select("tk", window_hash(F.col("a"), F.col("i"), F.lit(shortest)).alias("fp")))
+        least = min(sizes)
+        own = items.select(hashes(F.col("text")).alias("a")).filter(F.size("a").between(1, WINDOW - 1))
+        own = saved(own.select(window_hash(F.col("a"), F.lit(1), F.lit(least)).alias("fp")).distinct(), "winnow-short")
+        grams = let(hashes(F.col("text")), lambda a: F.when(F.size(a) >= least, F.array_distinct(F.transform(
+            F.sequence(F.lit(1), F.size(a) - least + 1), lambda i: window_hash(a, i, F.lit(least))))))
+        grams = text.select("tk", F.explode_outer(grams).alias("fp"))
         found = found.unionByName(grams.join(own, "fp", "left_semi").select("tk"))
     met = saved(found.distinct(), "winnow-met")
 
-    near = (text.withColumn("tk", F.xxhash64("text")).join(met, "tk", "left_semi")
-            .withColumn("key", F.md5(F.col("text").cast("binary"))).dropDuplicates(["key"]))
-    near = saved(hashed(near).select("key", "a"), "winnow-near")
-    at = kgrams(near.filter(F.size("a") >= WINDOW)).select("key", "a", F.posexplode("g").alias("p", "fp"))
+    near = (text.join(met, "tk", "left_semi").withColumn("key", F.md5(F.col("text").cast("binary")))
+            .dropDuplicates(["key"]))
+    near = saved(near.select("key", hashes(F.col("text")).alias("a")), "winnow-near")
+    grams = let(F.col("a"), lambda a: F.when(F.size(a) >= WINDOW, kgrams(a)))
+    at = near.select("key", "a", F.posexplode_outer(grams).alias("p", "fp"))
     # Around each hit: the words of every window that holds its k-gram.
     hits = at.join(prints, "fp", "left_semi").select(
         "key", F.explode(F.sequence(F.greatest(F.col("p") - (W - 1), F.lit(0)),
                                     F.least(F.col("p"), F.size("a") - WINDOW))).alias("start"), "a")
     starts = hits.select("key", "start", F.lit(WINDOW).alias("n"),
                          window_hash(F.col("a"), F.col("start") + 1, F.lit(WINDOW)).alias("wh"))
-    if shortest:
-        sizes = [r.n for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]  # fewer than 13
-        all_ = near.withColumn("n", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)]))).filter(F.size("a") >= F.col("n"))
-        all_ = all_.select("key", "a", "n", F.explode(F.sequence(F.lit(0), F.size("a") - F.col("n"))).alias("start"))
-        starts = starts.unionByName(all_.select("key", "start", "n", window_hash(F.col("a"), F.col("start") + 1, F.col("n")).alias("wh")))
+    if sizes:
+        short = near.withColumn("n", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)]))).filter(F.size("a") >= F.col("n"))
+        short = short.select("key", "a", "n", F.explode(F.sequence(F.lit(0), F.size("a") - F.col("n"))).alias("start"))
+        starts = starts.unionByName(short.select(
+            "key", "start", "n", window_hash(F.col("a"), F.col("start") + 1, F.col("n")).alias("wh")))
     return starts.distinct().join(windows, ["n", "wh"]).select("key", "start", "n", "item")
 
 
