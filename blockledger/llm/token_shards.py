@@ -1,38 +1,31 @@
 """Training-order materialisation of token sequences as fixed-stride shards.
 
-1. Count: every text is tokenised; each input partition packs its texts, each
-   followed by an end mark, into one stream, cut into sequences of ``length``
-   tokens.  Only the number of sequences of each partition is kept; their
-   prefix sums number all sequences 0 .. N-1.
+1. Pack: every text is tokenised once; each input partition packs its texts,
+   each followed by an end mark, into one stream, cut into sequences of
+   ``length`` tokens, which are saved.  The prefix sums of the partitions'
+   numbers of sequences number all sequences 0 .. N-1.
 2. Order: a keyed Feistel permutation of the smallest even power of two that
    holds N, walked along its cycle until it lands below N, gives each sequence
    its global slot.  No shuffle or sort decides the order, and any slot can be
    traced back with the key alone.
-3. Materialise: the second pass packs the same streams again, sends each
-   sequence to the shard of its slot and writes one file for each shard,
-   sorted, every record ``stride`` bytes long, so slot s is at byte
-   ``(s % per_shard) * stride`` of shard ``s // per_shard``: readers go on
+3. Materialise: each sequence goes to the shard of its slot; one file is written
+   for each shard, sorted, every record ``stride`` bytes long, so slot s is at
+   byte ``(s % per_shard) * stride`` of shard ``s // per_shard``: readers go on
    from any slot with one seek.
 
-Tokens are not kept between the passes: tokenising twice moves and stores half
-of what writing them would.  Both passes must see the same input splits, so the
-split size is held independent of the number of cores, and the second pass
-fails if a partition does not give the number of sequences counted before.
-
 A record is a little-endian uint32 number of tokens (less than ``length`` only
 in the last sequence of a partition), ``length`` little-endian uint16 ids
 (unused ones hold the end mark) and a newline, which the text writer adds.
 
 Cases: a null text adds nothing, an empty one only its end mark; an empty table
 gives no shard and no row; ids, repeated rows, ties and other columns do not
-matter.  ``docs`` must be a scan of files (write it first otherwise).
+matter.  The numbering follows the input partitions: the same files and split
+settings give the same order again.
 """
 
 from __future__ import annotations
 
 import base64
-import contextlib
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from blockledger.llm.common import saved
 from blockledger.session import fresh_path
 
 LENGTH = 2048
@@ -51,9 +45,6 @@ ROUNDS = 6
 CACHE = 400_000  # chunks
 LONGEST = 48  # characters of a chunk that is remembered
 
-_CHUNK = re.compile(r"\s*\S+|\s+")
-_ODD = re.compile("[\x1c-\x1f]")  # white space to Python's \s, but not to the tokenizer
-
 
 # ------------------------------------------------------------------ the order
 
@@ -89,37 +80,21 @@ def slots(numbers: np.ndarray, total: int, key: int = KEY, back: bool = False) -
 # ------------------------------------------------------------------ tokenising
 
 class Encoder:
-    """Ids of whole texts as the tokenizer gives them, remembering chunks.
-
-    The tokenizer's pattern never lets a token run from other characters into
-    white space, so a text can be cut before each run of white space.
-    """
+    """Ids of whole texts as the tokenizer gives them."""
 
     def __init__(self, ranks_file: str, pattern: str):
         with open(ranks_file, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.plain = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = len(ranks)
-        self.known: dict[str, bytes] = {}
-
-    def _new(self, chunk: str) -> bytes:
-        ids = np.array(self.plain.encode_ordinary(chunk), np.uint16).tobytes()
-        if len(chunk) <= LONGEST:
-            if len(self.known) >= CACHE:
-                self.known.clear()
-            self.known[chunk] = ids
-        return ids
 
     def ids(self, text: str) -> bytes:
-        if _ODD.search(text):
-            return np.array(self.plain.encode_ordinary(text), np.uint16).tobytes()
-        known, new = self.known.get, self._new
-        return b"".join([known(c) or new(c) for c in _CHUNK.findall(text)])
+        return np.array(self.plain.encode_ordinary(text), "<u2").tobytes()
 
 
 def _streams(batches, encoder: Encoder):
     """Bytes of ids of each text with its end mark."""
-    end = np.uint16(encoder.end).tobytes()
+    end = np.array([encoder.end], "<u2").tobytes()
     for b in batches:
         for t in b.column("text"):
             if t.is_valid:
@@ -142,81 +117,64 @@ def _packed(batches, encoder: Encoder, length: int):
         yield b"".join(held)
 
 
-@contextlib.contextmanager
-def _same_splits(spark):
-    """Input splits that do not depend on how many cores are up just now."""
-    name = "spark.sql.files.minPartitionNum"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, "1")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before) if before else spark.conf.unset(name)
-
-
 # -------------------------------------------------------------------- operator
 
 def write_shards(docs: DataFrame, path: str, ranks_file: str, pattern: str, length: int = LENGTH,
                  per_shard: int = PER_SHARD, key: int = KEY) -> int:
     """Write the shards under ``path`` (``shard=<n>/``); the number of sequences."""
-    spark, text = docs.sparkSession, docs.select(F.col("text"))
-
-    def count(batches):
-        n = 0
-        enc = Encoder(ranks_file, pattern)
-        size = 2 * length
-        for x in _streams(batches, enc):
-            n += len(x)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([-(-n // size)], pa.int64())], ["p", "n"])
-
-    with _same_splits(spark):
-        counted = {r.p: r.n for r in text.mapInArrow(count, "p int, n long").collect()}
-        first, total = {}, 0
-        for p in sorted(counted):
-            first[p] = total
-            total += counted[p]
-        if not total:
-            return 0
-
-        def place(batches):
-            p = TaskContext.get().partitionId()
-            squeeze, done, held = zstandard.ZstdCompressor(level=1), 0, []
-            enc = Encoder(ranks_file, pattern)
-            pad = np.uint16(enc.end).tobytes()
-
-            def out():
-                s = slots(np.arange(done - len(held), done) + first[p], total, key)
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(s // per_shard), pa.array(s), pa.array(held, pa.binary())], ["shard", "slot", "z"])
-
-            for x in _packed(batches, enc, length):
-                n = len(x) // 2
-                held.append(squeeze.compress(np.uint32(n).tobytes() + x + pad * (length - n)))
-                done += 1
-                if len(held) == 256:
-                    yield out()
-                    held = []
-            if done != counted.get(p, 0):
-                raise RuntimeError(f"partition {p} gave {done} sequences, {counted.get(p, 0)} before")
-            if held:
-                yield out()
-
-        def plain(batches):
-            grow = zstandard.ZstdDecompressor()
-            for b in batches:
-                for lo in range(0, b.num_rows, 256):
-                    s = b.slice(lo, 256)
-                    yield pa.RecordBatch.from_arrays(
-                        [s.column("shard"), pa.array([grow.decompress(z.as_py()) for z in s.column("z")], pa.binary())],
-                        ["shard", "record"])
-
-        shards = -(-total // per_shard)
-        (text.mapInArrow(place, "shard long, slot long, z binary")
-         .repartition(shards, "shard").sortWithinPartitions("shard", "slot")
-         .mapInArrow(plain, "shard long, record binary")
-         .select("shard", F.col("record").cast("string").alias("value"))
-         .write.partitionBy("shard").option("compression", "none").text(path))
+    end = Encoder(ranks_file, pattern).end
+
+    def pack(batches):
+        p, done, held = TaskContext.get().partitionId(), 0, []
+        for x in _packed(batches, Encoder(ranks_file, pattern), length):
+            held.append(x)
+            if len(held) == 256:
+                yield rows(p, done, held)
+                done, held = done + 256, []
+        if held:
+            yield rows(p, done, held)
+
+    def rows(p, done, held):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p] * len(held), pa.int32()), pa.array(range(done, done + len(held)), pa.int64()),
+             pa.array(held, pa.binary())], ["p", "i", "ids"])
+
+    packed = saved(docs.select(F.col("text").alias("text")).mapInArrow(pack, "p int, i long, ids binary"),
+                   "packed", compression="zstd")
+    counted = packed.groupBy("p").agg(F.count("*").alias("n")).orderBy("p").collect()  # one row a partition
+    if not counted:
+        return 0
+    parts = np.array([r.p for r in counted])
+    ends = np.cumsum([r.n for r in counted])
+    first, total = ends - [r.n for r in counted], int(ends[-1])
+
+    def place(batches):
+        squeeze, pad = zstandard.ZstdCompressor(level=3), np.array([end], "<u2").tobytes()
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                s = b.slice(lo, 256)
+                number = first[np.searchsorted(parts, s.column("p").to_numpy())] + s.column("i").to_numpy()
+                slot, z = slots(number, total, key), []
+                for x in s.column("ids").to_pylist():
+                    n = len(x) // 2
+                    z.append(squeeze.compress(np.array([n], "<u4").tobytes() + x + pad * (length - n)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(slot // per_shard), pa.array(slot), pa.array(z, pa.binary())], ["shard", "slot", "z"])
+
+    def plain(batches):
+        grow = zstandard.ZstdDecompressor()
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                s = b.slice(lo, 256)
+                yield pa.RecordBatch.from_arrays(
+                    [s.column("shard"), pa.array([grow.decompress(z.as_py()) for z in s.column("z")], pa.binary())],
+                    ["shard", "record"])
+
+    (packed.mapInArrow(place, "shard long, slot long, z binary")
+     .repartition(-(-total // per_shard), "shard").sortWithinPartitions("shard", "slot")
+     .mapInArrow(plain, "shard long, record binary")
+     .select("shard", F.col("record").cast("string").alias("value"))
+     .write.partitionBy("shard").option("compression", "none").text(path))
     return total
 
 
