@@ -1,38 +1,23 @@
 """The n-gram join against all pairs in Python."""
 
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from blockledger.llm import ngram_join as J
 from blockledger.llm.graph import components
-
-
-def shingles(text):
-    w = (text or "").encode().lower().split()
-    return frozenset(tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))) if w else frozenset()
+from tests_llm_brute import roots_of, shingles
 
 
 def brute(rows, per_cent=90):
-    sets = [shingles(t) for _, t in rows]
-    root = list(range(len(rows)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-    for a in range(len(rows)):
-        for b in range(a):
-            s, t = sets[a], sets[b]
-            if s and t and 100 * len(s & t) >= per_cent * len(s | t):
-                root[find(a)] = find(b)
-    least = defaultdict(lambda: None)
-    for k, (i, _) in enumerate(rows):
+    """(id, set size, smallest id of the component) of each row."""
+    roots = roots_of(rows, per_cent)
+    least = {}
+    for (i, _), r in zip(rows, roots):
         if i is not None:
-            m = least[find(k)]
-            least[find(k)] = i if m is None else min(m, i)
-    return Counter((i, len(sets[k]), least[find(k)] if sets[k] else i) for k, (i, _) in enumerate(rows))
+            least[r] = min(i, least.get(r, i))
+    return Counter((i, len(shingles(t)), least.get(r) if shingles(t) else i) for (i, t), r in zip(rows, roots))
 
 
 @pytest.mark.parametrize("per_cent", [90, 80, 60])

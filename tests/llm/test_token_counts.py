@@ -1,0 +1,69 @@
+"""Counts against the library on whole texts."""
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from blockledger.llm import token_counts as T
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+FILE = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = ["", "Hello WORLD", "don't we'll I'M", "a1b22 3.14", "<|endoftext|> x<|startoftext|>y <|ENDOFTEXT|>", "naïve café ÀÉÎ ×÷ß",
+         "e\u0301 ́ x", "日本語 テスト", "Σας ΣΑΣ", "İstanbul", "a\u00a0b\u2003c\x1cd\x85e", "!!! ?? ''s 'll''", "😀👍🏽 ok", "²³ ½ Ⅷ", "x" * 300,
+         "ſtop ŉ", "\ufeffbom", "tab\tnew\nline\r\x0b\x0c."]
+
+
+@pytest.fixture(scope="module")
+def counts():
+    return T.Counts(FILE, T.proven_words(FILE))
+
+
+@pytest.fixture(scope="module")
+def library():
+    tok = Tokenizer.from_file(FILE)
+    return lambda t: len(tok.encode(t, add_special_tokens=False).ids)
+
+
+def count(counts, text):
+    return sum(map(counts.__getitem__, text.encode().split()))
+
+
+def test_fixed_texts(counts, library):
+    for t in [*TEXTS, " ".join(TEXTS), "".join(TEXTS)]:
+        assert count(counts, t) == library(t), t
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aAbß'stdrevml1 \n.,!|<>é̈Éñ×÷"), st.characters(exclude_categories=["Cs"])), max_size=80))
+def test_any_text(counts, library, text):
+    assert count(counts, text) == library(text)
+
+
+def test_given_documents(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    for r in T.token_counts(docs, FILE).collect():
+        n = library(text[r.doc_id])
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text[r.doc_id].encode()), n, n > 2048)
+
+
+def test_every_proven_word_is_one_token(library):
+    words = T.proven_words(FILE)
+    assert len(words) > 20_000
+    assert all(library(w) == 1 for w in sorted(words)[::7])
+
+
+def test_awkward_rows(spark, documents, no_documents, library):
+    got = sorted(map(str, T.token_counts(documents, FILE).collect()))
+    want = [(r.doc_id, len((r.text or "").encode()), library(r.text or "")) for r in documents.collect()]
+    from pyspark.sql import Row
+    assert got == sorted(str(Row(doc_id=i, n_bytes=b, n_tokens=n, over_limit=n > 2048)) for i, b, n in want)
+    assert T.token_counts(no_documents, FILE).collect() == []
+
+
+def test_bounded_memory(monkeypatch, library):
+    monkeypatch.setattr(T, "REMEMBERED", 3)
+    c = T.Counts(FILE, T.proven_words(FILE))
+    t = " ".join(f"word{k} thng{k % 5}" for k in range(50))
+    assert count(c, t) == library(t) and len(c) <= 3 and len(c.merged) <= 3

@@ -1,0 +1,64 @@
+"""Shards: an exact round trip of every token, and the permutation."""
+
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from blockledger.llm import token_shards as S
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.mark.parametrize("total", [1, 2, 3, 17, 256, 1000, 4097])
+def test_slots_are_a_permutation(total):
+    s = S.slots(np.arange(total), total)
+    assert sorted(s) == list(range(total))
+    assert (S.slots(s, total, back=True) == np.arange(total)).all()
+    if total > 100:
+        assert (s != S.slots(np.arange(total), total, key=1)).any()
+        assert abs(np.corrcoef(np.arange(total), s)[0, 1]) < 0.2
+
+
+def test_round_trip(spark, documents, tmp_dir):
+    from blockledger.llm.common import saved
+    docs = saved(documents, "t-docs")
+    n = S.write_shards(docs, f"{tmp_dir}/s", RANKS, PATTERN, length=64, per_shard=10)
+    got = S.read_shards(spark, f"{tmp_dir}/s", 64, 10).orderBy("slot").collect()
+    assert [r.slot for r in got] == list(range(n))
+    assert all(r.shard == r.slot // 10 and r.byte_offset == (r.slot % 10) * (4 + 128 + 1) for r in got)
+    enc = S.Encoder(RANKS, PATTERN)
+    number = S.slots(np.arange(n), n, back=True)
+    seq = {int(number[r.slot]): np.frombuffer(bytes(r.record)[4:], "<u2") for r in got}
+    assert all((seq[int(number[r.slot])][r.n_tokens:] == enc.end).all() for r in got)
+    used = {int(number[r.slot]): r.n_tokens for r in got}
+    stream = np.concatenate([seq[i][:used[i]] for i in range(n)])
+    texts, lo = [], 0
+    for hi in np.flatnonzero(stream == enc.end):
+        texts.append(enc.plain.decode(stream[lo:hi].tolist()))
+        lo = hi + 1
+    assert lo == len(stream)
+    assert Counter(texts) == Counter(r.text for r in documents.collect() if r.text is not None)
+
+
+def test_files_have_fixed_strides(spark, documents, tmp_dir):
+    import glob
+    import os
+    n = S.write_shards(documents, f"{tmp_dir}/s", RANKS, PATTERN, length=64, per_shard=10)
+    sizes = {}
+    for f in glob.glob(f"{tmp_dir}/s/shard=*/*.txt"):
+        sizes.setdefault(int(f.split("shard=")[1].split("/")[0]), []).append(os.path.getsize(f))
+    assert sorted(sizes) == list(range(-(-n // 10))) and all(len(v) == 1 for v in sizes.values())
+    assert all(sizes[k][0] == 133 * min(10, n - 10 * k) for k in sizes)
+
+
+def test_same_order_again_and_by_key(spark, documents):
+    from blockledger.llm.common import saved
+    docs = saved(documents, "t-docs")
+    a, b, c = ({r.slot: r.sha256 for r in S.materialise(docs, RANKS, PATTERN, 64, 10, key).collect()} for key in (1, 1, 2))
+    assert a == b and a != c and Counter(a.values()) == Counter(c.values())
+
+
+def test_no_rows(no_documents):
+    assert S.materialise(no_documents, RANKS, PATTERN).collect() == []
