@@ -42,8 +42,8 @@ def parse_args(argv):
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--trigger", default="1 second")
     p.add_argument("--available-now", action="store_true")
-    p.add_argument("--hold-tip", action="store_true",
-                   help="stream: keep the newest slot until a newer one lands")
+    p.add_argument("--write-tip", action="store_true",
+                   help="stream: write the newest slot at once instead of waiting for a newer one")
     return p.parse_args(argv)
 
 
@@ -58,16 +58,16 @@ def main(argv=None) -> dict:
     store = K.LedgerStore(namespace=a.namespace, tables=tables, fmt=a.table_format,
                           bucket_size=a.bucket_size, catalog=a.catalog)
     if not a.stream:
-        out = M.run(spark, read_blocks(spark, a.source, a.format), store, start, end)
+        out = M.run_landed(spark, a.source, store, a.format, start, end)
     else:
         raw = read_blocks(spark, a.source, a.format)
         start_slot = M.resolve_start(spark, start, raw, store)
         end_slot = G.parse_end(end, G.chain_tip(raw).first()["tip_slot"])
-        ckpt = a.checkpoint or fresh_path(spark, "stream-checkpoint")
+        ckpt = a.checkpoint or fresh_path(spark, "stream-checkpoint")  # under spark.checkpoint.dir
         q = ST.continuous_ingest(spark, a.source, store, ckpt, fmt=a.format,
                                  available_now=a.available_now, processing_time=a.trigger,
                                  start_slot=start_slot, end_slot=end_slot,
-                                 hold_tip=a.hold_tip)
+                                 hold_tip=not a.write_tip)
         q.awaitTermination()
         out = {"start_slot": start_slot, "end_slot": end_slot, "checkpoint": ckpt,
                "batches": len(q.recentProgress)}

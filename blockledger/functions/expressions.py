@@ -43,15 +43,23 @@ def resolve_accounts(keys: Column | str, idx_list: Column | str) -> Column:
                        lambda a: F.get(k, a.cast("int")))
 
 
-def success_of(meta: Column | str) -> Column:
-    """NULL without meta, else whether ``err`` is absent."""
-    m = col(meta)
-    return F.when(m.isNotNull(), m["err"].isNull())
+def success_of(err: Column | str, *others: Column | str) -> Column:
+    """Whether ``err`` is absent; NULL without meta.
 
+    Meta counts as present when ``err`` or one of its ``others`` (values every
+    meta carries, such as the fee) is there, so a reader needs those leaves
+    only and not the whole meta.
+    """
+    e = col(err)
+    there = e.isNotNull()
+    for o in others:
+        there = there | col(o).isNotNull()
+    return F.when(there, e.isNull())
 
-def error_of(meta: Column | str) -> Column:
+
+def error_of(err: Column | str) -> Column:
     """Text of ``err`` when present and non-empty, else NULL."""
-    return blank_to_null(col(meta)["err"])
+    return blank_to_null(err)
 
 
 def normalise_token_balances(arr: Column | str) -> Column:

@@ -37,12 +37,18 @@ def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
             .select("slot", *[F.col(f"t.{n}").alias(n) for n in paths]))
 
 
+# Leaves that tell whether a transaction has meta: the fee is part of every meta.
+META_FLAG = {"err": "meta.err", "fee": "meta.fee", "units": "meta.compute_units_consumed"}
+
+
 def transactions(raw: DataFrame) -> DataFrame:
     """P2 (with P3-P10): one row per transaction, 16 columns."""
-    meta = F.col("meta")
     header = F.col("header")
     txs = tx_rows(raw, signatures="transaction.signatures", header="transaction.message.header",
-                  recent_blockhash="transaction.message.recent_blockhash", meta="meta")
+                  recent_blockhash="transaction.message.recent_blockhash", **META_FLAG,
+                  pre="meta.pre_balances", post="meta.post_balances",
+                  pre_tokens="meta.pre_token_balances", post_tokens="meta.post_token_balances",
+                  logs="meta.log_messages", rewards="meta.rewards")
     return txs.select(
         F.col("slot"),
         X.first_or_null("signatures").alias("signature"),
@@ -50,25 +56,25 @@ def transactions(raw: DataFrame) -> DataFrame:
         header["num_readonly_signed_accounts"].alias("num_readonly_signed_accounts"),
         header["num_readonly_unsigned_accounts"].alias("num_readonly_unsigned_accounts"),
         F.col("recent_blockhash"),
-        X.success_of(meta).alias("success"),
-        X.error_of(meta).alias("error"),
-        meta["fee"].alias("fee"),
-        X.non_empty_or_null(meta["pre_balances"]).alias("pre_balances"),
-        X.non_empty_or_null(meta["post_balances"]).alias("post_balances"),
-        X.normalise_token_balances(meta["pre_token_balances"]).alias("pre_token_balances"),
-        X.normalise_token_balances(meta["post_token_balances"]).alias("post_token_balances"),
-        meta["log_messages"].alias("log_messages"),
-        X.tag_rewards(meta["rewards"], F.col("slot")).alias("rewards"),
-        meta["compute_units_consumed"].alias("compute_units_consumed"),
+        X.success_of("err", "fee", "units").alias("success"),
+        X.error_of("err").alias("error"),
+        F.col("fee"),
+        X.non_empty_or_null("pre").alias("pre_balances"),
+        X.non_empty_or_null("post").alias("post_balances"),
+        X.normalise_token_balances("pre_tokens").alias("pre_token_balances"),
+        X.normalise_token_balances("post_tokens").alias("post_token_balances"),
+        F.col("logs").alias("log_messages"),
+        X.tag_rewards("rewards", F.col("slot")).alias("rewards"),
+        F.col("units").alias("compute_units_consumed"),
     )
 
 
 def tx_status(raw: DataFrame) -> DataFrame:
-    """P5: success / error per transaction (reads signatures and meta.err only)."""
-    txs = tx_rows(raw, signatures="transaction.signatures", meta="meta")
+    """P5: success / error per transaction (reads signatures and META_FLAG only)."""
+    txs = tx_rows(raw, signatures="transaction.signatures", **META_FLAG)
     return txs.select("slot", X.first_or_null("signatures").alias("signature"),
-                      X.success_of(F.col("meta")).alias("success"),
-                      X.error_of(F.col("meta")).alias("error"))
+                      X.success_of("err", "fee", "units").alias("success"),
+                      X.error_of("err").alias("error"))
 
 
 def token_balances(raw: DataFrame) -> DataFrame:
@@ -188,34 +194,37 @@ def rewards(raw: DataFrame) -> DataFrame:
         *[F.col(f.name) for f in S.REWARDS.fields])
 
 
-# A block row with more transactions than this is split into chunks of this
-# many transactions, spread over tasks, before its rows are built.
-HOT_BLOCK_TXS = 20_000
+# Item list of a block row that each row table is built from.
+ITEMS = {"transactions": "transactions", "instructions": "transactions", "rewards": "rewards"}
+
+
+# Items of a block row that one task builds rows from, at most.
+HOT_BLOCK_ITEMS = 20_000
 
 
-def n_transactions(raw: DataFrame):
-    """Transactions per block row, reading only the first-signature leaf."""
-    sigs = F.col("transactions")["transaction"]["signatures"]
-    return F.coalesce(F.when(sigs.isNotNull(), F.size(sigs)), F.lit(0))
+def most_items(raw: DataFrame):
+    """The larger of a block row's transaction and reward counts, reading one leaf of each."""
+    def n(c):
+        return F.coalesce(F.when(c.isNotNull(), F.size(c)), F.lit(0))
+    return F.greatest(n(F.col("transactions")["transaction"]["signatures"]), n(F.col("rewards")["pubkey"]))
 
 
-def spread_hot_blocks(raw: DataFrame, chunk: int = HOT_BLOCK_TXS) -> DataFrame:
-    """(slot, transactions) with every block above ``chunk`` transactions cut
-    into slices of ``chunk``, and those slices hash-spread over tasks.
+def spread_hot_blocks(raw: DataFrame, items: str = "transactions", chunk: int = HOT_BLOCK_ITEMS) -> DataFrame:
+    """(slot, items) with every block of more than ``chunk`` items cut into
+    slices of ``chunk``, and those slices hash-spread over tasks.
 
     A block is one row, so without this its whole explode and write would run
-    in one task.  Only the hot rows move; the others stay where they are.
-    Transaction-level tables do not depend on a transaction's place in the
-    block, so building them from the slices gives the same rows.
+    in one task.  Only the hot rows move; the others stay where they are.  The
+    row tables do not depend on an item's place in the block, so building them
+    from the slices gives the same rows.
     """
-    n = n_transactions(raw)
-    cold = raw.where(n <= chunk).select("slot", "transactions")
+    leaf = F.col(items)["transaction"]["signatures"] if items == "transactions" else F.col(items)["pubkey"]
+    n = F.coalesce(F.when(leaf.isNotNull(), F.size(leaf)), F.lit(0))
+    cold = raw.where(n <= chunk).select("slot", items)
     hot = (raw.where(n > chunk)
-           .select("slot", "transactions",
-                   F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int")))
-                   .alias("part"))
-           .select("slot", "part", F.slice("transactions", F.col("part") * chunk + 1, chunk)
-                   .alias("transactions"))
+           .select("slot", items,
+                   F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int"))).alias("part"))
+           .select("slot", "part", F.slice(items, F.col("part") * chunk + 1, chunk).alias(items))
            .repartition("slot", "part")
            .drop("part"))
     return cold.unionByName(hot)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 
+#: The words a start setting may be.
 START_MODES = ("genesis", "latest", "last_processed")
 
 
@@ -18,6 +19,17 @@ def max_slot(df: DataFrame) -> DataFrame:
     return df.agg(F.max("slot").alias("max_slot"))
 
 
+def max_slots(raw: DataFrame, tables=S.TABLE_NAMES) -> DataFrame:
+    """A1 for tables still to be built: per table the max slot that has rows in it.
+
+    Taken from the block rows (``expected_rows``), so no table is built.
+    """
+    exp = expected_rows(raw)
+    top = exp.agg(*[F.max(F.when(F.col(t) > 0, F.col("slot"))).alias(t) for t in tables])
+    pairs = ", ".join(f"'{t}', `{t}`" for t in tables)
+    return top.selectExpr(f"stack({len(tables)}, {pairs}) as (table_name, max_slot)")
+
+
 def chain_tip(raw: DataFrame) -> DataFrame:
     """Latest available slot of a block source."""
     return raw.agg(F.max("slot").alias("tip_slot"))
@@ -44,6 +56,12 @@ def last_processed_slot(spark: SparkSession, tables: dict[str, DataFrame | None]
                                   for t, df in tables.items()})
 
 
+def last_processed_of(raw: DataFrame, tables=S.TABLE_NAMES) -> DataFrame:
+    """A2 for tables still to be built, from the block rows."""
+    return max_slots(raw, tables).agg(
+        F.when(F.count("max_slot") == len(tables), F.min("max_slot")).alias("last_processed_slot"))
+
+
 def parse_start(value) -> object:
     """Validate a start/end setting: non-negative int or one of START_MODES."""
     if isinstance(value, bool):
@@ -52,8 +70,7 @@ def parse_start(value) -> object:
         return value
     if isinstance(value, str) and value.lower() in START_MODES:
         return value.lower()
-    raise ValueError(f"invalid slot setting {value!r}: a non-negative integer, "
-                     f"'genesis', 'latest' or 'last_processed'")
+    raise ValueError(f"cannot start at {value!r}: give a slot from 0 on or one of {', '.join(START_MODES)}")
 
 
 def parse_end(value, tip: int | None):
@@ -136,13 +153,15 @@ def n_elements(arr: Column) -> Column:
 
 def _sum_sizes(arrays: Column) -> Column:
     """Sum of element counts of an array of arrays (missing arrays count 0)."""
-    return F.aggregate(F.transform(arrays, lambda a: n_elements(a).cast("long")),
-                       F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return F.coalesce(F.aggregate(arrays, F.lit(0).cast("long"),
+                                  lambda acc, x: acc + n_elements(x).cast("long")), F.lit(0).cast("long"))
 
 
 def expected_rows(raw: DataFrame) -> DataFrame:
     """Per slot, the rows each table should hold, from the block rows alone.
 
+    Counts the rows that E2 accepts: a block with every required column, and
+    the transactions and instructions of a transaction with a first signature.
     Columns: slot, blocks, transactions, instructions, rewards (no explode).
     Counts come from field paths (``transactions.transaction.signatures``,
     ``...message.instructions``, ``meta.inner_instructions``), so a Parquet
@@ -150,19 +169,25 @@ def expected_rows(raw: DataFrame) -> DataFrame:
     """
     t = F.col("transactions")
     sigs = t["transaction"]["signatures"]
-    top = t["transaction"]["message"]["instructions"]
-    groups = t["meta"]["inner_instructions"]
-    inner = F.aggregate(F.transform(groups, lambda gs: _sum_sizes(
-        F.coalesce(gs, F.array().cast(S.TX["meta"].dataType["inner_instructions"]
-                                      .dataType.simpleString()))["instructions"])),
-        F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(x, F.lit(0).cast("long")))
+    known = F.col("slot").isNotNull()
+    parts = F.arrays_zip(sigs.alias("s"), t["transaction"]["message"]["instructions"].alias("top"),
+                         t["meta"]["inner_instructions"].alias("groups"))
+    signed = lambda s: F.get(s, F.lit(0)).isNotNull()
+    per_tx = F.transform(parts, lambda x: F.when(
+        signed(x["s"]), n_elements(x["top"]).cast("long") + _sum_sizes(x["groups"]["instructions"])))
+    whole = F.lit(True)
+    for c in S.required_columns("blocks"):
+        whole = whole & F.col(c).isNotNull()
+
+    def count(c: Column) -> Column:
+        return F.when(known, c).otherwise(0).cast("long")
     return raw.select(
         "slot",
-        F.lit(1).cast("long").alias("blocks"),
-        n_elements(sigs).cast("long").alias("transactions"),
-        (F.coalesce(_sum_sizes(top), F.lit(0).cast("long"))
-         + F.coalesce(inner, F.lit(0).cast("long"))).alias("instructions"),
-        n_elements(F.col("rewards")).cast("long").alias("rewards"))
+        F.when(whole, 1).otherwise(0).cast("long").alias("blocks"),
+        count(n_elements(F.filter(sigs, signed))).alias("transactions"),
+        count(F.coalesce(F.aggregate(per_tx, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(
+            x, F.lit(0).cast("long"))), F.lit(0).cast("long"))).alias("instructions"),
+        count(n_elements(F.col("rewards")["pubkey"])).alias("rewards"))
 
 
 def _long(df: DataFrame, tables) -> DataFrame:

@@ -12,13 +12,17 @@ from . import schemas as S
 _BASE = """
 o AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
-         o_orderkey // 16 AS slot, o_orderkey % 97 <> 0 AS has_meta
-  FROM orders WHERE (o_orderkey // 16) % 11 <> 5
+         b + (b + 5) // 10 AS slot,
+         o_orderkey % 2 = 0 OR o_orderkey IN (SELECT l_orderkey FROM lineitem) AS has_meta
+  FROM (SELECT *, o_orderkey // 16 AS b FROM orders)
+),
+ev AS (
+  SELECT *, b + (b + 5) // 10 AS slot FROM (SELECT *, event_id // 12 AS b FROM events)
 ),
 blk AS (
   SELECT slot,
          CASE WHEN slot = 0 THEN 0 WHEN slot % 11 = 6 THEN slot - 2 ELSE slot - 1 END AS parent_slot
-  FROM (SELECT DISTINCT slot FROM o)
+  FROM (SELECT slot FROM o UNION SELECT slot FROM ev)
 ),
 blocks_t AS (
   SELECT slot, parent_slot,
@@ -37,7 +41,7 @@ li AS (
   FROM lineitem l JOIN o ON l.l_orderkey = o.o_orderkey
 ),
 keys AS (
-  SELECT l_orderkey, list_slice(list_sort(list_distinct(list(part))), 1, 6) AS keys
+  SELECT l_orderkey, list_sort(list_distinct(list(part))) AS keys
   FROM li GROUP BY l_orderkey
 ),
 ins_t AS (
@@ -47,18 +51,16 @@ ins_t AS (
                                        ORDER BY item_rank)
                ELSE row_number() OVER (PARTITION BY li.l_orderkey, l_returnflag = 'R'
                                        ORDER BY item_rank) END) - 1 AS instruction_index,
-         li.part_pos AS program_id_index,
-         CASE WHEN li.part_pos < 6 THEN li.part END AS program_id,
+         CASE WHEN l_linenumber = 7 THEN len(k.keys) ELSE li.part_pos END AS program_id_index,
+         CASE WHEN l_linenumber <> 7 THEN li.part END AS program_id,
          array_to_string([k.keys[x + 1] FOR x IN [l_suppkey % 8, l_linenumber % 8]
                           IF x < len(k.keys)], ',') AS accounts,
          l_returnflag || l_linestatus AS data,
          l_returnflag = 'R' AS is_inner,
          CASE WHEN l_returnflag = 'R' THEN CAST(l_linenumber AS BIGINT) END AS parent_index
   FROM li JOIN keys k ON li.l_orderkey = k.l_orderkey
-  WHERE l_returnflag <> 'R' OR li.has_meta
 ),
-tok_n AS (SELECT l_orderkey, count(*) AS n FROM li WHERE l_discount >= 0.08 GROUP BY l_orderkey),
-rw_n AS (SELECT l_orderkey, count(*) AS n FROM li WHERE l_tax = 0 GROUP BY l_orderkey),
+item_n AS (SELECT l_orderkey, count(*) AS n FROM li GROUP BY l_orderkey),
 tx_t AS (
   SELECT o.slot, md5('o' || o.o_orderkey) AS signature,
          CAST(CASE WHEN o.o_orderkey % 50 <> 0 THEN 1 END AS BIGINT) AS num_required_signatures,
@@ -71,24 +73,23 @@ tx_t AS (
          CASE WHEN has_meta AND o_orderstatus <> 'P'
               THEN CAST(floor(o_totalprice) AS BIGINT) || ',' || o_custkey END AS pre_balances,
          CASE WHEN has_meta AND o_orderstatus <> 'P' THEN '0,' || o_custkey END AS post_balances,
-         CASE WHEN has_meta AND tok_n.n > 0 THEN tok_n.n END AS n_pre_token_balances,
-         CASE WHEN has_meta AND tok_n.n > 0 THEN tok_n.n END AS n_post_token_balances,
+         item_n.n AS n_pre_token_balances,
+         item_n.n AS n_post_token_balances,
          CASE WHEN has_meta THEN o_orderpriority || ',' || o_orderstatus END AS log_messages,
-         CASE WHEN has_meta AND rw_n.n > 0 THEN rw_n.n END AS n_rewards,
+         item_n.n AS n_rewards,
          CASE WHEN has_meta THEN o_custkey END AS compute_units_consumed
-  FROM o LEFT JOIN tok_n ON tok_n.l_orderkey = o.o_orderkey
-         LEFT JOIN rw_n ON rw_n.l_orderkey = o.o_orderkey
+  FROM o LEFT JOIN item_n ON item_n.l_orderkey = o.o_orderkey
 ),
 tok_t AS (
-  SELECT slot, md5('o' || l_orderkey) AS signature,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY item_rank) - 1 AS position,
+  SELECT slot, md5('o' || l_orderkey) AS signature, side,
+         row_number() OVER (PARTITION BY l_orderkey, side ORDER BY item_rank) - 1 AS position,
          part_pos AS account_index, part AS mint,
-         CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) AS amount,
-         CAST(0 AS BIGINT) AS decimals, l_quantity AS ui_amount,
-         CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) AS ui_amount_string,
+         CAST(CAST(floor(l_quantity + plus * l_linenumber) AS BIGINT) AS VARCHAR) AS amount,
+         CAST(0 AS BIGINT) AS decimals, CAST(l_quantity + plus * l_linenumber AS DOUBLE) AS ui_amount,
+         CAST(CAST(floor(l_quantity + plus * l_linenumber) AS BIGINT) AS VARCHAR) AS ui_amount_string,
          CASE WHEN l_linenumber <> 7 THEN 'S' || l_suppkey END AS owner,
          'T' AS program_id
-  FROM li WHERE has_meta AND l_discount >= 0.08
+  FROM li, (VALUES ('pre', 0), ('post', 1)) sides(side, plus)
 ),
 txr_t AS (
   SELECT slot, md5('o' || l_orderkey) AS signature,
@@ -96,19 +97,41 @@ txr_t AS (
          'S' || l_suppkey AS pubkey, CAST(floor(l_extendedprice) AS BIGINT) AS lamports,
          l_partkey AS post_balance, l_returnflag AS reward_type,
          CASE WHEN l_returnflag <> 'N' THEN CAST(l_linenumber AS BIGINT) END AS commission
-  FROM li WHERE has_meta AND l_tax = 0
+  FROM li
 ),
 rewards_t AS (
-  SELECT event_id // 12 AS slot, 'u' || user_id AS pubkey,
+  SELECT slot, 'u' || user_id AS pubkey,
          CASE WHEN event_type = 'error' THEN -CAST(floor(value * 100) AS BIGINT)
               ELSE CAST(floor(value * 100) AS BIGINT) END AS lamports,
          event_id AS post_balance,
          CASE WHEN event_type <> 'view' THEN event_type END AS reward_type,
          CASE WHEN event_type = 'purchase'
               THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS commission
-  FROM events WHERE event_id // 12 IN (SELECT slot FROM blk)
+  FROM ev
 ),
 tip AS (SELECT max(slot) AS tip_slot FROM blk),
+bad_tx AS (
+  SELECT md5('o' || o_orderkey) AS signature
+  FROM (SELECT *, row_number() OVER (PARTITION BY slot ORDER BY o_orderkey) AS n FROM o)
+  WHERE n = 1 AND slot % 31 = 4
+),
+blocks_f AS (
+  SELECT * REPLACE (CASE WHEN slot % 29 <> 3 THEN block_height END AS block_height) FROM blocks_t
+),
+tx_f AS (
+  SELECT * REPLACE (CASE WHEN signature NOT IN (SELECT signature FROM bad_tx) THEN signature END AS signature)
+  FROM tx_t
+),
+ins_f AS (
+  SELECT * REPLACE (CASE WHEN tx_signature NOT IN (SELECT signature FROM bad_tx) THEN tx_signature END AS tx_signature)
+  FROM ins_t
+),
+accepted_t AS (
+  SELECT 'blocks' AS table_name, slot, block_height IS NOT NULL AS ok FROM blocks_f
+  UNION ALL SELECT 'transactions', slot, signature IS NOT NULL FROM tx_f
+  UNION ALL SELECT 'instructions', slot, tx_signature IS NOT NULL FROM ins_f
+  UNION ALL SELECT 'rewards', slot, TRUE FROM rewards_t
+),
 counts_t AS (
   SELECT 'blocks' AS table_name, slot FROM blocks_t
   UNION ALL SELECT 'transactions', slot FROM tx_t
@@ -117,8 +140,8 @@ counts_t AS (
 )
 """
 
-TABLE_CTE = {"blocks": "blocks_t", "transactions": "tx_t", "instructions": "ins_t",
-             "rewards": "rewards_t"}
+FAULTY_CTE = {"blocks": "blocks_f", "transactions": "tx_f", "instructions": "ins_f",
+              "rewards": "rewards_t"}
 
 BLOCK_COLS = "slot, parent_slot, block_time, block_height, previous_blockhash, blockhash"
 TX_COLS = ("slot, signature, num_required_signatures, num_readonly_signed_accounts, "
@@ -159,7 +182,7 @@ def _nullability() -> str:
                 f"{str(f.nullable).upper()} AS declared_nullable, "
                 f"CAST(count(*) - count({c}) AS BIGINT) AS null_count, "
                 f"CAST(count(*) AS BIGINT) AS row_count, {viol} AS violations "
-                f"FROM {TABLE_CTE[t]}")
+                f"FROM {FAULTY_CTE[t]}")
     return _q("\nUNION ALL\n".join(parts))
 
 
@@ -190,17 +213,18 @@ SELECT o.slot, md5('o' || o.o_orderkey) AS signature,
             THEN CAST(to_json([CAST(floor(o_totalprice) AS BIGINT), o_custkey]) AS VARCHAR) END AS pre_balances,
        CASE WHEN has_meta AND o_orderstatus <> 'P'
             THEN CAST(to_json([CAST(0 AS BIGINT), o_custkey]) AS VARCHAR) END AS post_balances,
-       CASE WHEN has_meta THEN coalesce(tj.j, 'null') END AS pre_token_balances,
-       CASE WHEN has_meta THEN coalesce(tj.j, 'null') END AS post_token_balances,
+       CASE WHEN has_meta THEN coalesce(tj.pre, 'null') END AS pre_token_balances,
+       CASE WHEN has_meta THEN coalesce(tj.post, 'null') END AS post_token_balances,
        CASE WHEN has_meta THEN CAST(to_json([o_orderpriority, o_orderstatus]) AS VARCHAR) END AS log_messages,
        CASE WHEN has_meta THEN coalesce(rj.j, 'null') END AS rewards,
        t.compute_units_consumed
 FROM o JOIN tx_t t ON t.signature = md5('o' || o.o_orderkey)
 LEFT JOIN (
-  SELECT signature, CAST(to_json(list({'account_index': account_index, 'mint': mint, 'amount': amount,
-         'decimals': decimals, 'ui_amount': ui_amount, 'ui_amount_string': ui_amount_string,
-         'owner': owner, 'program_id': program_id} ORDER BY position)) AS VARCHAR) AS j
-  FROM tok_t GROUP BY signature) tj ON tj.signature = t.signature
+  SELECT signature, max(j) FILTER (side = 'pre') AS pre, max(j) FILTER (side = 'post') AS post FROM (
+    SELECT signature, side, CAST(to_json(list({'account_index': account_index, 'mint': mint, 'amount': amount,
+           'decimals': decimals, 'ui_amount': ui_amount, 'ui_amount_string': ui_amount_string,
+           'owner': owner, 'program_id': program_id} ORDER BY position)) AS VARCHAR) AS j
+    FROM tok_t GROUP BY signature, side) GROUP BY signature) tj ON tj.signature = t.signature
 LEFT JOIN (
   SELECT signature, CAST(to_json(list({'slot': slot, 'pubkey': pubkey, 'lamports': lamports,
          'post_balance': post_balance, 'reward_type': coalesce(reward_type, 'None'),
@@ -232,16 +256,13 @@ SELECT table_name, CAST(CASE table_name WHEN 'blocks' THEN 7 WHEN 'transactions'
                         WHEN 'instructions' THEN 10 ELSE 7 END AS BIGINT) AS column_count,
        CAST(count(*) AS BIGINT) AS row_count
 FROM counts_t GROUP BY table_name"""),
-    "append_table": _q(f"SELECT {TX_COLS} FROM tx_t"),
+    "append_table": _q(f"SELECT {TX_COLS} FROM tx_f WHERE signature IS NOT NULL"),
     "write_all": _counts(),
     "blocks": _q(f"SELECT {BLOCK_COLS} FROM blocks_t"),
     "transactions": _q(f"SELECT {TX_COLS} FROM tx_t"),
     "tx_status": _q("SELECT slot, signature, success, error FROM tx_t"),
     "token_balances": _q("""
-SELECT slot, signature, 'pre' AS side, position, account_index, mint, amount, decimals, ui_amount,
-       ui_amount_string, owner, program_id FROM tok_t
-UNION ALL
-SELECT slot, signature, 'post' AS side, position, account_index, mint, amount, decimals, ui_amount,
+SELECT slot, signature, side, position, account_index, mint, amount, decimals, ui_amount,
        ui_amount_string, owner, program_id FROM tok_t"""),
     "tx_rewards": _q("""
 SELECT slot, signature, position, pubkey, lamports, post_balance, reward_type, commission
@@ -260,15 +281,16 @@ FROM ins_t, LATERAL (SELECT unnest(string_split(accounts, ',')) AS a,
 WHERE accounts <> ''"""),
     "rewards": _q(f"SELECT {RW_COLS} FROM rewards_t"),
     "table_selection": _counts(tables=("blocks", "transactions")),
-    "slot_range": _q(f"SELECT {BLOCK_COLS} FROM blocks_t WHERE slot >= 0 AND slot < (SELECT tip_slot FROM tip)"),
+    "show_rows": _q(f"SELECT {BLOCK_COLS} FROM blocks_t ORDER BY slot LIMIT 10"),
+    "slot_range": _q(f"""
+SELECT {BLOCK_COLS} FROM blocks_t, tip WHERE slot BETWEEN tip_slot // 4 AND tip_slot // 2 AND slot < tip_slot"""),
     "non_empty": _q("""
 SELECT slot, table_name, CAST(count(*) AS BIGINT) AS row_count FROM counts_t GROUP BY slot, table_name"""),
-    "permissive_read": _q(f"SELECT {BLOCK_COLS} FROM blocks_t"),
+    "permissive_read": _q(f"SELECT {BLOCK_COLS} FROM blocks_t WHERE slot % 37 <> 5"),
     "rejected_rows": _q("""
-SELECT 'blocks' AS table_name, CAST(count(*) AS BIGINT) AS accepted_rows, CAST(0 AS BIGINT) AS rejected_rows FROM blocks_t
-UNION ALL SELECT 'transactions', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT) FROM tx_t
-UNION ALL SELECT 'instructions', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT) FROM ins_t
-UNION ALL SELECT 'rewards', CAST(count(*) AS BIGINT), CAST(0 AS BIGINT) FROM rewards_t"""),
+SELECT table_name, CAST(count(*) FILTER (ok) AS BIGINT) AS accepted_rows,
+       CAST(count(*) FILTER (NOT ok) AS BIGINT) AS rejected_rows
+FROM accepted_t GROUP BY table_name"""),
     "max_slot": _q("SELECT table_name, max(slot) AS max_slot FROM counts_t GROUP BY table_name"),
     "last_processed_slot": _q("""
 SELECT min(m) AS last_processed_slot FROM (
@@ -277,6 +299,10 @@ SELECT min(m) AS last_processed_slot FROM (
     "order_by_slot": _q(f"SELECT {BLOCK_COLS} FROM blocks_t ORDER BY slot"),
     "first_blocks": _q(f"SELECT {BLOCK_COLS} FROM blocks_t ORDER BY slot LIMIT 10"),
     "json_columns": _q(_JSON_TX),
+    "json_instructions": _q("""
+SELECT * REPLACE (CASE WHEN accounts = '' THEN '[]' ELSE '["' || replace(accounts, ',', '","') || '"]' END AS accounts)
+FROM ins_t"""),
+    "json_rewards": _q("SELECT * REPLACE (coalesce(reward_type, 'None') AS reward_type) FROM rewards_t"),
     "start_position": _q("""
 SELECT 'genesis' AS start_mode, CAST(0 AS BIGINT) AS start_slot
 UNION ALL SELECT 'latest', (SELECT tip_slot FROM tip)
@@ -285,7 +311,8 @@ UNION ALL SELECT 'last_processed', coalesce((
                       UNION ALL SELECT max(slot) FROM rewards_t)) + 1, 0)
 UNION ALL SELECT '100', CAST(100 AS BIGINT)"""),
     "bounded_backfill": _counts("slot <= (SELECT tip_slot FROM tip) // 2"),
-    "continuous_ingest": _counts(),
+    "continuous_ingest": _counts("slot < (SELECT tip_slot FROM tip)"),
+    "batch_metrics": _q("SELECT table_name, CAST(count(*) AS BIGINT) AS input_rows FROM counts_t GROUP BY table_name"),
     "resume": _counts("slot < (SELECT tip_slot FROM tip)"),
     "skipped_slots": _q("""
 SELECT g.range AS slot FROM range((SELECT min(slot) FROM blk), (SELECT max(slot) FROM blk) + 1) g
@@ -302,4 +329,8 @@ SELECT table_name, slot, CAST(count(*) AS BIGINT) AS expected_rows, CAST(0 AS BI
 FROM counts_t
 WHERE table_name <> 'blocks' AND slot > (SELECT tip_slot FROM tip) // 2
 GROUP BY table_name, slot"""),
+    "repair_missing": _q("""
+SELECT table_name, CAST(count(*) AS BIGINT) AS row_count, min(slot) AS min_slot, max(slot) AS max_slot,
+       CAST(0 AS BIGINT) AS slots_missing
+FROM accepted_t WHERE ok GROUP BY table_name"""),
 }

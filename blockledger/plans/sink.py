@@ -9,12 +9,14 @@ batch or a resumed run never stores a slot twice.
 
 from __future__ import annotations
 
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pyspark.errors import AnalysisException
@@ -24,6 +26,7 @@ from ..functions.expressions import slot_bucket
 from ..operators import flatten as P
 from ..operators import progress as G
 from ..operators import quality as Q
+from ..session import fresh_path, remove_path
 
 # Slots per partition of the stored tables.  Production blocks arrive at
 # ~2.5 slots/s, so 100k slots is about half a day of ledger per partition.
@@ -91,7 +94,32 @@ def slot_bounds(raw: DataFrame):
     return (r["lo"], r["hi"])
 
 
+_CONF_LOCK = threading.Lock()
+_CONF_USERS: dict[str, list] = {}     # setting -> [callers inside, value before]
+
+
 @contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the time of a write; concurrent callers share them,
+    and the last one out restores what was there before the first."""
+    with _CONF_LOCK:
+        for k, v in settings.items():
+            users = _CONF_USERS.setdefault(k, [0, None])
+            if not users[0]:
+                users[1] = spark.conf.get(k, None)
+                spark.conf.set(k, v)
+            users[0] += 1
+    try:
+        yield
+    finally:
+        with _CONF_LOCK:
+            for k in settings:
+                users = _CONF_USERS[k]
+                users[0] -= 1
+                if not users[0]:
+                    spark.conf.unset(k) if users[1] is None else spark.conf.set(k, users[1])
+
+
 def _unsorted_partitioned_write(spark: SparkSession, writers: int = 16):
     """Write partitioned output without a sort.
 
@@ -100,73 +128,93 @@ def _unsorted_partitioned_write(spark: SparkSession, writers: int = 16):
     files (tight slot min/max) and skip the sort a partitioned write plans.
     Past ``writers`` open files a task falls back to sorting.
     """
-    keys = {"spark.sql.maxConcurrentOutputFileWriters": str(writers),
-            "spark.sql.optimizer.plannedWrite.enabled": "false"}
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    return session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(writers),
+                                    "spark.sql.optimizer.plannedWrite.enabled": "false"})
+
 
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Dynamic partition overwrite: only the partitions in ``df`` are replaced."""
+    spark = df.sparkSession
+    with session_settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        df.write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
 
-def _insert(df: DataFrame, store: LedgerStore, name: str, target: DataFrame) -> None:
-    out = df.withColumn(S.partition_column(), slot_bucket("slot", store.bucket_size))
-    out.select(*target.columns).write.insertInto(name)
 
+def _insert(df: DataFrame, store: LedgerStore, table: str, target: DataFrame) -> None:
+    """Append the rows E2 accepts; no writer gets past this check."""
+    accepted, _ = Q.split_rejected(df, table)
+    out = accepted.withColumn(S.partition_column(), slot_bucket("slot", store.bucket_size))
+    out.select(*target.columns).write.insertInto(store.fqn(table))
 
-# Stored slots of partial buckets are broadcast up to this many (8 bytes each).
-BROADCAST_SLOTS = 4_000_000
 
+# ------------------------------------------------------------- what is stored
 
-def stored_slots(target: DataFrame, store: LedgerStore, lo: int, hi: int) -> DataFrame | None:
-    """Slots a stored table holds in [lo, hi]; None when it holds none.
+def batch_status(raw: DataFrame, store: LedgerStore, lo: int, hi: int):
+    """Per table and slot bucket: slots of the batch that should have rows, and those that have.
 
-    The bucket predicate prunes partitions; a limit-1 probe decides whether
-    there is anything to skip at all (a first load needs no anti-join).
+    One job for all tables over slot numbers and counts; None when the tables
+    hold nothing in [lo, hi] (a first load).  At most tables * span / bucket
+    rows reach the driver.
     """
-    b = store.bucket_size
-    in_range = (target.where(F.col(S.partition_column()).between(lo // b, hi // b))
-                .where(F.col("slot").between(lo, hi)).select("slot"))
-    if in_range.isEmpty():
+    have = _stored(raw.sparkSession, store, lo, hi)
+    if have.isEmpty():
         return None
-    return in_range
+    exp = G._long(G.expected_rows(raw), store.tables).where("expected_rows > 0").select("slot", "table_name")
+    rows = (exp.join(have.withColumn("there", F.lit(1)), ["slot", "table_name"], "left")
+            .groupBy("table_name", slot_bucket("slot", store.bucket_size).alias("bk"))
+            .agg(F.count("*").alias("n"), F.count("there").alias("stored")).collect())
+    status: dict[str, dict[int, tuple[int, int]]] = {t: {} for t in store.tables}
+    for r in rows:
+        status[r["table_name"]][r["bk"]] = (r["n"], r["stored"])
+    return status
+
+
+def _stored(spark: SparkSession, store: LedgerStore, lo: int, hi: int, tables=None) -> DataFrame:
+    """Distinct (slot, table_name) the tables hold in [lo, hi]; the bucket predicate prunes partitions."""
+    b = store.bucket_size
+    parts = [read_table(spark, store, t)
+             .where(F.col(S.partition_column()).between(lo // b, hi // b))
+             .where(F.col("slot").between(lo, hi)).select("slot", F.lit(t).alias("table_name"))
+             for t in tables or store.tables]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def _runs(numbers) -> list[tuple[int, int]]:
+    """Sorted numbers as runs (first, last) without gaps."""
+    out: list[list[int]] = []
+    for n in sorted(numbers):
+        if out and n == out[-1][1] + 1:
+            out[-1][1] = n
+        else:
+            out.append([n, n])
+    return [tuple(r) for r in out]
+
+
+def _in_runs(c, runs):
+    return reduce(lambda a, b: a | b, [c.between(lo, hi) for lo, hi in runs], F.lit(False))
 
 
-def skip_stored(df: DataFrame, target: DataFrame, store: LedgerStore, lo: int, hi: int) -> DataFrame:
-    """Rows of ``df`` whose slot the table does not hold yet.
+def skip_stored(df: DataFrame, store: LedgerStore, table: str, status: dict[int, tuple[int, int]],
+                lo: int, hi: int) -> DataFrame | None:
+    """Rows of ``df`` whose slot the table does not hold yet; None if it holds them all.
 
-    Only slot numbers move: the duplicate slots are found by joining the
-    batch's distinct slots with the stored ones (two long columns), and
-    summarised per bucket -- at most span / bucket_size rows reach the driver.
-    A bucket whose every batch slot is stored is dropped by a bucket filter;
-    only partial buckets need a slot-level anti-join, whose slot set is
-    counted first and broadcast only under ``BROADCAST_SLOTS``.  The wide
-    rows of ``df`` are never shuffled for this unless that set is larger.
+    Buckets that are stored whole are left out by a predicate, one range for
+    each run of them.  Only buckets stored in part need a slot-level anti-join;
+    their stored slots are written out first, so that Spark knows the size of
+    that side when it picks the join, and moves the wide rows only if it is big.
     """
-    have = stored_slots(target, store, lo, hi)
-    if have is None:
-        return df
-    size = store.bucket_size
-    bk = slot_bucket("slot", size)
-    mine = df.select("slot").distinct()
-    dup = mine.join(have.distinct(), "slot", "left_semi")
-    status = (mine.withColumn("bk", bk).groupBy("bk").agg(F.count(F.lit(1)).alias("n_batch"))
-              .join(dup.withColumn("bk", bk).groupBy("bk").agg(F.count(F.lit(1)).alias("n_dup")), "bk")
-              .collect())
-    full = [r["bk"] for r in status if r["n_dup"] == r["n_batch"]]
-    partial = [r["bk"] for r in status if r["n_dup"] < r["n_batch"]]
-    out = df.where(bk.isNull() | ~bk.isin(full)) if full else df
+    whole = [b for b, (n, there) in status.items() if there == n]
+    partial = [b for b, (n, there) in status.items() if 0 < there < n]
+    if len(whole) == len(status):
+        return None
+    bk = slot_bucket("slot", store.bucket_size)
+    out = df.where(bk.isNull() | ~_in_runs(bk, _runs(whole))) if whole else df
     if partial:
-        n_partial = sum(r["n_dup"] for r in status if r["n_dup"] < r["n_batch"])
-        skip = dup.where(bk.isin(partial))
-        out = out.join(F.broadcast(skip) if n_partial <= BROADCAST_SLOTS else skip,
-                       "slot", "left_anti")
+        spark = df.sparkSession
+        path = fresh_path(spark, f"stored-{table}")
+        (_stored(spark, store, lo, hi, [table]).where(_in_runs(bk, _runs(partial))).select("slot")
+         .write.parquet(path))
+        out = out.join(spark.read.parquet(path), "slot", "left_anti")
     return out
 
 
@@ -174,6 +222,7 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
                  slot_range: tuple | None = None, dedupe: bool = True) -> str:
     """K2: append one table's rows, skipping slots the table already holds.
 
+    Rows that E2 refuses go to ``<table>_rejected``, as in ``write_all``.
     Returns the table name; a no-op when the table is not enabled.
     """
     name = store.fqn(table)
@@ -181,46 +230,54 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
         return name
     spark = df.sparkSession
     target = read_table(spark, store, table)
-    if dedupe:
-        lo, hi = slot_range if slot_range is not None else slot_bounds(df)
-        if lo is None:
-            return name
-        df = skip_stored(df, target, store, lo, hi)
-    with _unsorted_partitioned_write(spark):
-        _insert(df, store, name, target)
+    lo, hi = slot_range if slot_range is not None else slot_bounds(df)
+    _, bad = Q.split_rejected(df, table)
+    if lo is not None:
+        if dedupe:
+            have = _stored(spark, store, lo, hi, [table]).select("slot")
+            if not have.isEmpty():
+                df = df.join(have, "slot", "left_anti")
+        with _unsorted_partitioned_write(spark):
+            _insert(df, store, table, target)
+    _write_rejects(bad, store, table)
     return name
 
 
 def _batch_stats(raw: DataFrame):
-    """(rows, distinct slots, min slot, max slot, most transactions in a block,
-    and per table the block rows that may hold rejected rows).
+    """(rows, distinct slots, min slot, max slot, most items in a block, and per
+    table the block rows that may hold rejected rows).
 
-    One aggregate over the block columns and the first-signature leaf.
+    One aggregate over the block columns and one leaf of each item list.
     """
     return raw.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("slot").alias("d"),
                    F.min("slot").alias("lo"), F.max("slot").alias("hi"),
-                   F.max(P.n_transactions(raw)).alias("max_txs"),
+                   F.max(P.most_items(raw)).alias("most_items"),
                    *[F.count_if(Q.may_reject(t)).alias(f"rej_{t}") for t in S.TABLE_NAMES]
                    ).first()
 
 
 def dedupe_slots(raw: DataFrame, stats=None) -> DataFrame:
-    """Keep one block row per slot.
+    """Keep one block row per slot: the one with the most transactions, then the
+    smallest block hash, then the smallest hash of the whole row.
 
     One aggregate on the slot column (count vs distinct) decides; when a slot
     does occur twice, only the rows of such slots are shuffled to drop the
-    extra copies -- the other block rows stay where they are.  The duplicate
-    slot list is broadcast when its counted bound is small.
+    extra copies.  Rows without a slot are no copies of each other.
     """
     st = stats or _batch_stats(raw)
-    extra = st["n"] - st["d"]
-    if extra == 0:
-        return raw
-    twice = (raw.groupBy("slot").agg(F.count(F.lit(1)).alias("c"))
+    twice = (raw.where("slot is not null").groupBy("slot").agg(F.count(F.lit(1)).alias("c"))
              .where(F.col("c") > 1).select("slot"))
-    twice = F.broadcast(twice) if extra <= BROADCAST_SLOTS else twice
+    if st["n"] == st["d"] or twice.isEmpty():
+        return raw
+    order = Window.partitionBy("slot").orderBy(
+        F.coalesce(F.size(F.col("transactions")["transaction"]["signatures"]), F.lit(-1)).desc(),
+        "blockhash", F.xxhash64(*raw.columns))
+    path = fresh_path(raw.sparkSession, "landed-twice")
+    twice.write.parquet(path)
+    twice = raw.sparkSession.read.parquet(path)
     once = raw.join(twice, "slot", "left_anti")
-    kept = raw.join(twice, "slot", "left_semi").dropDuplicates(["slot"])
+    kept = (raw.join(twice, "slot", "left_semi").withColumn("_copy", F.row_number().over(order))
+            .where("_copy = 1").drop("_copy"))
     return once.unionByName(kept)
 
 
@@ -228,68 +285,78 @@ def rejects_name(store: LedgerStore, table: str) -> str:
     return store.fqn(f"{table}_rejected")
 
 
-def _write_rejects(src: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
-                   dedupe: bool) -> None:
-    """E2 in the sink: rows breaking NOT NULL go to ``<table>_rejected``.
+def append_new(df: DataFrame, name: str, ddl: str, fmt: str, part: str | None = None) -> None:
+    """Append the rows of ``df`` that table ``name`` does not hold yet.
 
-    Blocks that can yield such rows are found by a pruned predicate on the
-    block rows; the rejects table is slot-bucketed like the table and skips
-    slots it already holds, so a replay does not repeat its rows.
+    Rows are compared by a hash of all their columns, which takes nulls like
+    values, so a replay adds nothing.  For side tables, far smaller than the
+    data: rejected rows, logs, metrics.
     """
-    flagged = src.where(Q.may_reject(table))
-    if flagged.isEmpty():
-        return
-    spark = src.sparkSession
-    name = rejects_name(store, table)
-    part = S.partition_column()
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(S.TABLES[table])}, "
-              f"{Q.REJECT_REASON} string, {part} bigint) USING {store.fmt} "
-              f"PARTITIONED BY ({part})")
+    spark = df.sparkSession
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING {fmt}"
+              + (f" PARTITIONED BY ({part})" if part else ""))
     spark.catalog.refreshTable(name)
     target = spark.table(name)
-    if dedupe:
-        flagged = skip_stored(flagged, target, store, lo, hi)
-    _, bad = Q.split_rejected(P.BUILDERS[table](flagged), table)
-    _insert(bad, store, name, target)
+    rows = df.select(*target.columns)
+    h = F.xxhash64(*target.columns)
+    path = fresh_path(spark, "append-new")
+    rows.withColumn("_h", h).join(target.select(h.alias("_h")).distinct(), "_h", "left_anti").drop("_h") \
+        .write.parquet(path)
+    spark.read.schema(rows.schema).parquet(path).write.insertInto(name)
+    remove_path(spark, path)
+    spark.catalog.refreshTable(name)
 
 
-def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int, hi: int,
-                 dedupe: bool, hot: bool = False, hot_chunk: int = P.HOT_BLOCK_TXS,
-                 may_reject: bool = True) -> str:
-    spark = raw.sparkSession
-    target = read_table(spark, store, table)
-    # Skip stored slots on the block rows, before any explode: one row per
-    # slot is far cheaper to filter than the rows it expands to.
-    src = skip_stored(raw, target, store, lo, hi) if dedupe else raw
-    rows_src = src
-    if hot and table in ("transactions", "instructions"):
-        rows_src = P.spread_hot_blocks(src, hot_chunk)
-    accepted, _ = Q.split_rejected(P.BUILDERS[table](rows_src), table)
-    _insert(accepted, store, store.fqn(table), target)
+def _write_rejects(bad: DataFrame, store: LedgerStore, table: str) -> None:
+    """E2 in the sink: rows breaking NOT NULL go to ``<table>_rejected``, once each."""
+    if bad.isEmpty():
+        return
+    part = S.partition_column()
+    bad = bad.withColumn(part, slot_bucket("slot", store.bucket_size))
+    append_new(bad, rejects_name(store, table),
+               f"{_ddl(S.TABLES[table])}, {Q.REJECT_REASON} string, {part} bigint", store.fmt, part)
+
+
+def _write_table(raw: DataFrame, store: LedgerStore, table: str, lo: int | None, hi: int | None, status,
+                 chunk: int | None, may_reject: bool) -> str:
+    """One table of a batch: the slots it does not hold yet, and its rejected rows.
+
+    Stored slots are skipped on the block rows, before any explode: one row per
+    slot is far cheaper to filter than the rows it expands to.
+    """
+    src = raw if lo is not None else None
+    if status is not None:
+        src = skip_stored(raw, store, table, status[table], lo, hi) if status[table] else None
+    if src is not None:
+        if chunk and table in P.ITEMS:
+            src = P.spread_hot_blocks(src, P.ITEMS[table], chunk)
+        _insert(P.BUILDERS[table](src), store, table, read_table(raw.sparkSession, store, table))
     if may_reject:
-        _write_rejects(src, store, table, lo, hi, dedupe)
+        _write_rejects(Q.split_rejected(P.BUILDERS[table](raw.where(Q.may_reject(table))), table)[1], store, table)
     return store.fqn(table)
 
 
 def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
               persist: bool = False, parallel: bool = True,
-              hot_chunk: int = P.HOT_BLOCK_TXS) -> list[str]:
+              hot_chunk: int = P.HOT_BLOCK_ITEMS) -> list[str]:
     """K3: write every enabled table for the slots in ``raw``.
 
     Each table's plan is a narrow flatten of the block rows.  Over landed
     Parquet every table reads only its own nested leaves, so nothing is
     persisted; pass ``persist=True`` for sources that must be parsed whole
     (JSON), so the fan-out to four tables parses them once.  One small
-    aggregate gives the batch's slot range and whether it holds a slot twice.
+    aggregate gives the batch's slot range and whether it holds a slot twice,
+    one more job what the tables hold of it; a table that holds everything is
+    not written at all, so a replay starts no write.
 
     The tables are independent jobs; with ``parallel`` they are submitted
     together from driver threads so their stages share the executors (resume
     stays correct in any completion order: last processed is the minimum
     over tables).  Without it they are written in table order.
 
-    When the batch stats show a block with more than ``hot_chunk``
-    transactions, the transaction-level tables are built from that block's
-    slices spread over tasks (``flatten.spread_hot_blocks``).
+    When the batch stats show a block with more than ``hot_chunk`` transactions
+    or rewards, the row tables are built from that block's slices spread over
+    tasks (``flatten.spread_hot_blocks``).
     """
     spark = raw.sparkSession
     ensure_tables(spark, store)
@@ -299,14 +366,14 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         held.append(raw)
     try:
         st = _batch_stats(raw)
-        if st["lo"] is None:
+        if not st["n"]:
             return []
         if dedupe and st["n"] != st["d"]:
             raw = dedupe_slots(raw, st).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
-        hot = (st["max_txs"] or 0) > hot_chunk     # a block too big for one task
-        args = [(raw, store, t, st["lo"], st["hi"], dedupe, hot, hot_chunk, st[f"rej_{t}"] > 0)
-                for t in store.tables]
+        status = batch_status(raw, store, st["lo"], st["hi"]) if dedupe and st["lo"] is not None else None
+        chunk = hot_chunk if (st["most_items"] or 0) > hot_chunk else None
+        args = [(raw, store, t, st["lo"], st["hi"], status, chunk, st[f"rej_{t}"] > 0) for t in store.tables]
         with _unsorted_partitioned_write(spark):
             if parallel and len(args) > 1:
                 with ThreadPoolExecutor(max_workers=len(args)) as pool:
@@ -371,7 +438,6 @@ def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
     that replaces only those buckets.  Returns whether there was anything to
     rewrite.
     """
-    from ..session import fresh_path
     part = S.partition_column()
     target = read_table(spark, store, table)
     sel = target.where(F.col(part).between(first_bucket, last_bucket))
@@ -380,15 +446,6 @@ def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
     stage = fresh_path(spark, f"compact-{table}")
     (sel.repartitionByRange(part, "slot").sortWithinPartitions(part, "slot")
      .write.mode("overwrite").partitionBy(part).parquet(stage))
-    staged = spark.read.parquet(stage).select(*target.columns)
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.insertInto(store.fqn(table), overwrite=True)
-    finally:
-        if old is None:
-            spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
-        else:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
-    spark.catalog.refreshTable(store.fqn(table))
+    replace_partitions(spark.read.parquet(stage).select(*target.columns), store.fqn(table))
+    remove_path(spark, stage)
     return True

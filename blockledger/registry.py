@@ -30,27 +30,31 @@ from .sources import landed as L
 from .sources import ledger
 from .streaming import ingest as ST
 
-# Slots per stored partition for the registered queries (sf0.01: 4 buckets).
-QUERY_BUCKET_SLOTS = 250
+# Stored partitions of the registered queries: at least this many slots in each,
+# and about this many of them over the span of the input.
+LEAST_BUCKET_SLOTS = 250
+QUERY_BUCKETS = 256
 # A development profile that writes these two tables only.
 DEV_TABLES = ("blocks", "transactions")
 # Tables whose maxima the last-processed query combines (rewards lag).
 PROGRESS_TABLES = ("blocks", "transactions", "rewards")
 # A configured integer start slot for the start-position query.
 CONFIGURED_START = 100
-# Stream input: slot-ranged landed files, taken a few per trigger so each
-# micro-batch has several tasks.
-STREAM_FILES = 16
-FILES_PER_TRIGGER = 4
+# Landed bytes a micro-batch of the stream queries takes.
+BYTES_PER_TRIGGER = 64 << 20
 
 
 def raw_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ledger_raw(spark, sf_dir)
 
 
-def _store(spark, tables=S.TABLE_NAMES, prefix="ledger") -> K.LedgerStore:
-    return K.LedgerStore(namespace=fresh_namespace(spark, prefix), tables=tuple(tables),
-                         bucket_size=QUERY_BUCKET_SLOTS)
+def _bucket_slots(raw: DataFrame) -> int:
+    return max(LEAST_BUCKET_SLOTS, (_tip(raw) or 0) // QUERY_BUCKETS + 1)
+
+
+def _store(raw: DataFrame, tables=S.TABLE_NAMES, prefix="ledger") -> K.LedgerStore:
+    return K.LedgerStore(namespace=fresh_namespace(raw.sparkSession, prefix), tables=tuple(tables),
+                         bucket_size=_bucket_slots(raw))
 
 
 def _tip(raw: DataFrame) -> int:
@@ -92,15 +96,16 @@ def q_chain_tip(spark, sf):
 
 
 def q_scan_table(spark, sf):
-    store = _store(spark, ("blocks",))
-    K.write_all(raw_of(spark, sf), store)
+    raw = raw_of(spark, sf)
+    store = _store(raw, ("blocks",))
+    K.write_all(raw, store)
     return L.scan_table(spark, store.fqn("blocks")).drop(S.partition_column())
 
 
 def q_scan_format(spark, sf):
     path = fresh_path(spark, "blocks-parquet")
-    blocks = P.blocks(raw_of(spark, sf))
-    (blocks.withColumn(S.partition_column(), F.floor(F.col("slot") / QUERY_BUCKET_SLOTS).cast("long"))
+    raw = raw_of(spark, sf)
+    (P.blocks(raw).withColumn(S.partition_column(), F.floor(F.col("slot") / _bucket_slots(raw)).cast("long"))
      .write.partitionBy(S.partition_column()).parquet(path))
     return L.scan_format(spark, path, "parquet").drop(S.partition_column())
 
@@ -112,8 +117,9 @@ def q_block_time_lookup(spark, sf):
 
 
 def q_table_exists(spark, sf):
-    store = _store(spark, DEV_TABLES)
-    K.write_all(raw_of(spark, sf), store)
+    raw = raw_of(spark, sf)
+    store = _store(raw, DEV_TABLES)
+    K.write_all(raw, store)
     rows = []
     for t in S.TABLE_NAMES:
         name = store.fqn(t)
@@ -129,16 +135,19 @@ def q_table_exists(spark, sf):
 
 
 def q_typed_rows(spark, sf):
-    return Q.conform(P.rewards(raw_of(spark, sf)), "rewards")
+    """Rows that arrive as text, cast to the declared schema."""
+    rewards = P.rewards(raw_of(spark, sf))
+    return Q.conform(rewards.select([F.col(c).cast("string") for c in rewards.columns]), "rewards")
 
 
 # ---------------------------------------------------------------- sinks
 
 def q_ensure_tables(spark, sf):
-    store = _store(spark)
+    raw = raw_of(spark, sf)
+    store = _store(raw)
     K.ensure_tables(spark, store)
     K.ensure_tables(spark, store)          # idempotent: second call is a no-op
-    K.write_all(raw_of(spark, sf), store)
+    K.write_all(raw, store)
     tables = {t: K.read_table(spark, store, t) for t in store.tables}
     return reduce(DataFrame.unionByName, [
         df.agg(F.lit(t).alias("table_name"),
@@ -148,22 +157,26 @@ def q_ensure_tables(spark, sf):
 
 
 def q_append_table(spark, sf):
-    store = _store(spark, ("transactions",))
+    """K2 twice; unsigned transactions are refused both times."""
+    raw = ledger.with_faults(raw_of(spark, sf))
+    store = _store(raw, ("transactions",))
     K.ensure_tables(spark, store)
-    tx = P.transactions(raw_of(spark, sf))
+    tx = P.transactions(raw)
     K.append_table(tx, store, "transactions")
     K.append_table(tx, store, "transactions")   # replay: adds nothing
     return _tx_flat(K.read_table(spark, store, "transactions"))
 
 
 def q_write_all(spark, sf):
-    store = _store(spark)
-    K.write_all(raw_of(spark, sf), store)
+    raw = raw_of(spark, sf)
+    store = _store(raw)
+    K.write_all(raw, store)
     return M.stored_counts(spark, store)
 
 
 def q_show_rows(spark, sf):
-    return P.blocks(raw_of(spark, sf)).limit(10)
+    """K6: the first rows of a table, by slot."""
+    return P.blocks(raw_of(spark, sf)).orderBy("slot").limit(10)
 
 
 # ---------------------------------------------------------------- flatten
@@ -215,15 +228,20 @@ def q_rewards(spark, sf):
 # ---------------------------------------------------------------- filters / quality
 
 def q_table_selection(spark, sf):
-    store = _store(spark, DEV_TABLES)
-    K.write_all(raw_of(spark, sf), store)
+    raw = raw_of(spark, sf)
+    store = _store(raw, DEV_TABLES)
+    K.write_all(raw, store)
     return M.stored_counts(spark, store)
 
 
 def q_slot_range(spark, sf):
-    """F2 from genesis with no end: every slot below the tip (the tip waits)."""
+    """F2 on a stored table: both bounds, the tip and the bucket predicate."""
     raw = raw_of(spark, sf)
-    return P.blocks(raw.where(G.slot_range_filter(0, None, _tip(raw))))
+    tip = _tip(raw)
+    store = _store(raw, ("blocks",))
+    K.write_all(raw, store)
+    return (K.read_table(spark, store, "blocks")
+            .where(G.slot_range_filter(tip // 4, tip // 2, tip, store.bucket_size)).drop(S.partition_column()))
 
 
 def q_non_empty(spark, sf):
@@ -234,31 +252,44 @@ def q_non_empty(spark, sf):
 
 
 def q_permissive_read(spark, sf):
-    """Landed JSON split whole into good blocks and rejected lines."""
-    good, _rejected = Q.convert_landed(spark, ledger.land_json(spark, sf),
+    """Landed JSON with broken lines, split whole into good blocks and rejected lines."""
+    good, _rejected = Q.convert_landed(spark, ledger.land_broken(spark, sf),
                                        fresh_path(spark, "converted"))
     return P.blocks(good)
 
 
 def q_rejected_rows(spark, sf):
-    return Q.reject_counts(P.flatten(raw_of(spark, sf)))
+    """E2 in the sink: rows stored and rows set aside, of input that has both."""
+    raw = ledger.with_faults(raw_of(spark, sf))
+    store = _store(raw)
+    K.write_all(raw, store)
+    K.write_all(raw, store)                     # replay: adds nothing, neither here nor there
+    parts = []
+    for t in store.tables:
+        name = K.rejects_name(store, t)
+        rows = K.read_table(spark, store, t).select(F.lit(1).alias("a"), F.lit(0).alias("r"))
+        if L.table_exists(spark, name):
+            rows = rows.unionByName(L.scan_table(spark, name).select(F.lit(0).alias("a"), F.lit(1).alias("r")))
+        parts.append(rows.agg(F.lit(t).alias("table_name"),
+                              F.coalesce(F.sum("a"), F.lit(0)).cast("long").alias("accepted_rows"),
+                              F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("rejected_rows")))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def q_nullability_report(spark, sf):
-    return Q.nullability_report(P.flatten(raw_of(spark, sf)))
+    return Q.nullability_report(P.flatten(ledger.with_faults(raw_of(spark, sf))))
 
 
 # ---------------------------------------------------------------- aggregates / sort
 
 def q_max_slot(spark, sf):
-    tables = P.flatten(raw_of(spark, sf))
-    return reduce(DataFrame.unionByName, [
-        G.max_slot(df).select(F.lit(t).alias("table_name"), "max_slot") for t, df in tables.items()])
+    return G.max_slots(raw_of(spark, sf))
 
 
 def q_last_processed_slot(spark, sf):
-    store = _store(spark, PROGRESS_TABLES)
-    K.write_all(raw_of(spark, sf), store)
+    raw = raw_of(spark, sf)
+    store = _store(raw, PROGRESS_TABLES)
+    K.write_all(raw, store)
     return K.stored_last_processed(spark, store)
 
 
@@ -274,12 +305,19 @@ def q_json_columns(spark, sf):
     return compat.transactions_as_text(P.transactions(raw_of(spark, sf)))
 
 
+def q_json_instructions(spark, sf):
+    return compat.instructions_as_text(P.instructions(raw_of(spark, sf)))
+
+
+def q_json_rewards(spark, sf):
+    return compat.rewards_as_text(P.rewards(raw_of(spark, sf)))
+
+
 # ---------------------------------------------------------------- incremental / streaming
 
 def q_start_position(spark, sf):
     raw = raw_of(spark, sf)
-    tables = P.flatten(raw, PROGRESS_TABLES)
-    lp = G.last_processed_slot(spark, tables)
+    lp = G.last_processed_of(raw, PROGRESS_TABLES)
     tip = G.chain_tip(raw)
     return reduce(DataFrame.unionByName, [
         G.start_position(m, tip, lp) for m in ("genesis", "latest", "last_processed",
@@ -288,24 +326,28 @@ def q_start_position(spark, sf):
 
 def q_bounded_backfill(spark, sf):
     raw = raw_of(spark, sf)
-    store = _store(spark)
+    store = _store(raw)
     M.bounded_backfill(raw, store, 0, _tip(raw) // 2)
     return M.stored_counts(spark, store)
 
 
-def q_continuous_ingest(spark, sf):
-    landing = ledger.land_json(spark, sf, files=STREAM_FILES)
-    store = _store(spark)
-    q = ST.continuous_ingest(spark, landing, store, fresh_path(spark, "stream-ckpt"),
-                             available_now=True, max_files_per_trigger=FILES_PER_TRIGGER)
+def _streamed(spark, sf) -> K.LedgerStore:
+    """The JSON landing drained as a stream; the newest slot waits."""
+    store = _store(raw_of(spark, sf))
+    q = ST.continuous_ingest(spark, ledger.land_json(spark, sf), store, fresh_path(spark, "stream-ckpt"),
+                             available_now=True, max_bytes_per_trigger=BYTES_PER_TRIGGER)
     q.awaitTermination()
-    return M.stored_counts(spark, store)
+    return store
+
+
+def q_continuous_ingest(spark, sf):
+    return M.stored_counts(spark, _streamed(spark, sf))
 
 
 def q_resume(spark, sf):
     raw = raw_of(spark, sf)
     tip = _tip(raw)
-    store = _store(spark)
+    store = _store(raw)
     M.bounded_backfill(raw, store, 0, tip // 2, tip)
     M.resume(spark, raw, store, None, tip)
     M.resume(spark, raw, store, None, tip)      # nothing new: adds nothing
@@ -317,32 +359,30 @@ def q_skipped_slots(spark, sf):
 
 
 def q_batch_metrics(spark, sf):
-    landing = ledger.land_json(spark, sf, files=STREAM_FILES)
-    store = _store(spark)
-    q = ST.continuous_ingest(spark, landing, store, fresh_path(spark, "stream-ckpt"),
-                             available_now=True, max_files_per_trigger=FILES_PER_TRIGGER)
-    q.awaitTermination()
-    return ST.batch_metrics(spark, store)
+    """M8: rows taken in per table, summed over the batches (their number and times vary)."""
+    return (ST.batch_metrics(spark, _streamed(spark, sf)).groupBy("table_name")
+            .agg(F.sum("input_rows").cast("long").alias("input_rows")))
 
 
 # ---------------------------------------------------------------- to-do items
 
 def q_fill_block_time(spark, sf):
-    return R.fill_block_time(P.blocks(raw_of(spark, sf)), bucket_slots=QUERY_BUCKET_SLOTS)
+    raw = raw_of(spark, sf)
+    return R.fill_block_time(P.blocks(raw), bucket_slots=_bucket_slots(raw))
 
 
 def q_date_partitioning(spark, sf):
-    blocks = P.blocks(raw_of(spark, sf))
-    dated = R.with_block_date(blocks, R.fill_block_time(blocks, QUERY_BUCKET_SLOTS))
+    raw = raw_of(spark, sf)
     path = fresh_path(spark, "blocks-by-date")
-    dated.write.partitionBy("block_date").parquet(path)
+    R.dated_blocks(P.blocks(raw), _bucket_slots(raw)).write.partitionBy("block_date").parquet(path)
     back = spark.read.parquet(path)
     return back.select("slot", F.date_format("block_date", "yyyy-MM-dd").alias("block_date"))
 
 
 def q_parallel_backfill(spark, sf):
-    store = _store(spark)
-    M.parallel_backfill(raw_of(spark, sf), store, slot_ranges=8)
+    raw = raw_of(spark, sf)
+    store = _store(raw)
+    M.parallel_backfill(raw, store)
     return M.stored_counts(spark, store)
 
 
@@ -350,15 +390,27 @@ def q_missing_by_table(spark, sf):
     """R5 after a partial run: blocks complete, the other tables up to mid-way."""
     raw = raw_of(spark, sf)
     half = _tip(raw) // 2
-    full = _store(spark, ("blocks",))
+    full = _store(raw, ("blocks",))
     K.write_all(raw, full)
     part = K.LedgerStore(namespace=full.namespace, tables=("transactions", "instructions", "rewards"),
-                         bucket_size=QUERY_BUCKET_SLOTS)
+                         bucket_size=full.bucket_size)
     M.bounded_backfill(raw, part, 0, half)
     stored = {t: K.read_table(spark, part, t) for t in part.tables}
     return G.missing_by_table(raw, stored)
 
 
+def q_repair_missing(spark, sf):
+    """R5 repair of a half-done run over input with refused rows: counts, and slots still missing."""
+    raw = ledger.with_faults(raw_of(spark, sf))
+    store = _store(raw)
+    M.bounded_backfill(raw, store, 0, _tip(raw) // 2)
+    M.repair_missing(spark, raw, store)
+    left = G.missing_by_table(raw, {t: K.read_table(spark, store, t) for t in store.tables})
+    left = left.groupBy("table_name").agg(F.count("*").alias("n"))
+    return (M.stored_counts(spark, store).join(left, "table_name", "left")
+            .withColumn("slots_missing", F.coalesce("n", F.lit(0))).drop("n"))
+
+
 QUERIES = {
     "raw_blocks": q_raw_blocks,
     "chain_tip": q_chain_tip,
@@ -392,6 +444,8 @@ QUERIES = {
     "order_by_slot": q_order_by_slot,
     "first_blocks": q_first_blocks,
     "json_columns": q_json_columns,
+    "json_instructions": q_json_instructions,
+    "json_rewards": q_json_rewards,
     "start_position": q_start_position,
     "bounded_backfill": q_bounded_backfill,
     "continuous_ingest": q_continuous_ingest,
@@ -403,4 +457,5 @@ QUERIES = {
     "nullability_report": q_nullability_report,
     "parallel_backfill": q_parallel_backfill,
     "missing_by_table": q_missing_by_table,
+    "repair_missing": q_repair_missing,
 }

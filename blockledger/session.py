@@ -50,7 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FALLBACK:
-        # Unset: local test sessions only.  A cluster names its shared folder.
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        # Unset in a one-process session, as in tests: its temporary folder is shared by all its tasks.
         local = tempfile.mkdtemp(prefix="blockledger-ckpt-")
         spark.sparkContext.setCheckpointDir(local)
         _LOCAL_FALLBACK[app] = spark.sparkContext.getCheckpointDir() or local
@@ -68,3 +71,9 @@ def fresh_namespace(spark: SparkSession, prefix: str = "ledger") -> str:
     loc = fresh_path(spark, ns)
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns} LOCATION '{loc}'")
     return ns
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote under the shared folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -19,8 +19,9 @@ from .. import schemas as S
 from ..session import fresh_path
 
 # Fixed values of the fixture mapping (orders/lineitem/events -> ledger).
-ORDERS_PER_SLOT = 16          # slot = o_orderkey div 16
-SKIP_MOD = 11                 # slot % 11 = 5 -> slot skipped (no block)
+ORDERS_PER_SLOT = 16          # block number of an order = o_orderkey div 16
+BLOCKS_PER_SKIP = 10          # slot = block + (block + 5) div 10: every row keeps a block, and
+SKIP_MOD = 11                 # slots with slot % 11 = 5 have none (skipped)
 SKIP_REM = 5
 PARENT_GAP_REM = 6            # slot % 11 = 6 -> parent is slot - 2
 NO_TIME_MOD = 13              # slot % 13 = 7 -> block_time missing
@@ -28,13 +29,12 @@ NO_TIME_REM = 7
 GENESIS_TIME = 1_600_000_000  # block_time = 1600000000 + 2 * slot
 SECONDS_PER_SLOT = 2
 NO_HEADER_MOD = 50            # o_orderkey % 50 = 0 -> no message header
-NO_META_MOD = 97              # o_orderkey % 97 = 0 -> no meta
-MAX_ACCOUNT_KEYS = 6          # static keys: first 6 sorted distinct parts
-TOKEN_MIN_DISCOUNT = 0.08     # l_discount >= 0.08 -> token balance
+PAST_END_LINE = 7             # l_linenumber = 7 -> program index one past the static keys
 INNER_FLAG = "R"              # l_returnflag = 'R' -> inner instruction
 NO_OWNER_LINE = 7             # l_linenumber = 7 -> owner missing
+# No meta: orders without items and with an odd key (even ones have empty lists).
 NO_COMMISSION_FLAG = "N"      # l_returnflag = 'N' -> commission missing
-EVENTS_PER_SLOT = 12          # block reward slot = event_id div 12
+EVENTS_PER_SLOT = 12          # block number of a reward = event_id div 12
 FAILED_STATUS = "F"           # o_orderstatus = 'F' -> err 'InstructionError'
 NO_BALANCE_STATUS = "P"       # o_orderstatus = 'P' -> empty balances
 ERROR_TEXT = "InstructionError"
@@ -50,12 +50,10 @@ def _txt(prefix: str, c: Column) -> Column:
     return F.concat(F.lit(prefix), c.cast("string"))
 
 
-def slot_of_order(c: Column) -> Column:
-    return F.floor(c / ORDERS_PER_SLOT).cast("long")
-
-
-def is_produced_slot(slot: Column) -> Column:
-    return (slot % SKIP_MOD) != SKIP_REM
+def slot_of(key: Column, per_block: int) -> Column:
+    """Slot of a row: its block number, moved past the slots that have no block."""
+    block = F.floor(key / per_block).cast("long")
+    return (block + F.floor((block + SKIP_REM) / BLOCKS_PER_SKIP)).cast("long")
 
 
 def block_header(slot: Column) -> list[Column]:
@@ -95,8 +93,9 @@ def _transaction() -> Column:
         return (F.array_position(parts, i["part"]) - 1).cast("long")
 
     def instr(i):
+        past_end = F.size(parts).cast("long")
         return F.struct(
-            pos(i).alias("program_id_index"),
+            F.when(i["l_linenumber"] == PAST_END_LINE, past_end).otherwise(pos(i)).alias("program_id_index"),
             F.array((i["l_suppkey"] % 8).cast("long"),
                     (i["l_linenumber"] % 8).cast("long")).alias("accounts"),
             F.concat(i["l_returnflag"], i["l_linestatus"]).alias("data"))
@@ -110,19 +109,20 @@ def _transaction() -> Column:
         F.transform(F.filter(items, lambda i: is_inner(i) & (i["l_linenumber"] == ln)),
                     instr).alias("instructions")))
 
-    def token(i):
-        amount = F.floor(i["l_quantity"]).cast("string")
+    def token(i, after: bool):
+        # The balance after the transaction is the one before plus the line number.
+        amount = i["l_quantity"] + i["l_linenumber"] if after else i["l_quantity"]
+        text = F.floor(amount).cast("string")
         return F.struct(
             pos(i).alias("account_index"),
             i["part"].alias("mint"),
-            F.struct(amount.alias("amount"), F.lit(0).cast("long").alias("decimals"),
-                     i["l_quantity"].alias("ui_amount"),
-                     amount.alias("ui_amount_string")).alias("ui_token_amount"),
+            F.struct(text.alias("amount"), F.lit(0).cast("long").alias("decimals"),
+                     amount.cast("double").alias("ui_amount"),
+                     text.alias("ui_amount_string")).alias("ui_token_amount"),
             F.when(i["l_linenumber"] != NO_OWNER_LINE, _txt("S", i["l_suppkey"])).alias("owner"),
             F.lit(TOKEN_PROGRAM).alias("program_id"))
 
-    tokens = F.transform(F.filter(items, lambda i: i["l_discount"] >= TOKEN_MIN_DISCOUNT), token)
-    meta_rewards = F.transform(F.filter(items, lambda i: i["l_tax"] == 0), lambda i: F.struct(
+    meta_rewards = F.transform(items, lambda i: F.struct(
         _txt("S", i["l_suppkey"]).alias("pubkey"),
         F.floor(i["l_extendedprice"]).cast("long").alias("lamports"),
         i["l_partkey"].cast("long").alias("post_balance"),
@@ -140,17 +140,17 @@ def _transaction() -> Column:
         (cust % 5).cast("long").alias("num_readonly_unsigned_accounts")))
     message = F.struct(
         header.alias("header"),
-        F.slice(parts, 1, MAX_ACCOUNT_KEYS).alias("account_keys"),
+        parts.alias("account_keys"),
         F.md5(_txt("b", F.col("slot"))).alias("recent_blockhash"),
         top.alias("instructions"))
-    meta = F.when(key % NO_META_MOD != 0, F.struct(
+    meta = F.when((F.size(items) > 0) | (key % 2 == 0), F.struct(
         F.when(F.col("o_orderstatus") == FAILED_STATUS, F.lit(ERROR_TEXT)).alias("err"),
         price.alias("fee"),
         F.when(has_balances, F.array(price, cust)).otherwise(empty_longs).alias("pre_balances"),
         F.when(has_balances, F.array(F.lit(0).cast("long"), cust))
          .otherwise(empty_longs).alias("post_balances"),
-        tokens.alias("pre_token_balances"),
-        tokens.alias("post_token_balances"),
+        F.transform(items, lambda i: token(i, False)).alias("pre_token_balances"),
+        F.transform(items, lambda i: token(i, True)).alias("post_token_balances"),
         F.array(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("log_messages"),
         meta_rewards.alias("rewards"),
         cust.alias("compute_units_consumed"),
@@ -162,15 +162,14 @@ def _transaction() -> Column:
 
 
 def nest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW_BLOCK rows (one per produced slot) built from orders/lineitem/events."""
+    """RAW_BLOCK rows built from every row of orders, lineitem and events."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_orderkey", *ITEM_ORDER)
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
         "event_id", "user_id", "event_type", "value", "props")
 
-    o = (orders.withColumn("slot", slot_of_order(F.col("o_orderkey")))
-         .where(is_produced_slot(F.col("slot"))))
+    o = orders.withColumn("slot", slot_of(F.col("o_orderkey"), ORDERS_PER_SLOT))
     items = _items_per_order(lineitem)
     items_type = items.schema["items"].dataType.simpleString()
     tx = (o.join(items, o["o_orderkey"] == items["l_orderkey"], "left")
@@ -194,15 +193,15 @@ def nest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase",
                F.get_json_object("props", "$.k").cast("long")).alias("commission"))
     block_rewards = (events
-                     .withColumn("slot", F.floor(F.col("event_id") / EVENTS_PER_SLOT).cast("long"))
-                     .where(is_produced_slot(F.col("slot")))
+                     .withColumn("slot", slot_of(F.col("event_id"), EVENTS_PER_SLOT))
                      .groupBy("slot")
                      .agg(F.array_sort(F.collect_list(F.struct("event_id", reward.alias("r"))))
                           .alias("er"))
                      .select("slot", F.transform("er", lambda x: x["r"]).alias("rewards")))
 
     slot = F.col("slot")
-    nested = (blocks.join(block_rewards, "slot", "left")
+    # A block has transactions, rewards or both.
+    nested = (blocks.join(block_rewards, "slot", "full_outer")
               .select(*block_header(slot), "rewards", "transactions"))
     return conform_raw(nested)
 
@@ -212,6 +211,30 @@ def conform_raw(df: DataFrame) -> DataFrame:
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RAW_BLOCK.fields])
 
 
+def with_faults(raw: DataFrame) -> DataFrame:
+    """``raw`` with rows the sink must refuse: blocks of slots 3 mod 29 without a
+    height, and the first transaction of slots 4 mod 31 without a signature."""
+    slot = F.col("slot")
+    unsigned = F.transform("transactions", lambda t, i: F.when(
+        i == 0, t.withField("transaction.signatures", F.array().cast("array<string>"))).otherwise(t))
+    return conform_raw(
+        raw.withColumn("block_height", F.when(slot % 29 != 3, F.col("block_height")))
+        .withColumn("transactions", F.when(slot % 31 == 4, unsigned).otherwise(F.col("transactions"))))
+
+
+def land_broken(spark: SparkSession, sf_dir: str) -> str:
+    """The JSON landing with the lines of slots 5 mod 37 cut off after 40 characters."""
+    key = (spark.sparkContext.applicationId, sf_dir, "broken")
+    if key not in _LANDED:
+        out = fresh_path(spark, "landed-broken")
+        lines = spark.read.text(land_json(spark, sf_dir))
+        slot = F.get_json_object("value", "$.slot").cast("long")
+        (lines.select(F.when(slot % 37 == 5, F.substring("value", 1, 40)).otherwise(F.col("value")).alias("value"))
+         .write.text(out))
+        _LANDED[key] = out
+    return _LANDED[key]
+
+
 _LANDED: dict[tuple, str] = {}
 
 

@@ -17,14 +17,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from ..operators import progress as G
+from ..plans import backfill as M
 from ..plans import sink as K
+from ..plans.backfill import LANDING_REJECTS  # noqa: F401
+from ..session import fresh_path, remove_path
 from ..sources.landed import stream_blocks
 
 METRICS_TABLE = "_batch_metrics"
-LANDING_REJECTS = "_landing_rejected"
 PENDING_TABLE = "_pending_tip"
-# Files per micro-batch unless told otherwise: bounds what one batch persists.
-DEFAULT_FILES_PER_TRIGGER = 1000
+# Landed bytes per micro-batch unless told otherwise: bounds what one batch persists.
+DEFAULT_BYTES_PER_TRIGGER = 16 << 30
 METRICS_DDL = ("batch_id bigint, table_name string, input_rows bigint, "
                "min_slot bigint, max_slot bigint, duration_ms bigint")
 
@@ -39,7 +41,7 @@ def ensure_metrics_table(spark: SparkSession, store: K.LedgerStore) -> str:
     return name
 
 
-def _hold_tip(raw: DataFrame, store: K.LedgerStore) -> DataFrame:
+def _hold_tip(raw: DataFrame, store: K.LedgerStore) -> tuple[DataFrame, list[str]]:
     """One-slot lag: the newest block waits until a newer slot has landed.
 
     The held block rows live in a small pending table; each batch takes them
@@ -47,69 +49,74 @@ def _hold_tip(raw: DataFrame, store: K.LedgerStore) -> DataFrame:
     rows pending.  The pending rows are staged in the shared folder before
     the table is replaced, so it is never overwritten while being read; a
     replayed batch gives the same result (writes are idempotent per slot).
+    Returns the rows to write and the staging folders to remove afterwards.
     """
-    from ..session import fresh_path
     spark = raw.sparkSession
     name = store.fqn(PENDING_TABLE)
     cols = [f.name for f in S.RAW_BLOCK.fields]
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({K._ddl(S.RAW_BLOCK)}) USING {store.fmt}")
     spark.catalog.refreshTable(name)
     both = raw.select(*cols).unionByName(spark.table(name).select(*cols))
+    # A block handed in again after its slot was written does not move the tip back.
     tip = both.agg(F.max("slot")).first()[0]
     if tip is None:
-        return raw.limit(0)
-    stage = fresh_path(spark, "pending-tip")
-    both.where(F.col("slot") == tip).write.parquet(stage)
-    ready = both.where(F.col("slot") < tip)
-    ready_stage = fresh_path(spark, "ready")
-    ready.write.parquet(ready_stage)       # cut from the pending table before replacing it
-    spark.read.parquet(stage).select(*cols).write.insertInto(name, overwrite=True)
+        return raw.limit(0), []
+    stages = [fresh_path(spark, "pending-tip"), fresh_path(spark, "ready")]
+    both.where(F.col("slot") == tip).distinct().write.parquet(stages[0])
+    both.where(F.col("slot") < tip).write.parquet(stages[1])  # cut from the table before replacing it
+    spark.read.parquet(stages[0]).select(*cols).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
-    return spark.read.schema(S.RAW_BLOCK).parquet(ready_stage)
+    return spark.read.schema(S.RAW_BLOCK).parquet(stages[1]), stages
 
 
 def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
-                  record_metrics: bool = True, hold_tip: bool = False) -> None:
+                  record_metrics: bool = True, hold_tip: bool = True) -> None:
     """One micro-batch: write all enabled tables, then record its metrics.
 
     ``hold_tip`` keeps the newest slot back until a newer one lands (the
-    batch loop's ``slot < tip`` rule, applied to a stream).
+    batch loop's ``slot < tip`` rule, applied to a stream).  Logged lines and
+    metrics are added once, so a replayed batch repeats neither.
     """
     t0 = time.time()
     spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    stages: list[str] = []
     try:
         raw = batch.where(F.col("slot").isNotNull())
         if S.CORRUPT_COLUMN in batch.columns:
             # E1 in the stream: flagged lines are logged; a block that still
             # parsed a slot is kept with only its unreadable values NULL.
-            flagged = batch.where(F.col(S.CORRUPT_COLUMN).isNotNull())
-            if not flagged.select("slot").isEmpty():
-                name = store.fqn(LANDING_REJECTS)
-                spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (batch_id bigint, slot bigint, "
-                          f"record string) USING {store.fmt}")
-                (flagged.select(F.lit(batch_id).cast("long").alias("batch_id"), "slot",
-                                F.col(S.CORRUPT_COLUMN).alias("record"))
-                 .write.insertInto(name))
+            M.log_rejected_lines(batch.where(F.col(S.CORRUPT_COLUMN).isNotNull())
+                                 .select("slot", F.col(S.CORRUPT_COLUMN).alias("record")), store)
             raw = raw.drop(S.CORRUPT_COLUMN)
+        ready = raw
         if hold_tip:
-            raw = _hold_tip(raw, store)
-        K.write_all(raw, store, persist=False)
+            ready, stages = _hold_tip(raw, store)
+        K.write_all(ready, store, persist=False)
         if record_metrics:
-            exp = G.expected_rows(raw)
-            sums = [F.sum(t).cast("long").alias(t) for t in store.tables]
-            stats = exp.agg(F.min("slot").alias("lo"), F.max("slot").alias("hi"), *sums)
-            pairs = ", ".join(f"'{t}', `{t}`" for t in store.tables)
-            ms = int((time.time() - t0) * 1000)
-            (stats.selectExpr(f"cast({batch_id} as bigint) as batch_id",
-                              f"stack({len(store.tables)}, {pairs}) as (table_name, input_rows)",
-                              "lo as min_slot", "hi as max_slot",
-                              f"cast({ms} as bigint) as duration_ms")
-             .select("batch_id", "table_name", F.coalesce("input_rows", F.lit(0)).cast("long")
-                     .alias("input_rows"), "min_slot", "max_slot", "duration_ms")
-             .write.insertInto(ensure_metrics_table(spark, store)))
+            _record_metrics(raw, batch_id, store, int((time.time() - t0) * 1000))
     finally:
         batch.unpersist()
+        for path in stages:
+            remove_path(spark, path)
+
+
+def _record_metrics(raw: DataFrame, batch_id: int, store: K.LedgerStore, ms: int) -> None:
+    """M8: per table the rows the batch took in; a batch already recorded is not repeated."""
+    spark = raw.sparkSession
+    name = ensure_metrics_table(spark, store)
+    spark.catalog.refreshTable(name)
+    sums = [F.coalesce(F.sum(t), F.lit(0)).cast("long").alias(t) for t in store.tables]
+    stats = G.expected_rows(raw).agg(F.min("slot").alias("min_slot"), F.max("slot").alias("max_slot"), *sums)
+    pairs = ", ".join(f"'{t}', `{t}`" for t in store.tables)
+    new = stats.selectExpr(f"cast({batch_id} as bigint) as batch_id",
+                           f"stack({len(store.tables)}, {pairs}) as (table_name, input_rows)",
+                           "min_slot", "max_slot", f"cast({ms} as bigint) as duration_ms")
+    same = ["batch_id", "table_name", "input_rows", "min_slot", "max_slot"]
+    seen = {tuple(r) for r in spark.table(name).where(F.col("batch_id") == batch_id).select(*same).distinct().collect()}
+    rows = [r for r in new.collect() if tuple(r[c] for c in same) not in seen]  # one row a table
+    if rows:
+        spark.createDataFrame(rows, new.schema).select(*spark.table(name).columns).write.insertInto(name)
 
 
 def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
@@ -117,17 +124,20 @@ def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
                       processing_time: str = "1 second",
                       max_files_per_trigger: int | None = None,
                       record_metrics: bool = True, start_slot: int | None = None,
-                      end_slot: int | None = None, hold_tip: bool = False) -> StreamingQuery:
+                      end_slot: int | None = None, hold_tip: bool = True,
+                      max_bytes_per_trigger: int = DEFAULT_BYTES_PER_TRIGGER) -> StreamingQuery:
     """M3: follow the landing folder; ``available_now`` drains it and stops.
 
     ``start_slot`` / ``end_slot`` bound the slots taken (inclusive).  Each
-    micro-batch takes at most ``max_files_per_trigger`` files (default
-    ``DEFAULT_FILES_PER_TRIGGER``), so a backlog is drained in bounded batches.
+    micro-batch takes at most ``max_bytes_per_trigger`` of landed files, or
+    ``max_files_per_trigger`` files where that is given, so a backlog is drained
+    in bounded batches.  The newest slot waits for a newer one (``hold_tip``),
+    as in a batch run.
     """
     K.ensure_tables(spark, store)
     if record_metrics:
         ensure_metrics_table(spark, store)
-    src = stream_blocks(spark, landing, fmt, max_files_per_trigger or DEFAULT_FILES_PER_TRIGGER)
+    src = stream_blocks(spark, landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
     src = src.where(G.slot_range_filter(start_slot, end_slot, None))
     w = (src.writeStream
          .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics, hold_tip))

@@ -78,10 +78,10 @@ def tx(sig="s", keys=("k0", "k1", "k2"), instructions=DEFAULT, header=DEFAULT, m
 
 
 def block(slot, txs=(), rewards=DEFAULT, block_time=DEFAULT, block_height=DEFAULT, parent=None):
-    b = {"slot": slot, "parent_slot": slot - 1 if parent is None else parent,
+    b = {"slot": slot, "parent_slot": (slot or 0) - 1 if parent is None else parent,
          "block_time": 1000 + 2 * slot if block_time is DEFAULT else block_time,
          "block_height": slot if block_height is DEFAULT else block_height,
-         "previous_blockhash": f"h{slot - 1}", "blockhash": f"h{slot}",
+         "previous_blockhash": f"h{(slot or 0) - 1}", "blockhash": f"h{slot}",
          "rewards": [reward(f"v{slot}", 10)] if rewards is DEFAULT else rewards,
          "transactions": list(txs)}
     return b

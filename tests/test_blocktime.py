@@ -62,11 +62,16 @@ def test_block_date_is_utc(spark):
     assert d == {1: "1970-01-01", 2: "1970-01-02"}
 
 
-def test_fill_without_broadcast_and_with_grown_buckets(spark, monkeypatch):
-    pairs = [(s, None if s % 3 else 1000 + 2 * s) for s in range(0, 90)]
+def test_fill_across_groups_of_buckets(spark, monkeypatch):
+    pairs = [(s, None if s % 3 or 20 <= s < 70 else 1000 + 2 * s) for s in range(0, 90)]
     pairs[0] = (0, None)
     df = spark.createDataFrame(pairs, "slot bigint, block_time bigint")
-    monkeypatch.setattr(R, "BROADCAST_BUCKETS", 0)      # summary joined without broadcast
-    monkeypatch.setattr(R, "MAX_FILL_BUCKETS", 4)       # bucket size grows to keep <= 4 buckets
+    monkeypatch.setattr(R, "GROUP", 2)                  # windows over 2 buckets of 5 slots
     got = {r.slot: r.block_time_filled for r in R.fill_block_time(df, bucket_slots=5).collect()}
     assert got == brute_fill(pairs)
+
+
+def test_dated_blocks_keep_their_columns(spark):
+    df = spark.createDataFrame([(1, 86399, "a"), (2, None, "b"), (3, 86403, "c")], "slot bigint, block_time bigint, blockhash string")
+    got = {r.slot: (r.block_time, r.blockhash, str(r.block_date)) for r in R.dated_blocks(df).collect()}
+    assert got == {1: (86399, "a", "1970-01-01"), 2: (None, "b", "1970-01-02"), 3: (86403, "c", "1970-01-02")}

@@ -51,9 +51,46 @@ def test_slot_filter_pushed_to_parquet(spark):
 def test_batch_stats_read_only_slot_and_signatures(spark):
     from blockledger.plans import sink as K
     raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
-    df = raw.agg(F.count(F.lit(1)), F.count_distinct("slot"), F.max(P.n_transactions(raw)))
+    df = raw.agg(F.count(F.lit(1)), F.count_distinct("slot"), F.max(P.most_items(raw)))
     schema = [ln for ln in plan(df).splitlines() if ln.startswith("ReadSchema")][0]
     assert "signatures" in schema
-    for unused in ("meta", "account_keys", "instructions", "rewards"):
+    for unused in ("meta", "account_keys", "instructions", "lamports"):
         assert unused not in schema, unused
-    assert K._batch_stats(raw)["max_txs"] == 16
+    assert K._batch_stats(raw)["most_items"] == 16
+
+
+def test_transactions_and_status_read_only_their_leaves(spark):
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+
+    def read(df):
+        return [ln for ln in plan(df).splitlines() if ln.startswith("ReadSchema")][0]
+    for unused in ("inner_instructions", "account_keys", "program_id_index"):
+        assert unused not in read(P.transactions(raw)), unused
+    status = read(P.tx_status(raw))
+    assert "err" in status and "fee" in status
+    for unused in ("inner_instructions", "log_messages", "pre_balances", "token_balances", "lamports"):
+        assert unused not in status, unused
+
+
+def test_max_slots_read_no_values(spark):
+    from blockledger.operators import progress as G
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    schema = [ln for ln in plan(G.max_slots(raw)).splitlines() if ln.startswith("ReadSchema")][0]
+    for unused in ("log_messages", "token_balances", "pre_balances", "lamports", "account_keys"):
+        assert unused not in schema, unused
+
+
+def test_whole_replay_starts_no_write(spark):
+    from blockledger.plans import sink as K
+    from blockledger.session import fresh_namespace
+    raw = ledger.ledger_raw(spark, "/root/testdata/sf0.001")
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "replay"), bucket_size=16)
+    K.write_all(raw, store)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("replay", "replay")
+    try:
+        K.write_all(raw, store, parallel=False)
+        jobs = len(tracker.getJobIdsForGroup("replay"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 16

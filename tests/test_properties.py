@@ -105,7 +105,7 @@ def test_overlapping_batches_store_each_slot_once(spark, tmp_dir, bs):
 
 tx_meta = st.one_of(st.none(), st.fixed_dictionaries({
     "err": st.one_of(st.none(), st.sampled_from(["E", ""])),
-    "fee": st.one_of(st.none(), st.integers(0, 9)),
+    "fee": st.integers(0, 9),           # every meta has a fee
     "pre_balances": st.one_of(st.none(), st.lists(st.integers(0, 9), max_size=3)),
     "log_messages": st.one_of(st.none(), st.lists(st.sampled_from(["a", "b"]), max_size=2)),
     "compute_units_consumed": st.one_of(st.none(), st.integers(0, 9))}))

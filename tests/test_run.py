@@ -43,6 +43,11 @@ def test_command_line_batch_and_stream(spark, tmp_dir):
                 "--bucket-size", "4"])
     assert out["start_slot"] == 4
     spark.catalog.refreshTable(f"{ns}.blocks")
+    assert spark.table(f"{ns}.blocks").count() == 7      # the tip waits, as in a batch run
+    main(["--source", landing, "--namespace", ns, "--tables", "blocks,transactions", "--start", "genesis",
+          "--stream", "--available-now", "--write-tip", "--checkpoint", f"{tmp_dir}/cli-ckpt-2",
+          "--bucket-size", "4"])
+    spark.catalog.refreshTable(f"{ns}.blocks")
     assert spark.table(f"{ns}.blocks").count() == 8
 
 

@@ -12,7 +12,7 @@ from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
 from blockledger.sources import ledger
 from blockledger.sources import landed as L
-from conftest import block, tx
+from conftest import block, reward, tx
 
 
 def _store(spark, tables=None, bucket=4):
@@ -96,20 +96,68 @@ def test_bucket_predicate_prunes_partitions(spark, read_json):
     assert sorted(r.slot for r in df.collect()) == list(range(10, 21))
 
 
-def test_skip_stored_moves_only_slot_numbers(spark, read_json):
+def test_skip_stored_by_bucket_and_slot(spark, read_json):
     raw = read_json([block(s) for s in range(0, 20)])
     store = _store(spark, ["blocks"], bucket=4)
     K.write_all(raw.where("slot < 10"), store)   # buckets 0-1 whole, bucket 2 half stored
-    target = K.read_table(spark, store, "blocks")
-    out = K.skip_stored(raw, target, store, 0, 19)
+    status = K.batch_status(raw, store, 0, 19)
+    assert status == {"blocks": {0: (4, 4), 1: (4, 4), 2: (4, 2), 3: (4, 0), 4: (4, 0)}}
+    out = K.skip_stored(raw, store, "blocks", status["blocks"], 0, 19)
     assert sorted(r.slot for r in out.collect()) == list(range(10, 20))
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        out.explain()
-    plan = buf.getvalue()
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
-    # nothing stored in range: the rows pass through untouched
-    assert K.skip_stored(raw, target, store, 12, 19) is raw
+    assert K.batch_status(raw, store, 12, 19) is None       # nothing stored there: a first load
+    K.write_all(raw, store)
+    assert K.skip_stored(raw, store, "blocks", K.batch_status(raw, store, 0, 19)["blocks"], 0, 19) is None
+    assert _counts(spark, store)["blocks"] == 20
+
+
+def test_bucket_runs():
+    assert K._runs([3, 1, 2, 7, 9, 8]) == [(1, 3), (7, 9)] and K._runs([]) == []
+
+
+def test_no_writer_stores_refused_rows(spark, read_json):
+    raw = read_json([block(1, [tx("ok"), tx("x", signatures=[None])]), block(2, [tx("b")], block_height=None),
+                     block(3, [tx("c")])])
+    store = _store(spark)
+    K.write_all(raw.where("slot = 1"), store)
+    M.repair_missing(spark, raw, store)
+    K.append_table(P.transactions(raw), store, "transactions")
+    K.append_table(P.blocks(raw), store, "blocks")
+    assert _counts(spark, store) == {"blocks": 2, "transactions": 3, "instructions": 6, "rewards": 3}
+    for t, c in (("blocks", "block_height"), ("transactions", "signature"), ("instructions", "tx_signature")):
+        assert K.read_table(spark, store, t).where(f"{c} is null").count() == 0
+    stored = {t: K.read_table(spark, store, t) for t in store.tables}
+    assert G.missing_by_table(raw, stored).count() == 0      # refused rows are not missing
+    assert [r.slot for r in spark.table(K.rejects_name(store, "blocks")).collect()] == [2]
+    assert spark.table(K.rejects_name(store, "transactions")).count() == 1
+
+
+def test_rejects_without_a_slot_are_stored_once(spark, read_json):
+    raw = read_json([block(1, [tx("a")]), block(None, [tx("lost")], block_height=5, block_time=7, parent=0)])
+    store = _store(spark)
+    for _ in range(3):
+        K.write_all(raw, store)
+    assert _counts(spark, store) == {"blocks": 1, "transactions": 1, "instructions": 2, "rewards": 1}
+    got = {t: spark.table(K.rejects_name(store, t)).count() for t in store.tables}
+    assert got == {"blocks": 1, "transactions": 1, "instructions": 2, "rewards": 1}
+
+
+def test_differing_copies_of_a_slot_by_a_stated_order(spark, read_json):
+    small, big = block(4, [tx("a")]), block(4, [tx("b"), tx("c")])
+    for order in ([small, big], [big, small]):
+        out = K.dedupe_slots(read_json([block(1), *order]))
+        assert sorted(r.signature for r in P.transactions(out).collect()) == ["b", "c"]
+
+
+def test_settings_of_concurrent_writers(spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    a, b = K._unsorted_partitioned_write(spark), K._unsorted_partitioned_write(spark)
+    a.__enter__()
+    b.__enter__()
+    a.__exit__(None, None, None)
+    assert spark.conf.get(key) == "16"          # the other writer still needs it
+    b.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
 
 
 def test_dedupe_slots_keeps_one_row_per_slot(read_json):
@@ -170,7 +218,7 @@ def test_compact_buckets_keeps_rows_and_cuts_files(spark, read_json):
 def test_hot_block_is_spread_and_rows_unchanged(spark, read_json):
     hot = block(5, [tx(f"h{i}") for i in range(23)])
     raw = read_json([block(1, [tx("a")]), hot, block(9, [tx("b"), tx("c")])])
-    spread = P.spread_hot_blocks(raw, chunk=5)
+    spread = P.spread_hot_blocks(raw, "transactions", 5)
     assert spread.where("slot = 5").count() == 5            # 23 txs -> 5 slices
     for name in ("transactions", "instructions"):
         whole = P.BUILDERS[name](raw)
@@ -183,6 +231,17 @@ def test_hot_block_is_spread_and_rows_unchanged(spark, read_json):
     assert _counts(spark, a)["transactions"] == 26
 
 
+def test_hot_rewards_are_spread(spark, read_json):
+    raw = read_json([block(1, rewards=[reward(f"v{i}", i) for i in range(23)]), block(2), block(3, rewards=None)])
+    spread = P.spread_hot_blocks(raw, "rewards", 5)
+    assert spread.where("slot = 1").count() == 5
+    whole, parts = P.rewards(raw), P.rewards(spread)
+    assert whole.exceptAll(parts).count() == 0 and parts.exceptAll(whole).count() == 0
+    store = _store(spark)
+    K.write_all(raw, store, hot_chunk=5)
+    assert _counts(spark, store)["rewards"] == 24
+
+
 def test_catalog_name_and_table_properties(spark, read_json):
     ns = fresh_namespace(spark, "cat")
     store = K.LedgerStore(namespace=ns, catalog="spark_catalog", tables=("blocks",),

@@ -13,9 +13,9 @@ def _counts(spark, store):
     return {r.table_name: r.row_count for r in M.stored_counts(spark, store).collect()}
 
 
-def _drain(spark, landing, store, ckpt):
+def _drain(spark, landing, store, ckpt, hold_tip=False):
     q = ST.continuous_ingest(spark, landing, store, ckpt, available_now=True,
-                             max_files_per_trigger=1)
+                             max_files_per_trigger=1, hold_tip=hold_tip)
     q.awaitTermination()
     return q
 
@@ -49,7 +49,7 @@ def test_continuous_trigger_follows_new_files(spark, tmp_dir):
     store = K.LedgerStore(namespace=fresh_namespace(spark, "f"), bucket_size=4)
     write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(0, 3)])
     q = ST.continuous_ingest(spark, landing, store, f"{tmp_dir}/follow-ckpt",
-                             processing_time="1 second")
+                             processing_time="1 second", hold_tip=False)
     try:
         q.processAllAvailable()
         write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(3, 6)])
@@ -68,6 +68,29 @@ def test_stream_logs_unreadable_lines(spark, tmp_dir):
     assert _counts(spark, store)["transactions"] == 2
     rej = spark.table(store.fqn(ST.LANDING_REJECTS)).collect()
     assert [r.record for r in rej] == ["{broken"]
+    metrics = ST.batch_metrics(spark, store).count()
+    _drain(spark, landing, store, f"{tmp_dir}/bad-ckpt-lost")      # replayed: neither is repeated
+    assert spark.table(store.fqn(ST.LANDING_REJECTS)).count() == 1
+    assert ST.batch_metrics(spark, store).count() == metrics
+
+
+def test_stream_equals_batch_run(spark, tmp_dir):
+    """The newest slot waits in both, and the staging folders are gone afterwards."""
+    import glob
+    from blockledger.session import shared_dir
+    landing = f"{tmp_dir}/both"
+    for lo in (0, 4):
+        write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(lo, lo + 4)] + ["{broken"])
+    a = K.LedgerStore(namespace=fresh_namespace(spark, "sa"), bucket_size=4)
+    b = K.LedgerStore(namespace=fresh_namespace(spark, "sb"), bucket_size=4)
+    _drain(spark, landing, a, f"{tmp_dir}/both-ckpt", hold_tip=True)
+    for _ in range(2):
+        M.run_landed(spark, landing, b, start="genesis")
+    assert _counts(spark, a) == _counts(spark, b) == {"blocks": 7, "transactions": 7, "instructions": 14, "rewards": 7}
+    assert [r.record for r in spark.table(b.fqn(M.LANDING_REJECTS)).collect()] == ["{broken"]
+    left = glob.glob(f"{shared_dir(spark).removeprefix('file:')}/**/blockledger/*", recursive=True)
+    assert not [p for p in left if p.split("/")[-1].startswith(("pending-tip", "ready", "converted-", "compact", "append-new"))
+                and "test" not in p.split("/")[-1]]
 
 
 def test_hold_tip_keeps_newest_slot_until_a_newer_lands(spark, tmp_dir):
@@ -80,7 +103,7 @@ def test_hold_tip_keeps_newest_slot_until_a_newer_lands(spark, tmp_dir):
 
     def drain(ckpt):
         q = ST.continuous_ingest(spark, landing, store, f"{tmp_dir}/{ckpt}",
-                                 available_now=True, hold_tip=True)
+                                 available_now=True)
         q.awaitTermination()
 
     write_lines(landing, [block(s, [tx(f"s{s}")]) for s in range(0, 5)])
