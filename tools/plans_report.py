@@ -72,13 +72,13 @@ def main():
         "slot_range (F2) on a bucketed table": target.where(G.slot_range_filter(100, 200, tip, 250)),
         "first_blocks (T2)": P.blocks(raw).orderBy("slot").limit(10),
         "skip stored slots before a re-append (K2/K3)":
-            K.skip_stored(raw, target, store, 0, tip),
+            K.skip_stored(raw, store, "transactions", K.batch_status(raw, store, 0, tip)["transactions"], 0, tip),
         "last processed, top bucket only (A1)":
             target.where(F.col("slot_bucket") == (tip // 2 - 1) // 250).agg(F.max("slot")),
         "skipped_slots (M5)": G.skipped_slots(P.blocks(raw)),
         "missing_by_table (R5)": G.missing_by_table(raw, {"transactions": target.drop("slot_bucket")}),
         "fill_block_time (R1)": R.fill_block_time(P.blocks(raw), 250),
-        "batch stats aggregate": raw.agg(F.count_distinct("slot"), F.max(P.n_transactions(raw))),
+        "batch stats aggregate": raw.agg(F.count_distinct("slot"), F.max(P.most_items(raw))),
     }
     lines = ["# Physical plans of the core operators",
              "",
