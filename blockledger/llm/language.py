@@ -44,7 +44,7 @@ FOUND = [("lang_pred", T.StringType()), ("score", T.DoubleType()),
 def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct trigram cells of a text and how often each occurs."""
     cells, counts = [], []
-    for lo in range(0, len(text), PIECE):
+    for lo in range(0, max(1, len(text)), PIECE):
         b = _KEEP[np.frombuffer((" " + text[max(0, lo - 2) if lo else 0:lo + PIECE].lower() + " ").encode(), np.uint8)]
         g = (b[:-2] << 16) | (b[1:-1] << 8) | b[2:]
         g = g[(g & 0xFF00 != 0x2000) | ((g >> 16 != 32) & (g & 255 != 32))]  # a middle space needs two letters
