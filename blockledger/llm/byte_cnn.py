@@ -105,8 +105,10 @@ def gradients(m: dict, chunks: np.ndarray, owner: np.ndarray, y: np.ndarray, wei
     p = 1 / (1 + np.exp(-(h @ m["v"] + m["c"][0])))
     dz = ((p - y) * weight / weight.sum()).astype(np.float32)
     dh = dz[:, None] * m["v"]
-    is_most = f == most[owner]
-    df = dh[owner, :FILTERS] / size[owner] + np.where(is_most, dh[owner, FILTERS:], 0)
+    # Chunks share bytes, so several can hold the same maximum: they share its gradient.
+    is_most = (f == most[owner]).astype(np.float32)
+    is_most /= np.add.reduceat(is_most, first, axis=0)[owner]
+    df = dh[owner, :FILTERS] / size[owner] + is_most * dh[owner, FILTERS:]
     df = np.where(top > 0, df, 0).astype(np.float32)
     # Only the window at each maximum counts: its bytes, for each chunk and filter.
     place = (at * STEP)[:, :, None] + np.arange(2 * STEP)
