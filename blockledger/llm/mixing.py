@@ -5,13 +5,19 @@ share the total size by weight; a target stops at ``CAP`` times its source's
 size and the excess goes to the others by weight.  The common level is found
 from the sources in the order in which they fill up, one row for each source.
 
-Copies: each document of a source expects ``target / source size`` copies.  The
-expected copies are summed up within the source, by size and then by id, from
-one random offset; a document is emitted once for each integer boundary its
-step crosses.  In this order the emitted words are within about one document of
-the target.  The running count of a document is found from counts of (source,
-size) and (source, size, id group), so no task holds a source: only the
-documents of one source, size and group are ever ordered together.
+Copies: the documents of a source stand in the order of size, largest first, by
+classes that halve.  Every document of a class expects the same number of
+copies: what is still missing of the target, divided by the words of this class
+and all smaller ones (for the first class: target / source size).  The expected
+copies are summed up within the source from one random offset; a document is
+emitted once for each integer boundary its step crosses.  So a long document
+that was or was not taken is made up for by the shorter ones, and the emitted
+words end within about a short document of the target.
+
+The classes' expected copies come from counts of (source, size), one small group
+for each source; a document's place in its class from counts of (source, size)
+and (source, size, id group).  No task holds a source: only the documents of one
+source, size and id group are ever ordered together.
 
 Cases: a null or blank text has size 0; a null source is a source of its own;
 null ids come first and repeated rows are documents of their own; a source
@@ -21,6 +27,8 @@ gives no rows; other columns are kept by ``mixed`` and not read.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,32 +70,63 @@ def targets(sized: DataFrame) -> DataFrame:
                       F.least(F.col("cap").cast("double"), level * F.col("weight")).alias("target"))
 
 
+def size_class(size: Column) -> Column:
+    """Binary digits of the size, 0 for no words."""
+    return F.when(size > 0, F.length(F.bin(size))).otherwise(0)
+
+
+def class_steps(sizes: DataFrame, goal: DataFrame) -> DataFrame:
+    """(k, c, p, r): for each class c of source k the expected copies r of a document and those of all before, p.
+
+    ``sizes`` has (k, size, c, n): documents of each size, at most as many rows
+    for a source as it has different sizes.
+    """
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("size", ascending=False)
+        u, target, whole = rows["u"].iloc[0], rows["target"].iloc[0], int(rows["source_size"].iloc[0])
+        plain = target / whole if whole else 0.0
+        left, rest, p, out = target, whole, 0.0, []
+        for c, part in rows.groupby("c", sort=False):
+            r = min(float(CAP), max(0.0, left / rest)) if rest else plain
+            upto = part["n"].cumsum().to_numpy()
+            took = np.floor(u + (p + upto * r)) - np.floor(u + (p + (upto - part["n"].to_numpy()) * r))
+            out.append((rows["k"].iloc[0], int(c), p, r))
+            left -= float((took.astype(np.int64) * part["size"].to_numpy()).sum())
+            rest -= int((part["size"] * part["n"]).sum())
+            p = p + upto[-1] * r
+        return pd.DataFrame(out, columns=["k", "c", "p", "r"])
+
+    return sizes.join(goal, "k").groupBy("k").applyInPandas(run, "k string, c int, p double, r double")
+
+
 def copies(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """(row, size, source_size, target, copies) of each row; ``row`` holds the columns to ``keep``, or all."""
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("size", F.size(words_of(F.col("text"))).cast("long")).drop("text").withColumn(
-            "g", F.pmod(F.coalesce(F.col("id"), F.lit(0)), F.lit(GROUPS)))
+        return (df.withColumn("size", F.size(words_of(F.col("text"))).cast("long")).drop("text")
+                .withColumn("g", F.pmod(F.coalesce(F.col("id"), F.lit(0)), F.lit(GROUPS))))
 
     slim = docs.select(F.col("text").alias("text"), F.col("source").alias("source"), F.col("doc_id").alias("id"))
     counts = saved(keyed(slim).groupBy("source", "size", "g").agg(F.count("*").alias("n")), "mix-counts")
-    goal = targets(counts.select("source", F.expr("size * n").alias("size")))
-    by_size = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
-    running = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("source", "size").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
     key = source_key(F.col("source")).alias("k")
-    sizes = by_size.select(key, "size", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("smaller"))
+    goal = targets(counts.select("source", F.expr("size * n").alias("size"))).select(
+        key, offset(F.col("source")).alias("u"), "source_size", "target")
+    goal = saved(goal, "mix-goals")
+    sizes = (counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
+             .select(key, "size", size_class(F.col("size")).alias("c"), "n"))
+    sizes = saved(sizes, "mix-sizes")
+    larger = Window.partitionBy("k", "c").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("source", "size").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
     start = (counts.select(key, "size", "g", F.coalesce(F.sum("n").over(within), F.lit(0)).alias("same"))
-             .join(sizes, ["k", "size"]).select("k", "size", "g", (F.col("smaller") + F.col("same")).alias("before"))
-             .join(goal.select(key, offset(F.col("source")).alias("u"), "source_size", "target"), "k"))
+             .join(sizes.select("k", "size", "c", F.coalesce(F.sum("n").over(larger), F.lit(0)).alias("larger")), ["k", "size"])
+             .join(class_steps(sizes, goal), ["k", "c"]).join(goal, "k")
+             .select("k", "size", "g", (F.col("larger") + F.col("same")).alias("before"), "u", "p", "r", "source_size", "target"))
     start = saved(start, "mix-starts")
     rows = docs.select(F.struct(*(keep or ["*"])).alias("row"), F.col("text").alias("text"), F.col("source").alias("source"),
                        F.col("doc_id").alias("id"))
     rows = keyed(rows).withColumn("k", source_key(F.col("source"))).drop("source").join(start, ["k", "size", "g"])
-    i = F.col("before") + F.row_number().over(Window.partitionBy("k", "size", "g").orderBy("id"))
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = rows.withColumn("i", i).withColumn("rate", rate)
-    crossed = F.floor(F.expr("u + i * rate")) - F.floor(F.expr("u + (i - 1) * rate"))
-    return rows.select("row", "size", "source_size", "target", crossed.alias("copies"))
+    rows = rows.withColumn("i", F.col("before") + F.row_number().over(Window.partitionBy("k", "size", "g").orderBy("id")))
+    crossed = F.floor(F.expr("u + (p + i * r)")) - F.floor(F.expr("u + (p + (i - 1) * r)"))
+    return rows.select("row", "size", "source_size", "target", F.least(crossed, F.lit(CAP)).cast("long").alias("copies"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
@@ -98,7 +137,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 #: DuckDB SQL of ``copies`` over documents.
 SQL = f"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0
          ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
@@ -110,12 +149,30 @@ levels AS (
 goal AS (
   SELECT source, source_size,
          least(CAST(cap AS DOUBLE), (SELECT max(level) FROM levels WHERE level * weight <= cap) * weight) AS target FROM levels),
+sizes AS (SELECT source, size, CASE WHEN size > 0 THEN len(bin(size)) ELSE 0 END AS c, count(*) AS n FROM sized GROUP BY ALL),
+cum AS (SELECT *, sum(n) OVER (PARTITION BY source, c ORDER BY size DESC) AS upto FROM sizes),
+seeds AS (
+  SELECT *, CAST('0x' || substr(md5('{SEED}:' || CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END), 1, 8) AS BIGINT)
+              / 4294967296.0::DOUBLE AS u,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS plain,
+         (SELECT max(c) FROM sizes) AS top FROM goal),
+steps AS (
+  SELECT source, u, plain, top AS c, 0.0::DOUBLE AS p, target AS left_, CAST(source_size AS BIGINT) AS rest,
+         CASE WHEN source_size > 0 THEN least({CAP}.0::DOUBLE, greatest(0.0::DOUBLE, target / source_size)) ELSE plain END AS r
+  FROM seeds
+  UNION ALL
+  SELECT source, u, plain, c - 1, p2, left2, rest2,
+         CASE WHEN rest2 > 0 THEN least({CAP}.0::DOUBLE, greatest(0.0::DOUBLE, left2 / rest2)) ELSE plain END
+  FROM (SELECT s.source, s.u, s.plain, s.c,
+               s.p + coalesce((SELECT CAST(sum(n) AS BIGINT) FROM sizes z WHERE z.source IS NOT DISTINCT FROM s.source AND z.c = s.c), 0) * s.r AS p2,
+               s.left_ - coalesce((SELECT CAST(sum(size * CAST(floor(s.u + (s.p + upto * s.r)) - floor(s.u + (s.p + (upto - n) * s.r)) AS BIGINT)) AS DOUBLE)
+                                   FROM cum z WHERE z.source IS NOT DISTINCT FROM s.source AND z.c = s.c), 0) AS left2,
+               s.rest - coalesce((SELECT CAST(sum(size * n) AS BIGINT) FROM sizes z WHERE z.source IS NOT DISTINCT FROM s.source AND z.c = s.c), 0) AS rest2
+        FROM steps s WHERE s.c > 0)),
 ranked AS (
-  SELECT s.doc_id, s.size, g.source_size, g.target,
-         row_number() OVER (PARTITION BY s.source ORDER BY s.size, coalesce(s.doc_id, 0) % {GROUPS}, s.doc_id NULLS FIRST) AS i,
-         CAST('0x' || substr(md5('{SEED}:' || CASE WHEN s.source IS NULL THEN 'null' ELSE '=' || s.source END), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS u,
-         CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate
-  FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-       CAST(size * (floor(u + i * rate) - floor(u + (i - 1) * rate)) AS BIGINT) AS taken FROM ranked
+  SELECT doc_id, size, c, source, row_number() OVER (PARTITION BY source, c ORDER BY size DESC, coalesce(doc_id, 0) % {GROUPS}, doc_id NULLS FIRST) AS i
+  FROM (SELECT *, CASE WHEN size > 0 THEN len(bin(size)) ELSE 0 END AS c FROM sized))
+SELECT k.doc_id, CAST(k.size AS BIGINT) AS size, g.source_size, g.target,
+       CAST(k.size * least({CAP}, floor(s.u + (s.p + i * s.r)) - floor(s.u + (s.p + (i - 1) * s.r))) AS BIGINT) AS taken
+FROM ranked k JOIN steps s ON s.source IS NOT DISTINCT FROM k.source AND s.c = k.c JOIN goal g ON g.source IS NOT DISTINCT FROM k.source
 """
