@@ -171,7 +171,7 @@ def write_shards(docs: DataFrame, path: str, ranks_file: str, pattern: str, leng
                     ["shard", "record"])
 
     (packed.mapInArrow(place, "shard long, slot long, z binary")
-     .repartition(-(-total // per_shard), "shard").sortWithinPartitions("shard", "slot")
+     .repartitionById(-(-total // per_shard), F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
      .mapInArrow(plain, "shard long, record binary")
      .select("shard", F.col("record").cast("string").alias("value"))
      .write.partitionBy("shard").option("compression", "none").text(path))
