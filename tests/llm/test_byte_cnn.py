@@ -29,6 +29,7 @@ def test_gradients_match_differences():
     r = np.random.default_rng(1)
     texts = [B.chunked(bytes(r.integers(97, 123, n, np.uint8))) for n in (30, 600, 1500, 0)]
     m = {k: x.astype(np.float64) for k, x in B.start(1).items()}
+    m["b"] = r.normal(0, 0.1, B.FILTERS)  # away from the rectifier's kink
     x, owner = np.concatenate(texts), np.repeat(np.arange(4), [len(t) for t in texts])
     y, w = np.array([1, 0, 1, 0]), np.array([1.0, 2.0, 1.0, 3.0])
 
