@@ -177,10 +177,7 @@ def nest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
           .withColumn("parts", _parts(F.col("items")))
           .select("slot", F.struct(F.col("o_orderkey").alias("k"),
                                    _transaction().alias("tx")).alias("ktx")))
-    # Range-partition the per-order rows by slot: the slot aggregation reuses
-    # that partitioning, so block rows come out slot-ranged with no second
-    # shuffle of the nested rows before the sorted landing.
-    blocks = (tx.repartitionByRange("slot").groupBy("slot")
+    blocks = (tx.groupBy("slot")
               .agg(F.array_sort(F.collect_list("ktx")).alias("ktx"))
               .select("slot", F.transform("ktx", lambda x: x["tx"]).alias("transactions")))
 
@@ -206,6 +203,14 @@ def nest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_raw(nested)
 
 
+def last_slot(spark: SparkSession, sf_dir: str) -> int | None:
+    """The largest slot of the nested rows, from the flat tables."""
+    keys = [(f"{sf_dir}/orders.parquet", "o_orderkey", ORDERS_PER_SLOT),
+            (f"{sf_dir}/events.parquet", "event_id", EVENTS_PER_SLOT)]
+    tops = [spark.read.parquet(f).agg(F.max(slot_of(F.col(c), n))).first()[0] for f, c, n in keys]
+    return max((t for t in tops if t is not None), default=None)
+
+
 def conform_raw(df: DataFrame) -> DataFrame:
     """Cast to the RAW_BLOCK schema (field names, order and types)."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in S.RAW_BLOCK.fields])
@@ -244,9 +249,14 @@ def land_parquet(spark: SparkSession, sf_dir: str, path: str | None = None) -> s
     if path is None and key in _LANDED:
         return _LANDED[key]
     out = path or fresh_path(spark, "landed-parquet")
-    (nest_ledger(spark, sf_dir)
-     .sortWithinPartitions("slot")
-     .write.mode("overwrite").parquet(out))
+    nested = nest_ledger(spark, sf_dir)
+    top = last_slot(spark, sf_dir)
+    if top is not None:
+        # Equal slot ranges by arithmetic: a range partitioning would run the
+        # whole nesting a second time to sample it.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        nested = nested.repartitionById(n, F.floor(F.col("slot") * n / (top + 1)).cast("int"))
+    nested.sortWithinPartitions("slot").write.mode("overwrite").parquet(out)
     if path is None:
         _LANDED[key] = out
     return out
