@@ -14,8 +14,11 @@ from ..functions import expressions as X
 
 
 def blocks(raw: DataFrame) -> DataFrame:
-    """One header row per block."""
-    return raw.select(*[F.col(f.name) for f in S.BLOCKS.fields])
+    """One header row per block.
+
+    This and the other tables take over ``S.DATE_COLUMN`` where ``raw`` has it.
+    """
+    return raw.select(*[F.col(f.name) for f in S.BLOCKS.fields], *S.carried(raw.columns))
 
 
 def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
@@ -33,8 +36,9 @@ def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
         for part in path.split("."):
             c = c[part]
         cols.append(c.alias(name))
-    return (raw.select("slot", F.explode(F.arrays_zip(*cols)).alias("t"))
-            .select("slot", *[F.col(f"t.{n}").alias(n) for n in paths]))
+    keep = S.carried(raw.columns)
+    return (raw.select("slot", *keep, F.explode(F.arrays_zip(*cols)).alias("t"))
+            .select("slot", *keep, *[F.col(f"t.{n}").alias(n) for n in paths]))
 
 
 # Leaves that tell whether a transaction has meta: the fee is part of every meta.
@@ -66,6 +70,7 @@ def transactions(raw: DataFrame) -> DataFrame:
         F.col("logs").alias("log_messages"),
         X.tag_rewards("rewards", F.col("slot")).alias("rewards"),
         F.col("units").alias("compute_units_consumed"),
+        *S.carried(raw.columns),
     )
 
 
@@ -168,10 +173,11 @@ def instructions(raw: DataFrame, one_pass: bool = True) -> DataFrame:
             F.lit(True).alias("inner"), ins.alias("ins"))), F.array().cast(ENTRY_T))))
     every = F.concat(F.coalesce(top, F.array().cast(ENTRY_T)),
                      F.coalesce(inner, F.array().cast(ENTRY_T)))
-    rows = _ins_rows(raw).select("slot", "sig", "keys", F.explode(every).alias("e"))
+    keep = S.carried(raw.columns)
+    rows = _ins_rows(raw).select("slot", *keep, "sig", "keys", F.explode(every).alias("e"))
     e = F.col("e")
     return rows.select(*_instruction_cols(F.col("keys"), F.col("sig"), e["idx"], e["ins"],
-                                          e["inner"], e["parent"]))
+                                          e["inner"], e["parent"]), *keep)
 
 
 def program_ids(raw: DataFrame) -> DataFrame:
@@ -190,8 +196,9 @@ def resolved_accounts(raw: DataFrame) -> DataFrame:
 
 def rewards(raw: DataFrame) -> DataFrame:
     """One row per block reward, tagged with slot."""
-    return raw.select("slot", F.inline("rewards")).select(
-        *[F.col(f.name) for f in S.REWARDS.fields])
+    keep = S.carried(raw.columns)
+    return raw.select("slot", *keep, F.inline("rewards")).select(
+        *[F.col(f.name) for f in S.REWARDS.fields], *keep)
 
 
 # Item list of a block row that each row table is built from.
@@ -220,11 +227,12 @@ def spread_hot_blocks(raw: DataFrame, items: str = "transactions", chunk: int =
     """
     leaf = F.col(items)["transaction"]["signatures"] if items == "transactions" else F.col(items)["pubkey"]
     n = F.coalesce(F.when(leaf.isNotNull(), F.size(leaf)), F.lit(0))
-    cold = raw.where(n <= chunk).select("slot", items)
+    keep = S.carried(raw.columns)
+    cold = raw.where(n <= chunk).select("slot", *keep, items)
     hot = (raw.where(n > chunk)
-           .select("slot", items,
+           .select("slot", *keep, items,
                    F.explode(F.sequence(F.lit(0), F.floor((n - 1) / chunk).cast("int"))).alias("part"))
-           .select("slot", "part", F.slice(items, F.col("part") * chunk + 1, chunk).alias(items))
+           .select("slot", *keep, "part", F.slice(items, F.col("part") * chunk + 1, chunk).alias(items))
            .repartition("slot", "part")
            .drop("part"))
     return cold.unionByName(hot)

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from .. import schemas as S
-from ..functions.expressions import slot_bucket
+from ..functions.expressions import slot_bucket, unix_date
+from ..operators import blocktime as R
 from ..operators import flatten as P
 from ..operators import progress as G
 from ..operators import quality as Q
@@ -39,6 +40,7 @@ class LedgerStore:
 
     ``options`` become table properties at create time (e.g. an Iceberg
     table's ``write.format.default``); they are never applied on append.
+    ``by_date`` also partitions the tables by the UTC date of their block (R2).
     """
     namespace: str
     tables: tuple = S.TABLE_NAMES
@@ -46,6 +48,11 @@ class LedgerStore:
     bucket_size: int = DEFAULT_BUCKET_SIZE
     catalog: str | None = None
     options: dict = field(default_factory=dict)
+    by_date: bool = False
+
+    @property
+    def partitions(self) -> list[str]:
+        return [S.partition_column()] + ([S.DATE_COLUMN] if self.by_date else [])
 
     def fqn(self, table: str) -> str:
         base = f"{self.namespace}.{table}"
@@ -72,11 +79,12 @@ def ensure_tables(spark: SparkSession, store: LedgerStore) -> list[str]:
               f"{(store.catalog + '.') if store.catalog else ''}{store.namespace}")
     names = []
     part = S.partition_column()
+    date = f", {S.DATE_COLUMN} date" if store.by_date else ""
     for t in store.tables:
         name = store.fqn(t)
         if not spark.catalog.tableExists(name):
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(S.TABLES[t])}, {part} bigint) "
-                      f"USING {store.fmt} PARTITIONED BY ({part}){_properties(store)}")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(S.TABLES[t])}, {part} bigint{date}) "
+                      f"USING {store.fmt} PARTITIONED BY ({', '.join(store.partitions)}){_properties(store)}")
         names.append(name)
     return names
 
@@ -147,6 +155,24 @@ def _insert(df: DataFrame, store: LedgerStore, table: str, target: DataFrame) ->
     out.select(*target.columns).write.insertInto(store.fqn(table))
 
 
+def with_dates(raw: DataFrame, store: LedgerStore) -> DataFrame:
+    """Block rows with the UTC date of their (filled) block time, for stores ``by_date``.
+
+    Only the dates of blocks without a time are looked up, from the other blocks
+    of the batch; that list is written out, so Spark knows its size.
+    """
+    if not store.by_date or S.DATE_COLUMN in raw.columns:
+        return raw
+    date = unix_date("block_time")
+    if raw.where("block_time is null and slot is not null").isEmpty():
+        return raw.withColumn(S.DATE_COLUMN, date)
+    path = fresh_path(raw.sparkSession, "dates")
+    (R.fill_block_time(raw.where("slot is not null"), store.bucket_size).where("block_time_is_filled")
+     .select("slot", unix_date("block_time_filled").alias("_d")).write.parquet(path))
+    return (raw.join(raw.sparkSession.read.parquet(path), "slot", "left")
+            .withColumn(S.DATE_COLUMN, F.coalesce(date, "_d")).drop("_d"))
+
+
 # ------------------------------------------------------------- what is stored
 
 def batch_status(raw: DataFrame, store: LedgerStore, lo: int, hi: int):
@@ -222,7 +248,8 @@ def append_table(df: DataFrame, store: LedgerStore, table: str,
                  slot_range: tuple | None = None, dedupe: bool = True) -> str:
     """K2: append one table's rows, skipping slots the table already holds.
 
-    Rows that E2 refuses go to ``<table>_rejected``, as in ``write_all``.
+    Rows that E2 refuses go to ``<table>_rejected``, as in ``write_all``.  A store
+    ``by_date`` needs rows that carry ``S.DATE_COLUMN`` (see ``with_dates``).
     Returns the table name; a no-op when the table is not enabled.
     """
     name = store.fqn(table)
@@ -371,6 +398,7 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         if dedupe and st["n"] != st["d"]:
             raw = dedupe_slots(raw, st).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
+        raw = with_dates(raw, store)
         status = batch_status(raw, store, st["lo"], st["hi"]) if dedupe and st["lo"] is not None else None
         chunk = hot_chunk if (st["most_items"] or 0) > hot_chunk else None
         args = [(raw, store, t, st["lo"], st["hi"], status, chunk, st[f"rej_{t}"] > 0) for t in store.tables]
@@ -445,7 +473,7 @@ def compact_buckets(spark: SparkSession, store: LedgerStore, table: str,
         return False
     stage = fresh_path(spark, f"compact-{table}")
     (sel.repartitionByRange(part, "slot").sortWithinPartitions(part, "slot")
-     .write.mode("overwrite").partitionBy(part).parquet(stage))
+     .write.mode("overwrite").partitionBy(*store.partitions).parquet(stage))
     replace_partitions(spark.read.parquet(stage).select(*target.columns), store.fqn(table))
     remove_path(spark, stage)
     return True

@@ -372,11 +372,13 @@ def q_fill_block_time(spark, sf):
 
 
 def q_date_partitioning(spark, sf):
+    """R2: tables partitioned by date; the date each block is stored under."""
     raw = raw_of(spark, sf)
-    path = fresh_path(spark, "blocks-by-date")
-    R.dated_blocks(P.blocks(raw), _bucket_slots(raw)).write.partitionBy("block_date").parquet(path)
-    back = spark.read.parquet(path)
-    return back.select("slot", F.date_format("block_date", "yyyy-MM-dd").alias("block_date"))
+    store = _store(raw, DEV_TABLES)
+    store.by_date = True
+    K.write_all(raw, store)
+    return K.read_table(spark, store, "blocks").select(
+        "slot", F.date_format(S.DATE_COLUMN, "yyyy-MM-dd").alias("block_date"))
 
 
 def q_parallel_backfill(spark, sf):

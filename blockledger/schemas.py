@@ -175,3 +175,12 @@ def required_columns(table: str) -> list[str]:
 
 def partition_column() -> str:
     return "slot_bucket"
+
+
+#: Column of tables that are also partitioned by date.
+DATE_COLUMN = "block_date"
+
+
+def carried(columns: list[str]) -> list[str]:
+    """Columns that row tables take over from the block rows, where those have them."""
+    return [c for c in (DATE_COLUMN,) if c in columns]

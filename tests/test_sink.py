@@ -273,3 +273,32 @@ def test_repair_missing_rederives_partial_slots(spark, read_json):
     assert _counts(spark, store) == full
     fixed = K.read_table(spark, store, "transactions").drop("slot_bucket")
     assert fixed.groupBy("slot").count().where("count <> 2").count() == 0
+
+
+def test_store_by_date(spark, read_json):
+    day = 86400
+    rows = [block(s, [tx(f"s{s}")], block_time=None if s in (3, 7) else s * day // 4) for s in range(12)]
+    raw = read_json(rows)
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "d"), bucket_size=4, by_date=True)
+    K.write_all(raw, store)
+    once = _counts(spark, store)
+    for t in store.tables:
+        got = {(r.slot, str(r.block_date)) for r in K.read_table(spark, store, t).collect()}
+        assert got == {(s, f"1970-01-0{1 + s // 4}") for s in range(12)}, t
+    one = K.read_table(spark, store, "transactions").where("block_date = date'1970-01-02'")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one.explain("formatted")
+    assert "PartitionFilters: [isnotnull(block_date" in buf.getvalue() and one.count() == 4
+    K.write_all(raw, store)                                  # replay
+    assert _counts(spark, store) == once
+    K.compact_buckets(spark, store, "transactions", 0, 1)
+    assert _counts(spark, store) == once
+    # lose a slot, repair it, and it is back under its date
+    t = K.read_table(spark, store, "rewards")
+    stage = f"{spark.conf.get('spark.checkpoint.dir')}/lost-{store.namespace}"
+    t.where("slot_bucket = 1 and slot <> 6").write.parquet(stage)
+    K.replace_partitions(spark.read.parquet(stage).select(*t.columns), store.fqn("rewards"))
+    assert [r.slot for r in M.repair_missing(spark, raw, store).collect()] == [6]
+    assert _counts(spark, store) == once
+    assert K.read_table(spark, store, "rewards").where("slot = 6 and block_date = date'1970-01-02'").count() == 1
