@@ -15,29 +15,29 @@ def _hook(directed: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (u, v): root is the smallest node it reaches.
+    """(node, root) for every node of ``edges`` (u, v) but the roots: the smallest node it reaches.
 
-    Large and small stars in turn (Kiveris et al. 2014) until nothing changes;
-    each round is written to the shared folder.  Hot nodes meet in grouped
-    minima, which combine before the shuffle, and in joins that Spark can split.
+    Large and small stars in turn (Kiveris et al. 2014) until every node hangs
+    on one root; each round is written to the shared folder, so that Spark
+    knows its size and joins small graphs without a shuffle.  Hot nodes meet in
+    grouped minima, which combine before the shuffle, and in joins that Spark
+    can split.
     """
     e = saved(edges.filter("u <> v").select(F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")).distinct(),
               "components")
-    if e.isEmpty():
-        return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    before = None
-    while True:
+    while not _is_flat(e):
         both = e.unionByName(e.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        large = (_hook(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = large.filter("u <> v").distinct()
-        # Small star: of u > v, hang u and its smaller partners under the smallest.
+        # Large star: larger partners of u hang under the smallest of u and its partners.
+        large = _hook(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = saved(large, "components-large")
+        # Small star: so do u and its smaller partners.
         h = _hook(large)
-        small = (h.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(h.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        e = saved(small, "components")
-        state = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if state == before:
-            break
-        before = state
-    return e.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root").unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        e = saved(h.select(F.col("v").alias("u"), F.col("m").alias("v"))
+                  .unionByName(h.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "components")
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _is_flat(e: DataFrame) -> bool:
+    """Whether no node hangs on two others, or on one that hangs itself."""
+    return (e.join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+            and e.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1").isEmpty())

@@ -46,7 +46,8 @@ SHINGLE = 3
 THRESHOLD = 90  # per cent
 ROWS_AT_ONCE = 1024  # texts held as sets at a time
 SEGMENT = 4096  # shingles in a segment of the exact count, about
-BLOCK = 1024  # members of a bucket compared at a time
+SKETCH = 16  # bits for each shingle that linked sets may differ by
+BLOCK = 256  # members of a bucket compared at a time
 WORD_CACHE = 1_000_000
 
 PROFILE = ("doc_id long, n long, h long, tk long, sigs array<long>, "
@@ -142,7 +143,7 @@ class Cuts:
     def sketch(self, h: np.ndarray) -> bytes:
         """One bit for each hash value's low bits, set if an odd number of shingles has it."""
         d = int(self.most_diff(len(h), len(h)))
-        bits = 1 << max(6, int(16 * d - 1).bit_length() if d else 6)
+        bits = 1 << max(6, int(SKETCH * d - 1).bit_length() if d else 6)
         odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
         return np.packbits(odd.astype(np.uint8)).tobytes()
 
@@ -320,7 +321,7 @@ def links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, per_cent: int = TH
           size: int = SHINGLE) -> DataFrame:
     """The pairs at or above the threshold, by partial overlaps summed over fragments."""
     cuts = Cuts(per_cent)
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("h")).distinct()
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("h"))
     wanted = saved(sets.join(ends, "h", "left_semi").select("tk", "h"), "join-wanted")
     # One text for each set; the list of texts is broadcast only while Spark's size check allows it.
     texts = (docs.select(F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("tk"))
@@ -362,14 +363,15 @@ def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size:
     """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""
     prof = saved(profile(docs, per_cent, size), "join-profile")
     members = saved(bucket_members(prof), "join-buckets")
-    ids = members.select("h").unionByName(members.select(F.col("lead").alias("h"))).distinct()
+    ids = members.select("h").unionByName(members.select(F.col("lead").alias("h")))
     sets = saved(prof.filter("sketch is not null").select("h", "n", "tk", "sketch")
                  .join(ids, "h", "left_semi").dropDuplicates(["h"]), "join-sets")
     edges = roots = None
     for step in ("star", "forest", "all"):
         pairs = saved(star_pairs(members, sets, per_cent) if step == "star" else
                       rest_pairs(members, sets, roots, per_cent, step == "forest"), f"join-{step}")
-        if not pairs.isEmpty():
+        likely = pairs.count()
+        if likely:
             found = saved(links(docs, pairs, sets, per_cent, size), f"join-links-{step}").select("u", "v")
         elif edges is None:
             found = pairs.select("u", "v")
@@ -377,6 +379,8 @@ def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size:
             break  # no likely pair crosses components any more
         edges = found if edges is None else edges.unionByName(found)
         roots = components(edges).select(F.col("node").alias("h"), "root")
+        if step == "forest" and found.count() == likely:
+            break  # the whole forest holds, so nothing likely is left between components
     rows = prof.select("doc_id", "n", "h")
     by_set = rows.filter("h is not null").groupBy("h").agg(F.min("doc_id").alias("least"))
     by_set = by_set.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))

@@ -89,5 +89,5 @@ def test_linked_sets_share_a_signature():
 def test_components_of_a_graph(spark):
     chain = [(i, i + 1) for i in range(0, 50)] + [(100, 7), (200, 201), (5, 5), (201, 200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
-    assert got == {**{i: 0 for i in range(51)}, 100: 0, 200: 200, 201: 200}
+    assert got == {**{i: 0 for i in range(1, 51)}, 100: 0, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
