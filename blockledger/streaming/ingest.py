@@ -56,17 +56,17 @@ def _hold_tip(raw: DataFrame, store: K.LedgerStore) -> tuple[DataFrame, list[str
     cols = [f.name for f in S.RAW_BLOCK.fields]
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({K._ddl(S.RAW_BLOCK)}) USING {store.fmt}")
     spark.catalog.refreshTable(name)
-    both = raw.select(*cols).unionByName(spark.table(name).select(*cols))
-    # A block handed in again after its slot was written does not move the tip back.
+    stages = [fresh_path(spark, "pending-before"), fresh_path(spark, "pending-tip")]
+    spark.table(name).select(*cols).write.parquet(stages[0])   # a few rows, cut from the table
+    before = spark.read.schema(S.RAW_BLOCK).parquet(stages[0])
+    both = raw.select(*cols).unionByName(before)
     tip = both.agg(F.max("slot")).first()[0]
     if tip is None:
-        return raw.limit(0), []
-    stages = [fresh_path(spark, "pending-tip"), fresh_path(spark, "ready")]
-    both.where(F.col("slot") == tip).distinct().write.parquet(stages[0])
-    both.where(F.col("slot") < tip).write.parquet(stages[1])  # cut from the table before replacing it
-    spark.read.parquet(stages[0]).select(*cols).write.insertInto(name, overwrite=True)
+        return raw.limit(0), stages[:1]
+    both.where(F.col("slot") == tip).distinct().write.parquet(stages[1])
+    spark.read.schema(S.RAW_BLOCK).parquet(stages[1]).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
-    return spark.read.schema(S.RAW_BLOCK).parquet(stages[1]), stages
+    return both.where(F.col("slot") < tip), stages
 
 
 def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,

@@ -89,7 +89,7 @@ def test_stream_equals_batch_run(spark, tmp_dir):
     assert _counts(spark, a) == _counts(spark, b) == {"blocks": 7, "transactions": 7, "instructions": 14, "rewards": 7}
     assert [r.record for r in spark.table(b.fqn(M.LANDING_REJECTS)).collect()] == ["{broken"]
     left = glob.glob(f"{shared_dir(spark).removeprefix('file:')}/**/blockledger/*", recursive=True)
-    assert not [p for p in left if p.split("/")[-1].startswith(("pending-tip", "ready", "converted-", "compact", "append-new"))
+    assert not [p for p in left if p.split("/")[-1].startswith(("pending-", "converted-", "compact", "append-new"))
                 and "test" not in p.split("/")[-1]]
 
 
