@@ -4,7 +4,8 @@ Rules are host suffixes with a path prefix; the longest rule that fits decides.
 Where none fits, the host's standing in the link graph does: trust spreads from
 the hosts of allowed pages along host edges, distrust from the hosts of blocked
 pages against them, both as personalised PageRank.  A host is blocked when its
-distrust exceeds ``RATIO`` times its trust and is above the mean of all hosts.
+distrust exceeds ``RATIO`` times its trust, both in seed pages (rank times all
+seed pages of that side), so that seeds it has no path from cannot switch it.
 
 Host edges: hyperlinks between hosts, counted, and a link each way between a
 host and its parent domain (down to two labels) where both are in the graph, as
@@ -130,12 +131,13 @@ def standing(ruled: DataFrame, rounds: int = ROUNDS, ratio: float = RATIO) -> Da
     trust = personalised_rank(edges, votes.filter("ruled = 'allow'").select("host", "weight"), rounds)
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
     distrust = personalised_rank(back, votes.filter("ruled = 'block'").select("host", "weight"), rounds)
-    both = saved(trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust"))
+    both = (trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust"))
             .unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
-            .groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "trust-both")
-    hosts = ruled.select("host").unionByName(edges.select(F.col("src").alias("host"))).distinct().count()
-    mean = (both.agg(F.sum("distrust")).first()[0] or 0.0) / max(1, hosts)
-    bad = (F.col("distrust") > ratio * F.col("trust")) & (F.col("distrust") > mean)
+            .groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
+    pages = {r["ruled"]: float(r["n"]) for r in votes.groupBy("ruled").agg(F.sum("weight").alias("n")).collect()}
+    t, d = F.col("trust") * pages.get("allow", 0.0), F.col("distrust") * pages.get("block", 0.0)
+    # Rounded, as the order of the sums in the ranks moves their last digits; an even host is allowed.
+    bad = F.round(F.try_divide(d, t + d), 9) > round(ratio / (1 + ratio), 9)
     return both.withColumn("method", F.when(bad, "block").otherwise("allow"))
 
 

@@ -75,6 +75,21 @@ def test_distrust_spreads_against_links(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+def test_large_hosts_elsewhere_do_not_switch_a_host(spark):
+    rows = [(1, "http://bad.net/", None), (2, "http://liker.test/", '<a href="http://bad.net/">'),
+            (3, "http://fan.test/", '<a href="http://liker.test/">'),
+            (4, "http://good.org/fr/", '<a href="http://mixed.test/">'), (5, "http://good.org/fr/2", None),
+            (6, "http://worse.net/", None), (7, "http://worse.net/2", None), (8, "http://worse.net/3", None),
+            (9, "http://mixed.test/", '<a href="http://worse.net/">'),
+            (10, "http://good.org/fr/3", '<a href="http://better.test/">'), (11, "http://better.test/", '<a href="http://worst.net/">'),
+            (12, "http://worst.net/", None)]
+    want = {2: "block", 3: "block", 9: "block", 11: "allow"}
+    for more in ([], ["http://large.net/"], ["http://large.org/fr/"]):
+        all_rows = rows + [(100 + k, u, None) for u in more for k in range(60)]
+        got = {r.page_id: r.verdict for r in T.judged(spark.createDataFrame(all_rows, "page_id long, url string, html string")).collect()}
+        assert {k: got[k] for k in want} == want, more
+
+
 def test_judged_rows(spark, pages):
     got = T.judged(pages, rounds=5).collect()
     assert len(got) == len(URLS) * 2
