@@ -359,8 +359,8 @@ def links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, per_cent: int = TH
 
 # ------------------------------------------------------------------- operator
 
-def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""
+def grouped(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """The rows' (doc_id, n, h, tk), and (h, least, root) of each set: its smallest id and its component."""
     prof = saved(profile(docs, per_cent, size), "join-profile")
     members = saved(bucket_members(prof), "join-buckets")
     ids = members.select("h").unionByName(members.select(F.col("lead").alias("h")))
@@ -381,9 +381,14 @@ def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size:
         roots = components(edges).select(F.col("node").alias("h"), "root")
         if step == "forest" and found.count() == likely:
             break  # the whole forest holds, so nothing likely is left between components
-    rows = prof.select("doc_id", "n", "h")
+    rows = prof.select("doc_id", "n", "h", "tk")
     by_set = rows.filter("h is not null").groupBy("h").agg(F.min("doc_id").alias("least"))
-    by_set = by_set.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    return rows, by_set.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+
+
+def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row for each row of ``docs``."""
+    rows, by_set = grouped(docs, per_cent, size)
     by_root = by_set.groupBy("root").agg(F.min("least").alias("component_id"))
     named = by_set.join(by_root, "root").select("h", "component_id")
     return (rows.join(named, "h", "left")
@@ -392,12 +397,27 @@ def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size:
 
 
 def one_of_each(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, one row for each id.
+    """One row of each component: the first by id, then by the hash of its text.
 
-    Rows without an id have no name to choose by and stay; so does a document
-    with an empty set, which is linked with nothing.
+    A component whose rows all lack an id keeps one of them; in any other, rows
+    without an id stay beside the first.  Rows with an empty set are linked with
+    nothing and stay, repeats with an id once.
     """
-    found = near_duplicate_components(docs, per_cent, size)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    chosen = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"])
-    return chosen.unionByName(docs.filter(docs["doc_id"].isNull()))
+    rows, by_set = grouped(docs, per_cent, size)
+    placed = saved(rows.join(by_set.select("h", "root"), "h", "left").select("doc_id", "tk", "h", "root").distinct(),
+                   "join-placed")
+    first = (placed.filter("h is not null").groupBy("root")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk")).alias("x"))
+             .select("root", "x.no_id", "x.doc_id", "x.tk"))
+    id_, tk = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
+    with_id = docs.filter(docs["doc_id"].isNotNull()).withColumns({"_id": id_, "_tk": tk})
+    chosen = (first.filter("not no_id").select("doc_id", "tk")
+              .unionByName(placed.filter("h is null and doc_id is not null").select("doc_id", "tk"))
+              .select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")))
+    kept = with_id.join(chosen, ["_id", "_tk"], "left_semi").dropDuplicates(["_id", "_tk"])
+    no_id = docs.filter(docs["doc_id"].isNull()).withColumn("_tk", tk)
+    alone = first.filter("no_id").select("root", F.col("tk").alias("_tk"))
+    theirs = placed.join(alone.select("root"), "root", "left_semi").select(F.col("tk").alias("_tk")).distinct()
+    one = no_id.join(alone.select("_tk"), "_tk", "left_semi").dropDuplicates(["_tk"])
+    rest = no_id.join(theirs, "_tk", "left_anti")
+    return kept.select(*docs.columns).unionByName(one.select(*docs.columns)).unionByName(rest.select(*docs.columns))
