@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from blockledger.functions import compat
 from blockledger.operators import flatten as P
-from conftest import block, ins, reward, token, tx
+from ledger_blocks import block, ins, reward, token, tx
 
 
 def rows(df, order=("slot",)):

@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from blockledger.registry import QUERIES
-from conftest import SMALL
+from ledger_blocks import SMALL
 
 KEYS = sorted(QUERIES)
 

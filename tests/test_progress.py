@@ -6,7 +6,7 @@ import pytest
 
 from blockledger.operators import flatten as P
 from blockledger.operators import progress as G
-from conftest import block, tx
+from ledger_blocks import block, tx
 
 
 def test_last_processed_cases_h20(spark, read_json):

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from blockledger.operators import flatten as P
 from blockledger.sources.landed import read_blocks
-from conftest import write_lines
+from ledger_blocks import write_lines
 
 idx = st.integers(min_value=0, max_value=5)
 ins = st.fixed_dictionaries({

@@ -6,7 +6,7 @@ import json
 
 from blockledger.operators import flatten as P
 from blockledger.operators import quality as Q
-from conftest import block, tx, write_lines
+from ledger_blocks import block, tx, write_lines
 
 
 def test_corrupt_records_h18(spark, tmp_dir):

@@ -9,7 +9,7 @@ from blockledger.operators import progress as G
 from blockledger.plans import backfill as M
 from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
-from conftest import block, tx, write_lines
+from ledger_blocks import block, tx, write_lines
 
 
 def _blocks(spark, store):

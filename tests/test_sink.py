@@ -12,7 +12,7 @@ from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
 from blockledger.sources import ledger
 from blockledger.sources import landed as L
-from conftest import block, reward, tx
+from ledger_blocks import block, reward, tx
 
 
 def _store(spark, tables=None, bucket=4):

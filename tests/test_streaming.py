@@ -6,7 +6,7 @@ from blockledger.plans import backfill as M
 from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
 from blockledger.streaming import ingest as ST
-from conftest import block, tx, write_lines
+from ledger_blocks import block, tx, write_lines
 
 
 def _counts(spark, store):
