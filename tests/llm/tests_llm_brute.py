@@ -13,9 +13,9 @@ def shingles(text: str | None, size: int = 3) -> frozenset:
     return frozenset(tuple(w[i:i + size]) for i in range(max(1, len(w) - size + 1))) if w else frozenset()
 
 
-def roots_of(rows: list[tuple], per_cent: int = 90) -> list[int]:
+def roots_of(rows: list[tuple], per_cent: int = 90, size: int = 3) -> list[int]:
     """For each (id, text) the position of its component's root."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, size) for _, t in rows]
     root = list(range(len(rows)))
 
     def find(x):
@@ -31,9 +31,9 @@ def roots_of(rows: list[tuple], per_cent: int = 90) -> list[int]:
     return [find(k) for k in range(len(rows))]
 
 
-def components_of(rows: list[tuple], per_cent: int = 90) -> dict:
+def components_of(rows: list[tuple], per_cent: int = 90, size: int = 3) -> dict:
     """The smallest id of each id's component."""
-    roots = roots_of(rows, per_cent)
+    roots = roots_of(rows, per_cent, size)
     least: dict = {}
     for (i, t), r in zip(rows, roots):
         if i is not None:
