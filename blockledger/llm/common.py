@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blockledger.session import fresh_path
+from blockledger.session import fresh_path, remove_path
 
 #: ASCII white space, and words as its complement.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -24,7 +24,15 @@ def saved(df: DataFrame, name: str, **options) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, f"llm/{name}")
     df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``saved`` wrote, once nothing reads it any more."""
+    for df in frames:
+        remove_path(df.sparkSession, df._saved_at)
 
 
 def words_of(text: Column) -> Column:

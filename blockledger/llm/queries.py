@@ -14,6 +14,7 @@ from blockledger.llm import (
     link_trust,
     mixing,
     ngram_join,
+    phrases,
     rule_cascade,
     token_counts,
     token_shards,
@@ -89,13 +90,20 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language, mined in shards and counted exactly over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_mixture, op3_token_shards, op4_systematic_mixing, op5_tool_chat,
-    op6_byte_cnn_quality, op7_rule_cascade, op8_link_trust, op9_token_counts, op10_winnowing)}
+    op6_byte_cnn_quality, op7_rule_cascade, op8_link_trust, op9_token_counts, op10_winnowing,
+    op11_son_phrases)}
 
 ORACLE: dict[str, str] = {
     "op4_systematic_mixing": mixing.SQL,
     "op5_tool_chat": tool_chat.SQL,
     "op7_rule_cascade": rule_cascade.SQL,
     "op10_winnowing": winnowing.SQL,
+    "op11_son_phrases": phrases.SQL,
 }
