@@ -19,6 +19,8 @@ from blockledger.llm import (
     token_counts,
     token_shards,
     tool_chat,
+    toxicity,
+    variants,
     winnowing,
 )
 from blockledger.llm.common import table, training_row
@@ -95,10 +97,25 @@ def op11_son_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its form, its root and the number of words one edit away."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_toxic_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of rows that are not held out, and its likeliest sentence."""
+    learned_from = lambda i: F.crc32(i.cast("string").cast("binary")) % 5 != 0
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learned_from)
+    return toxicity.scored(docs, model).select(
+        "doc_id", (~learned_from(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"), "n_sentences", "worst", "worst_score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_ngram_jaccard_join, op2_language_mixture, op3_token_shards, op4_systematic_mixing, op5_tool_chat,
     op6_byte_cnn_quality, op7_rule_cascade, op8_link_trust, op9_token_counts, op10_winnowing,
-    op11_son_phrases)}
+    op11_son_phrases, op12_spelling_variants, op13_toxic_sentences)}
 
 ORACLE: dict[str, str] = {
     "op4_systematic_mixing": mixing.SQL,
