@@ -7,14 +7,16 @@ their maximum over the text, and one logistic unit gives the probability of
 label 1.
 
 Training is on the driver, on a bounded sample: at most ``TRAIN_DOCS`` labelled
-texts in the order of a hash of their ids, at most ``TRAIN_CHUNKS`` evenly
-spaced chunks of each (Adam, classes weighed equally).  Scoring is in the tasks,
+texts in the order of a hash of their ids, every chunk of each (Adam, classes
+weighed equally); responses are worked out for a bounded number of chunks at a
+time.  Scoring is in the tasks,
 over every byte of every text.
 
 Cases: a null text scores as an empty one, an empty one as a chunk of padding;
 without labelled rows, or with one class only, every score is 0.5 or near that
 class; repeated labels of an id count once, an id with both labels as the
-larger; labels without a text and null labels are not learned from; repeated
+larger, an id with several texts is learned from by the text of smallest hash;
+labels without a text and null labels are not learned from; repeated
 rows and ties get equal scores; an empty table gives no rows; other columns are
 ignored.
 """
@@ -32,7 +34,6 @@ HOP = 480  # bytes from chunk to chunk: 32 are shared
 EMBED = 8
 FILTERS = 32
 TRAIN_DOCS = 4000
-TRAIN_CHUNKS = 6
 EPOCHS = 8
 BATCH = 64
 RATE = 0.006
@@ -94,9 +95,11 @@ def scores(m: dict, texts: list[bytes | None]) -> np.ndarray:
 def gradients(m: dict, chunks: np.ndarray, owner: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
     """Of the weighted log loss; ``owner`` gives each chunk's text, in order."""
     n, docs = len(chunks), len(y)
-    r = responses(m, chunks)
-    at = r.argmax(axis=1)
-    top = np.take_along_axis(r, at[:, None, :], 1)[:, 0]
+    at, top = np.empty((n, FILTERS), np.int64), np.empty((n, FILTERS), np.float32)
+    for lo in range(0, n, AT_ONCE):
+        r = responses(m, chunks[lo:lo + AT_ONCE])
+        at[lo:lo + AT_ONCE] = r.argmax(axis=1)
+        top[lo:lo + AT_ONCE] = np.take_along_axis(r, at[lo:lo + AT_ONCE][:, None, :], 1)[:, 0]
     f = np.maximum(top, 0)
     first = np.searchsorted(owner, np.arange(docs))
     size = np.bincount(owner, minlength=docs)[:, None]
@@ -157,19 +160,11 @@ def train(docs: DataFrame, labels: DataFrame, wanted, train_docs: int = TRAIN_DO
            .filter("id is not null and y in (0, 1)").filter(wanted(F.col("id")))
            .groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(train_docs))
 
-    def cut(batches):
-        for b in batches:
-            out = []
-            for t in b.column("text"):
-                c = chunked(t.as_py())
-                pick = np.unique(np.linspace(0, len(c) - 1, min(len(c), TRAIN_CHUNKS)).astype(int))
-                out.append(c[pick].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("y"), pa.array(out, pa.binary())], ["id", "y", "x"])
-
     texts = docs.filter("text is not null").select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
-    rows = texts.join(F.broadcast(ids), "id").select("id", "y", "text").mapInArrow(cut, "id long, y int, x binary").dropDuplicates(["id"])
-    got = sorted({r.id: r for r in rows.collect()}.values(), key=lambda r: r.id)
-    return fit([np.frombuffer(r.x, np.uint8).reshape(-1, CHUNK) for r in got], np.array([r.y for r in got], int))
+    rows = (texts.join(F.broadcast(ids), "id").groupBy("id", "y")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("id", "y", "x.text"))
+    got = sorted(rows.collect(), key=lambda r: r.id)
+    return fit([chunked(bytes(r.text)) for r in got], np.array([r.y for r in got], int))
 
 
 def scored(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:

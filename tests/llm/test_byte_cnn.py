@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from blockledger.llm import byte_cnn as B
+from blockledger.llm.common import training_row
 from blockledger.llm.queries import op6_byte_cnn_quality
 
 
@@ -80,3 +81,13 @@ def test_awkward_rows(spark, documents, no_documents):
     assert B.scored(no_documents, m).collect() == []
     none = B.train(documents, labels.limit(0), lambda c: F.lit(True))
     assert {r.score for r in B.scored(documents, none).collect()} == {0.5}
+
+
+def test_held_out_long_texts(spark):
+    """Texts of more than six chunks, held out, are scored as well as short ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = B.train(docs, labels, training_row)
+    long = docs.filter("octet_length(text) > 3000").join(labels, "doc_id").filter(~training_row(F.col("doc_id")))
+    got = B.scored(long, model).join(labels, "doc_id").select("score", "quality").collect()
+    assert len(got) > 200 and np.mean([(r.score >= 0.5) == r.quality for r in got]) > 0.93
