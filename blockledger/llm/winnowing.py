@@ -74,13 +74,21 @@ def window_hash(a: Column, at: Column, n) -> Column:
     return F.xxhash64(F.slice(a, at, n))
 
 
+def windows_at(a: Column, starts: Column, n) -> Column:
+    """(start, wh) of the windows of n words at these places: hashes only, so that no row carries a text's words."""
+    return F.transform(starts, lambda i: F.struct(i.alias("start"), window_hash(a, i + 1, n).alias("wh")))
+
+
+def all_windows(a: Column, n) -> Column:
+    return windows_at(a, F.sequence(F.lit(0), F.size(a) - n), n)
+
+
 def item_windows(items: DataFrame) -> DataFrame:
     """(item, n, wh) of each window of n words."""
     a = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
                      hashes(F.col("text")).alias("a")).filter(F.size("a") > 0)
     n = F.least(F.size("a"), F.lit(WINDOW))
-    at = a.select("item", "a", n.alias("n"), F.explode(F.sequence(F.lit(1), F.size("a") - n + 1)).alias("i"))
-    return at.select("item", "n", window_hash(F.col("a"), F.col("i"), F.col("n")).alias("wh")).distinct()
+    return a.select("item", n.alias("n"), F.explode(all_windows(F.col("a"), n)).alias("w")).select("item", "n", "w.wh").distinct()
 
 
 def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -109,18 +117,16 @@ def occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
             .dropDuplicates(["key"]))
     near = saved(near.select("key", hashes(F.col("text")).alias("a")), "winnow-near")
     grams = let(F.col("a"), lambda a: F.when(F.size(a) >= WINDOW, kgrams(a)))
-    at = near.select("key", "a", F.posexplode_outer(grams).alias("p", "fp"))
-    # Around each hit: the words of every window that holds its k-gram.
-    hits = at.join(prints, "fp", "left_semi").select(
-        "key", F.explode(F.sequence(F.greatest(F.col("p") - (W - 1), F.lit(0)),
-                                    F.least(F.col("p"), F.size("a") - WINDOW))).alias("start"), "a")
-    starts = hits.select("key", "start", F.lit(WINDOW).alias("n"),
-                         window_hash(F.col("a"), F.col("start") + 1, F.lit(WINDOW)).alias("wh"))
-    if sizes:
-        short = near.withColumn("n", F.explode(F.array(*[F.lit(n) for n in sorted(sizes)]))).filter(F.size("a") >= F.col("n"))
-        short = short.select("key", "a", "n", F.explode(F.sequence(F.lit(0), F.size("a") - F.col("n"))).alias("start"))
-        starts = starts.unionByName(short.select(
-            "key", "start", "n", window_hash(F.col("a"), F.col("start") + 1, F.col("n")).alias("wh")))
+    at = near.select("key", F.posexplode_outer(grams).alias("p", "fp"))
+    # Around each hit: every window that holds its k-gram.
+    spots = at.join(prints, "fp", "left_semi").groupBy("key").agg(F.collect_list("p").alias("spots"))
+    begins = F.array_distinct(F.flatten(F.transform("spots", lambda p: F.sequence(
+        F.greatest(p - (W - 1), F.lit(0)), F.least(p, F.size("a") - WINDOW)))))
+    hits = near.join(spots, "key").select("key", F.explode(windows_at(F.col("a"), begins, F.lit(WINDOW))).alias("w"))
+    starts = hits.select("key", "w.start", F.lit(WINDOW).alias("n"), "w.wh")
+    for n in sorted(sizes):
+        short = near.filter(F.size("a") >= n).select("key", F.explode(all_windows(F.col("a"), F.lit(n))).alias("w"))
+        starts = starts.unionByName(short.select("key", "w.start", F.lit(n).alias("n"), "w.wh"))
     return starts.distinct().join(windows, ["n", "wh"]).select("key", "start", "n", "item")
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 from blockledger.llm import winnowing as W
+from conftest import prose
 from tests_llm_brute import hits
 
 
@@ -73,3 +74,16 @@ def test_plan_has_no_python(spark):
     d, i = tables(spark)
     plan = W.contamination(d, i)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_long_texts_in_linear_room(spark):
+    """A text of a million words that is one benchmark passage after the other: no row carries its words per hit."""
+    r = random.Random(9)
+    items = [(k, prose(r, 40)) for k in range(20)] + [(99, "just three words")]
+    passages = [t for _, t in items]
+    text = " ".join(r.choice(passages) if r.random() < 0.9 else prose(r, 30) for _ in range(5_000))
+    docs = spark.createDataFrame([(1, text), (2, "w " * 1_000_000)], "doc_id long, text string")
+    got = {x.doc_id: x for x in W.contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    n = len(text.split())
+    assert got[1].n_words == n > 150_000 and got[1].n_items == 21 and got[1].contaminated and 0.85 * n < got[1].n_hit <= n
+    assert got[2].n_words == 1_000_000 and got[2].n_hit == 0
