@@ -26,6 +26,8 @@ settings give the same order again.
 from __future__ import annotations
 
 import base64
+import heapq
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,11 @@ LENGTH = 2048
 PER_SHARD = 2048  # sequences; 8 MB of ids
 KEY = 20240229
 ROUNDS = 6
-CACHE = 400_000  # chunks
-LONGEST = 48  # characters of a chunk that is remembered
+LONG_SPACE = 5_000  # characters of white space that are merged apart
+
+#: What the pattern calls white space.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG_SPACE = re.compile(f"[{_SPACE}]{{{LONG_SPACE},}}")
 
 
 # ------------------------------------------------------------------ the order
@@ -80,16 +85,65 @@ def slots(numbers: np.ndarray, total: int, key: int = KEY, back: bool = False) -
 # ------------------------------------------------------------------ tokenising
 
 class Encoder:
-    """Ids of whole texts as the tokenizer gives them."""
+    """Ids of whole texts as the tokenizer gives them.
+
+    The tokenizer's pattern cannot match very long white space, so such runs are
+    cut out by the pattern's own rule -- a run is one chunk, without its last
+    character where a text goes on -- and merged here.
+    """
 
     def __init__(self, ranks_file: str, pattern: str):
         with open(ranks_file, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.plain = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self.end = len(ranks)
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.plain = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        self.end = len(self.ranks)
+        if self.end > 0xFFFF or max(self.ranks.values(), default=0) >= self.end:
+            raise ValueError("ids and the end mark must fit 16 bits")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.plain.encode_ordinary(text), "<u2").tobytes()
+        out, at = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += self.plain.encode_ordinary(text[at:run.start()])
+            out += self.merged(text[run.start():end].encode())
+            at = end
+        out += self.plain.encode_ordinary(text[at:] if at else text)
+        return np.array(out, "<u2").tobytes()
+
+    def merged(self, chunk: bytes) -> list[int]:
+        """One chunk's ids: the pair of lowest rank is merged first, the first of equal ones, as often as any has one."""
+        ranks, n = self.ranks, len(chunk)
+        end = list(range(1, n + 1))  # of the part that begins here
+        before = list(range(-1, n - 1))
+        heap = []
+
+        def offer(i: int) -> None:
+            j = end[i] if i >= 0 else n
+            if j < n and (r := ranks.get(chunk[i:end[j]])) is not None:
+                heap.append((r, i, end[j])) if filling else heapq.heappush(heap, (r, i, end[j]))
+
+        filling = True
+        for i in range(n - 1):
+            offer(i)
+        filling = False
+        heapq.heapify(heap)
+        alive = bytearray(b"\1") * n
+        while heap:
+            _, i, to = heapq.heappop(heap)
+            j = end[i]
+            if not alive[i] or j >= n or end[j] != to:
+                continue  # one of the two parts has changed since
+            alive[j] = 0
+            end[i] = to
+            if to < n:
+                before[to] = i
+            offer(i)
+            offer(before[i])
+        out, i = [], 0
+        while i < n:
+            out.append(ranks[chunk[i:end[i]]])
+            i = end[i]
+        return out
 
 
 def _streams(batches, encoder: Encoder):

@@ -1,5 +1,6 @@
 """Shards: an exact round trip of every token, and the permutation."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -62,3 +63,22 @@ def test_same_order_again_and_by_key(spark, documents):
 
 def test_no_rows(no_documents):
     assert S.materialise(no_documents, RANKS, PATTERN).collect() == []
+
+
+def test_long_white_space():
+    enc = S.Encoder(RANKS, PATTERN)
+    for run in (" " * 7000, "\n" * 6000, "\t " * 4000, "　 \n" * 2500, "\xa0" * 5001):
+        for a, b in (("", ""), ("x", ""), ("", "y"), ("it's", "  y\n\n z"), ("1 ", "!")):
+            text = a + run + b
+            assert enc.ids(text) == np.array(enc.plain.encode_ordinary(text), "<u2").tobytes()
+    r = random.Random(2)
+    for _ in range(200):
+        chunk = bytes(r.choice(b" \t\nabe\xc3\xa9") for _ in range(r.randint(1, 40)))
+        assert enc.merged(chunk) == enc.plain._encode_single_piece(chunk)
+
+
+def test_two_million_spaces():
+    enc = S.Encoder(RANKS, PATTERN)
+    for text in (" " * 2_000_000 + "x", "\t " * 1_000_000, "a" + "\n" * 2_000_000 + "b"):
+        ids = np.frombuffer(enc.ids(text), "<u2").tolist()
+        assert enc.plain.decode(ids) == text
