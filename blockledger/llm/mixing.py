@@ -102,7 +102,7 @@ def class_steps(sizes: DataFrame, goal: DataFrame) -> DataFrame:
 def copies(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """(row, size, source_size, target, copies) of each row; ``row`` holds the columns to ``keep``, or all."""
     def keyed(df: DataFrame) -> DataFrame:
-        return (df.withColumn("size", F.size(words_of(F.col("text"))).cast("long")).drop("text")
+        return (df.withColumns({"size": F.size(words_of(F.col("text"))).cast("long"), "tk": F.xxhash64("text")}).drop("text")
                 .withColumn("g", F.pmod(F.coalesce(F.col("id"), F.lit(0)), F.lit(GROUPS))))
 
     slim = docs.select(F.col("text").alias("text"), F.col("source").alias("source"), F.col("doc_id").alias("id"))
@@ -124,7 +124,7 @@ def copies(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     rows = docs.select(F.struct(*(keep or ["*"])).alias("row"), F.col("text").alias("text"), F.col("source").alias("source"),
                        F.col("doc_id").alias("id"))
     rows = keyed(rows).withColumn("k", source_key(F.col("source"))).drop("source").join(start, ["k", "size", "g"])
-    rows = rows.withColumn("i", F.col("before") + F.row_number().over(Window.partitionBy("k", "size", "g").orderBy("id")))
+    rows = rows.withColumn("i", F.col("before") + F.row_number().over(Window.partitionBy("k", "size", "g").orderBy("id", "tk")))
     crossed = F.floor(F.expr("u + (p + i * r)")) - F.floor(F.expr("u + (p + (i - 1) * r)"))
     return rows.select("row", "size", "source_size", "target", F.least(crossed, F.lit(CAP)).cast("long").alias("copies"))
 

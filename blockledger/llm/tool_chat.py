@@ -126,7 +126,9 @@ def linked(events: DataFrame, tools: dict | None = None) -> DataFrame:
     has_id = "conv_id is not null and call_id is not null"
     calls = ev.filter("kind = 'call'")
     w = Window.partitionBy("conv_id", "call_id").orderBy("turn", "name", "arguments", "parent_id", "content")
-    calls = calls.withColumn("n", F.when(F.expr(has_id), F.row_number().over(w)).otherwise(1))
+    # Calls without an id share none, so they stay out of the window.
+    calls = (calls.filter(has_id).withColumn("n", F.row_number().over(w))
+             .unionByName(calls.filter(f"not ({has_id})").withColumn("n", F.lit(1))))
     firsts = saved(calls.filter("n = 1").filter(has_id).select("conv_id", "call_id", "parent_id"), "chat-calls")
     gen = saved(generations(firsts).withColumn("known", F.lit(True)), "chat-linked")
     answered = ev.filter("kind = 'result'").filter(has_id).groupBy("conv_id", "call_id").agg(F.count("*").alias("n_results"))
