@@ -28,14 +28,15 @@ equal scores; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRAIN_DOCS = 6000
+TRAIN_DOCS = 4000
 LEAST_DOCS = 3
 BEGINNINGS = range(3, 11)  # bytes
 EPOCHS = 40
@@ -108,33 +109,41 @@ def noisy_or(p: np.ndarray) -> np.ndarray:
 
 
 class Bags:
-    """Texts as numbers of words, with each word's sentence; and the features of each word."""
+    """Texts as numbers of words, with each word's sentence; and the features of each word.
 
-    def __init__(self, texts: list[list[bytes]]):
+    Texts are taken one at a time and kept as numbers, so that what stays is a
+    few bytes for each word of the sample.
+    """
+
+    def __init__(self, texts: Iterable[list[bytes]]):
         number: dict[bytes, int] = {b".": -1}
-        self.words, self.sentence, self.n = [], [], []
+        self.words, self.sentence, self.n, seen = [], [], [], []
         for ws in texts:
-            a = np.array([number.setdefault(x, len(number) - 1) for x in ws], np.int64)
+            a = np.array([number.setdefault(x, len(number) - 1) for x in ws], np.int32)
             end = a < 0
-            owner = np.unique(np.cumsum(end)[~end], return_inverse=True)[1]
+            owner = np.unique(np.cumsum(end)[~end], return_inverse=True)[1].astype(np.int32)
             self.words.append(a[~end])
             self.sentence.append(owner)
             self.n.append(int(owner.max()) + 1 if len(owner) else 1)
+            seen.append(np.unique(a[~end]))
         del number[b"."]
         self.count = len(number)
-        seen = Counter()
-        for a in self.words:
-            seen.update(np.unique(a).tolist())
-        # Features by the texts that have them, counted over words: an upper bound that needs no set a text.
-        features = [parts(x) for x in number]
-        texts_with: Counter = Counter()
-        for k, f in enumerate(features):
-            for x in f:
-                texts_with[x] += seen[k]
-        self.names = sorted(x for x, n in texts_with.items() if n >= LEAST_DOCS)
-        known = {x: k for k, x in enumerate(self.names)}
-        pairs = [(k, known[x]) for k, f in enumerate(features) for x in f if x in known]
-        self.owner, self.feature = np.array(pairs, np.int64).reshape(-1, 2).T
+        in_texts = np.bincount(np.concatenate(seen), minlength=self.count) if seen else np.zeros(0, int)
+        # A part is counted over the texts of all its words: at least as often as over the texts that have it.
+        hashes, owner = [], []
+        for k, x in enumerate(number):
+            h = [xxhash.xxh3_64_intdigest(p) for p in parts(x)]
+            hashes += h
+            owner += [k] * len(h)
+        owner = np.array(owner, np.int64)
+        _, first, feature = np.unique(np.array(hashes, np.uint64), return_index=True, return_inverse=True)
+        often = np.bincount(feature, in_texts[owner], len(first)) >= LEAST_DOCS
+        keep = often[feature]
+        self.owner, self.feature = owner[keep], (np.cumsum(often) - 1)[feature][keep]
+        words = list(number)
+        at = first[often]  # which of its word's parts a feature is
+        place = at - np.searchsorted(owner, owner[at])
+        self.names = [parts(words[k])[j] for k, j in zip(owner[at].tolist(), place.tolist())]
 
     def weights(self, w: np.ndarray) -> np.ndarray:
         """Of each word, from those of the features."""
@@ -188,10 +197,17 @@ def fit(bags: Bags, y: np.ndarray, seed: int = 7) -> tuple[np.ndarray, float]:
     return w, b
 
 
-def learned(rows: list[tuple[bytes, int]]) -> Model:
+def learned(rows: Iterable[tuple[bytes, int]]) -> Model:
     """The model of labelled texts (text, 0 or 1)."""
-    bags = Bags([tokens(t) for t, _ in rows])
-    w, b = fit(bags, np.array([y for _, y in rows], np.float64))
+    labels: list[int] = []
+
+    def words():
+        for text, label in rows:
+            labels.append(label)
+            yield tokens(text)
+
+    bags = Bags(words())
+    w, b = fit(bags, np.array(labels, np.float64))
     return Model({x: float(w[k]) for k, x in enumerate(bags.names) if w[k]}, float(b))
 
 
@@ -203,8 +219,7 @@ def train(docs: DataFrame, labels: DataFrame, wanted, train_docs: int = TRAIN_DO
     texts = docs.filter("text is not null").select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
     rows = (texts.join(F.broadcast(ids), "id").groupBy("id", "y")
             .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("id", "y", "x.text"))
-    got = sorted(rows.collect(), key=lambda r: r.id)
-    return learned([(bytes(r.text), r.y) for r in got])
+    return learned((bytes(r.text), r.y) for r in rows.orderBy("id").toLocalIterator())
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
