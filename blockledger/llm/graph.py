@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from blockledger.llm.common import saved
+from blockledger.llm.common import discard, saved
 
 
 def _hook(directed: DataFrame) -> DataFrame:
@@ -32,8 +32,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = saved(large, "components-large")
         # Small star: so do u and its smaller partners.
         h = _hook(large)
-        e = saved(h.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, e = e, saved(h.select(F.col("v").alias("u"), F.col("m").alias("v"))
                   .unionByName(h.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "components")
+        discard(before, large)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

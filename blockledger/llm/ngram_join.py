@@ -39,14 +39,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from blockledger.llm.common import saved
+from blockledger.llm.common import discard, saved
 from blockledger.llm.graph import components
 
 SHINGLE = 3
 THRESHOLD = 90  # per cent
 ROWS_AT_ONCE = 1024  # texts held as sets at a time
-SEGMENT = 4096  # shingles in a segment of the exact count, about
-SKETCH = 16  # bits for each shingle that linked sets may differ by
+SEGMENT = 128  # shingles in a segment of the exact count, about
+SKETCH = 4  # bits for each shingle that linked sets may differ by
 BLOCK = 256  # members of a bucket compared at a time
 WORD_CACHE = 1_000_000
 
@@ -319,7 +319,7 @@ def rest_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, per_cent:
 
 def links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, per_cent: int = THRESHOLD,
           size: int = SHINGLE) -> DataFrame:
-    """The pairs at or above the threshold, by partial overlaps summed over fragments."""
+    """The pairs at or above the threshold, by partial overlaps summed over fragments; saved."""
     cuts = Cuts(per_cent)
     ends = pairs.select(F.explode(F.array("u", "v")).alias("h"))
     wanted = saved(sets.join(ends, "h", "left_semi").select("tk", "h"), "join-wanted")
@@ -353,8 +353,10 @@ def links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, per_cent: int = TH
     b = seg.select(F.col("h").alias("v"), "c", "q", F.col("part").alias("pv"))
     partial = (dealt.join(a, ["u", "c", "q"]).join(b, ["v", "c", "q"])
                .select("u", "v", "nu", "nv", F.size(F.array_intersect("pu", "pv")).cast("long").alias("o")))
-    return (partial.groupBy("u", "v", "nu", "nv").agg(F.sum("o").alias("both"))
-            .filter(F.expr(f"100 * both >= {per_cent} * (nu + nv - both)")).select("u", "v", "both"))
+    out = saved(partial.groupBy("u", "v", "nu", "nv").agg(F.sum("o").alias("both"))
+                .filter(F.expr(f"100 * both >= {per_cent} * (nu + nv - both)")).select("u", "v", "both"), "join-links")
+    discard(wanted, seg)
+    return out
 
 
 # ------------------------------------------------------------------- operator
@@ -366,22 +368,26 @@ def grouped(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) ->
     ids = members.select("h").unionByName(members.select(F.col("lead").alias("h")))
     sets = saved(prof.filter("sketch is not null").select("h", "n", "tk", "sketch")
                  .join(ids, "h", "left_semi").dropDuplicates(["h"]), "join-sets")
+    rows = saved(prof.select("doc_id", "n", "h", "tk"), "join-rows")
+    discard(prof)  # the signatures are by far the largest part, and no longer needed
     edges = roots = None
     for step in ("star", "forest", "all"):
         pairs = saved(star_pairs(members, sets, per_cent) if step == "star" else
                       rest_pairs(members, sets, roots, per_cent, step == "forest"), f"join-{step}")
         likely = pairs.count()
         if likely:
-            found = saved(links(docs, pairs, sets, per_cent, size), f"join-links-{step}").select("u", "v")
+            found = links(docs, pairs, sets, per_cent, size).select("u", "v")
         elif edges is None:
             found = pairs.select("u", "v")
         else:
             break  # no likely pair crosses components any more
         edges = found if edges is None else edges.unionByName(found)
         roots = components(edges).select(F.col("node").alias("h"), "root")
+        if likely:
+            discard(pairs)
         if step == "forest" and found.count() == likely:
             break  # the whole forest holds, so nothing likely is left between components
-    rows = prof.select("doc_id", "n", "h", "tk")
+    discard(members, sets)
     by_set = rows.filter("h is not null").groupBy("h").agg(F.min("doc_id").alias("least"))
     return rows, by_set.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
 
@@ -397,27 +403,19 @@ def near_duplicate_components(docs: DataFrame, per_cent: int = THRESHOLD, size:
 
 
 def one_of_each(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> DataFrame:
-    """One row of each component: the first by id, then by the hash of its text.
+    """One row of each component: the first by id (none comes last), then by the hash of its text.
 
-    A component whose rows all lack an id keeps one of them; in any other, rows
-    without an id stay beside the first.  Rows with an empty set are linked with
-    nothing and stay, repeats with an id once.
+    Rows with an empty set are linked with nothing and stay; rows that are equal
+    in id and text are one.
     """
     rows, by_set = grouped(docs, per_cent, size)
-    placed = saved(rows.join(by_set.select("h", "root"), "h", "left").select("doc_id", "tk", "h", "root").distinct(),
-                   "join-placed")
+    placed = rows.join(by_set.select("h", "root"), "h", "left").select("doc_id", "tk", "h", "root").distinct()
     first = (placed.filter("h is not null").groupBy("root")
-             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk")).alias("x"))
-             .select("root", "x.no_id", "x.doc_id", "x.tk"))
-    id_, tk = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
-    with_id = docs.filter(docs["doc_id"].isNotNull()).withColumns({"_id": id_, "_tk": tk})
-    chosen = (first.filter("not no_id").select("doc_id", "tk")
-              .unionByName(placed.filter("h is null and doc_id is not null").select("doc_id", "tk"))
-              .select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")))
-    kept = with_id.join(chosen, ["_id", "_tk"], "left_semi").dropDuplicates(["_id", "_tk"])
-    no_id = docs.filter(docs["doc_id"].isNull()).withColumn("_tk", tk)
-    alone = first.filter("no_id").select("root", F.col("tk").alias("_tk"))
-    theirs = placed.join(alone.select("root"), "root", "left_semi").select(F.col("tk").alias("_tk")).distinct()
-    one = no_id.join(alone.select("_tk"), "_tk", "left_semi").dropDuplicates(["_tk"])
-    rest = no_id.join(theirs, "_tk", "left_anti")
-    return kept.select(*docs.columns).unionByName(one.select(*docs.columns)).unionByName(rest.select(*docs.columns))
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk")).alias("x")).select("x.doc_id", "x.tk"))
+    chosen = saved(first.unionByName(placed.filter("h is null").select("doc_id", "tk")), "join-chosen")
+    # A missing id is a value like any other here.
+    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), F.col("doc_id").isNull()]
+    kept = (docs.withColumns({"_id": key[0], "_no": key[1], "_tk": F.xxhash64(docs["text"])})
+            .join(chosen.select(key[0].alias("_id"), key[1].alias("_no"), F.col("tk").alias("_tk")), ["_id", "_no", "_tk"], "left_semi")
+            .dropDuplicates(["_id", "_no", "_tk"]))
+    return kept.select(*docs.columns)
