@@ -48,6 +48,7 @@ ROWS_AT_ONCE = 1024  # texts held as sets at a time
 SEGMENT = 128  # shingles in a segment of the exact count, about
 SKETCH = 4  # bits for each shingle that linked sets may differ by
 BLOCK = 256  # members of a bucket compared at a time
+TILE = 32  # of them against the others at once
 WORD_CACHE = 1_000_000
 
 PROFILE = ("doc_id long, n long, h long, tk long, sigs array<long>, "
@@ -274,43 +275,51 @@ def rest_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, per_cent:
     dealt = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
 
     def run(batches):
-        cuts, key, rows = Cuts(per_cent), None, []
+        cuts, rest = Cuts(per_cent), None
         for b in batches:
-            for r in zip(*(c.to_pylist() for c in b.columns)):
-                if r[:3] != key:
-                    if len(rows) > 1:
-                        yield from found(cuts, key, rows)
-                    key, rows = r[:3], []
-                rows.append(r[3:])
-        if len(rows) > 1:
-            yield from found(cuts, key, rows)
-
-    def found(cuts, key, rows):
-        own, h, root, n = (np.array([r[c] for r in rows], np.int64) for c in range(4))
-        size = min(len(r[4]) for r in rows)
-        sk = np.stack([folded(np.frombuffer(r[4], np.uint8), size) for r in rows])
-        out, label = [], root.copy()
-        for x in range(len(rows) - 1):
-            y = np.arange(x + 1, len(rows))
-            y = y[label[y] != label[x]]
-            if key[1] != key[2]:
-                y = y[own[y] != own[x]]
-            lo, hi = np.minimum(n[x], n[y]), np.maximum(n[x], n[y])
-            y = y[100 * lo >= per_cent * hi]
-            if not len(y):
-                continue
-            least = np.bitwise_count(sk[y] ^ sk[x]).sum(axis=1)
-            for z in y[least <= cuts.most_diff(n[x], n[y])]:
-                if forest and label[z] == label[x]:
+            t = pa.Table.from_batches([b])
+            t = (t if rest is None else pa.concat_tables([rest, t])).combine_chunks()
+            sig, i, j = (t.column(c).to_numpy() for c in ("sig", "i", "j"))
+            first = np.flatnonzero((sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            first = np.concatenate([[0], first])
+            yield from pairs_of(x for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()) if hi - lo > 1
+                                for x in found(cuts, i[lo] != j[lo], t.slice(lo, hi - lo)))
+            rest = t.slice(int(first[-1]))  # its block may go on in the next batch
+        if rest is not None and rest.num_rows > 1:
+            yield from pairs_of(found(cuts, rest.column("i")[0] != rest.column("j")[0], rest))
+
+    def pairs_of(found):
+        out = sorted(set(found))
+        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in range(4)], ["u", "v", "nu", "nv"])
+
+    def found(cuts, apart, rows):
+        """Likely pairs of a block; ``apart``: between its two halves only."""
+        own, h, root, n = (rows.column(c).to_numpy() for c in ("own", "h", "root", "n"))
+        label = root.copy()
+        if (label == label[0]).all():
+            return
+        sketches = rows.column("sketch").to_pylist()
+        size = min(map(len, sketches))
+        sk = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in sketches]).view(np.uint64)
+        for lo in range(0, len(n), TILE):
+            a, b = slice(lo, lo + TILE), slice(lo, None)
+            few, many = np.minimum(n[a, None], n[b]), np.maximum(n[a, None], n[b])
+            ok = (root[a, None] != root[b]) & (100 * few >= per_cent * many)
+            ok &= np.arange(len(few))[:, None] < np.arange(few.shape[1])
+            if apart:
+                ok &= own[a, None] != own[b]
+            x, y = np.nonzero(ok)
+            least = np.bitwise_count(sk[lo + x] ^ sk[lo + y]).sum(axis=1, dtype=np.int64)
+            near = least <= cuts.most_diff(n[lo + x], n[lo + y])
+            for p, q in zip((lo + x[near]).tolist(), (lo + y[near]).tolist()):
+                if forest and label[p] == label[q]:
                     continue
-                if differing(rows[x][4], rows[z][4]) > cuts.most_diff(n[x], n[z]):
+                if differing(sketches[p], sketches[q]) > cuts.most_diff(n[p], n[q]):
                     continue
-                out.append(sorted(((h[x], n[x]), (h[z], n[z]))))
+                (u, nu), (v, nv) = sorted(((int(h[p]), int(n[p])), (int(h[q]), int(n[q]))))
+                yield u, v, nu, nv
                 if forest:
-                    label[label == label[z]] = label[x]
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([p[i][j] for p in out], pa.int64()) for j in (0, 1) for i in (0, 1)], ["u", "v", "nu", "nv"])
+                    label[label == label[q]] = label[p]
 
     return dealt.mapInArrow(run, "u long, v long, nu long, nv long").distinct()
 
