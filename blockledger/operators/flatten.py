@@ -42,7 +42,8 @@ def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
 
 
 # Leaves that tell whether a transaction has meta: the fee is part of every meta.
-META_FLAG = {"err": "meta.err", "fee": "meta.fee", "units": "meta.compute_units_consumed"}
+META_FLAG = {"err": "meta.err", "fee": "meta.fee", "units": "meta.compute_units_consumed",
+             "pre": "meta.pre_balances", "post": "meta.post_balances", "logs": "meta.log_messages"}
 
 
 def transactions(raw: DataFrame) -> DataFrame:
@@ -50,9 +51,8 @@ def transactions(raw: DataFrame) -> DataFrame:
     header = F.col("header")
     txs = tx_rows(raw, signatures="transaction.signatures", header="transaction.message.header",
                   recent_blockhash="transaction.message.recent_blockhash", **META_FLAG,
-                  pre="meta.pre_balances", post="meta.post_balances",
                   pre_tokens="meta.pre_token_balances", post_tokens="meta.post_token_balances",
-                  logs="meta.log_messages", rewards="meta.rewards")
+                  rewards="meta.rewards")
     return txs.select(
         F.col("slot"),
         X.first_or_null("signatures").alias("signature"),
@@ -60,7 +60,7 @@ def transactions(raw: DataFrame) -> DataFrame:
         header["num_readonly_signed_accounts"].alias("num_readonly_signed_accounts"),
         header["num_readonly_unsigned_accounts"].alias("num_readonly_unsigned_accounts"),
         F.col("recent_blockhash"),
-        X.success_of("err", "fee", "units").alias("success"),
+        X.success_of(*META_FLAG).alias("success"),
         X.error_of("err").alias("error"),
         F.col("fee"),
         X.non_empty_or_null("pre").alias("pre_balances"),
@@ -78,7 +78,7 @@ def tx_status(raw: DataFrame) -> DataFrame:
     """P5: success / error per transaction (reads signatures and META_FLAG only)."""
     txs = tx_rows(raw, signatures="transaction.signatures", **META_FLAG)
     return txs.select("slot", X.first_or_null("signatures").alias("signature"),
-                      X.success_of("err", "fee", "units").alias("success"),
+                      X.success_of(*META_FLAG).alias("success"),
                       X.error_of("err").alias("error"))
 
 

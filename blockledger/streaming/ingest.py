@@ -24,7 +24,7 @@ from ..session import fresh_path, remove_path
 from ..sources.landed import stream_blocks
 
 METRICS_TABLE = "_batch_metrics"
-PENDING_TABLE = "_pending_tip"
+PENDING_TABLE = "_pending_tips"
 # Landed bytes per micro-batch unless told otherwise: bounds what one batch persists.
 DEFAULT_BYTES_PER_TRIGGER = 16 << 30
 METRICS_DDL = ("batch_id bigint, table_name string, input_rows bigint, "
@@ -41,48 +41,71 @@ def ensure_metrics_table(spark: SparkSession, store: K.LedgerStore) -> str:
     return name
 
 
-def _hold_tip(raw: DataFrame, store: K.LedgerStore) -> tuple[DataFrame, list[str]]:
-    """One-slot lag: the newest block waits until a newer slot has landed.
+def _ensure_pending(spark: SparkSession, store: K.LedgerStore) -> str:
+    name = store.fqn(PENDING_TABLE)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({K._ddl(S.RAW_BLOCK)}, batch_id bigint) "
+              f"USING {store.fmt} PARTITIONED BY (batch_id)")
+    spark.catalog.refreshTable(name)
+    return name
 
-    The held block rows live in a small pending table; each batch takes them
-    back, writes every slot below the new maximum, and keeps the maximum's
-    rows pending.  The pending rows are staged in the shared folder before
-    the table is replaced, so it is never overwritten while being read; a
-    replayed batch gives the same result (writes are idempotent per slot).
-    Returns the rows to write and the staging folders to remove afterwards.
+
+def _hold_tip(raw: DataFrame, store: K.LedgerStore, batch_id: int) -> DataFrame:
+    """One-slot lag, first phase: hold the newest block under this batch's id.
+
+    A batch takes in its own rows and all held ones, holds the rows of the
+    newest slot and gives back those below it.  Nothing held before is touched
+    here: rows held by earlier batches go only when this batch has been written
+    (``_retire_held``), and this batch's are only ever added to.  So a crash at
+    any point leaves what a replay needs, and a replay finds the same tip.
     """
     spark = raw.sparkSession
-    name = store.fqn(PENDING_TABLE)
+    name = _ensure_pending(spark, store)
     cols = [f.name for f in S.RAW_BLOCK.fields]
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({K._ddl(S.RAW_BLOCK)}) USING {store.fmt}")
-    spark.catalog.refreshTable(name)
-    stages = [fresh_path(spark, "pending-before"), fresh_path(spark, "pending-tip")]
-    spark.table(name).select(*cols).write.parquet(stages[0])   # a few rows, cut from the table
-    before = spark.read.schema(S.RAW_BLOCK).parquet(stages[0])
-    both = raw.select(*cols).unionByName(before)
+    held = spark.table(name)
+    both = raw.select(*cols).unionByName(held.select(*cols))
     tip = both.agg(F.max("slot")).first()[0]
     if tip is None:
-        return raw.limit(0), stages[:1]
-    both.where(F.col("slot") == tip).distinct().write.parquet(stages[1])
-    spark.read.schema(S.RAW_BLOCK).parquet(stages[1]).write.insertInto(name, overwrite=True)
+        return raw.limit(0)
+    h = F.xxhash64(*cols)
+    there = held.where(F.col("batch_id") == batch_id).select(h.alias("_h"))
+    stage = fresh_path(spark, "pending-tip")
+    # One file, so that it is there whole or not at all.
+    (both.where(F.col("slot") == tip).distinct().withColumn("_h", h).join(there, "_h", "left_anti")
+     .select(*cols).coalesce(1).write.parquet(stage))
+    new = spark.read.schema(S.RAW_BLOCK).parquet(stage)
+    new.withColumn("batch_id", F.lit(batch_id).cast("long")).write.insertInto(name)
+    remove_path(spark, stage)
+    spark.catalog.refreshTable(name)
+    return both.where(F.col("slot") < tip)
+
+
+def _retire_held(spark: SparkSession, store: K.LedgerStore, batch_id: int) -> None:
+    """Second phase, after the write: rows that other batches held are stored now, or held by this one."""
+    name = store.fqn(PENDING_TABLE)
+    old = [r[0] for r in spark.table(name).select("batch_id").distinct().collect() if r[0] != batch_id]
+    for b in old:  # the batch before, as a rule
+        if store.fmt in ("parquet", "orc", "json", "csv"):
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = {b})")
+        else:
+            spark.sql(f"DELETE FROM {name} WHERE batch_id = {b}")
     spark.catalog.refreshTable(name)
-    return both.where(F.col("slot") < tip), stages
 
 
 def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
-                  record_metrics: bool = True, hold_tip: bool = True) -> None:
-    """One micro-batch: write all enabled tables, then record its metrics.
+                  record_metrics: bool = True, hold_tip: bool = True,
+                  start_slot: int | None = None, end_slot: int | None = None) -> None:
+    """One micro-batch: log unreadable lines, write all enabled tables, record its metrics.
 
     ``hold_tip`` keeps the newest slot back until a newer one lands (the
     batch loop's ``slot < tip`` rule, applied to a stream).  Logged lines and
-    metrics are added once, so a replayed batch repeats neither.
+    metrics are added once, so a replayed batch repeats neither.  The bounds
+    (inclusive) hold for the blocks; lines are logged whatever their slot.
     """
     t0 = time.time()
     spark = batch.sparkSession
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    stages: list[str] = []
     try:
-        raw = batch.where(F.col("slot").isNotNull())
+        raw = batch.where(F.col("slot").isNotNull()).where(G.slot_range_filter(start_slot, end_slot, None))
         if S.CORRUPT_COLUMN in batch.columns:
             # E1 in the stream: flagged lines are logged; a block that still
             # parsed a slot is kept with only its unreadable values NULL.
@@ -91,14 +114,14 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
             raw = raw.drop(S.CORRUPT_COLUMN)
         ready = raw
         if hold_tip:
-            ready, stages = _hold_tip(raw, store)
+            ready = _hold_tip(raw, store, batch_id)
         K.write_all(ready, store, persist=False)
         if record_metrics:
             _record_metrics(raw, batch_id, store, int((time.time() - t0) * 1000))
+        if hold_tip:
+            _retire_held(spark, store, batch_id)
     finally:
         batch.unpersist()
-        for path in stages:
-            remove_path(spark, path)
 
 
 def _record_metrics(raw: DataFrame, batch_id: int, store: K.LedgerStore, ms: int) -> None:
@@ -138,9 +161,13 @@ def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,
     if record_metrics:
         ensure_metrics_table(spark, store)
     src = stream_blocks(spark, landing, fmt, max_files_per_trigger, max_bytes_per_trigger)
-    src = src.where(G.slot_range_filter(start_slot, end_slot, None))
+    wanted = G.slot_range_filter(start_slot, end_slot, None)
+    if S.CORRUPT_COLUMN in src.columns:
+        # Unreadable lines may have no slot; they are logged all the same.
+        wanted = F.coalesce(wanted, F.lit(False)) | F.col(S.CORRUPT_COLUMN).isNotNull()
+    src = src.where(wanted)
     w = (src.writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics, hold_tip))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, store, record_metrics, hold_tip, start_slot, end_slot))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

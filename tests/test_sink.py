@@ -302,3 +302,19 @@ def test_store_by_date(spark, read_json):
     assert [r.slot for r in M.repair_missing(spark, raw, store).collect()] == [6]
     assert _counts(spark, store) == once
     assert K.read_table(spark, store, "rewards").where("slot = 6 and block_date = date'1970-01-02'").count() == 1
+
+
+def test_repair_of_a_slot_landed_twice(spark, read_json):
+    """The copy that the writers chose is the one the report expects: nothing to repair, nothing doubled."""
+    raw = read_json([block(4, [tx("a")]), block(5, [tx("b"), tx("c")]), block(5, [tx("b")]), block(6, [tx("d")])])
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "twice"), bucket_size=4)
+    K.write_all(raw, store)
+    want = {"blocks": 3, "transactions": 4, "instructions": 8, "rewards": 3}
+    count = lambda: {t: K.read_table(spark, store, t).count() for t in store.tables}
+    assert count() == want
+    assert M.repair_missing(spark, raw, store).count() == 0 and count() == want
+    # a lost part is rebuilt from the same copy
+    K.replace_partitions(K.read_table(spark, store, "transactions").where("slot <> 5"), store.fqn("transactions"))
+    if K.read_table(spark, store, "transactions").where("slot = 5").isEmpty():
+        assert [r.slot for r in M.repair_missing(spark, raw, store).collect()] == [5]
+    assert count() == want

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
+
 from blockledger.plans import backfill as M
 from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
+from blockledger.sources.landed import read_blocks
 from blockledger.streaming import ingest as ST
 from ledger_blocks import block, tx, write_lines
 
@@ -115,3 +118,46 @@ def test_hold_tip_keeps_newest_slot_until_a_newer_lands(spark, tmp_dir):
     drain("tip-ckpt-lost")                               # replay everything
     assert slots() == list(range(0, 7))
     assert _counts(spark, store)["transactions"] == 7
+
+
+@pytest.mark.parametrize("where", ["hold", "held", "write", "metrics", "retire"])
+def test_a_crash_between_the_steps_loses_and_doubles_nothing(spark, tmp_dir, monkeypatch, where):
+    """Batch 2 fails at each step in turn and is replayed; slots 9 to 12 are stored once, 13 is held."""
+    store = K.LedgerStore(namespace=fresh_namespace(spark, f"crash_{where}"), bucket_size=4)
+    K.ensure_tables(spark, store)
+
+    landed = {n: write_lines(f"{tmp_dir}/crash-{n}", [block(s, [tx(f"s{s}")]) for s in slots])
+              for n, slots in ((1, (9, 10)), (2, (11, 12)), (3, (13,)))}
+
+    def batch(n):
+        ST.process_batch(read_blocks(spark, landed[n], "json"), n, store)
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    batch(1)
+    at = {"hold": (ST, "_hold_tip"), "held": (K, "write_all"), "metrics": (ST, "_record_metrics"), "retire": (ST, "_retire_held")}
+    with monkeypatch.context() as m:
+        if where == "write":  # some tables are written, then the batch is lost
+            plain = K._write_table
+            m.setattr(K, "_write_table", lambda raw, st, t, *a: fail() if t == "rewards" else plain(raw, st, t, *a))
+        else:
+            m.setattr(*at[where], fail)
+        with pytest.raises(RuntimeError):
+            batch(2)
+    batch(2)
+    batch(3)
+    for t in store.tables:
+        rows = [r.slot for r in K.read_table(spark, store, t).select("slot").collect()]
+        assert set(rows) == {9, 10, 11, 12} and len(rows) == {"instructions": 8}.get(t, 4)
+    assert [(r.slot, r.batch_id) for r in spark.table(store.fqn(ST.PENDING_TABLE)).collect()] == [(13, 3)]
+    assert ST.batch_metrics(spark, store).select("batch_id", "table_name").distinct().count() == ST.batch_metrics(spark, store).count() == 12
+
+
+def test_a_bounded_stream_logs_unreadable_lines(spark, tmp_dir):
+    landing = write_lines(f"{tmp_dir}/bounded", [block(s, [tx(f"s{s}")]) for s in range(6)] + ["{broken", '{"slot": "x"}'])
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "bounded"), bucket_size=4)
+    q = ST.continuous_ingest(spark, landing, store, f"{tmp_dir}/bounded-ckpt", available_now=True, start_slot=1, end_slot=4)
+    q.awaitTermination()
+    assert sorted(r.slot for r in K.read_table(spark, store, "blocks").collect()) == [1, 2, 3]
+    assert sorted(r.record for r in spark.table(store.fqn(ST.LANDING_REJECTS)).collect()) == ['{"slot": "x"}', "{broken"]
