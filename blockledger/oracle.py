@@ -333,4 +333,15 @@ GROUP BY table_name, slot"""),
 SELECT table_name, CAST(count(*) AS BIGINT) AS row_count, min(slot) AS min_slot, max(slot) AS max_slot,
        CAST(0 AS BIGINT) AS slots_missing
 FROM accepted_t WHERE ok GROUP BY table_name"""),
+    "slot_coverage": _q("""
+SELECT table_name, min(slot) AS first_slot, max(slot) AS last_slot FROM (
+  SELECT table_name, slot, slot - row_number() OVER (PARTITION BY table_name ORDER BY slot) AS island
+  FROM (SELECT DISTINCT table_name, slot FROM counts_t)) GROUP BY table_name, island"""),
+    "slot_gaps": _q("""
+SELECT table_name, last_slot + 1 AS first_slot, later - 1 AS last_slot FROM (
+  SELECT *, lead(first_slot) OVER (PARTITION BY table_name ORDER BY first_slot) AS later FROM (
+SELECT table_name, min(slot) AS first_slot, max(slot) AS last_slot FROM (
+  SELECT table_name, slot, slot - row_number() OVER (PARTITION BY table_name ORDER BY slot) AS island
+  FROM (SELECT DISTINCT table_name, slot FROM counts_t)) GROUP BY table_name, island))
+WHERE later IS NOT NULL"""),
 }

@@ -24,6 +24,7 @@ from .operators import flatten as P
 from .operators import progress as G
 from .operators import quality as Q
 from .plans import backfill as M
+from .plans import coverage as V
 from .plans import sink as K
 from .session import fresh_namespace, fresh_path
 from .sources import landed as L
@@ -413,6 +414,26 @@ def q_repair_missing(spark, sf):
             .withColumn("slots_missing", F.coalesce("n", F.lit(0))).drop("n"))
 
 
+def _covered(spark, sf):
+    """A store written and recorded in two batches that overlap, the later slots first."""
+    raw = raw_of(spark, sf)
+    store, half = _store(raw), _tip(raw) // 2
+    for batch in (raw.where(F.col("slot") >= half - 3), raw.where(F.col("slot") < half)):
+        K.write_all(batch, store)
+        V.record(batch, store)
+    return store
+
+
+def q_slot_coverage(spark, sf):
+    """Runs of stored slots per table, from the index and not from the tables."""
+    return V.coverage(spark, _covered(spark, sf))
+
+
+def q_slot_gaps(spark, sf):
+    """Runs of slots that a table does not hold, from the index."""
+    return V.missing(spark, _covered(spark, sf))
+
+
 QUERIES = {
     "raw_blocks": q_raw_blocks,
     "chain_tip": q_chain_tip,
@@ -460,4 +481,6 @@ QUERIES = {
     "parallel_backfill": q_parallel_backfill,
     "missing_by_table": q_missing_by_table,
     "repair_missing": q_repair_missing,
+    "slot_coverage": q_slot_coverage,
+    "slot_gaps": q_slot_gaps,
 }
