@@ -42,15 +42,16 @@ def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
 
 
 # Leaves that tell whether a transaction has meta: the fee is part of every meta.
-META_FLAG = {"err": "meta.err", "fee": "meta.fee", "units": "meta.compute_units_consumed",
-             "pre": "meta.pre_balances", "post": "meta.post_balances", "logs": "meta.log_messages"}
+META_FLAG = {"err": "meta.err", "fee": "meta.fee", "units": "meta.compute_units_consumed"}
+# Where these are read anyway, they show that meta is there too.
+META_LEAVES = META_FLAG | {"pre": "meta.pre_balances", "post": "meta.post_balances", "logs": "meta.log_messages"}
 
 
 def transactions(raw: DataFrame) -> DataFrame:
     """P2 (with P3-P10): one row per transaction, 16 columns."""
     header = F.col("header")
     txs = tx_rows(raw, signatures="transaction.signatures", header="transaction.message.header",
-                  recent_blockhash="transaction.message.recent_blockhash", **META_FLAG,
+                  recent_blockhash="transaction.message.recent_blockhash", **META_LEAVES,
                   pre_tokens="meta.pre_token_balances", post_tokens="meta.post_token_balances",
                   rewards="meta.rewards")
     return txs.select(
@@ -60,7 +61,7 @@ def transactions(raw: DataFrame) -> DataFrame:
         header["num_readonly_signed_accounts"].alias("num_readonly_signed_accounts"),
         header["num_readonly_unsigned_accounts"].alias("num_readonly_unsigned_accounts"),
         F.col("recent_blockhash"),
-        X.success_of(*META_FLAG).alias("success"),
+        X.success_of(*META_LEAVES).alias("success"),
         X.error_of("err").alias("error"),
         F.col("fee"),
         X.non_empty_or_null("pre").alias("pre_balances"),
