@@ -7,11 +7,16 @@ pages against them, both as personalised PageRank.  A host is blocked when its
 distrust exceeds ``RATIO`` times its trust, both in seed pages (rank times all
 seed pages of that side), so that seeds it has no path from cannot switch it.
 
-Host edges: hyperlinks between hosts, counted, and a link each way between a
-host and its parent domain (down to two labels) where both are in the graph, as
-sites link their own subdomains.  Links are pre-aggregated to one row for each
-pair of hosts before any join; ranks are written to the shared folder every few
-rounds.
+Host edges: hyperlinks between hosts, counted, and a weak link each way between
+a host and its parent domain (down to two labels) where both are hosts of pages
+or of links.  A parent that is neither is not made up, so hosts that share only
+a registered domain do not meet.  Ranks move along an edge by its share of its
+host's weight, and of at least 1: a host whose links to its family weigh less
+passes on that part only.  Mass of a host that has no edges out, or keeps part,
+leaves; giving it back to the seeds would only multiply all ranks of a side by
+one factor.  Links are pre-aggregated to one row for each pair of hosts before
+any join; trust and distrust move in the same joins, ranks are written to the
+shared folder every few rounds, and the rounds end early once no rank moves.
 
 Cases: a null url, or one without ``://``, has an empty host and path, no rule
 and no links, and is allowed; a null page has no links; repeated rows count as
@@ -30,6 +35,8 @@ from blockledger.llm.common import lower_ascii, saved
 DAMPING = 0.85
 ROUNDS = 20
 RATIO = 1.0
+FAMILY = 0.1  # weight of a link between a host and its parent domain; a hyperlink weighs 1
+STILL = 1e-12  # the largest change of a rank that counts as none
 
 #: Fixed values: (verdict, rule).
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
@@ -93,48 +100,52 @@ def host_edges(df: DataFrame) -> DataFrame:
     linked = linked.filter("dst <> '' and src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
     hosts = from_page.select("host").unionByName(linked.select(F.col("dst").alias("host"))).distinct()
     parent = F.expr("substring(host, instr(host, '.') + 1, length(host))")
-    up = hosts.filter(F.instr(F.substring_index("host", ".", -2), ".") > 0).select(F.col("host").alias("src"), parent.alias("dst"))
-    up = up.filter("src <> dst and instr(dst, '.') > 0")
-    known = hosts.select(F.col("host").alias("dst"))
-    # A parent that is no host of its own still holds its subdomains together.
-    shared = up.groupBy("dst").agg(F.count("*").alias("c")).filter("c > 1").select("dst")
-    up = up.join(known.unionByName(shared).distinct(), "dst", "left_semi")
+    up = hosts.select(F.col("host").alias("src"), parent.alias("dst"))
+    up = up.filter("src <> dst and instr(dst, '.') > 0").join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi")
     tree = up.select("src", "dst").unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    return (linked.unionByName(tree.withColumn("n", F.lit(1).cast("long")))
+    return (linked.withColumn("n", F.col("n").cast("double")).unionByName(tree.withColumn("n", F.lit(FAMILY)))
             .groupBy("src", "dst").agg(F.sum("n").alias("n")))
 
 
 def personalised_rank(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """(host, rank): rank mass restarts at the seeds (host, weight) and follows ``edges``."""
-    total = seeds.agg(F.sum("weight")).first()[0]
-    if not total:
-        return seeds.select("host", F.lit(0.0).alias("rank"))
-    start = saved(seeds.select("host", (F.col("weight") / F.lit(float(total))).alias("s")), "trust-seeds")
-    out = edges.groupBy("src").agg(F.sum("n").alias("all"))
-    steps = saved(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("w")), "trust-steps")
-    rank = start.select("host", F.col("s").alias("rank"))
+    """(side, host, rank): rank mass restarts at the seeds (side, host, weight) and follows ``edges`` (side, src, dst, n).
+
+    The sides are walks of their own that share the joins.
+    """
+    totals = {r["side"]: float(r["w"]) for r in seeds.groupBy("side").agg(F.sum("weight").alias("w")).collect()}
+    total = F.lit(None).cast("double")
+    for side, w in totals.items():
+        total = F.when(F.col("side") == side, w).otherwise(total)
+    start = saved(seeds.select("side", "host", (F.col("weight") / total).alias("s")), "trust-seeds")
+    out = edges.groupBy("side", "src").agg(F.greatest(F.sum("n"), F.lit(1.0)).alias("all"))
+    steps = saved(edges.join(out, ["side", "src"]).select("side", F.col("src").alias("host"), "dst",
+                                                          (damping * F.col("n") / F.col("all")).alias("w")), "trust-steps")
+    restart = start.select("side", "host", ((1 - damping) * F.col("s")).alias("rank"))
+    rank = last = saved(start.select("side", "host", F.col("s").alias("rank")), "trust-rank")
     for k in range(rounds):
-        moved = (steps.join(rank, steps["src"] == rank["host"]).groupBy(F.col("dst").alias("host"))
-                 .agg((damping * F.sum(F.col("w") * F.col("rank"))).alias("rank")))
-        rank = (moved.unionByName(start.select("host", ((1 - damping) * F.col("s")).alias("rank")))
-                .groupBy("host").agg(F.sum("rank").alias("rank")))
+        moved = steps.join(rank, ["side", "host"]).select("side", F.col("dst").alias("host"), (F.col("w") * F.col("rank")).alias("rank"))
+        rank = moved.unionByName(restart).groupBy("side", "host").agg(F.sum("rank").alias("rank"))
         if k % 5 == 4 or k == rounds - 1:
             rank = saved(rank, "trust-rank")
+            change = (rank.unionByName(last.withColumn("rank", -F.col("rank"))).groupBy("side", "host")
+                      .agg(F.abs(F.sum("rank")).alias("d")).agg(F.max("d")).first()[0])
+            last = rank
+            if (change or 0.0) <= STILL:
+                break
     return rank
 
 
 def standing(ruled: DataFrame, rounds: int = ROUNDS, ratio: float = RATIO) -> DataFrame:
     """(host, trust, distrust, method) of each host, from pages (host, html, ruled)."""
     edges = saved(host_edges(ruled), "trust-edges")
-    votes = saved(ruled.filter("host <> '' and ruled is not null").groupBy("host", "ruled")
+    votes = saved(ruled.filter("host <> '' and ruled is not null").groupBy(F.col("ruled").alias("side"), "host")
                   .agg(F.count("*").alias("weight")), "trust-votes")
-    trust = personalised_rank(edges, votes.filter("ruled = 'allow'").select("host", "weight"), rounds)
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
-    distrust = personalised_rank(back, votes.filter("ruled = 'block'").select("host", "weight"), rounds)
-    both = (trust.select("host", F.col("rank").alias("trust"), F.lit(0.0).alias("distrust"))
-            .unionByName(distrust.select("host", F.lit(0.0).alias("trust"), F.col("rank").alias("distrust")))
-            .groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")))
-    pages = {r["ruled"]: float(r["n"]) for r in votes.groupBy("ruled").agg(F.sum("weight").alias("n")).collect()}
+    forth = edges.select(F.lit("allow").alias("side"), "src", "dst", "n")
+    back = edges.select(F.lit("block").alias("side"), F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+    ranks = personalised_rank(forth.unionByName(back), votes, rounds)
+    of = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("rank"))), F.lit(0.0))
+    both = ranks.groupBy("host").agg(of("allow").alias("trust"), of("block").alias("distrust"))
+    pages = {r["side"]: float(r["n"]) for r in votes.groupBy("side").agg(F.sum("weight").alias("n")).collect()}
     t, d = F.col("trust") * pages.get("allow", 0.0), F.col("distrust") * pages.get("block", 0.0)
     # Rounded, as the order of the sums in the ranks moves their last digits; an even host is allowed.
     bad = F.round(F.try_divide(d, t + d), 9) > round(ratio / (1 + ratio), 9)

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from blockledger.llm import link_trust as T
 
@@ -48,24 +49,47 @@ def test_rank_is_power_iteration(spark):
     n = 12
     w = r.integers(0, 3, (n, n)) * (1 - np.eye(n, dtype=int))
     w[3] = 0  # a host without links
-    edges = spark.createDataFrame([(f"h{i}", f"h{j}", int(w[i, j])) for i in range(n) for j in range(n) if w[i, j]], "src string, dst string, n long")
+    edges = spark.createDataFrame([(f"h{i}", f"h{j}", float(w[i, j])) for i in range(n) for j in range(n) if w[i, j]], "src string, dst string, n double")
     seeds = spark.createDataFrame([("h0", 3), ("h5", 1)], "host string, weight long")
+    both = [df.withColumn("side", F.explode(F.array(F.lit("a"), F.lit("b")))) for df in (edges, seeds)]
     s = np.zeros(n)
     s[0], s[5] = 0.75, 0.25
     p = w / np.maximum(w.sum(1, keepdims=True), 1)
     x = s
     for _ in range(7):
         x = 0.85 * x @ p + 0.15 * s
-    got = {r.host: r.rank for r in T.personalised_rank(edges, seeds, rounds=7).collect()}
-    assert np.allclose([got.get(f"h{i}", 0) for i in range(n)], x)
+    rows = T.personalised_rank(*both, rounds=7).collect()
+    for side in "ab":
+        got = {r.host: r.rank for r in rows if r.side == side}
+        assert np.allclose([got.get(f"h{i}", 0) for i in range(n)], x)
 
 
 def test_edges(spark):
     rows = [("a.x.test", '<a href="http://b.test/1"><a href="//b.test"><a href="/in"><a href="http://a.x.test/me">'),
             ("c.x.test", "<a href=https://b.test:8/>"), ("b.test", None), ("", '<a href="http://b.test/">')]
     got = {(r.src, r.dst): r.n for r in T.host_edges(spark.createDataFrame(rows, "host string, html string")).collect()}
-    assert got == {("a.x.test", "b.test"): 2, ("c.x.test", "b.test:8"): 1, ("a.x.test", "x.test"): 1, ("x.test", "a.x.test"): 1,
-                   ("c.x.test", "x.test"): 1, ("x.test", "c.x.test"): 1}
+    # Nothing is called x.test, so the two hosts below it do not meet.
+    assert got == {("a.x.test", "b.test"): 2, ("c.x.test", "b.test:8"): 1}
+    got = {(r.src, r.dst): r.n for r in T.host_edges(
+        spark.createDataFrame(rows + [("x.test", '<a href="//a.x.test">')], "host string, html string")).collect()}
+    assert got == {("a.x.test", "b.test"): 2, ("c.x.test", "b.test:8"): 1, ("a.x.test", "x.test"): T.FAMILY,
+                   ("x.test", "a.x.test"): 1 + T.FAMILY, ("c.x.test", "x.test"): T.FAMILY, ("x.test", "c.x.test"): T.FAMILY}
+
+
+def test_hosts_of_one_domain_differ(spark):
+    rows = [(1, "http://bad.net/", None), (2, "http://a.x.test/", '<a href="http://bad.net/">' * 2), (3, "http://x.test/", None),
+            (4, "http://good.org/fr/", '<a href="http://b.x.test/">'), (5, "http://b.x.test/", None), (6, "http://c.x.test/", None)]
+    got = {r.page_id: (r.verdict, r.trust, r.distrust) for r in T.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[2][0] == "block" and got[5][0] == "allow"
+    # Family links carry little: the sibling's distrust reaches the trusted host weakened twice.
+    assert 0 < got[5][2] < 0.05 * got[2][2] and 0 < got[2][1] < 0.05 * got[5][1]
+
+
+def test_rounds_end_when_nothing_moves(spark):
+    edges = spark.createDataFrame([("a", "h", "i", 1.0)], "side string, src string, dst string, n double")
+    seeds = spark.createDataFrame([("a", "h", 2)], "side string, host string, weight long")
+    few, many = (sorted(tuple(r) for r in T.personalised_rank(edges, seeds, rounds=k).collect()) for k in (10, 10_000))
+    assert few == many and [r[1] for r in few] == ["h", "i"]
 
 
 def test_distrust_spreads_against_links(spark):
