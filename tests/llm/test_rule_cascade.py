@@ -62,6 +62,15 @@ def test_order_by_rejection_per_cost(spark):
     assert got["half"][1] == 0.5 and got["none"][1] == 0 and got["half"][0] > 0
 
 
+def test_costs_are_those_of_the_rules(spark):
+    """A rule that does nothing costs next to nothing; one that scans the text costs more than one that compares numbers."""
+    sample = R.signals(spark.range(1500).select(F.col("id").alias("doc_id"), F.repeat(F.lit("Some words. "), 100).alias("text"))).persist()
+    rules = R.default_rules()
+    got = R.estimate(sample, {"idle": F.col("n_words") < 0, "capitals": rules["capitals"], "symbols": rules["symbols"]})
+    sample.unpersist()
+    assert got["idle"][0] < 0.1 * got["capitals"][0] and got["symbols"][0] < 0.1 * got["capitals"][0]
+
+
 def test_judged(documents, no_documents):
     got = R.judged(documents)
     assert got.count() == documents.count()
