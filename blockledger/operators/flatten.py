@@ -21,14 +21,18 @@ def blocks(raw: DataFrame) -> DataFrame:
     return raw.select(*[F.col(f.name) for f in S.BLOCKS.fields], *S.carried(raw.columns))
 
 
-def tx_rows(raw: DataFrame, **paths: str) -> DataFrame:
+def tx_rows(raw: DataFrame, readable: bool = True, **paths: str) -> DataFrame:
     """One row per transaction with only the named nested fields: (slot, name...).
 
     Each ``name=path`` extracts ``transactions.<path>`` as an array over the
     block's transactions; the arrays are zipped and exploded.  Parquet then
     reads just those leaves (nested schema pruning does not pass through an
-    ``explode`` of the whole transaction struct).
+    ``explode`` of the whole transaction struct).  Transactions whose own values
+    could not be read are left out where ``readable``.
     """
+    if readable:
+        rows = tx_rows(raw, False, **paths, _unreadable=S.UNREADABLE)
+        return rows.where(~F.coalesce(F.col("_unreadable"), F.lit(False))).drop("_unreadable")
     t = F.col("transactions")
     cols = []
     for name, path in paths.items():
@@ -131,7 +135,7 @@ def _ins_rows(raw: DataFrame, top: bool = True, inner: bool = True) -> DataFrame
         paths["top"] = "transaction.message.instructions"
     if inner:
         paths["inner"] = "meta.inner_instructions"
-    return tx_rows(raw, **paths).withColumn("sig", X.first_or_null("signatures"))
+    return tx_rows(raw, False, **paths).withColumn("sig", X.first_or_null("signatures"))
 
 
 def instructions_top(raw: DataFrame) -> DataFrame:

@@ -161,7 +161,8 @@ def expected_rows(raw: DataFrame) -> DataFrame:
     """Per slot, the rows each table should hold, from the block rows alone.
 
     Counts the rows that E2 accepts: a block with every required column, and
-    the transactions and instructions of a transaction with a first signature.
+    the transactions and instructions of a transaction with a first signature
+    (only the instructions where the transaction's own values could not be read).
     Columns: slot, blocks, transactions, instructions, rewards (no explode).
     Counts come from field paths (``transactions.transaction.signatures``,
     ``...message.instructions``, ``meta.inner_instructions``), so a Parquet
@@ -171,7 +172,7 @@ def expected_rows(raw: DataFrame) -> DataFrame:
     sigs = t["transaction"]["signatures"]
     known = F.col("slot").isNotNull()
     parts = F.arrays_zip(sigs.alias("s"), t["transaction"]["message"]["instructions"].alias("top"),
-                         t["meta"]["inner_instructions"].alias("groups"))
+                         t["meta"]["inner_instructions"].alias("groups"), t[S.UNREADABLE].alias("u"))
     signed = lambda s: F.get(s, F.lit(0)).isNotNull()
     per_tx = F.transform(parts, lambda x: F.when(
         signed(x["s"]), n_elements(x["top"]).cast("long") + _sum_sizes(x["groups"]["instructions"])))
@@ -184,7 +185,7 @@ def expected_rows(raw: DataFrame) -> DataFrame:
     return raw.select(
         "slot",
         F.when(whole, 1).otherwise(0).cast("long").alias("blocks"),
-        count(n_elements(F.filter(sigs, signed))).alias("transactions"),
+        count(n_elements(F.filter(parts, lambda x: signed(x["s"]) & ~F.coalesce(x["u"], F.lit(False))))).alias("transactions"),
         count(F.coalesce(F.aggregate(per_tx, F.lit(0).cast("long"), lambda acc, x: acc + F.coalesce(
             x, F.lit(0).cast("long"))), F.lit(0).cast("long"))).alias("instructions"),
         count(n_elements(F.col("rewards")["pubkey"])).alias("rewards"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.tolerant import keep_readable_items
 
 REJECT_REASON = "reject_reason"
 
@@ -124,13 +125,14 @@ def convert_landed(spark: SparkSession, path: str, out: str, fmt: str = "json",
 
     A line flagged corrupt always appears in the rejected lines (the log).
     With ``keep_partial`` a flagged block that still parsed a slot is kept
-    too, with only its unreadable values NULL -- the bad item is dropped and
-    the rest of the block kept.  Without it the whole block is set aside.
+    too, without the items that cannot be read (``functions.tolerant``); an
+    unreadable value of the block itself is NULL.  Without it the whole block is
+    set aside.
     """
     with_corrupt = T.StructType(S.RAW_BLOCK.fields + [T.StructField(S.CORRUPT_COLUMN, T.StringType())])
     df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN).format(fmt).load(path))
-    (df.withColumn("_ok", F.col(S.CORRUPT_COLUMN).isNull())
+    (keep_readable_items(df).withColumn("_ok", F.col(S.CORRUPT_COLUMN).isNull())
      .repartitionByRange("slot").sortWithinPartitions("slot")
      .write.mode("overwrite").partitionBy("_ok").parquet(out))
     written = spark.read.parquet(out)

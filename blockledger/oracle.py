@@ -287,6 +287,24 @@ SELECT {BLOCK_COLS} FROM blocks_t, tip WHERE slot BETWEEN tip_slot // 4 AND tip_
     "non_empty": _q("""
 SELECT slot, table_name, CAST(count(*) AS BIGINT) AS row_count FROM counts_t GROUP BY slot, table_name"""),
     "permissive_read": _q(f"SELECT {BLOCK_COLS} FROM blocks_t WHERE slot % 37 <> 5"),
+    "dropped_items": _q("""
+SELECT table_name, slot, CAST(count(*) AS BIGINT) AS row_count, CAST(sum(v) AS BIGINT) AS total FROM (
+  SELECT 'transactions' AS table_name, slot, signature, fee AS v FROM tx_t
+  UNION ALL
+  SELECT 'instructions', slot, NULL, program_id_index FROM (
+    SELECT *, count(*) FILTER (WHERE slot % 5 = 2 AND (data = 'NF' OR data = 'RF' AND program_id_index = 3))
+              OVER (PARTITION BY tx_signature ORDER BY is_inner, parent_index, instruction_index
+                    ROWS UNBOUNDED PRECEDING) AS n_bad
+    FROM ins_t) WHERE n_bad = 0
+  UNION ALL
+  SELECT 'rewards', slot, NULL, lamports FROM rewards_t WHERE slot % 5 <> 2 OR post_balance % 10 <> 3
+  UNION ALL
+  SELECT 'token_balances', slot, signature, account_index FROM tok_t WHERE slot % 5 <> 2 OR account_index <> 4
+  UNION ALL
+  SELECT 'tx_rewards', slot, signature, lamports FROM txr_t WHERE slot % 5 <> 2 OR post_balance % 10 <> 3
+)
+WHERE signature IS NULL OR signature NOT IN (SELECT signature FROM tx_t WHERE slot % 5 = 2 AND fee % 10 = 7)
+GROUP BY table_name, slot"""),
     "rejected_rows": _q("""
 SELECT table_name, CAST(count(*) FILTER (ok) AS BIGINT) AS accepted_rows,
        CAST(count(*) FILTER (NOT ok) AS BIGINT) AS rejected_rows

@@ -259,6 +259,16 @@ def q_permissive_read(spark, sf):
     return P.blocks(good)
 
 
+def q_dropped_items(spark, sf):
+    """E1 inside a block: items that cannot be read go one by one, their siblings stay."""
+    good, _logged = Q.convert_landed(spark, ledger.land_bad_items(spark, sf), fresh_path(spark, "converted"))
+    value = {"transactions": "fee", "instructions": "program_id_index", "rewards": "lamports",
+             "token_balances": "account_index", "tx_rewards": "lamports"}
+    rows = reduce(DataFrame.unionByName, [
+        getattr(P, t)(good).select(F.lit(t).alias("table_name"), "slot", F.col(c).alias("v")) for t, c in value.items()])
+    return rows.groupBy("table_name", "slot").agg(F.count(F.lit(1)).alias("row_count"), F.sum("v").alias("total"))
+
+
 def q_rejected_rows(spark, sf):
     """E2 in the sink: rows stored and rows set aside, of input that has both."""
     raw = ledger.with_faults(raw_of(spark, sf))
@@ -461,6 +471,7 @@ QUERIES = {
     "slot_range": q_slot_range,
     "non_empty": q_non_empty,
     "permissive_read": q_permissive_read,
+    "dropped_items": q_dropped_items,
     "rejected_rows": q_rejected_rows,
     "max_slot": q_max_slot,
     "last_processed_slot": q_last_processed_slot,

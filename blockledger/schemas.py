@@ -43,6 +43,9 @@ REWARD = T.StructType([
     _f("commission", L),
 ])
 
+# Mark of a transaction whose own values could not be read: no row, but its instructions stay.
+UNREADABLE = "unreadable"
+
 TX = T.StructType([
     _f("transaction", T.StructType([
         _f("signatures", T.ArrayType(S)),
@@ -72,6 +75,7 @@ TX = T.StructType([
             _f("instructions", T.ArrayType(INSTR)),
         ]))),
     ])),
+    _f(UNREADABLE, B),
 ])
 
 RAW_BLOCK = T.StructType([

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
+from ..functions.tolerant import keep_readable_items
 from ..operators import progress as G
 from ..plans import backfill as M
 from ..plans import sink as K
@@ -108,10 +109,10 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
         raw = batch.where(F.col("slot").isNotNull()).where(G.slot_range_filter(start_slot, end_slot, None))
         if S.CORRUPT_COLUMN in batch.columns:
             # E1 in the stream: flagged lines are logged; a block that still
-            # parsed a slot is kept with only its unreadable values NULL.
-            M.log_rejected_lines(batch.where(F.col(S.CORRUPT_COLUMN).isNotNull())
-                                 .select("slot", F.col(S.CORRUPT_COLUMN).alias("record")), store)
-            raw = raw.drop(S.CORRUPT_COLUMN)
+            # parsed a slot is kept without the items that cannot be read.
+            flagged = F.col(S.CORRUPT_COLUMN).isNotNull()
+            M.log_rejected_lines(batch.where(flagged).select("slot", F.col(S.CORRUPT_COLUMN).alias("record")), store)
+            raw = keep_readable_items(raw).drop(S.CORRUPT_COLUMN)
         ready = raw
         if hold_tip:
             ready = _hold_tip(raw, store, batch_id)
