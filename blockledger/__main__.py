@@ -39,6 +39,7 @@ def parse_args(argv):
     p.add_argument("--end", default=None, help="slot | latest | null (no end)")
     p.add_argument("--bucket-size", type=int, default=K.DEFAULT_BUCKET_SIZE)
     p.add_argument("--by-date", action="store_true", help="partition the tables by block date too")
+    p.add_argument("--one-publish", action="store_true", help="readers of plans.publish see a batch in all tables or in none")
     p.add_argument("--stream", action="store_true")
     p.add_argument("--checkpoint", default=None)
     p.add_argument("--trigger", default="1 second")
@@ -57,7 +58,8 @@ def main(argv=None) -> dict:
     start, end = G.parse_start(_slot_setting(a.start)), _slot_setting(a.end)
     spark = build_session(app="blockledger-ingest")
     store = K.LedgerStore(namespace=a.namespace, tables=tables, fmt=a.table_format,
-                          bucket_size=a.bucket_size, catalog=a.catalog, by_date=a.by_date)
+                          bucket_size=a.bucket_size, catalog=a.catalog, by_date=a.by_date,
+                          one_publish=a.one_publish)
     if not a.stream:
         out = M.run_landed(spark, a.source, store, a.format, start, end)
     else:

@@ -362,4 +362,9 @@ SELECT table_name, min(slot) AS first_slot, max(slot) AS last_slot FROM (
   SELECT table_name, slot, slot - row_number() OVER (PARTITION BY table_name ORDER BY slot) AS island
   FROM (SELECT DISTINCT table_name, slot FROM counts_t)) GROUP BY table_name, island))
 WHERE later IS NOT NULL"""),
+    "published_tables": _q("""
+SELECT 'stopped' AS state, table_name, CAST(count(*) AS BIGINT) AS row_count, min(slot) AS min_slot, max(slot) AS max_slot
+FROM counts_t WHERE slot < (SELECT tip_slot FROM tip) // 2 GROUP BY table_name
+UNION ALL
+SELECT 'again', table_name, CAST(count(*) AS BIGINT), min(slot), max(slot) FROM counts_t GROUP BY table_name"""),
 }

@@ -40,7 +40,9 @@ class LedgerStore:
 
     ``options`` become table properties at create time (e.g. an Iceberg
     table's ``write.format.default``); they are never applied on append.
-    ``by_date`` also partitions the tables by the UTC date of their block (R2).
+    ``by_date`` also partitions the tables by the UTC date of their block (R2);
+    with ``one_publish`` runs and streams write through ``plans.publish``, so that
+    its readers see a batch in all tables or in none.
     """
     namespace: str
     tables: tuple = S.TABLE_NAMES
@@ -49,6 +51,7 @@ class LedgerStore:
     catalog: str | None = None
     options: dict = field(default_factory=dict)
     by_date: bool = False
+    one_publish: bool = False
 
     @property
     def partitions(self) -> list[str]:

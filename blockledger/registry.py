@@ -11,6 +11,7 @@ lists are returned in long form, so results compare as flat rows.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from .operators import progress as G
 from .operators import quality as Q
 from .plans import backfill as M
 from .plans import coverage as V
+from .plans import publish as U
 from .plans import sink as K
 from .session import fresh_namespace, fresh_path
 from .sources import landed as L
@@ -444,6 +446,23 @@ def q_slot_gaps(spark, sf):
     return V.missing(spark, _covered(spark, sf))
 
 
+def q_published_tables(spark, sf):
+    """K3: what readers see after a run that ended between two tables, and after it was run again."""
+    raw = raw_of(spark, sf)
+    store, half = _store(raw), _tip(raw) // 2
+    store.one_publish = True
+    M.write(raw.where(F.col("slot") < half), store)
+    later = raw.where(F.col("slot") >= half - 3)
+    U.begin(later, store)
+    K.write_all(later, replace(store, tables=DEV_TABLES))   # the other two are not reached
+    seen = fresh_path(spark, "seen")
+    M.stored_counts(spark, store, U.published(spark, store)).write.parquet(seen)
+    M.write(later, store)
+    after = M.stored_counts(spark, store, U.published(spark, store))
+    return (spark.read.parquet(seen).withColumn("state", F.lit("stopped"))
+            .unionByName(after.withColumn("state", F.lit("again"))))
+
+
 QUERIES = {
     "raw_blocks": q_raw_blocks,
     "chain_tip": q_chain_tip,
@@ -494,4 +513,5 @@ QUERIES = {
     "repair_missing": q_repair_missing,
     "slot_coverage": q_slot_coverage,
     "slot_gaps": q_slot_gaps,
+    "published_tables": q_published_tables,
 }

@@ -116,7 +116,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
         ready = raw
         if hold_tip:
             ready = _hold_tip(raw, store, batch_id)
-        K.write_all(ready, store, persist=False)
+        M.write(ready, store)
         if record_metrics:
             _record_metrics(raw, batch_id, store, int((time.time() - t0) * 1000))
         if hold_tip:
