@@ -367,4 +367,9 @@ SELECT 'stopped' AS state, table_name, CAST(count(*) AS BIGINT) AS row_count, mi
 FROM counts_t WHERE slot < (SELECT tip_slot FROM tip) // 2 GROUP BY table_name
 UNION ALL
 SELECT 'again', table_name, CAST(count(*) AS BIGINT), min(slot), max(slot) FROM counts_t GROUP BY table_name"""),
+    "dates_over_batches": _q(f"""
+SELECT table_name, slot, block_date, CAST(count(*) AS BIGINT) AS row_count FROM counts_t JOIN (
+  SELECT slot, strftime(DATE '1970-01-01' + CAST(floor(block_time_filled / 86400) AS INTEGER), '%Y-%m-%d') AS block_date
+  FROM ({_FILL}) x) USING (slot)
+WHERE table_name IN ('blocks', 'transactions') GROUP BY ALL"""),
 }

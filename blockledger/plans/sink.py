@@ -158,22 +158,128 @@ def _insert(df: DataFrame, store: LedgerStore, table: str, target: DataFrame) ->
     out.select(*target.columns).write.insertInto(store.fqn(table))
 
 
-def with_dates(raw: DataFrame, store: LedgerStore) -> DataFrame:
+# ------------------------------------------------------------- block dates (R2)
+
+def _buckets(spark: SparkSession, store: LedgerStore, table: str) -> list[dict] | None:
+    """The partitions of a table as {column: text}, from the catalog; None where it lists none."""
+    try:
+        rows = spark.sql(f"SHOW PARTITIONS {store.fqn(table)}").collect()
+    except AnalysisException:
+        return None
+    return [dict(kv.split("=", 1) for kv in r[0].split("/")) for r in rows]
+
+
+def _known_slot(spark: SparkSession, store: LedgerStore, slot: int, below: bool) -> int | None:
+    """The stored slot with a block time that is nearest to ``slot``, below or above it.
+
+    Buckets are read from the nearest outwards, twice as many each time, so as a
+    rule one bucket's two columns are read.
+    """
+    part = S.partition_column()
+    df = read_table(spark, store, "blocks")
+    beyond = (F.col("slot") < slot) if below else (F.col("slot") > slot)
+    nearest = (F.max if below else F.min)("slot")
+    df = df.where(beyond & F.col("block_time").isNotNull())
+    listed = _buckets(spark, store, "blocks")
+    if listed is None:
+        return df.agg(nearest).first()[0]
+    at = slot // store.bucket_size
+    near = sorted({int(p[part]) for p in listed if (int(p[part]) <= at if below else int(p[part]) >= at)}, reverse=below)
+    step = 1
+    while near:
+        found = df.where(F.col(part).between(min(near[:step]), max(near[:step]))).agg(nearest).first()[0]
+        if found is not None:
+            return found
+        near, step = near[step:], 2 * step
+    return None
+
+
+def untimed_dates(raw: DataFrame, store: LedgerStore) -> DataFrame | None:
+    """(slot, _d): the date of every block without a time, of the batch and of the tables around it; saved.
+
+    The batch's blocks are filled together with the stored ones from the last
+    known time below the batch to the first above it.  Only blocks in between
+    can get another date by this batch, so batches in any order give the dates of
+    one fill over all blocks.  Times of blocks that E2 refuses date nothing but themselves.
+    """
+    spark = raw.sparkSession
+    whole = F.lit(True)
+    for c in S.required_columns("blocks"):
+        whole = whole & F.col(c).isNotNull()
+    line = raw.where("slot is not null").select("slot", F.when(whole, F.col("block_time")).alias("block_time"))
+    lo, hi = slot_bounds(raw)
+    if lo is None:
+        return None
+    if "blocks" in store.tables and spark.catalog.tableExists(store.fqn("blocks")):
+        first, last = _known_slot(spark, store, lo, True), _known_slot(spark, store, hi, False)
+        stored = (read_table(spark, store, "blocks").where(G.slot_range_filter(first, last, None, store.bucket_size))
+                  .select("slot", "block_time"))
+        line = line.unionByName(stored).groupBy("slot").agg(F.max("block_time").alias("block_time"))
+    if line.where("block_time is null").isEmpty():
+        return None
+    path = fresh_path(spark, "dates")
+    (R.fill_block_time(line, store.bucket_size).where("block_time_is_filled")
+     .select("slot", unix_date("block_time_filled").alias("_d")).write.parquet(path))
+    return spark.read.schema("slot bigint, _d date").parquet(path)
+
+
+def with_dates(raw: DataFrame, store: LedgerStore, untimed: DataFrame | None = None) -> DataFrame:
     """Block rows with the UTC date of their (filled) block time, for stores ``by_date``.
 
-    Only the dates of blocks without a time are looked up, from the other blocks
-    of the batch; that list is written out, so Spark knows its size.
+    Only the dates of blocks without a time are looked up (``untimed_dates``);
+    that list is written out, so Spark knows its size.
     """
     if not store.by_date or S.DATE_COLUMN in raw.columns:
         return raw
     date = unix_date("block_time")
-    if raw.where("block_time is null and slot is not null").isEmpty():
+    untimed = untimed_dates(raw, store) if untimed is None else untimed
+    if untimed is None:
         return raw.withColumn(S.DATE_COLUMN, date)
-    path = fresh_path(raw.sparkSession, "dates")
-    (R.fill_block_time(raw.where("slot is not null"), store.bucket_size).where("block_time_is_filled")
-     .select("slot", unix_date("block_time_filled").alias("_d")).write.parquet(path))
-    return (raw.join(raw.sparkSession.read.parquet(path), "slot", "left")
-            .withColumn(S.DATE_COLUMN, F.coalesce(date, "_d")).drop("_d"))
+    return raw.join(untimed, "slot", "left").withColumn(S.DATE_COLUMN, F.coalesce(date, "_d")).drop("_d")
+
+
+def move_dates(store: LedgerStore, untimed: DataFrame) -> bool:
+    """Move stored rows whose block has got another date by a later batch; whether there were any.
+
+    Dates change where an untimed block had its neighbours on one side only, or
+    none, so this seldom rewrites anything.  ``blocks`` comes last: until it has
+    moved, a replay finds the same rows to move.
+    """
+    spark = untimed.sparkSession
+    path = fresh_path(spark, "moves")
+    (read_table(spark, store, "blocks").join(untimed, "slot").where(~F.col(S.DATE_COLUMN).eqNullSafe(F.col("_d")))
+     .select("slot", "_d", S.partition_column()).write.parquet(path))
+    moves = spark.read.parquet(path)
+    buckets = [r[0] for r in moves.select(S.partition_column()).distinct().collect()]
+    for t in sorted(store.tables, key=lambda t: t == "blocks") if buckets else ():
+        target = read_table(spark, store, t)
+        stage = fresh_path(spark, f"move-{t}")
+        (target.where(F.col(S.partition_column()).isin(buckets)).join(moves.select("slot", "_d"), "slot", "left")
+         .withColumn(S.DATE_COLUMN, F.coalesce("_d", S.DATE_COLUMN)).select(*target.columns)
+         .write.partitionBy(*store.partitions).parquet(stage))
+        replace_buckets(spark, stage, store, t, buckets)
+    remove_path(spark, path)
+    return bool(buckets)
+
+
+def replace_buckets(spark: SparkSession, stage: str, store: LedgerStore, table: str, buckets) -> None:
+    """Put staged rows in the place of whole slot buckets, and remove the stage.
+
+    A partition (bucket and date) of them that got no row is dropped.
+    """
+    part = S.partition_column()
+    target = read_table(spark, store, table)
+    staged = spark.read.schema(target.schema).parquet(stage)
+    full = {tuple(r) for r in staged.select(*[F.col(c).cast("string") for c in store.partitions]).distinct().collect()}
+    replace_partitions(staged.select(*target.columns), store.fqn(table))
+    wanted = set(map(int, buckets))
+    for p in _buckets(spark, store, table) or ():
+        values = tuple(None if p[c].startswith("__HIVE") else p[c] for c in store.partitions)
+        if int(p[part]) in wanted and values not in full:
+            spec = ", ".join(f"{c} = null" if v is None else f"{c} = '{v}'" for c, v in zip(store.partitions, values))
+            spark.sql(f"ALTER TABLE {store.fqn(table)} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(store.fqn(table))
+    remove_path(spark, stage)
 
 
 # ------------------------------------------------------------- what is stored
@@ -401,15 +507,20 @@ def write_all(raw: DataFrame, store: LedgerStore, dedupe: bool = True,
         if dedupe and st["n"] != st["d"]:
             raw = dedupe_slots(raw, st).persist(StorageLevel.MEMORY_AND_DISK)
             held.append(raw)
-        raw = with_dates(raw, store)
+        untimed = untimed_dates(raw, store) if store.by_date and S.DATE_COLUMN not in raw.columns else None
+        raw = with_dates(raw, store, untimed)
         status = batch_status(raw, store, st["lo"], st["hi"]) if dedupe and st["lo"] is not None else None
         chunk = hot_chunk if (st["most_items"] or 0) > hot_chunk else None
         args = [(raw, store, t, st["lo"], st["hi"], status, chunk, st[f"rej_{t}"] > 0) for t in store.tables]
         with _unsorted_partitioned_write(spark):
             if parallel and len(args) > 1:
                 with ThreadPoolExecutor(max_workers=len(args)) as pool:
-                    return list(pool.map(lambda a: _write_table(*a), args))
-            return [_write_table(*a) for a in args]
+                    names = list(pool.map(lambda a: _write_table(*a), args))
+            else:
+                names = [_write_table(*a) for a in args]
+        if untimed is not None and "blocks" in store.tables:
+            move_dates(store, untimed)
+        return names
     finally:
         for h in held:
             h.unpersist()

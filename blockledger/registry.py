@@ -463,6 +463,19 @@ def q_published_tables(spark, sf):
             .unionByName(after.withColumn("state", F.lit("again"))))
 
 
+def q_dates_over_batches(spark, sf):
+    """R2: blocks without a time come first, alone; the batches after them date them."""
+    raw = raw_of(spark, sf)
+    store, half = _store(raw, DEV_TABLES), _tip(raw) // 2
+    store.by_date = True
+    timed = F.col("block_time").isNotNull()
+    for batch in (~timed, timed & (F.col("slot") >= half), timed & (F.col("slot") < half)):
+        K.write_all(raw.where(batch), store)
+    return reduce(DataFrame.unionByName, [
+        K.read_table(spark, store, t).groupBy("slot", F.date_format(S.DATE_COLUMN, "yyyy-MM-dd").alias("block_date"))
+        .agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for t in store.tables])
+
+
 QUERIES = {
     "raw_blocks": q_raw_blocks,
     "chain_tip": q_chain_tip,
@@ -514,4 +527,5 @@ QUERIES = {
     "slot_coverage": q_slot_coverage,
     "slot_gaps": q_slot_gaps,
     "published_tables": q_published_tables,
+    "dates_over_batches": q_dates_over_batches,
 }
