@@ -54,3 +54,11 @@ def test_nested_rows_of_odd_keys(spark, sf):
     # Rows without a slot: the order's block and the event's are not one block.
     apart = [(len(r["transactions"] or ()), len(r["rewards"] or ())) for r in rows if r["slot"] is None]
     assert sorted(apart) == [(0, 1), (1, 0)]
+
+
+@pytest.mark.parametrize("land", [ledger.land_json, ledger.land_broken, ledger.land_bad_items])
+def test_json_is_landed_compressed(spark, sf, land):
+    import glob
+    out = land(spark, sf).removeprefix("file:")
+    assert glob.glob(f"{out}/part-*") and all(f.endswith(".txt.gz") for f in glob.glob(f"{out}/part-*"))
+    assert spark.read.text(out).count() == ledger.ledger_raw(spark, sf).count()
