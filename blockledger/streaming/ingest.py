@@ -104,6 +104,9 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
     """
     t0 = time.time()
     spark = batch.sparkSession
+    if S.CORRUPT_COLUMN in batch.columns:
+        # Held with the items of flagged lines already read, as every job of the batch uses them.
+        batch = keep_readable_items(batch)
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         raw = batch.where(F.col("slot").isNotNull()).where(G.slot_range_filter(start_slot, end_slot, None))
@@ -112,7 +115,7 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
             # parsed a slot is kept without the items that cannot be read.
             flagged = F.col(S.CORRUPT_COLUMN).isNotNull()
             M.log_rejected_lines(batch.where(flagged).select("slot", F.col(S.CORRUPT_COLUMN).alias("record")), store)
-            raw = keep_readable_items(raw).drop(S.CORRUPT_COLUMN)
+            raw = raw.drop(S.CORRUPT_COLUMN)
         ready = raw
         if hold_tip:
             ready = _hold_tip(raw, store, batch_id)
