@@ -11,16 +11,19 @@ into segments that are handled apart:
    segment becomes one 64-bit signature; equal signatures meet in one bucket.
    Signatures are combined within each batch before the shuffle, so a bucket
    that holds a third of the corpus arrives as one row per batch.
-2. *Star.*  Each bucket pairs its members with one leader: linear output.
+2. *Star.*  Each bucket pairs its members with one leader: linear output.  Small
+   buckets pair all their members.
 3. *Partial overlaps.*  Candidate pairs that pass a parity sketch (a bit vector
    that can only under-state the difference, so it drops no link) are counted
    exactly: per pair and fragment the overlap of the two segments, then the sum
-   per pair.  No set has to sit in one row.
-4. *Rest.*  Links not through a leader can only join members of one bucket that
-   are still in different components.  Such buckets are compared in blocks on
-   the sketches: first a spanning forest of the likely pairs, then every likely
-   pair that still crosses components.  All are counted as in 3, so every link
-   is either found or already implied by a path of found links.
+   per pair.
+4. *Rest.*  Links not through a leader can only join members of one large bucket
+   that are still in different components.  Sets that chains of such buckets join make
+   a family, in which each set is one row.  Families are compared in blocks:
+   pairs that the sketches admit are counted on the whole sets at once, and a
+   block gives a spanning forest of its links; first inside the blocks, then
+   between those whose components still differ.  So every link is either found or
+   already implied by a path of found links, and no list of likely pairs is made.
 
 Cases: a null or blank text has an empty set (size 0, linked with nothing); a
 text with fewer words than a shingle is one shingle; repeated rows and copies
@@ -46,10 +49,13 @@ SHINGLE = 3
 THRESHOLD = 90  # per cent
 ROWS_AT_ONCE = 1024  # texts held as sets at a time
 SEGMENT = 128  # shingles in a segment of the exact count, about
-SKETCH = 4  # bits for each shingle that linked sets may differ by
-BLOCK = 256  # members of a bucket compared at a time
-TILE = 32  # of them against the others at once
-WORD_CACHE = 1_000_000
+SKETCH = 8  # bits for each shingle that linked sets may differ by
+FEW = 16  # members of a bucket that are all paired at once
+BLOCK = 1024  # members of a family in a block, about
+BLOCK_SHINGLES = 250_000  # shingles in a block, about
+TILE = 32  # members of a block against the others at once
+CLASS_BITS = 127  # the low bits of a signature hold its size class
+WORD_CACHE = 100_000
 
 PROFILE = ("doc_id long, n long, h long, tk long, sigs array<long>, "
            "near array<struct<sig:long,lead:long>>, sketch binary")
@@ -103,11 +109,11 @@ class Cuts:
         return (a + b) * (100 - self.p) // (100 + self.p)
 
     def top(self, c: int) -> int:
-        """Largest size in class c; classes grow by a half power of two."""
-        return int(2 ** ((c + 1) / 2))
+        """Largest size in class c; classes grow by a quarter power of two."""
+        return int(2 ** ((c + 1) / 4))
 
     def class_of(self, n: int) -> int:
-        c = max(0, int(2 * np.log2(n)) - 2)
+        c = max(0, int(4 * np.log2(n)) - 2)
         while self.top(c) < n:
             c += 1
         return c
@@ -120,12 +126,26 @@ class Cuts:
         """Lower ends of the fragments, a salt for each, and the empty ones allowed for."""
         if c not in self.known:
             d = int(self.most_diff(self.top(c), self.top(c)))
-            spare = 1 + d // 64
+            spare = self.spare(c, d)
             k = d + 1 + spare
             ends = np.array([(q << 64) // k for q in range(k)], np.uint64)
             self.known[c] = ends, mix(np.arange(k, dtype=np.uint64) + np.uint64((c + 1) << 40)), spare
         return self.known[c]
 
+    def spare(self, c: int, d: int) -> int:
+        """Empty fragments to allow for: hardly any set of the class has more, where that can be had.
+
+        Empty fragments are alike in all texts, so sets that sign them meet in
+        buckets that grow with the table.
+        """
+        least = max(1, self.top(c - 1) * self.p // 100)
+        for spare in range(1, 2 + d // 2):
+            k = d + 1 + spare
+            void = np.exp(-least / k)
+            if k * void + 4 * np.sqrt(k * void * (1 - (1 + least / k) * void)) <= spare:
+                return spare
+        return 1 + d // 64
+
     def signatures(self, h: np.ndarray) -> np.ndarray:
         out = []
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(h + np.uint64(0x632BE59BD9B4E019)), dtype=np.uint64)])
@@ -134,7 +154,7 @@ class Cuts:
                 continue  # only equal sets can be linked
             ends, salt, spare = self.cut(c)
             at = np.append(np.searchsorted(h, ends), len(h))
-            sig = mix((sums[at[1:]] - sums[at[:-1]]) ^ salt)
+            sig = mix((sums[at[1:]] - sums[at[:-1]]) ^ salt) & ~np.uint64(CLASS_BITS) | np.uint64(c)
             full = at[1:] > at[:-1]
             # A pair leaves spare + 1 fragments untouched; a set with no more empty ones than
             # spare shares a full one, any other set also signs its empty ones.
@@ -254,57 +274,112 @@ def similar_size(per_cent: int):
     return F.expr(f"100 * least(nu, nv) >= {per_cent} * greatest(nu, nv)")
 
 
-def star_pairs(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+def by_bucket(members: DataFrame) -> DataFrame:
+    """(sig, h) of every member, leads too."""
+    return members.select("sig", "h").unionByName(members.select("sig", F.col("lead").alias("h"))).distinct()
+
+
+def candidate_pairs(members: DataFrame, sets: DataFrame, per_cent: int) -> DataFrame:
+    """Likely pairs: every member with its lead, and all members of buckets of up to ``FEW``."""
+    both = by_bucket(members)
+    few = both.join(both.groupBy("sig").agg(F.count("*").alias("m")).filter(f"m between 3 and {FEW}"), "sig")
+    small = (few.select("sig", F.col("h").alias("u")).join(few.select("sig", F.col("h").alias("v")), "sig")
+             .filter("u < v").select("u", "v"))
     a = sets.select(F.col("h").alias("u"), F.col("n").alias("nu"), F.col("sketch").alias("su"))
     b = sets.select(F.col("h").alias("v"), F.col("n").alias("nv"), F.col("sketch").alias("sv"))
-    pairs = members.select(F.least("h", "lead").alias("u"), F.greatest("h", "lead").alias("v")).distinct()
+    pairs = members.select(F.least("h", "lead").alias("u"), F.greatest("h", "lead").alias("v")).unionByName(small).distinct()
     return sketch_filter(pairs.join(a, "u").join(b, "v").filter(similar_size(per_cent)), per_cent)
 
 
-def rest_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, per_cent: int, forest: bool) -> DataFrame:
-    """Likely pairs of one bucket in different components; with ``forest`` only enough to connect them."""
-    both = members.select("sig", "h").unionByName(members.select("sig", F.col("lead").alias("h"))).distinct()
-    both = both.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
-    open_ = (both.groupBy("sig").agg(F.count("*").alias("m"), F.min("root").alias("a"), F.max("root").alias("b"))
-             .filter("a <> b").select("sig", F.expr(f"int(ceil(m / {BLOCK}))").alias("k")))
-    dealt = (both.join(open_, "sig").withColumn("own", F.expr("int(pmod(xxhash64(h), k))"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-             .join(sets.select("h", "n", "sketch"), "h")
-             .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "own", "h", "root", "n", "sketch"))
-    dealt = dealt.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+def families(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(fam, k, h, root, n, tk, sketch): the sets of a class that chains of open buckets join, in k blocks.
+
+    A bucket of more than ``FEW`` is open while its members are in different components.
+    Near copies share most of their buckets; here each of them is one row, not one for each bucket.
+    """
+    root = F.coalesce("root", "h")
+    open_ = (by_bucket(members).join(roots, "h", "left").groupBy("sig")
+             .agg(F.count("*").alias("m"), F.min(root).alias("a"), F.max(root).alias("b"))
+             .filter(f"m > {FEW} and a <> b").select("sig"))
+    c = F.col("sig").bitwiseAND(F.lit(CLASS_BITS)).alias("c")
+    met = saved(members.join(open_, "sig", "left_semi").select(c, "h", "lead").distinct(), "join-met")
+    chained = components(met.select(F.xxhash64("h", "c").alias("u"), F.xxhash64("lead", "c").alias("v")))
+    nodes = (met.select("c", "h").unionByName(met.select("c", F.col("lead").alias("h"))).distinct()
+             .withColumn("node", F.xxhash64("h", "c")).join(chained.withColumnRenamed("root", "fam"), "node", "left")
+             .withColumn("fam", F.coalesce("fam", "node")))
+    rows = nodes.join(sets, "h").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    size = (nodes.join(sets.select("h", "n"), "h").groupBy("fam")
+            .agg(F.expr(f"int(ceil(greatest(count(*) / {BLOCK}, sum(n) / {BLOCK_SHINGLES})))").alias("k")))
+    return rows.join(size, "fam").select("fam", "k", "h", "root", "n", "tk", "sketch")
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """(h, own_set) of the sets in ``wanted``, from one text each."""
+    texts = (docs.select(F.col("text").cast("binary").alias("text"), F.xxhash64("text").alias("tk"))
+             .join(wanted.select("tk"), "tk", "left_semi").dropDuplicates(["tk"]).select("text"))
+
+    def run(batches):
+        words = WordHash()
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                got = [shingle_set(t.as_py(), words, size).tobytes() for t in b.column("text").slice(lo, 64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_i64([xxhash.xxh3_64_intdigest(x) for x in got])), pa.array(got, pa.binary())],
+                    ["h", "own_set"])
+    return texts.mapInArrow(run, "h long, own_set binary")
+
+
+def block_links(open_: DataFrame, own: DataFrame, roots: DataFrame, per_cent: int, apart: bool) -> DataFrame:
+    """Links (u, v) that join components: inside the blocks of each family, or with ``apart`` between them.
+
+    Sets are compared on the sketches first, and likely pairs at once on the whole
+    sets; a block gives a spanning forest of its links, so the rows that come out
+    follow from the components joined and not from the pairs compared.
+    """
+    now = open_.drop("root").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
+    dealt = now.withColumn("own", F.expr("int(pmod(xxhash64(h), k))"))
+    if apart:
+        split = (now.filter("k > 1").groupBy("fam").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+                 .filter("a <> b").select("fam"))
+        dealt = (dealt.filter("k > 1").join(split, "fam", "left_semi")
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).filter("own <> other"))
+    else:
+        dealt = dealt.withColumn("other", F.col("own"))
+    dealt = (dealt.join(own, "h")
+             .select("fam", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     "own", "h", "root", "n", "sketch", "own_set"))
+    dealt = dealt.repartition("fam", "i", "j").sortWithinPartitions("fam", "i", "j")
 
     def run(batches):
         cuts, rest = Cuts(per_cent), None
         for b in batches:
             t = pa.Table.from_batches([b])
-            t = (t if rest is None else pa.concat_tables([rest, t])).combine_chunks()
-            sig, i, j = (t.column(c).to_numpy() for c in ("sig", "i", "j"))
-            first = np.flatnonzero((sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            t = t if rest is None else pa.concat_tables([rest, t])
+            fam, i, j = (t.column(c).to_numpy() for c in ("fam", "i", "j"))
+            first = np.flatnonzero((fam[1:] != fam[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             first = np.concatenate([[0], first])
-            yield from pairs_of(x for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()) if hi - lo > 1
-                                for x in found(cuts, i[lo] != j[lo], t.slice(lo, hi - lo)))
+            for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+                if hi - lo > 1:
+                    yield found(cuts, t.slice(lo, hi - lo))
             rest = t.slice(int(first[-1]))  # its block may go on in the next batch
         if rest is not None and rest.num_rows > 1:
-            yield from pairs_of(found(cuts, rest.column("i")[0] != rest.column("j")[0], rest))
+            yield found(cuts, rest)
 
-    def pairs_of(found):
-        out = sorted(set(found))
-        yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in range(4)], ["u", "v", "nu", "nv"])
-
-    def found(cuts, apart, rows):
-        """Likely pairs of a block; ``apart``: between its two halves only."""
+    def found(cuts, rows):
         own, h, root, n = (rows.column(c).to_numpy() for c in ("own", "h", "root", "n"))
+        out = list(forest(cuts, own, root, n, rows)) if (root != root[0]).any() else []
+        return pa.RecordBatch.from_arrays([pa.array(h[[p[k] for p in out]], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    def forest(cuts, own, root, n, rows):
+        """Linked pairs (p, q) of a block that join its components."""
         label = root.copy()
-        if (label == label[0]).all():
-            return
-        sketches = rows.column("sketch").to_pylist()
+        sketches, sets = rows.column("sketch").to_pylist(), rows.column("own_set").to_pylist()
         size = min(map(len, sketches))
         sk = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in sketches]).view(np.uint64)
         for lo in range(0, len(n), TILE):
             a, b = slice(lo, lo + TILE), slice(lo, None)
             few, many = np.minimum(n[a, None], n[b]), np.maximum(n[a, None], n[b])
-            ok = (root[a, None] != root[b]) & (100 * few >= per_cent * many)
+            ok = (label[a, None] != label[b]) & (100 * few >= per_cent * many)
             ok &= np.arange(len(few))[:, None] < np.arange(few.shape[1])
             if apart:
                 ok &= own[a, None] != own[b]
@@ -312,16 +387,14 @@ def rest_pairs(members: DataFrame, sets: DataFrame, roots: DataFrame, per_cent:
             least = np.bitwise_count(sk[lo + x] ^ sk[lo + y]).sum(axis=1, dtype=np.int64)
             near = least <= cuts.most_diff(n[lo + x], n[lo + y])
             for p, q in zip((lo + x[near]).tolist(), (lo + y[near]).tolist()):
-                if forest and label[p] == label[q]:
-                    continue
-                if differing(sketches[p], sketches[q]) > cuts.most_diff(n[p], n[q]):
+                if label[p] == label[q] or differing(sketches[p], sketches[q]) > cuts.most_diff(n[p], n[q]):
                     continue
-                (u, nu), (v, nv) = sorted(((int(h[p]), int(n[p])), (int(h[q]), int(n[q]))))
-                yield u, v, nu, nv
-                if forest:
+                both = len(np.intersect1d(np.frombuffer(sets[p], np.uint64), np.frombuffer(sets[q], np.uint64), True))
+                if 100 * both >= per_cent * (n[p] + n[q] - both):
+                    yield p, q
                     label[label == label[q]] = label[p]
 
-    return dealt.mapInArrow(run, "u long, v long, nu long, nv long").distinct()
+    return dealt.mapInArrow(run, "u long, v long")
 
 
 # --------------------------------------------------------------- exact count
@@ -355,7 +428,7 @@ def links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, per_cent: int = TH
     # The class of a pair is that of its larger set: a step function of the size.
     top = F.greatest("nu", "nv")
     c, k = F.lit(0), F.lit(1)
-    for i in range(1, 80):
+    for i in range(1, CLASS_BITS + 1):
         c, k = F.when(top > cuts.top(i - 1), i).otherwise(c), F.when(top > cuts.top(i - 1), cuts.pieces(i)).otherwise(k)
     dealt = pairs.withColumn("c", c).withColumn("q", F.explode(F.sequence(F.lit(0), k - 1)))
     a = seg.select(F.col("h").alias("u"), "c", "q", F.col("part").alias("pu"))
@@ -370,6 +443,10 @@ def links(docs: DataFrame, pairs: DataFrame, sets: DataFrame, per_cent: int = TH
 
 # ------------------------------------------------------------------- operator
 
+def _roots(edges: DataFrame) -> DataFrame:
+    return components(edges).select(F.col("node").alias("h"), "root")
+
+
 def grouped(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """The rows' (doc_id, n, h, tk), and (h, least, root) of each set: its smallest id and its component."""
     prof = saved(profile(docs, per_cent, size), "join-profile")
@@ -379,24 +456,20 @@ def grouped(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) ->
                  .join(ids, "h", "left_semi").dropDuplicates(["h"]), "join-sets")
     rows = saved(prof.select("doc_id", "n", "h", "tk"), "join-rows")
     discard(prof)  # the signatures are by far the largest part, and no longer needed
-    edges = roots = None
-    for step in ("star", "forest", "all"):
-        pairs = saved(star_pairs(members, sets, per_cent) if step == "star" else
-                      rest_pairs(members, sets, roots, per_cent, step == "forest"), f"join-{step}")
-        likely = pairs.count()
-        if likely:
-            found = links(docs, pairs, sets, per_cent, size).select("u", "v")
-        elif edges is None:
-            found = pairs.select("u", "v")
-        else:
-            break  # no likely pair crosses components any more
-        edges = found if edges is None else edges.unionByName(found)
-        roots = components(edges).select(F.col("node").alias("h"), "root")
-        if likely:
-            discard(pairs)
-        if step == "forest" and found.count() == likely:
-            break  # the whole forest holds, so nothing likely is left between components
-    discard(members, sets)
+    pairs = saved(candidate_pairs(members, sets, per_cent), "join-pairs")
+    edges = (pairs if pairs.isEmpty() else links(docs, pairs, sets, per_cent, size)).select("u", "v")
+    roots = _roots(edges)
+    open_ = saved(families(members, sets, roots), "join-open")
+    discard(pairs, members, sets)
+    if not open_.isEmpty():
+        own = saved(whole_sets(docs, open_, size), "join-sets")
+        for apart in (False, True):
+            found = saved(block_links(open_, own, roots, per_cent, apart), "join-found")
+            if not found.isEmpty():
+                edges = edges.unionByName(found)
+                roots = _roots(edges)
+        discard(own)
+    discard(open_)
     by_set = rows.filter("h is not null").groupBy("h").agg(F.min("doc_id").alias("least"))
     return rows, by_set.join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
 

@@ -91,3 +91,35 @@ def test_components_of_a_graph(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 51)}, 100: 0, 201: 200}
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_large_group_of_texts_below_the_threshold(spark, monkeypatch):
+    """Near copies of one text, too far from each other to be linked: no list of likely pairs is written."""
+    written = {}
+
+    def counted(df, name, **options):
+        out = saved(df, name, **options)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+    saved = J.saved
+    monkeypatch.setattr(J, "saved", counted)
+    r, hub, rows = np.random.default_rng(4), [f"w{k}" for k in range(200)], []
+    for i in range(150):
+        w = list(hub)
+        for at in r.choice(25, 3, replace=False) * 8:
+            w[at] = f"x{r.integers(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    rows.append((150, rows[140][1].replace("w199", "last")))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, J.near_duplicate_components(df).collect())) == brute(rows)
+    assert sum(n for name, n in written.items() if name in ("join-pairs", "join-star", "join-forest", "join-all", "join-found")) < 10 * len(rows)
+
+
+def test_hardly_any_set_signs_empty_fragments():
+    """Sets of one size class at 80 per cent have no signature in common by chance."""
+    r, cuts = np.random.default_rng(3), J.Cuts(80)
+    seen = Counter()
+    for _ in range(400):
+        h = np.unique(r.integers(0, 2 ** 63, int(r.integers(150, 400)), np.int64).astype(np.uint64) * np.uint64(2))
+        seen.update(cuts.signatures(h).tolist())
+    assert sum(n for n in seen.values() if n > 1) < 40
