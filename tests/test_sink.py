@@ -59,6 +59,20 @@ def test_append_table_skips_stored_slots(spark, read_json):
     assert K.append_table(P.blocks(raw), store, "blocks") == store.fqn("blocks")
 
 
+def test_append_replay_starts_no_write(spark, read_json, monkeypatch):
+    """A table that holds every slot of the rows is not written, and the rows are not shuffled to find that out."""
+    raw = read_json([block(s, [tx(f"s{s}"), tx(f"r{s}", signatures=[None])]) for s in range(5)])
+    store = _store(spark, ["transactions"])
+    K.ensure_tables(spark, store)
+    t = P.transactions(raw)
+    K.append_table(t, store, "transactions")
+    insert, calls = K._insert, []
+    monkeypatch.setattr(K, "_insert", lambda *a: calls.append(a[2]) or insert(*a))
+    K.append_table(t, store, "transactions")
+    assert calls == [] and K.read_table(spark, store, "transactions").count() == 5
+    assert spark.table(K.rejects_name(store, "transactions")).count() == 5
+
+
 def test_table_selection_only_enabled(spark, read_json):
     raw = read_json([block(1, [tx("a")])])
     store = _store(spark, ["blocks", "transactions"])
