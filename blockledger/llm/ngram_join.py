@@ -51,9 +51,9 @@ ROWS_AT_ONCE = 1024  # texts held as sets at a time
 SEGMENT = 128  # shingles in a segment of the exact count, about
 SKETCH = 8  # bits for each shingle that linked sets may differ by
 FEW = 16  # members of a bucket that are all paired at once
-BLOCK = 1024  # members of a family in a block, about
-BLOCK_SHINGLES = 250_000  # shingles in a block, about
-TILE = 32  # members of a block against the others at once
+BLOCK = 8192  # members of a family in a block, about
+BLOCK_SHINGLES = 2_000_000  # shingles in a block, about: 16 MB; blocks of a family are compared two by two
+TILE = 32_768  # pairs of a block compared at once
 CLASS_BITS = 127  # the low bits of a signature hold its size class
 WORD_CACHE = 100_000
 
@@ -376,8 +376,9 @@ def block_links(open_: DataFrame, own: DataFrame, roots: DataFrame, per_cent: in
         sketches, sets = rows.column("sketch").to_pylist(), rows.column("own_set").to_pylist()
         size = min(map(len, sketches))
         sk = np.stack([folded(np.frombuffer(x, np.uint8), size) for x in sketches]).view(np.uint64)
-        for lo in range(0, len(n), TILE):
-            a, b = slice(lo, lo + TILE), slice(lo, None)
+        tile = max(1, TILE // len(n))
+        for lo in range(0, len(n), tile):
+            a, b = slice(lo, lo + tile), slice(lo, None)
             few, many = np.minimum(n[a, None], n[b]), np.maximum(n[a, None], n[b])
             ok = (label[a, None] != label[b]) & (100 * few >= per_cent * many)
             ok &= np.arange(len(few))[:, None] < np.arange(few.shape[1])
