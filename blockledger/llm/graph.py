@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from blockledger.llm.common import discard, saved
 
 
-def _hook(directed: DataFrame) -> DataFrame:
-    """Each (u, v): v with the smallest of u and u's partners."""
-    least = directed.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return directed.join(least, "u")
+def _least(directed: DataFrame) -> DataFrame:
+    """(u, m): the smallest of u and its partners, one row for each u."""
+    return directed.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,12 +27,12 @@ def components(edges: DataFrame) -> DataFrame:
     while not _is_flat(e):
         both = e.unionByName(e.select(F.col("u").alias("v"), F.col("v").alias("u")))
         # Large star: larger partners of u hang under the smallest of u and its partners.
-        large = _hook(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.filter("v > u").join(_least(both), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = saved(large, "components-large")
-        # Small star: so do u and its smaller partners.
-        h = _hook(large)
-        before, e = e, saved(h.select(F.col("v").alias("u"), F.col("m").alias("v"))
-                  .unionByName(h.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), "components")
+        # Small star: so do u itself, by one row, and its other smaller partners.
+        least = _least(large)
+        others = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before, e = e, saved(least.withColumnRenamed("m", "v").unionByName(others).distinct(), "components")
         discard(before, large)
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 

@@ -292,25 +292,34 @@ def candidate_pairs(members: DataFrame, sets: DataFrame, per_cent: int) -> DataF
 
 
 def families(members: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """(fam, k, h, root, n, tk, sketch): the sets of a class that chains of open buckets join, in k blocks.
+    """(fam, k, h, root, n, tk, sketch): the sets of a class that chains of open buckets join, in k blocks; saved.
 
     A bucket of more than ``FEW`` is open while its members are in different components.
     Near copies share most of their buckets; here each of them is one row, not one for each bucket.
+    A bucket's members hang on its smallest, and a set's smallest ones on the least of them, so
+    the graph of a family has few edges more than sets.
     """
     root = F.coalesce("root", "h")
     open_ = (by_bucket(members).join(roots, "h", "left").groupBy("sig")
-             .agg(F.count("*").alias("m"), F.min(root).alias("a"), F.max(root).alias("b"))
-             .filter(f"m > {FEW} and a <> b").select("sig"))
+             .agg(F.count("*").alias("m"), F.min("h").alias("least"), F.min(root).alias("a"), F.max(root).alias("b"))
+             .filter(f"m > {FEW} and a <> b").select("sig", "least"))
     c = F.col("sig").bitwiseAND(F.lit(CLASS_BITS)).alias("c")
-    met = saved(members.join(open_, "sig", "left_semi").select(c, "h", "lead").distinct(), "join-met")
-    chained = components(met.select(F.xxhash64("h", "c").alias("u"), F.xxhash64("lead", "c").alias("v")))
+    met = saved(members.join(open_, "sig").select(c, F.explode(F.array("h", "lead")).alias("h"), F.col("least").alias("lead"))
+                .filter("h <> lead").distinct(), "join-met")
+    # A set has at most as many leads as signatures, so no window is long.
+    first = F.least("h", F.min("lead").over(Window.partitionBy("c", "h")))
+    edges = met.select("c", "h", "lead", first.alias("first"))
+    edges = edges.select("c", "h", "first").unionByName(edges.select("c", F.col("lead").alias("h"), "first")).distinct()
+    chained = components(edges.select(F.xxhash64("h", "c").alias("u"), F.xxhash64("first", "c").alias("v")))
     nodes = (met.select("c", "h").unionByName(met.select("c", F.col("lead").alias("h"))).distinct()
              .withColumn("node", F.xxhash64("h", "c")).join(chained.withColumnRenamed("root", "fam"), "node", "left")
              .withColumn("fam", F.coalesce("fam", "node")))
     rows = nodes.join(sets, "h").join(roots, "h", "left").withColumn("root", F.coalesce("root", "h"))
     size = (nodes.join(sets.select("h", "n"), "h").groupBy("fam")
             .agg(F.expr(f"int(ceil(greatest(count(*) / {BLOCK}, sum(n) / {BLOCK_SHINGLES})))").alias("k")))
-    return rows.join(size, "fam").select("fam", "k", "h", "root", "n", "tk", "sketch")
+    out = saved(rows.join(size, "fam").select("fam", "k", "h", "root", "n", "tk", "sketch"), "join-open")
+    discard(met)
+    return out
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -460,7 +469,7 @@ def grouped(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) ->
     pairs = saved(candidate_pairs(members, sets, per_cent), "join-pairs")
     edges = (pairs if pairs.isEmpty() else links(docs, pairs, sets, per_cent, size)).select("u", "v")
     roots = _roots(edges)
-    open_ = saved(families(members, sets, roots), "join-open")
+    open_ = families(members, sets, roots)
     discard(pairs, members, sets)
     if not open_.isEmpty():
         own = saved(whole_sets(docs, open_, size), "join-sets")

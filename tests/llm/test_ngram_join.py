@@ -115,6 +115,27 @@ def test_large_group_of_texts_below_the_threshold(spark, monkeypatch):
     assert sum(n for name, n in written.items() if name in ("join-pairs", "join-star", "join-forest", "join-all", "join-found")) < 10 * len(rows)
 
 
+def test_graph_of_a_family_has_few_edges(spark, monkeypatch):
+    """Near copies dealt over many batches: a bucket's leaders hang on one, so edges do not multiply."""
+    graphs = []
+
+    def counted(edges):
+        e = edges.filter("u <> v").distinct()
+        graphs.append((e.count(), e.select("u").union(e.select("v")).distinct().count()))
+        return components(edges)
+    monkeypatch.setattr(J, "components", counted)
+    r, hub, rows = np.random.default_rng(6), [f"w{k}" for k in range(200)], []
+    for i in range(300):
+        w = list(hub)
+        for at in r.choice(25, 3, replace=False) * 8:
+            w[at] = f"x{r.integers(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(30)
+    assert len(J.near_duplicate_components(df).collect()) == 300
+    large = [(e, n) for e, n in graphs if n >= 300]
+    assert large and all(e < 2 * n for e, n in large)
+
+
 def test_hardly_any_set_signs_empty_fragments():
     """Sets of one size class at 80 per cent have no signature in common by chance."""
     r, cuts = np.random.default_rng(3), J.Cuts(80)
