@@ -10,7 +10,9 @@ into segments that are handled apart:
    fragment must be untouched, so the pair agrees on that whole segment.  Every
    segment becomes one 64-bit signature; equal signatures meet in one bucket.
    Signatures are combined within each batch before the shuffle, so a bucket
-   that holds a third of the corpus arrives as one row per batch.
+   that holds a third of the corpus arrives as one row per batch.  Buckets of many
+   signatures are formed in slices of the signatures, one after another, so that only a
+   slice of them is on disk a second time.
 2. *Star.*  Each bucket pairs its members with one leader: linear output.  Small
    buckets pair all their members.
 3. *Partial overlaps.*  Candidate pairs that pass a parity sketch (a bit vector
@@ -35,6 +37,7 @@ there is none).  Other columns are ignored.  Sets are named by a 64-bit hash.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +57,13 @@ FEW = 16  # members of a bucket that are all paired at once
 BLOCK = 8192  # members of a family in a block, about
 BLOCK_SHINGLES = 2_000_000  # shingles in a block, about: 16 MB; blocks of a family are compared two by two
 TILE = 32_768  # pairs of a block compared at once
+SLICE_BITS = 3  # the high bits of a signature that name its slice
+ONE_PASS = 4_000_000  # signatures whose buckets are formed at once, in one pass over all slices
 CLASS_BITS = 127  # the low bits of a signature hold its size class
 WORD_CACHE = 100_000
 
-PROFILE = ("doc_id long, n long, h long, tk long, sigs array<long>, "
+SLICES = [f"sigs{p}" for p in range(1 << SLICE_BITS)]
+PROFILE = (f"doc_id long, n long, h long, tk long, {', '.join(f'{s} array<long>' for s in SLICES)}, "
            "near array<struct<sig:long,lead:long>>, sketch binary")
 
 
@@ -238,11 +244,12 @@ def profile(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) ->
         own = lead == owner
         near = pa.StructArray.from_arrays(
             [pa.array(_i64(flat[~own])), pa.array(_i64(name[lead[~own]]))], ["sig", "lead"])
+        of = [own & (flat >> np.uint64(64 - SLICE_BITS) == p) for p in range(len(SLICES))]
         return pa.RecordBatch.from_arrays([
             b.column("doc_id"), pa.array(count), pa.array(_i64(name), mask=count == 0), b.column("tk"),
-            _lists(owner[own], pa.array(_i64(flat[own])), rows), _lists(owner[~own], near, rows),
+            *[_lists(owner[x], pa.array(_i64(flat[x])), rows) for x in of], _lists(owner[~own], near, rows),
             pa.array(sketches, pa.binary())],
-            ["doc_id", "n", "h", "tk", "sigs", "near", "sketch"])
+            ["doc_id", "n", "h", "tk", *SLICES, "near", "sketch"])
 
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"),
                       F.xxhash64("text").alias("tk"))
@@ -250,12 +257,24 @@ def profile(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) ->
 
 
 def bucket_members(prof: DataFrame) -> DataFrame:
-    """(sig, h, lead) of buckets with several sets; leads have no row of their own."""
+    """(sig, h, lead) of buckets with several sets; leads have no row of their own; saved."""
     w = Window.partitionBy("sig")
-    far = (prof.select("h", F.explode("sigs").alias("sig"))
-           .select("sig", "h", F.min("h").over(w).alias("lead")).filter("h <> lead"))
-    near = prof.select("h", F.explode("near").alias("x")).select("x.sig", "h", "x.lead")
-    return far.unionByName(near).distinct()
+
+    def formed(slices: list[int]) -> DataFrame:
+        far = (prof.select("h", F.explode(F.concat(*[SLICES[p] for p in slices])).alias("sig"))
+               .select("sig", "h", F.min("h").over(w).alias("lead")).filter("h <> lead"))
+        near = (prof.select("h", F.explode("near").alias("x")).select("x.sig", "h", "x.lead")
+                .filter(F.shiftrightunsigned("sig", 64 - SLICE_BITS).isin(slices)))
+        return saved(far.unionByName(near).distinct(), "join-buckets")
+
+    every = list(range(len(SLICES)))
+    n = prof.agg(F.sum(sum(F.size(s) for s in SLICES))).first()[0] or 0
+    if n <= ONE_PASS:
+        return formed(every)
+    parts = [formed([p]) for p in every]
+    out = saved(reduce(DataFrame.unionByName, parts), "join-buckets")
+    discard(*parts)
+    return out
 
 
 def sketch_filter(pairs: DataFrame, per_cent: int) -> DataFrame:
@@ -460,7 +479,7 @@ def _roots(edges: DataFrame) -> DataFrame:
 def grouped(docs: DataFrame, per_cent: int = THRESHOLD, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
     """The rows' (doc_id, n, h, tk), and (h, least, root) of each set: its smallest id and its component."""
     prof = saved(profile(docs, per_cent, size), "join-profile")
-    members = saved(bucket_members(prof), "join-buckets")
+    members = bucket_members(prof)
     ids = members.select("h").unionByName(members.select(F.col("lead").alias("h")))
     sets = saved(prof.filter("sketch is not null").select("h", "n", "tk", "sketch")
                  .join(ids, "h", "left_semi").dropDuplicates(["h"]), "join-sets")

@@ -1,11 +1,15 @@
 """The n-gram join against all pairs in Python."""
 
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from blockledger.llm import ngram_join as J
+from blockledger.llm.common import discard, saved
 from blockledger.llm.graph import components
 from tests_llm_brute import roots_of, shingles
 
@@ -144,3 +148,29 @@ def test_hardly_any_set_signs_empty_fragments():
         h = np.unique(r.integers(0, 2 ** 63, int(r.integers(150, 400)), np.int64).astype(np.uint64) * np.uint64(2))
         seen.update(cuts.signatures(h).tolist())
     assert sum(n for n in seen.values() if n > 1) < 40
+
+
+def test_buckets_in_slices(documents, monkeypatch):
+    """Buckets formed slice by slice are those formed at once, and no slice is left on disk."""
+    prof, removed = J.profile(documents), []
+    at_once = Counter(map(tuple, J.bucket_members(prof).collect()))
+    monkeypatch.setattr(J, "ONE_PASS", 0)
+    monkeypatch.setattr(J, "discard", lambda *frames: removed.extend(f.count() for f in frames) or discard(*frames))
+    sliced = J.bucket_members(prof)
+    assert Counter(map(tuple, sliced.collect())) == at_once
+    assert len(removed) == len(J.SLICES) and max(removed) < len(at_once) / 2
+
+
+def test_saved_leaves_no_shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def files():
+        return {f for d in dirs for f in Path(str(d)).glob("*/shuffle_*.data")}
+    before = files()
+    assert saved(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled").count() == 7
+    for _ in range(20):
+        left = [f for f in files() - before if f.exists()]
+        if not left:
+            break
+        time.sleep(0.5)
+    assert not left
