@@ -167,7 +167,7 @@ def test_saved_leaves_no_shuffle_files(spark):
     def files():
         return {f for d in dirs for f in Path(str(d)).glob("*/shuffle_*.data")}
     before = files()
-    assert saved(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled").count() == 7
+    assert len(saved(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count(), "shuffled").collect()) == 7
     for _ in range(20):
         left = [f for f in files() - before if f.exists()]
         if not left:
