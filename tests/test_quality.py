@@ -122,3 +122,14 @@ def test_conform_casts_to_declared_schema(spark):
     out = Q.conform(df, "rewards")
     assert [f.dataType.simpleString() for f in out.schema.fields] == [
         "bigint", "string", "bigint", "bigint", "string", "bigint"]
+
+
+def test_conversion_shuffles_no_row(spark, tmp_dir, monkeypatch):
+    """Lines are parsed once, and blocks stay with the files they were landed in; sorted there."""
+    path = write_lines(f"{tmp_dir}/lines", [block(s) for s in (5, 3, 9)])
+    called = []
+    moved = type(spark.range(1)).repartitionByRange
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda *a: called.append(a) or moved(*a))
+    good, rejected = Q.convert_landed(spark, path, f"{tmp_dir}/converted")
+    assert not called and rejected.count() == 0
+    assert [r["slot"] for r in good.select("slot").collect()] == [3, 5, 9]
