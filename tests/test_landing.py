@@ -6,6 +6,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from blockledger.plans.sink import session_settings
 from blockledger.sources import ledger
@@ -62,3 +63,11 @@ def test_json_is_landed_compressed(spark, sf, land):
     out = land(spark, sf).removeprefix("file:")
     assert glob.glob(f"{out}/part-*") and all(f.endswith(".txt.gz") for f in glob.glob(f"{out}/part-*"))
     assert spark.read.text(out).count() == ledger.ledger_raw(spark, sf).count()
+
+
+def test_json_files_hold_few_slots(spark, sf, monkeypatch):
+    """One task writes many blocks, but a compressed file, which one task reads, holds few of them."""
+    monkeypatch.setattr(ledger, "SLOTS_PER_FILE", 2)
+    path = ledger.land_json(spark, sf)
+    lines = [r["n"] for r in spark.read.text(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert max(lines) <= 2 and sum(lines) == ledger.ledger_raw(spark, sf).count()
