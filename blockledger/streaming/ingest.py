@@ -113,8 +113,10 @@ def process_batch(batch: DataFrame, batch_id: int, store: K.LedgerStore,
         if S.CORRUPT_COLUMN in batch.columns:
             # E1 in the stream: flagged lines are logged; a block that still
             # parsed a slot is kept without the items that cannot be read.
+            # Counting them reads the whole batch, so all its files are parsed at once and held.
             flagged = F.col(S.CORRUPT_COLUMN).isNotNull()
-            M.log_rejected_lines(batch.where(flagged).select("slot", F.col(S.CORRUPT_COLUMN).alias("record")), store)
+            if batch.agg(F.count(S.CORRUPT_COLUMN)).first()[0]:
+                M.log_rejected_lines(batch.where(flagged).select("slot", F.col(S.CORRUPT_COLUMN).alias("record")), store)
             raw = raw.drop(S.CORRUPT_COLUMN)
         ready = raw
         if hold_tip:
@@ -143,7 +145,7 @@ def _record_metrics(raw: DataFrame, batch_id: int, store: K.LedgerStore, ms: int
     seen = {tuple(r) for r in spark.table(name).where(F.col("batch_id") == batch_id).select(*same).distinct().collect()}
     rows = [r for r in new.collect() if tuple(r[c] for c in same) not in seen]  # one row a table
     if rows:
-        spark.createDataFrame(rows, new.schema).select(*spark.table(name).columns).write.insertInto(name)
+        spark.createDataFrame(rows, new.schema).coalesce(1).select(*spark.table(name).columns).write.insertInto(name)
 
 
 def continuous_ingest(spark: SparkSession, landing: str, store: K.LedgerStore,

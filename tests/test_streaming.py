@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import types as T
 
+from blockledger import schemas as S
 from blockledger.plans import backfill as M
 from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
@@ -161,3 +163,17 @@ def test_a_bounded_stream_logs_unreadable_lines(spark, tmp_dir):
     q.awaitTermination()
     assert sorted(r.slot for r in K.read_table(spark, store, "blocks").collect()) == [1, 2, 3]
     assert sorted(r.record for r in spark.table(store.fqn(ST.LANDING_REJECTS)).collect()) == ['{"slot": "x"}', "{broken"]
+
+
+def test_a_clean_batch_logs_nothing(spark, tmp_dir, monkeypatch):
+    """Flagged lines are counted, which parses all files of a batch at once; without one the log is left alone."""
+    called, log = [], ST.M.log_rejected_lines
+    monkeypatch.setattr(ST.M, "log_rejected_lines", lambda *a: called.append(a) or log(*a))
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "c"))
+    K.ensure_tables(spark, store)
+    schema = T.StructType(S.RAW_BLOCK.fields + [T.StructField(S.CORRUPT_COLUMN, T.StringType())])
+    read = spark.read.schema(schema).option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
+    ST.process_batch(read.json(write_lines(f"{tmp_dir}/clean", [block(1), block(2)])), 0, store)
+    assert not called
+    ST.process_batch(read.json(write_lines(f"{tmp_dir}/torn", [block(3), "{torn"])), 1, store)
+    assert len(called) == 1 and spark.table(store.fqn("_landing_rejected")).count() == 1
