@@ -71,3 +71,18 @@ def test_json_files_hold_few_slots(spark, sf, monkeypatch):
     path = ledger.land_json(spark, sf)
     lines = [r["n"] for r in spark.read.text(path).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert max(lines) <= 2 and sum(lines) == ledger.ledger_raw(spark, sf).count()
+
+
+def test_faults_are_landed_apart(spark, tmp_dir):
+    """The rows of ``with_faults``, of which only those that it changes are landed again."""
+    orders = spark.range(0, 1200).selectExpr("id as o_orderkey", "7L as o_custkey", "'F' as o_orderstatus",
+                                             "10.5D as o_totalprice", "'1' as o_orderpriority")
+    flat_tables(spark, f"{tmp_dir}/many")
+    orders.write.mode("overwrite").parquet(f"{tmp_dir}/many/orders.parquet")
+    sf = f"{tmp_dir}/many"
+    whole = ledger.with_faults(ledger.ledger_raw(spark, sf))
+    got = ledger.faulty_raw(spark, sf)
+    key = F.xxhash64(*whole.columns).alias("h")
+    assert sorted(r[0] for r in got.select(key).collect()) == sorted(r[0] for r in whole.select(key).collect())
+    again = spark.read.parquet(ledger._LANDED[spark.sparkContext.applicationId, sf, "faults"])
+    assert 0 < again.count() < got.count() / 5

@@ -6,7 +6,9 @@ import io
 import contextlib
 
 from blockledger.operators import flatten as P
+from blockledger import schemas as S
 from blockledger.operators import progress as G
+from blockledger.operators import quality as Q
 from blockledger.plans import backfill as M
 from blockledger.plans import sink as K
 from blockledger.session import fresh_namespace
@@ -332,3 +334,22 @@ def test_repair_of_a_slot_landed_twice(spark, read_json):
     if K.read_table(spark, store, "transactions").where("slot = 5").isEmpty():
         assert [r.slot for r in M.repair_missing(spark, raw, store).collect()] == [5]
     assert count() == want
+
+
+def test_rejected_rows_are_found_once(spark):
+    """The batch is read once for its rejected rows, not to see whether there are any and again to store them."""
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "r"), tables=("blocks",))
+    K.ensure_tables(spark, store)
+    good = P.blocks(ledger.conform_raw(spark.range(1).selectExpr(*[
+        "id as slot" if c == "slot" else f"null as {c}" for c in S.RAW_BLOCK.fieldNames()])))
+    _, bad = Q.split_rejected(good, "blocks")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+    K._write_rejects(bad.mapInArrow(counted, bad.schema), store, "blocks")
+    assert spark.table(K.rejects_name(store, "blocks")).count() == 1 and read.value == 1
+    K._write_rejects(bad.limit(0), store, "blocks")
+    assert spark.table(K.rejects_name(store, "blocks")).count() == 1
