@@ -353,3 +353,18 @@ def test_rejected_rows_are_found_once(spark):
     assert spark.table(K.rejects_name(store, "blocks")).count() == 1 and read.value == 1
     K._write_rejects(bad.limit(0), store, "blocks")
     assert spark.table(K.rejects_name(store, "blocks")).count() == 1
+
+
+def test_dates_of_timed_blocks_need_no_join(spark, read_json):
+    """A later batch of timed blocks is not joined with the dates of the stored blocks without a time."""
+    store = K.LedgerStore(namespace=fresh_namespace(spark, "d"), tables=("blocks",), bucket_size=4, by_date=True)
+    K.write_all(read_json([block(3, block_time=None)]), store)
+    timed = read_json([block(s, block_time=86400 * s) for s in (2, 4)])
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        K.with_dates(timed, store, K.untimed_dates(timed, store)).explain()
+    assert "Join" not in text.getvalue()
+    K.write_all(timed, store)
+    rows = K.read_table(spark, store, "blocks").select("slot", S.DATE_COLUMN).collect()
+    days = {r[0]: r[1].day for r in rows}
+    assert (days[2], days[4]) == (3, 5) and days[2] <= days[3] <= days[4]
